@@ -373,3 +373,199 @@ def _fold_scored(spark, sf_dir) -> DataFrame:
   FROM fa JOIN fp ON fa.fold = fp.fold""").replace("\n  , fs AS", ",\n  fs AS"))
 def q_fold_metrics(spark, sf_dir):
     return curves.metrics_by_fold(_fold_scored(spark, sf_dir), 0.5)
+
+
+# ------------------------------------------------------------- calibration
+def _iso_sql(body: str, extra: list[str] | None = None) -> str:
+    return with_ctes(["scored", *(extra or [])], """
+  , ic AS (SELECT p, count(*) AS n, sum(y) AS s FROM scored GROUP BY p),
+  ik AS (SELECT p, n, s, sum(n) OVER (ORDER BY p) AS cn, sum(s) OVER (ORDER BY p) AS cs FROM ic),
+  iab AS (SELECT a.p AS ap, b.p AS bp, (b.cs - a.cs + a.s) / (b.cn - a.cn + a.n) AS m
+          FROM ik a JOIN ik b ON a.p <= b.p),
+  imin AS (SELECT x.p AS xp, iab.ap, min(iab.m) AS mn FROM ik x
+           JOIN iab ON iab.ap <= x.p AND iab.bp >= x.p GROUP BY x.p, iab.ap),
+  iso AS (SELECT xp AS p, round(max(mn), 9) AS calibrated FROM imin GROUP BY xp)
+""".replace("\n  , ic AS", ",\n  ic AS") + body)
+
+
+def _isotonic(spark, sf_dir):
+    from attrition.operators import calibrate
+    s = scored(spark, sf_dir)
+    return s, calibrate.fit_isotonic(s)
+
+
+@register("isotonic_fit", _iso_sql("SELECT p, calibrated FROM iso"))
+def q_isotonic_fit(spark, sf_dir):
+    from attrition.operators import calibrate
+    s, m = _isotonic(spark, sf_dir)
+    return rounded(calibrate.isotonic_table(m, s), ["calibrated"])
+
+
+@register("isotonic_apply", _iso_sql(
+    "SELECT s.CustomerId, s.y, s.p, i.calibrated AS p_cal FROM scored s JOIN iso i ON s.p = i.p"))
+def q_isotonic_apply(spark, sf_dir):
+    from attrition.operators import calibrate
+    s, m = _isotonic(spark, sf_dir)
+    return rounded(calibrate.apply_isotonic(m, s), ["p_cal"])
+
+
+@register("calibrated_threshold", _iso_sql("""
+  , cs AS (SELECT s.y, i.calibrated AS p FROM scored s JOIN iso i ON s.p = i.p),
+  cc AS (SELECT p AS threshold, count(*) AS n, sum(y) AS pos FROM cs GROUP BY p),
+  ccum AS (SELECT threshold, sum(pos) OVER (ORDER BY threshold DESC) AS tp,
+                  sum(n - pos) OVER (ORDER BY threshold DESC) AS fp,
+                  sum(pos) OVER () AS tot_pos FROM cc),
+  cpr AS (SELECT threshold, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS precision,
+                 CASE WHEN tot_pos > 0 THEN tp / tot_pos ELSE 1.0 END AS recall FROM ccum)
+  SELECT threshold, precision, recall,
+         round(2 * (precision * recall) / (precision + recall + 1e-8), 9) AS f1,
+         recall >= 0.6 AS meets_floor
+  FROM cpr ORDER BY meets_floor DESC, f1 DESC, threshold ASC LIMIT 1""".replace(
+    "\n  , cs AS", ",\n  cs AS")))
+def q_calibrated_threshold(spark, sf_dir):
+    from attrition.operators import calibrate
+    s, m = _isotonic(spark, sf_dir)
+    cal = rounded(calibrate.apply_isotonic(m, s), ["p_cal"])
+    return rounded(curves.best_threshold(cal, "y", "p_cal"), ["f1"])
+
+
+# ------------------------------------------------------------- predictions & errors
+@register("predictions_table", with_ctes(["decided"], """
+  SELECT actual, predicted, probability, actual = predicted AS correct FROM decided"""))
+def q_predictions(spark, sf_dir):
+    from attrition.operators import decide
+    return decide.predictions_table(decided(spark, sf_dir)[0])
+
+
+@register("prediction_accuracy", with_ctes(["decided"], """
+  SELECT avg(CAST(actual = predicted AS DOUBLE)) AS accuracy, CAST(count(*) AS BIGINT) AS rows
+  FROM decided"""))
+def q_prediction_accuracy(spark, sf_dir):
+    from attrition.operators import decide
+    return decide.predictions_summary(decide.predictions_table(decided(spark, sf_dir)[0]))
+
+
+_INPUTS_SQL = ", ".join(f"f.{c}" for c in INPUT_COLS)
+_ERR_SQL = """CASE WHEN actual = 1 AND predicted = 0 THEN 'False Negative'
+                   WHEN actual = 0 AND predicted = 1 THEN 'False Positive' ELSE 'Correct' END"""
+
+
+@register("error_rows", with_ctes(["decided", "profile"], f"""
+  SELECT f.CustomerId, {_INPUTS_SQL}, d.actual, d.predicted, d.probability,
+         {_ERR_SQL} AS error_type
+  FROM profile f JOIN decided d ON f.CustomerId = d.CustomerId
+  WHERE {_ERR_SQL} <> 'Correct'"""))
+def q_error_rows(spark, sf_dir):
+    from attrition.operators import errors
+    return errors.error_rows(profile(spark, sf_dir), decided(spark, sf_dir)[0])
+
+
+@register("error_breakdown", with_ctes(["decided", "features"], f"""
+  , er AS (SELECT f.Geography, f.AgeGroup, f.NumOfProducts, {_ERR_SQL} AS error_type
+          FROM features f JOIN decided d ON f.CustomerId = d.CustomerId)
+  SELECT dimension, value, error_type, CAST(count(*) AS BIGINT) AS count
+  FROM (SELECT 'Geography' AS dimension, Geography AS value, error_type FROM er
+        UNION ALL SELECT 'AgeGroup', AgeGroup, error_type FROM er
+        UNION ALL SELECT 'NumOfProducts', CAST(NumOfProducts AS VARCHAR), error_type FROM er)
+  WHERE error_type <> 'Correct'
+  GROUP BY dimension, value, error_type""".replace("\n  , er AS", ",\n  er AS")))
+def q_error_breakdown(spark, sf_dir):
+    from attrition.operators import errors
+    return errors.error_breakdown(errors.error_rows(profile(spark, sf_dir),
+                                                    decided(spark, sf_dir)[0]))
+
+
+@register("error_totals", with_ctes(["decided"], f"""
+  SELECT CAST(count(CASE WHEN {_ERR_SQL} <> 'Correct' THEN 1 END) AS BIGINT) AS errors,
+         CAST(count(*) AS BIGINT) AS rows,
+         count(CASE WHEN {_ERR_SQL} <> 'Correct' THEN 1 END) / count(*) AS error_rate,
+         CAST(count(CASE WHEN actual = 1 AND predicted = 0 THEN 1 END) AS BIGINT) AS false_negatives,
+         CAST(count(CASE WHEN actual = 0 AND predicted = 1 THEN 1 END) AS BIGINT) AS false_positives
+  FROM decided"""))
+def q_error_totals(spark, sf_dir):
+    from attrition.operators import errors
+    return errors.error_totals(decided(spark, sf_dir)[0])
+
+
+# ------------------------------------------------------------- decisions
+_T = "(SELECT threshold FROM best)"
+
+
+def _label_query(name: str, sql_expr: str, col_fn):
+    @register(name, with_ctes(["decided", "best"], f"""
+  SELECT CustomerId, probability, {sql_expr} AS {name} FROM decided"""))
+    def q(spark, sf_dir):
+        d, t = decided(spark, sf_dir)
+        return d.select(KEY, "probability", col_fn("probability", t).alias(name))
+    return q
+
+
+_label_query("confidence", f"""CASE WHEN abs(probability - {_T}) < 0.1 THEN 'Borderline'
+              WHEN abs(probability - {_T}) < 0.25 THEN 'Moderate' ELSE 'Strong' END""",
+             D.confidence)
+_label_query("risk_label", f"""CASE WHEN probability >= {_T} THEN 'High'
+              WHEN abs(probability - {_T}) <= 0.15 THEN 'Elevated' ELSE 'Low' END""",
+             D.risk_label)
+_label_query("risk_band", f"""CASE WHEN probability > 0 AND probability <= greatest({_T} - 0.15, 0.0)
+                   THEN 'Low'
+              WHEN probability > greatest({_T} - 0.15, 0.0) AND probability <= {_T} THEN 'Elevated'
+              WHEN probability > {_T} AND probability <= 1.0 THEN 'High' END""",
+             D.risk_band)
+_label_query("gauge_zone", """CASE WHEN probability * 100 < 40.0 THEN 'low'
+              WHEN probability * 100 < 60.0 THEN 'medium' ELSE 'high' END""",
+             lambda p, t: D.gauge_zone(p))
+
+
+_BATCH_SQL = f"""
+  , br AS (SELECT f.CustomerId, round(d.probability, 4) AS Churn_Probability,
+          CASE WHEN d.probability >= {_T} THEN 'CHURN' ELSE 'RETAIN' END AS Churn_Prediction,
+          CASE WHEN d.probability > 0 AND d.probability <= greatest({_T} - 0.15, 0.0) THEN 'Low'
+               WHEN d.probability > greatest({_T} - 0.15, 0.0) AND d.probability <= {_T}
+                 THEN 'Elevated'
+               WHEN d.probability > {_T} AND d.probability <= 1.0 THEN 'High' END AS Risk_Level,
+          {_INPUTS_SQL}
+          FROM profile f JOIN decided d ON f.CustomerId = d.CustomerId)
+"""
+
+
+def _batch(spark, sf_dir):
+    from attrition.operators import decide
+    d, t = decided(spark, sf_dir)
+    return decide.batch_result(profile(spark, sf_dir), d, t)
+
+
+def _batch_sql(body: str) -> str:
+    return with_ctes(["decided", "profile", "best"], _BATCH_SQL.replace(
+        "\n  , br AS", ",\n  br AS") + body)
+
+
+@register("batch_result", _batch_sql("SELECT * FROM br"))
+def q_batch_result(spark, sf_dir):
+    return _batch(spark, sf_dir)
+
+
+@register("batch_counts", _batch_sql("""
+  SELECT CAST(count(*) AS BIGINT) AS total,
+         CAST(count(CASE WHEN Churn_Prediction = 'CHURN' THEN 1 END) AS BIGINT) AS churn,
+         CAST(count(CASE WHEN Churn_Prediction <> 'CHURN' THEN 1 END) AS BIGINT) AS retain
+  FROM br"""))
+def q_batch_counts(spark, sf_dir):
+    from attrition.operators import decide
+    return decide.batch_counts(_batch(spark, sf_dir))
+
+
+TOP_K = 20
+
+
+@register("top_scores", _batch_sql(
+    f"SELECT * FROM br ORDER BY Churn_Probability DESC, CustomerId ASC LIMIT {TOP_K}"))
+def q_top_scores(spark, sf_dir):
+    from attrition.operators import decide
+    return decide.top_scores(_batch(spark, sf_dir), TOP_K)
+
+
+@register("first_true_positive", with_ctes(["decided"], """
+  SELECT * FROM decided WHERE actual = 1 AND predicted = 1 ORDER BY CustomerId LIMIT 1"""))
+def q_first_tp(spark, sf_dir):
+    from attrition.operators import decide
+    return decide.first_true_positive(decided(spark, sf_dir)[0])
