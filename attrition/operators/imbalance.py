@@ -119,7 +119,7 @@ def adasyn_allocation(df: DataFrame, label: str = "Exited", features: str = "fea
          .agg((F.count(F.when(F.col(label) != minority, 1)) / F.lit(float(k))).alias("r")))
     total = r.agg(F.sum("r")).scalar()
     return r.select(key, "r", (F.col("r") / total).alias("r_norm"),
-                    F.round(F.col("r") / total * F.lit(float(g)), 0).cast("int").alias("n_synthetic"))
+                    F.bround(F.col("r") / total * F.lit(float(g)), 0).cast("int").alias("n_synthetic"))
 
 
 def adasyn(df: DataFrame, label: str = "Exited", features: str = "features", key: str = KEY,

@@ -569,3 +569,246 @@ def q_top_scores(spark, sf_dir):
 def q_first_tp(spark, sf_dir):
     from attrition.operators import decide
     return decide.first_true_positive(decided(spark, sf_dir)[0])
+
+
+# ------------------------------------------------------------- preprocessing
+from attrition.plans.oracle_sql import (ORACLE_NAMES, ORACLE_NUM, qcol,  # noqa: E402
+                                        sq_distance_sql)
+
+
+def _feature_model(spark, sf_dir):
+    from attrition.operators.preprocess import FeatureStages
+    from attrition.schema import CAT_FEATURES, NUM_FEATURES, PASSTHROUGH_FEATURES
+    tr = train(spark, sf_dir)
+    return tr, FeatureStages(NUM_FEATURES, CAT_FEATURES, PASSTHROUGH_FEATURES).fit(tr)
+
+
+def _ftab(spark, sf_dir) -> tuple[DataFrame, list[str]]:
+    from attrition.operators.preprocess import feature_names, feature_table
+    tr, fm = _feature_model(spark, sf_dir)
+    names = feature_names(fm)
+    tab = feature_table(fm, tr).join(tr.select(KEY, TARGET), KEY)
+    return tab, names
+
+
+@register("scale_fit", with_ctes(["fstats"], "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, round(m{i}, 9) AS mean, "
+    f"round(CASE WHEN s{i} > 0 THEN s{i} ELSE 1.0 END, 9) AS scale FROM fstats"
+    for i, c in enumerate(ORACLE_NUM))))
+def q_scale_fit(spark, sf_dir):
+    from attrition.operators.preprocess import PopulationScalerModel
+    _, fm = _feature_model(spark, sf_dir)
+    sc = [s for s in fm.stages if isinstance(s, PopulationScalerModel)][0]
+    return rounded(spark.createDataFrame(sc.parameters(), "feature string, mean double, "
+                                                          "scale double"), ["mean", "scale"])
+
+
+@register("scale_transform", with_ctes(["ftab"], "SELECT CustomerId, " + ", ".join(
+    f"round({c}, 9) AS {c}" for c in ORACLE_NUM) + " FROM ftab"))
+def q_scale_transform(spark, sf_dir):
+    tab, _ = _ftab(spark, sf_dir)
+    return rounded(tab.select(KEY, *ORACLE_NUM), ORACLE_NUM)
+
+
+_ONEHOT = [n for n in ORACLE_NAMES if "_" in n and n not in ("IsActive_by_CreditCard",)]
+
+
+@register("one_hot", with_ctes(["ftab"], "SELECT CustomerId, " + ", ".join(
+    qcol(c) for c in _ONEHOT) + " FROM ftab"))
+def q_one_hot(spark, sf_dir):
+    tab, names = _ftab(spark, sf_dir)
+    return tab.select(KEY, *[F.col(f"`{c}`") for c in names if c in _ONEHOT])
+
+
+@register("feature_table", with_ctes(["ftab"], "SELECT CustomerId, " + ", ".join(
+    f"round({qcol(c)}, 9) AS {qcol(c)}" for c in ORACLE_NAMES) + " FROM ftab"))
+def q_feature_table(spark, sf_dir):
+    tab, names = _ftab(spark, sf_dir)
+    return rounded(tab.select(KEY, *[F.col(f"`{c}`") for c in names]), names)
+
+
+# ------------------------------------------------------------- imbalance
+@register("class_weights", with_ctes(["train"], """
+  SELECT Exited AS label, CAST(count(*) AS BIGINT) AS n,
+         (SELECT count(*) FROM train) / (2.0 * count(*)) AS balanced_weight,
+         CASE WHEN Exited = 1 THEN (SELECT CAST(count(*) AS DOUBLE) FROM train WHERE Exited = 0)
+                                   / (SELECT count(*) FROM train WHERE Exited = 1)
+              ELSE 1.0 END AS positive_weight
+  FROM train GROUP BY Exited"""))
+def q_class_weights(spark, sf_dir):
+    from attrition.operators import imbalance
+    return imbalance.class_weights(train(spark, sf_dir))
+
+
+_KNN_SQL = f"""
+  , mino AS (SELECT * FROM ftab WHERE Exited = 1),
+  pairs AS (SELECT a.CustomerId AS query, b.CustomerId AS neighbour,
+                   sqrt({sq_distance_sql('a', 'b')}) AS distance
+            FROM mino a JOIN {{cands}} b ON a.CustomerId <> b.CustomerId),
+  nn AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY distance, neighbour) AS rank
+         FROM pairs)
+"""
+
+
+def _knn_sql(cands: str, body: str) -> str:
+    return with_ctes(["ftab"], _KNN_SQL.replace("\n  , mino AS", ",\n  mino AS")
+                     .replace("{cands}", cands) + body)
+
+
+@register("smote_neighbours", _knn_sql("mino", """
+  SELECT query, CAST(rank AS INTEGER) AS rank, neighbour, round(distance, 9) AS distance
+  FROM nn WHERE rank <= 5"""))
+def q_smote_neighbours(spark, sf_dir):
+    from attrition.operators.knn import knn
+    tab, names = _ftab(spark, sf_dir)
+    vec = _vectors(tab, names)
+    mino = vec.where(F.col(TARGET) == 1)
+    out = knn(mino, mino, k=5)
+    return rounded(out.select("query", F.col("rank").cast("int"), "neighbour", "distance"),
+                   ["distance"])
+
+
+def _vectors(tab: DataFrame, names: list[str]) -> DataFrame:
+    from pyspark.ml.functions import array_to_vector
+    return tab.select(KEY, TARGET, array_to_vector(F.array(*[F.col(f"`{n}`") for n in names]))
+                      .alias("features"))
+
+
+@register("adasyn_allocation", _knn_sql("ftab", """
+  , rr AS (SELECT n.query AS CustomerId,
+                 count(CASE WHEN f.Exited <> 1 THEN 1 END) / 5.0 AS r
+          FROM nn n JOIN ftab f ON f.CustomerId = n.neighbour WHERE n.rank <= 5 GROUP BY n.query),
+  g AS (SELECT (SELECT count(*) FROM ftab WHERE Exited = 0)
+               - (SELECT count(*) FROM ftab WHERE Exited = 1) AS g)
+  SELECT CustomerId, r, round(r / (SELECT sum(r) FROM rr), 9) AS r_norm,
+         CAST(round_even(r / (SELECT sum(r) FROM rr) * (SELECT g FROM g), 0) AS INTEGER)
+           AS n_synthetic
+  FROM rr""".replace("\n  , rr AS", ",\n  rr AS")))
+def q_adasyn_allocation(spark, sf_dir):
+    from attrition.operators import imbalance
+    tab, names = _ftab(spark, sf_dir)
+    out = imbalance.adasyn_allocation(_vectors(tab, names))
+    return rounded(out, ["r_norm"])
+
+
+# ------------------------------------------------------------- explanations
+# A linear log-odds score with fixed coefficients over the named feature
+# table: the SQL-checkable stand-in for a fitted logistic model.
+LINEAR_INTERCEPT = -1.5
+
+
+def linear_coefficients(n: int) -> list[float]:
+    return [0.25 * ((i % 5) - 2) + 0.1 for i in range(n)]
+
+
+def _linear(spark, sf_dir):
+    from attrition.operators import explain
+    tab, names = _ftab(spark, sf_dir)
+    coef = linear_coefficients(len(names))
+    shap = explain.linear_shap(tab.select(KEY, *[F.col(f"`{n}`") for n in names]), names, coef)
+    shap = rounded(shap, ["shap", "value"])
+    logit = F.lit(LINEAR_INTERCEPT)
+    for n, b in zip(names, coef):
+        logit = logit + F.lit(b) * F.col(f"`{n}`")
+    prob = tab.select(KEY, TARGET, (1 / (1 + F.exp(-logit))).alias("probability"))
+    means = tab.agg(*[F.avg(F.col(f"`{n}`")) for n in names]).first()
+    base = explain.linear_base(LINEAR_INTERCEPT, coef, [float(v) for v in means])
+    return shap, prob, base
+
+
+def _lin_sql(body: str) -> str:
+    coef = linear_coefficients(len(ORACLE_NAMES))
+    shap = "\nUNION ALL\n".join(
+        f"SELECT CustomerId, {i} AS feature_idx, '{n}' AS feature, round({qcol(n)}, 9) AS value, "
+        f"round({b!r} * ({qcol(n)} - (SELECT avg({qcol(n)}) FROM ftab)), 9) AS shap FROM ftab"
+        for i, (n, b) in enumerate(zip(ORACLE_NAMES, coef)))
+    logit = f"{LINEAR_INTERCEPT!r}" + "".join(
+        f" + {b!r} * {qcol(n)}" for n, b in zip(ORACLE_NAMES, coef))
+    base = f"{LINEAR_INTERCEPT!r}" + "".join(
+        f" + {b!r} * (SELECT avg({qcol(n)}) FROM ftab)" for n, b in zip(ORACLE_NAMES, coef))
+    head = (f",\n  lshap AS ({shap}),\n  lprob AS (SELECT CustomerId, Exited, "
+            f"1 / (1 + exp(-({logit}))) AS probability FROM ftab),\n"
+            f"  lbase AS (SELECT {base} AS base)\n")
+    return with_ctes(["ftab"], head + body)
+
+
+@register("linear_shap", _lin_sql("SELECT * FROM lshap"))
+def q_linear_shap(spark, sf_dir):
+    return _linear(spark, sf_dir)[0]
+
+
+@register("mean_abs_shap", _lin_sql("""
+  SELECT feature, round(avg(abs(shap)), 9) AS mean_abs_shap FROM lshap GROUP BY feature
+  ORDER BY mean_abs_shap DESC, feature LIMIT 10"""))
+def q_mean_abs_shap(spark, sf_dir):
+    from attrition.operators import explain
+    return rounded(explain.mean_abs_shap(_linear(spark, sf_dir)[0], 10), ["mean_abs_shap"])
+
+
+@register("top_factors", _lin_sql("""
+  SELECT CustomerId, CAST(rank AS INTEGER) AS rank, feature, shap,
+         CASE WHEN shap > 0 THEN 'Increases Risk' ELSE 'Reduces Risk' END AS direction
+  FROM (SELECT *, row_number() OVER (PARTITION BY CustomerId
+                                     ORDER BY abs(shap) DESC, feature_idx DESC) AS rank
+        FROM lshap) WHERE rank <= 5"""))
+def q_top_factors(spark, sf_dir):
+    from attrition.operators import decide
+    return decide.top_factors(_linear(spark, sf_dir)[0]).withColumn(
+        "rank", F.col("rank").cast("int"))
+
+
+@register("waterfall", _lin_sql("""
+  , who AS (SELECT min(CustomerId) AS c FROM lprob WHERE Exited = 1 AND probability >= 0.5),
+  wr AS (SELECT *, row_number() OVER (ORDER BY abs(shap) DESC, feature_idx) AS r
+         FROM lshap WHERE CustomerId = (SELECT c FROM who)),
+  steps AS (SELECT CustomerId, CAST(r AS INTEGER) AS step, feature, value, shap FROM wr WHERE r < 10
+            UNION ALL
+            SELECT min(CustomerId), 10, CAST(count(*) AS VARCHAR) || ' other features', NULL,
+                   sum(shap) FROM wr WHERE r >= 10)
+  SELECT CustomerId, step, feature, value, round(shap, 9) AS shap,
+         round((SELECT base FROM lbase) + sum(shap) OVER (ORDER BY step), 9) AS cumulative
+  FROM steps""".replace("\n  , who AS", "  , who AS")))
+def q_waterfall(spark, sf_dir):
+    from attrition.operators import explain
+    shap, prob, base = _linear(spark, sf_dir)
+    who = prob.where((F.col(TARGET) == 1) & (F.col("probability") >= 0.5)).agg(F.min(KEY)).first()[0]
+    out = explain.waterfall(shap, base, int(who)).withColumn("step", F.col("step").cast("int"))
+    return rounded(out, ["shap", "cumulative"])
+
+
+def _actions_sql() -> str:
+    from attrition.schema import FEATURE_ACTIONS
+    esc = lambda s: s.replace("'", "''")
+    return "VALUES " + ", ".join(f"({i}, '{esc(k)}', '{esc(t)}', '{esc(x)}')"
+                                 for i, (k, t, x) in enumerate(FEATURE_ACTIONS))
+
+
+def _general_sql() -> str:
+    from attrition.schema import GENERAL_ACTION
+    return f"'{GENERAL_ACTION[0]}' AS title, '{GENERAL_ACTION[1]}' AS text"
+
+
+@register("recommendations", _lin_sql(f"""
+  , flag AS (SELECT CustomerId FROM lprob WHERE probability >= 0.5),
+  cand AS (SELECT s.* FROM lshap s JOIN flag f ON s.CustomerId = f.CustomerId
+           WHERE s.shap > 0 OR NOT EXISTS (SELECT 1 FROM lshap s2
+                                           WHERE s2.CustomerId = s.CustomerId AND s2.shap > 0)),
+  acts AS (SELECT * FROM ({_actions_sql()}) a(ord, key, title, text)),
+  matched AS (SELECT c.*, a.ord, a.key, a.title, a.text,
+                     row_number() OVER (PARTITION BY c.CustomerId, c.feature
+                                        ORDER BY (c.feature = a.key) DESC, a.ord) AS r
+              FROM cand c JOIN acts a ON starts_with(c.feature, a.key)),
+  bt AS (SELECT *, row_number() OVER (PARTITION BY CustomerId, title
+                                      ORDER BY shap DESC, feature_idx DESC) AS t
+         FROM matched WHERE r = 1),
+  rk AS (SELECT *, row_number() OVER (PARTITION BY CustomerId
+                                      ORDER BY shap DESC, feature_idx DESC) AS rank
+         FROM bt WHERE t = 1)
+  SELECT CustomerId, CAST(rank AS INTEGER) AS rank, title, text, feature, shap FROM rk WHERE rank <= 3
+  UNION ALL
+  SELECT CustomerId, 1, {_general_sql()}, NULL, 0.0 FROM flag
+  WHERE CustomerId NOT IN (SELECT CustomerId FROM rk)""".replace("\n  , flag AS", "  , flag AS")))
+def q_recommendations(spark, sf_dir):
+    from attrition.operators import decide
+    shap, prob, _ = _linear(spark, sf_dir)
+    return decide.recommendations(shap, prob, 0.5).withColumn("rank", F.col("rank").cast("int"))

@@ -153,3 +153,47 @@ cte("point_metrics", ["point"], """
 
 def calibration_bin_sql(col: str, n_bins: int = 10) -> str:
     return "(" + " + ".join(f"CAST({col} > {e!r} AS INTEGER)" for e in inner_edges(n_bins)) + ")"
+
+
+# ---------------------------------------------------------------- feature table
+# The test tables' categories (used only by the oracle side; the Spark side
+# learns them at fit time): first alphabetical category dropped.
+ORACLE_CATEGORIES = {
+    "Geography": ["AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"],
+    "Gender": ["Male"],
+    "AgeGroup": ["Senior", "Young"],
+}
+ORACLE_NUM = ["CreditScore", "Age", "Tenure", "Balance", "NumOfProducts", "EstimatedSalary",
+              "BalanceSalaryRatio", "ProductsPerYear"]
+ORACLE_PASS = ["HasCrCard", "IsActiveMember", "IsActive_by_CreditCard"]
+ORACLE_NAMES = (ORACLE_NUM + [f"{c}_{v}" for c, vs in ORACLE_CATEGORIES.items() for v in vs]
+                + ORACLE_PASS)
+
+cte("train_features", ["train"], """
+  SELECT *, Balance / (EstimatedSalary + 1) AS BalanceSalaryRatio,
+         IsActiveMember * HasCrCard AS IsActive_by_CreditCard,
+         NumOfProducts / (Tenure + 1) AS ProductsPerYear,
+         CASE WHEN Age > 0 AND Age <= 35 THEN 'Young'
+              WHEN Age > 35 AND Age <= 55 THEN 'Middle'
+              WHEN Age > 55 AND Age <= 100 THEN 'Senior' ELSE 'nan' END AS AgeGroup
+  FROM train""")
+
+cte("fstats", ["train_features"], "SELECT " + ", ".join(
+    f"avg(CAST({c} AS DOUBLE)) AS m{i}, stddev_pop(CAST({c} AS DOUBLE)) AS s{i}"
+    for i, c in enumerate(ORACLE_NUM)) + " FROM train_features")
+
+cte("ftab", ["train_features", "fstats"], "SELECT CustomerId, Exited, " + ", ".join(
+    [f"(CAST({c} AS DOUBLE) - m{i}) / (CASE WHEN s{i} > 0 THEN s{i} ELSE 1.0 END) AS {c}"
+     for i, c in enumerate(ORACLE_NUM)]
+    + [f'CAST(COALESCE({c} = \'{v}\', false) AS DOUBLE) AS "{c}_{v}"'
+       for c, vs in ORACLE_CATEGORIES.items() for v in vs]
+    + [f"CAST({c} AS DOUBLE) AS {c}" for c in ORACLE_PASS]) + " FROM train_features, fstats")
+
+
+def qcol(name: str) -> str:
+    return f'"{name}"'
+
+
+def sq_distance_sql(a: str, b: str) -> str:
+    return " + ".join(f"({a}.{qcol(n)} - {b}.{qcol(n)}) * ({a}.{qcol(n)} - {b}.{qcol(n)})"
+                      for n in ORACLE_NAMES)
