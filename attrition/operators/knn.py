@@ -48,7 +48,8 @@ def knn(queries: DataFrame, candidates: DataFrame, k: int = 5, key: str = "Custo
     u = [float(x) for x in pcs]
     c = candidates.select(F.col(key).alias("neighbour"), F.col(features).alias("neighbour_vec"),
                           vector_to_array(F.col(features)).alias("_cv"), *carry)
-    c = c.withColumn("_cp", _dot(F.col("_cv"), u))
+    # Both joins read the projected candidates: materialise them once.
+    c = c.withColumn("_cp", _dot(F.col("_cv"), u)).checkpoint()
     q = queries.select(F.col(key).alias("query"), vector_to_array(F.col(features)).alias("_qv"))
     q = q.withColumn("_qp", _dot(F.col("_qv"), u))
 

@@ -83,7 +83,10 @@ class AttritionPipeline(Estimator):
         clf = self.classifier.copy()
         if self.use_smote or self.use_adasyn:
             sampler = imbalance.smote if self.use_smote else imbalance.adasyn
-            x = sampler(x, label=self.label, features="features", key=self.key)
+            # The neighbour search reads the transformed rows several times:
+            # cut the lineage once, and again after resampling.
+            x = x.select(self.key, "features", self.label).checkpoint()
+            x = sampler(x, label=self.label, features="features", key=self.key).checkpoint()
         if self.weight_mode:
             x = imbalance.with_class_weight(x, self.label, self.weight_mode)
         if isinstance(clf, LogisticRegression) and hasattr(self.classifier, "_attr_C") \

@@ -812,3 +812,142 @@ def q_recommendations(spark, sf_dir):
     from attrition.operators import decide
     shap, prob, _ = _linear(spark, sf_dir)
     return decide.recommendations(shap, prob, 0.5).withColumn("rank", F.col("rank").cast("int"))
+
+
+# ------------------------------------------------------------- fitted models (rows-only)
+_MEMO: dict = {}
+
+
+def _folded(spark, sf_dir):
+    k = ("folded", id(spark), sf_dir)
+    if k not in _MEMO:
+        from attrition.plans.training import prepare
+        _MEMO[k] = prepare(profile(spark, sf_dir))
+    return _MEMO[k]
+
+
+@register("oof_probabilities")
+def q_oof(spark, sf_dir):
+    from attrition.operators import models, search
+    folded, _ = _folded(spark, sf_dir)
+    return search.out_of_fold(
+        lambda: models.strategy_pipeline("Logistic Regression", "class_weight"), folded)
+
+
+def _fit_score(spark, sf_dir, family, strategy, **params):
+    from attrition.operators import models
+    folded, test = _folded(spark, sf_dir)
+    m = models.strategy_pipeline(family, strategy, **params).fit(folded.drop("fold"))
+    return m, models.score(m, test)
+
+
+@register("logistic_scores")
+def q_logistic_scores(spark, sf_dir):
+    return _fit_score(spark, sf_dir, "Logistic Regression", "class_weight")[1]
+
+
+@register("forest_scores")
+def q_forest_scores(spark, sf_dir):
+    return _fit_score(spark, sf_dir, "Random Forest", "class_weight", num_trees=20)[1]
+
+
+@register("boosted_scores")
+def q_boosted_scores(spark, sf_dir):
+    return _fit_score(spark, sf_dir, "Boosted Trees", "class_weight", max_iter=20)[1]
+
+
+def _comparison(spark, sf_dir):
+    k = ("comparison", id(spark), sf_dir)
+    if k not in _MEMO:
+        from attrition.operators import search
+        from attrition.plans.training import comparison_grid
+        folded, _ = _folded(spark, sf_dir)
+        _MEMO[k] = search.compare_models(spark, folded, comparison_grid(small=True))
+    return _MEMO[k]
+
+
+@register("model_comparison")
+def q_model_comparison(spark, sf_dir):
+    return _comparison(spark, sf_dir)
+
+
+@register("composite_rank")
+def q_composite_rank(spark, sf_dir):
+    from attrition.operators import search
+    return search.rank_results(_comparison(spark, sf_dir))
+
+
+@register("strategy_summary")
+def q_strategy_summary(spark, sf_dir):
+    from attrition.operators import search
+    return search.strategy_summary(search.rank_results(_comparison(spark, sf_dir)))
+
+
+def _trials(spark, sf_dir):
+    k = ("trials", id(spark), sf_dir)
+    if k not in _MEMO:
+        from attrition.operators import models, search
+        from attrition.plans.training import SEARCH_SPACES
+        folded, _ = _folded(spark, sf_dir)
+        _MEMO[k] = search.random_search(
+            spark, folded, lambda **p: models.strategy_pipeline("Boosted Trees", "class_weight", **p),
+            SEARCH_SPACES["Boosted Trees"], n_trials=4)
+    return _MEMO[k]
+
+
+@register("random_search")
+def q_random_search(spark, sf_dir):
+    return _trials(spark, sf_dir)[0]
+
+
+@register("best_so_far")
+def q_best_so_far(spark, sf_dir):
+    from attrition.operators import search
+    return search.best_so_far(_trials(spark, sf_dir)[0])
+
+
+def _train_vectors(spark, sf_dir):
+    tab, names = _ftab(spark, sf_dir)
+    return _vectors(tab, names)
+
+
+@register("smote_rows")
+def q_smote_rows(spark, sf_dir):
+    from attrition.operators import imbalance
+    out = imbalance.smote(_train_vectors(spark, sf_dir))
+    return out.select(KEY, TARGET, (F.col(KEY) < 0).alias("synthetic"))
+
+
+@register("adasyn_rows")
+def q_adasyn_rows(spark, sf_dir):
+    from attrition.operators import imbalance
+    out = imbalance.adasyn(_train_vectors(spark, sf_dir))
+    return out.select(KEY, TARGET, (F.col(KEY) < 0).alias("synthetic"))
+
+
+@register("tree_shap")
+def q_tree_shap(spark, sf_dir):
+    from attrition.operators import explain
+    m, _ = _fit_score(spark, sf_dir, "Boosted Trees", "class_weight", max_iter=20)
+    _, test = _folded(spark, sf_dir)
+    return explain.model_shap(m, test)[0]
+
+
+@register("saved_model_scores")
+def q_saved_model_scores(spark, sf_dir):
+    import os
+    import uuid
+
+    from attrition.operators import calibrate
+    from attrition.plans.scoring import score_batch
+    from attrition.session import checkpoint_dir
+    from attrition.sources import files
+    m, test_scores = _fit_score(spark, sf_dir, "Logistic Regression", "class_weight")
+    cal = calibrate.fit_isotonic(test_scores)
+    cal_scores = calibrate.apply_isotonic(cal, test_scores, "p", "p_cal")
+    t = curves.best_threshold_value(cal_scores, "y", "p_cal")
+    model_dir = os.path.join(checkpoint_dir(spark), f"models-{uuid.uuid4().hex}")
+    files.save_model(m, t, model_dir, "logistic")
+    loaded, t2, _ = files.load_model(spark, model_dir)
+    _, test = _folded(spark, sf_dir)
+    return score_batch(test, loaded, t2, cal)
