@@ -57,7 +57,8 @@ def knn(queries: DataFrame, candidates: DataFrame, k: int = 5, key: str = "Custo
     cells = max(1, n // (4 * k))
     qs = [i / cells for i in range(1, cells)]
     edges_raw = c.agg(F.percentile_approx("_cp", qs, max(10000, 10 * cells))).first()[0] if qs else []
-    edges = [float("-inf"), *sorted({float(e) for e in (edges_raw or [])}), float("inf")]
+    inner = sorted({float(e) for e in (edges_raw or [])}) or [0.0]  # any edge is valid
+    edges = [float("-inf"), *inner, float("inf")]
     last = len(edges) - 2
 
     def cell(col_in: str, col_out: str, df: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ def _bucket_edges(df: DataFrame, col: str, num_buckets: int) -> list[float]:
     qs = [i / num_buckets for i in range(1, num_buckets)]
     row = df.agg(F.percentile_approx(F.col(col).cast("double"), qs, 10 * num_buckets)
                  .alias("q")).first()
-    inner = sorted({float(v) for v in (row["q"] or []) if v is not None})
+    inner = sorted({float(v) for v in (row["q"] or []) if v is not None}) or [0.0]
     return [float("-inf"), *inner, float("inf")]
 
 
