@@ -1,8 +1,8 @@
 """Class imbalance: weight columns and minority oversampling.
 
 Weights: ``balanced`` gives each row n / (2 * n_class); ``positive`` gives
-positives n_neg / n_pos and negatives 1. Both are a column expression over two
-scalar subqueries (class counts), no join.
+positives n_neg / n_pos and negatives 1. Both are a column expression over the
+class counts (one aggregate with one row per label), no join.
 
 Oversampling (SMOTE, ADASYN) makes synthetic minority rows on segments between
 a minority row and one of its k nearest minority neighbours; see ``knn`` for
@@ -19,20 +19,27 @@ from pyspark.sql import functions as F
 from attrition.schema import KEY, SEED_SAMPLER
 
 
-def class_weight_column(df: DataFrame, label: str = "Exited", mode: str = "balanced") -> Column:
-    n = df.agg(F.count(F.lit(1)).cast("double")).scalar()
-    n1 = df.agg(F.count(F.when(F.col(label) == 1, 1)).cast("double")).scalar()
-    n0 = df.agg(F.count(F.when(F.col(label) == 0, 1)).cast("double")).scalar()
+def label_counts(df: DataFrame, label: str = "Exited") -> dict:
+    """Rows per label value: one aggregate, as many rows as labels (two)."""
+    return {r[0]: r[1] for r in df.groupBy(label).agg(F.count(F.lit(1))).collect()}
+
+
+def class_weight_column(df: DataFrame, label: str = "Exited", mode: str = "balanced",
+                        counts: dict | None = None) -> Column:
+    c = counts if counts is not None else label_counts(df, label)
+    n, n0, n1 = float(sum(c.values())), float(c.get(0, 0)), float(c.get(1, 0))
     if mode == "balanced":
-        return F.when(F.col(label) == 1, n / (F.lit(2.0) * n1)).otherwise(n / (F.lit(2.0) * n0))
+        w1 = n / (2.0 * n1) if n1 else 0.0
+        w0 = n / (2.0 * n0) if n0 else 0.0
+        return F.when(F.col(label) == 1, F.lit(w1)).otherwise(F.lit(w0))
     if mode == "positive":
-        return F.when(F.col(label) == 1, n0 / n1).otherwise(F.lit(1.0))
+        return F.when(F.col(label) == 1, F.lit(n0 / n1 if n1 else 0.0)).otherwise(F.lit(1.0))
     raise ValueError(f"unknown weight mode {mode!r}")
 
 
 def with_class_weight(df: DataFrame, label: str = "Exited", mode: str = "balanced",
-                      out: str = "weight") -> DataFrame:
-    return df.withColumn(out, class_weight_column(df, label, mode))
+                      out: str = "weight", counts: dict | None = None) -> DataFrame:
+    return df.withColumn(out, class_weight_column(df, label, mode, counts))
 
 
 def class_weights(df: DataFrame, label: str = "Exited") -> DataFrame:

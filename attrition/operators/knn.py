@@ -1,40 +1,56 @@
 """Exact k-nearest-neighbour search without comparing all pairs.
 
-Every point is projected on the candidates' first principal direction. A
-projection is 1-Lipschitz, so a candidate farther than r along it is farther
-than r in space. The search runs in two joins:
-
-1. Candidates are cut into quantile cells of the projection (about ``4k``
-   candidates each). Each query meets its own and the two adjacent cells; the
-   k-th smallest distance found there is an upper bound r on its true k-th
-   neighbour distance (infinite when fewer than k were found).
-2. Each query meets every cell that overlaps [proj - r, proj + r] and keeps
-   the k nearest by (distance, key). Nothing outside that band can be closer,
-   so the result is exact; no candidate list is cut short.
-
-Cells are equi-join keys, so both joins are ordinary shuffles on the cell id.
-The principal direction (d numbers) and the cell edges (bounded by the cell
+Every point is projected on the candidates' first principal directions. A
+projection on a unit vector is 1-Lipschitz, so a candidate farther than r
+along any of them is farther than r in space. The search runs in two joins:
+
+1. Candidates are cut into a quantile grid on the first two directions (about
+   ``4k`` candidates per cell). Each query meets its own and the adjacent
+   cells; the k-th smallest distance found there is an upper bound r on its
+   true k-th neighbour distance (infinite when fewer than k were found).
+2. Each query meets every cell that meets the box [proj - r, proj + r], drops
+   pairs farther than r along the third direction, and keeps the k nearest by
+   (distance, key). Nothing outside that box can be closer, so the result is
+   exact; no candidate list is cut short.
+
+Cells are equi-join keys, so both joins are ordinary shuffles on the cell ids,
+and only ``(query, neighbour, distance)`` rows flow into the ranking window.
+The principal directions (3 x d numbers) and the cell edges (bounded by the cell
 count) are the only values that reach the driver.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import PCA, Bucketizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from attrition.session import materialize
+
 _EPS = 1e-9
+_PROJ = 3  # principal directions used: the first keys the join, the rest prefilter
+
 
+def _sqdist(a: str, b: str, d: int) -> Column:
+    """Squared distance between column families a0.. and b0.., summed in index
+    order as plain arithmetic (stays inside generated code)."""
+    return sum(((F.col(f"{a}{i}") - F.col(f"{b}{i}")) * (F.col(f"{a}{i}") - F.col(f"{b}{i}"))
+                for i in range(d)), F.lit(0.0))
 
-def _dot(arr: Column, u: list[float]) -> Column:
-    return F.aggregate(F.zip_with(arr, F.array(*[F.lit(float(x)) for x in u]),
-                                  lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
 
+def _project(df: DataFrame, prefix: str, pcs, out: str) -> DataFrame:
+    d, m = pcs.shape
+    return df.withColumns({f"{out}{j}": sum((F.col(f"{prefix}{i}") * F.lit(float(pcs[i, j]))
+                                             for i in range(d)), F.lit(0.0))
+                           for j in range(m)})
 
-def _sqdist(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)),
-                       F.lit(0.0), lambda acc, v: acc + v)
+
+def _cells(df: DataFrame, col_in: str, col_out: str, edges: list[float]) -> DataFrame:
+    return (Bucketizer(splits=edges, inputCol=col_in, outputCol=col_out, handleInvalid="keep")
+            .transform(df).withColumn(col_out, F.col(col_out).cast("int")))
 
 
 def knn(queries: DataFrame, candidates: DataFrame, k: int = 5, key: str = "CustomerId",
@@ -44,56 +60,76 @@ def knn(queries: DataFrame, candidates: DataFrame, k: int = 5, key: str = "Custo
     nearest candidates of every query row (fewer only if there are fewer
     candidates). Ties at equal distance go to the smaller key."""
     carry = list(carry or [])
-    pcs = PCA(k=1, inputCol=features, outputCol="_pc").fit(candidates).pc.toArray()[:, 0]
-    u = [float(x) for x in pcs]
-    c = candidates.select(F.col(key).alias("neighbour"), F.col(features).alias("neighbour_vec"),
-                          vector_to_array(F.col(features)).alias("_cv"), *carry)
-    # Both joins read the projected candidates: materialise them once.
-    c = c.withColumn("_cp", _dot(F.col("_cv"), u)).checkpoint()
-    q = queries.select(F.col(key).alias("query"), vector_to_array(F.col(features)).alias("_qv"))
-    q = q.withColumn("_qp", _dot(F.col("_qv"), u))
-
+    first = candidates.select(vector_to_array(F.col(features)).alias("a")).first()
+    d = len(first["a"]) if first else 0
+    m = max(1, min(_PROJ, d))
+    pcs = PCA(k=m, inputCol=features, outputCol="_pc").fit(candidates).pc.toArray()
+    arr_c = vector_to_array(F.col(features))
+    # Narrow candidate rows: coordinates and projections only; vectors and
+    # carried columns are attached to the k winners at the end.
+    c = candidates.select(F.col(key).alias("neighbour"),
+                          *[arr_c.getItem(i).alias(f"_c{i}") for i in range(d)])
+    c = materialize(_project(c, "_c", pcs, "_cp"), "knn-candidates")
+    arr_q = vector_to_array(F.col(features))
+    q = queries.select(F.col(key).alias("query"), *[arr_q.getItem(i).alias(f"_q{i}")
+                                                    for i in range(d)])
+    # Materialised so later columns refer to plain values instead of
+    # re-inlining the projection expressions into every use.
+    q = materialize(_project(q, "_q", pcs, "_qp"), "knn-queries")
+
+    # Quantile grid on the first two directions, about 4k candidates per cell.
     n = c.count()
-    cells = max(1, n // (4 * k))
-    qs = [i / cells for i in range(1, cells)]
-    edges_raw = c.agg(F.percentile_approx("_cp", qs, max(10000, 10 * cells))).first()[0] if qs else []
-    inner = sorted({float(e) for e in (edges_raw or [])}) or [0.0]  # any edge is valid
-    edges = [float("-inf"), *inner, float("inf")]
-    last = len(edges) - 2
-
-    def cell(col_in: str, col_out: str, df: DataFrame) -> DataFrame:
-        return Bucketizer(splits=edges, inputCol=col_in, outputCol=col_out,
-                          handleInvalid="keep").transform(df)
-
-    c = cell("_cp", "_cell", c).withColumn("_cell", F.col("_cell").cast("int"))
-    q = cell("_qp", "_qcell", q).withColumn("_qcell", F.col("_qcell").cast("int"))
+    g = max(1, int(math.sqrt(n / (4 * k))))
+    dims = min(2, m)
+    qs = [i / g for i in range(1, g)]
+    edges = []
+    if qs:
+        row = c.agg(*[F.percentile_approx(f"_cp{j}", qs, max(10000, 10 * g)).alias(f"e{j}")
+                      for j in range(dims)]).first()
+    for j in range(dims):
+        inner = sorted({float(e) for e in ((row[f"e{j}"] or []) if qs else [])}) or [0.0]
+        edges.append([float("-inf"), *inner, float("inf")])
+    last = [len(e) - 2 for e in edges]
+    for j in range(dims):
+        c = _cells(c, f"_cp{j}", f"_g{j}", edges[j])
+        q = _cells(q, f"_qp{j}", f"_qg{j}", edges[j])
+    grid = [f"_g{j}" for j in range(dims)]
     not_self = (F.col("query") != F.col("neighbour")) if exclude_self else F.lit(True)
-
-    # Phase 1: own and adjacent cells give an upper bound on the k-th distance.
-    near = q.withColumn("_cell", F.explode(F.sequence(
-        F.greatest(F.col("_qcell") - 1, F.lit(0)), F.least(F.col("_qcell") + 1, F.lit(last)))))
-    d1 = (near.join(c.select("neighbour", "_cv", "_cell"), "_cell").where(not_self)
-          .select("query", _sqdist(F.col("_qv"), F.col("_cv")).alias("_d2"),
-                  F.col("neighbour")))
-    w1 = Window.partitionBy("query").orderBy("_d2", "neighbour")
-    bound = (d1.withColumn("_r", F.row_number().over(w1)).where(F.col("_r") == k)
-             .select("query", F.sqrt("_d2").alias("_rad")))
-    q2 = (q.join(bound, "query", "left")
-          .withColumn("_rad", F.coalesce(F.col("_rad") * (1 + _EPS) + _EPS,
-                                         F.lit(float("inf")))))
-    q2 = q2.withColumn("_lo", F.col("_qp") - F.col("_rad")).withColumn(
-        "_hi", F.col("_qp") + F.col("_rad"))
-    q2 = cell("_lo", "_locell", q2)
-    q2 = cell("_hi", "_hicell", q2)
-
-    # Phase 2: every cell overlapping the band; exact top k inside it.
-    band = q2.withColumn("_cell", F.explode(F.sequence(F.col("_locell").cast("int"),
-                                                       F.col("_hicell").cast("int"))))
-    d2 = (band.join(c, "_cell").where(not_self)
-          .where(F.abs(F.col("_cp") - F.col("_qp")) <= F.col("_rad"))
-          .withColumn("_d2", _sqdist(F.col("_qv"), F.col("_cv")))
-          .where(F.sqrt("_d2") <= F.col("_rad")))
-    w2 = Window.partitionBy("query").orderBy("_d2", "neighbour")
-    return (d2.withColumn("rank", F.row_number().over(w2)).where(F.col("rank") <= k)
-            .select("query", "rank", "neighbour", F.sqrt("_d2").alias("distance"),
-                    "neighbour_vec", *carry))
+    d2 = _sqdist("_q", "_c", d)
+
+    def span(lo: Column, hi: Column, j: int) -> Column:
+        return F.explode(F.sequence(F.greatest(lo, F.lit(0)), F.least(hi, F.lit(last[j]))))
+
+    # Phase 1: the 3^dims cells around each query bound its k-th distance.
+    near = q
+    for j in range(dims):
+        near = near.withColumn(f"_g{j}", span(F.col(f"_qg{j}") - 1, F.col(f"_qg{j}") + 1, j))
+    d1 = near.join(c, grid).where(not_self).select("query", "neighbour", d2.alias("_d2"))
+    w = Window.partitionBy("query").orderBy("_d2", "neighbour")
+    bound = (d1.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == k)
+             .select("query", F.col("_d2").alias("_b2")))
+    q2 = materialize(q.join(bound, "query", "left")
+                     .withColumn("_rad", F.coalesce(F.sqrt("_b2") * (1 + _EPS) + _EPS,
+                                                    F.lit(float("inf")))), "knn-bounds")
+
+    # Phase 2: every cell meeting the box [proj - r, proj + r] on the grid
+    # directions; the third direction and the full distance filter the rest.
+    band = q2
+    for j in range(dims):
+        band = _cells(band.withColumn("_lo", F.col(f"_qp{j}") - F.col("_rad")), "_lo",
+                      f"_lo{j}", edges[j])
+        band = _cells(band.withColumn("_hi", F.col(f"_qp{j}") + F.col("_rad")), "_hi",
+                      f"_hi{j}", edges[j])
+        band = band.withColumn(f"_g{j}", span(F.col(f"_lo{j}"), F.col(f"_hi{j}"), j))
+    close = F.lit(True)
+    for j in range(m):
+        close = close & (F.abs(F.col(f"_cp{j}") - F.col(f"_qp{j}")) <= F.col("_rad"))
+    pairs = (band.join(c, grid).where(not_self & close)
+             .select("query", "neighbour", d2.alias("_d2"), "_rad")
+             .where(F.col("_d2") <= F.col("_rad") * F.col("_rad")))
+    top = (pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+           .select("query", "rank", "neighbour", F.sqrt("_d2").alias("distance")))
+    extra = candidates.select(F.col(key).alias("neighbour"),
+                              F.col(features).alias("neighbour_vec"), *carry)
+    return top.join(extra, "neighbour").select("query", "rank", "neighbour", "distance",
+                                               "neighbour_vec", *carry)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from attrition.operators import imbalance
 from attrition.operators.preprocess import FeatureStages
+from attrition.session import materialize
 from attrition.schema import (CAT_FEATURES, KEY, NUM_FEATURES, PASSTHROUGH_FEATURES, SEED_SPLIT,
                               TARGET)
 
@@ -85,13 +86,16 @@ class AttritionPipeline(Estimator):
             sampler = imbalance.smote if self.use_smote else imbalance.adasyn
             # The neighbour search reads the transformed rows several times:
             # cut the lineage once, and again after resampling.
-            x = x.select(self.key, "features", self.label).checkpoint()
-            x = sampler(x, label=self.label, features="features", key=self.key).checkpoint()
+            x = materialize(x.select(self.key, "features", self.label), "train-x")
+            x = materialize(sampler(x, label=self.label, features="features", key=self.key),
+                            "resampled")
+        counts = None
         if self.weight_mode:
-            x = imbalance.with_class_weight(x, self.label, self.weight_mode)
+            counts = imbalance.label_counts(x, self.label)
+            x = imbalance.with_class_weight(x, self.label, self.weight_mode, counts=counts)
         if isinstance(clf, LogisticRegression) and hasattr(self.classifier, "_attr_C") \
                 and not clf.isSet(clf.regParam):
-            n = x.count()
+            n = sum(counts.values()) if counts else x.count()
             clf.setRegParam(1.0 / (self.classifier._attr_C * n))
         model = clf.fit(x)
         return PipelineModel(stages=[*fm.stages, model])

@@ -142,11 +142,13 @@ def feature_names(model: PipelineModel) -> list[str]:
     raise ValueError("no assembler in pipeline")
 
 
-def feature_table(model: PipelineModel, df: DataFrame, key: str = "CustomerId") -> DataFrame:
-    """Named transformed columns beside the key (and the vector)."""
+def feature_table(model: PipelineModel, df: DataFrame, key: str = "CustomerId",
+                  extra: list[str] | None = None) -> DataFrame:
+    """Named transformed columns beside the key and any ``extra`` input columns."""
     names = feature_names(model)
     out = model.transform(df)
-    return out.select(key, *[F.col(f"`{n}`").cast("double").alias(n) for n in names])
+    return out.select(key, *(extra or []), *[F.col(f"`{n}`").cast("double").alias(n)
+                                             for n in names])
 
 
 def is_pipeline(x) -> bool:

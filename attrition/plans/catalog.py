@@ -40,7 +40,12 @@ def rounded(df: DataFrame, cols: list[str], digits: int = ROUND) -> DataFrame:
 
 # ---------------------------------------------------------------- inputs
 def profile(spark, sf_dir) -> DataFrame:
-    return customer_profile(spark, sf_dir)
+    """The customer profile, materialised once per query into the shared
+    checkpoint folder: every later job of the query (scalar subqueries, the
+    threshold, bucket edges, fitted parameters) reads it instead of
+    re-aggregating the orders."""
+    from attrition.session import materialize
+    return materialize(customer_profile(spark, sf_dir), "profile")
 
 
 def train(spark, sf_dir) -> DataFrame:
@@ -59,7 +64,8 @@ def decided(spark, sf_dir) -> tuple[DataFrame, float]:
 
 
 # ------------------------------------------------------ profile & features
-register("customer_profile", with_ctes(["profile"], "SELECT * FROM profile"))(profile)
+register("customer_profile", with_ctes(["profile"], "SELECT * FROM profile"))(
+    lambda spark, sf_dir: customer_profile(spark, sf_dir))
 
 DIMS = ["Geography", "IsActiveMember", "NumOfProducts"]
 
@@ -587,8 +593,7 @@ def _ftab(spark, sf_dir) -> tuple[DataFrame, list[str]]:
     from attrition.operators.preprocess import feature_names, feature_table
     tr, fm = _feature_model(spark, sf_dir)
     names = feature_names(fm)
-    tab = feature_table(fm, tr).join(tr.select(KEY, TARGET), KEY)
-    return tab, names
+    return feature_table(fm, tr, extra=[TARGET]), names
 
 
 @register("scale_fit", with_ctes(["fstats"], "\nUNION ALL\n".join(

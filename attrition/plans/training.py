@@ -32,8 +32,9 @@ class TrainResult:
 
 def prepare(profile: DataFrame, k: int = N_FOLDS) -> tuple[DataFrame, DataFrame]:
     """Training rows with a fold column (checkpointed to the shared folder) and test rows."""
+    from attrition.session import materialize
     train, test = split.split_frames(profile)
-    folded = split.stratified_folds(train, k).checkpoint()
+    folded = materialize(split.stratified_folds(train, k), "folds")
     return folded, test
 
 
