@@ -127,13 +127,34 @@ class FeatureStages:
     def fit(self, df: DataFrame) -> PipelineModel:
         eng = FeatureEngineer()
         engineered = eng.transform(df)
-        scaler = PopulationScaler(self.num).fit(engineered)
-        onehot = DropFirstOneHot(self.cat).fit(engineered)
+        scaler, onehot = fit_scaler_and_encoder(engineered, self.num, self.cat)
         names = self.num + onehot.output_names() + self.passthrough
         asm = VectorAssembler(inputCols=names, outputCol=self.output, handleInvalid="keep")
         return PipelineModel(stages=[eng, scaler, onehot, asm])
 
 
+def fit_scaler_and_encoder(df: DataFrame, num: list[str], cat: list[str],
+                           max_categories: int = 1000):
+    """Both fits from two passes: means, deviations and category counts in one
+    aggregate, then the (checked, bounded) category lists."""
+    stats = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(num)],
+                   *[F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}")
+                     for i, c in enumerate(num)],
+                   *[F.count_distinct(c).alias(f"k{i}") for i, c in enumerate(cat)]).first()
+    means = [float(stats[f"m{i}"]) for i in range(len(num))]
+    scales = [float(stats[f"s{i}"]) if stats[f"s{i}"] else 1.0 for i in range(len(num))]
+    too_many = [c for i, c in enumerate(cat) if stats[f"k{i}"] > max_categories]
+    if too_many:
+        raise ValueError(f"too many categories for one-hot encoding: {too_many}")
+    row = df.agg(*[F.sort_array(F.collect_set(F.col(c).cast("string"))).alias(f"v{i}")
+                   for i, c in enumerate(cat)]).first()
+    scaler = PopulationScalerModel()._set(inputCols=list(num), means=means, scales=scales)
+    onehot = DropFirstOneHotModel()._set(inputCols=list(cat), maxCategories=max_categories,
+                                         categories=[list(row[f"v{i}"][1:])
+                                                     for i in range(len(cat))])
+    return scaler, onehot
+
+
 def feature_names(model: PipelineModel) -> list[str]:
     """Ordered names of the assembled vector: numerics, one-hots, pass-through."""
     for st in model.stages:
