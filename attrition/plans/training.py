@@ -38,19 +38,24 @@ def prepare(profile: DataFrame, k: int = N_FOLDS) -> tuple[DataFrame, DataFrame]
     return folded, test
 
 
-def comparison_grid(small: bool = True) -> list:
+def comparison_grid(small: bool = True, families: list[str] | None = None,
+                    strategies: list[str] | None = None) -> list:
     """(Model, Strategy, pipeline factory) for every family x strategy."""
     sizes = {"Random Forest": {"num_trees": 20 if small else 200},
              "Boosted Trees": {"max_iter": 20 if small else 100},
              "Logistic Regression": {}}
     return [(fam, strat, (lambda f=fam, s=strat: models.strategy_pipeline(f, s, **sizes[f])))
-            for fam in models.FAMILIES for strat in models.STRATEGIES]
+            for fam in (families or list(models.FAMILIES))
+            for strat in (strategies or models.STRATEGIES)]
 
 
 def train_workflow(spark: SparkSession, profile: DataFrame, n_trials: int = 4,
-                   mode: str = "oof", small: bool = True) -> TrainResult:
-    folded, test = prepare(profile)
-    comparison = search.rank_results(search.compare_models(spark, folded, comparison_grid(small)))
+                   mode: str = "oof", small: bool = True, k: int = N_FOLDS,
+                   families: list[str] | None = None,
+                   strategies: list[str] | None = None) -> TrainResult:
+    folded, test = prepare(profile, k)
+    grid = comparison_grid(small, families, strategies)
+    comparison = search.rank_results(search.compare_models(spark, folded, grid))
     best = comparison.where(F.col("rank") == 1).first()
     fam, strat = best["Model"], best["Strategy"]
     space = SEARCH_SPACES[fam]
