@@ -27,10 +27,11 @@ STRATEGIES = ["class_weight", "SMOTE", "ADASYN"]
 
 
 def logistic(C: float = 1.0, max_iter: int = 1000, weighted: bool = False, n: int | None = None,
-             **kw) -> LogisticRegression:
-    """L2 logistic regression; sklearn's C maps to regParam = 1 / (C * n)."""
+             tol: float = 1e-4, **kw) -> LogisticRegression:
+    """L2 logistic regression; sklearn's C maps to regParam = 1 / (C * n) and
+    its default stopping tolerance 1e-4 is kept."""
     lr = LogisticRegression(maxIter=max_iter, elasticNetParam=0.0, standardization=False,
-                            labelCol=TARGET, featuresCol="features", **kw)
+                            tol=tol, labelCol=TARGET, featuresCol="features", **kw)
     lr._attr_C = C  # n is known only at fit time
     if weighted:
         lr.setWeightCol("weight")

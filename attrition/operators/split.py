@@ -6,11 +6,16 @@ dealt round-robin along the same order. The order depends only on the key and
 the seed, so the result is identical for any partitioning, across runs and
 in a SQL engine.
 
-Scale: a window over one label would sort half the data in one task. The
-rank is therefore computed in two levels: rows are bucketed by the first hex
-digits of their hash, a small per-bucket count table (at most
-``labels x 16**prefix`` rows) gives each bucket's offset, and the exact rank
-inside a bucket comes from a window partitioned by ``(label, bucket)``.
+Scale: a window over one label would sort half the data in one task. Rows
+are bucketed by the first hex digits of their hash and a small per-bucket
+count table (at most ``labels x 16**prefix`` rows, combined map-side) does the
+global part:
+
+* the split needs only the cutoff: the count table names the bucket holding
+  the last test row, only that bucket's rows are ranked, and every row is then
+  marked by a map-only comparison with the cutoff hash (no full shuffle);
+* folds need every rank: each bucket's offset comes from the count table and
+  the rank inside a bucket from a window partitioned by ``(label, bucket)``.
 """
 
 from __future__ import annotations
@@ -61,9 +66,28 @@ def stratified_split(df: DataFrame, label: str = TARGET, key: str = KEY,
     ``test_size`` instead: no shuffle, expected (not exact) split sizes."""
     if not exact:
         return df.withColumn("is_test", hash_uniform(key, seed) < F.lit(test_size))
-    ranked = stratified_rank(df, label, key, seed)
-    return (ranked.withColumn("is_test", F.col("_rank") <= test_count(F.col("_n"), test_size))
-            .drop("_rank", "_n"))
+    # Only the cutoff is needed, not every rank: bucket counts find the bucket
+    # holding the last test row, ranking that one bucket finds the exact
+    # cutoff, and every row is then marked by a map-only comparison.
+    hashed = df.withColumn(_H, seeded_hash(key, seed)).withColumn(_B, F.substring(F.col(_H), 1, 4))
+    per_bucket = hashed.groupBy(label, _B).agg(F.count(F.lit(1)).alias("_cnt"))
+    upto = Window.partitionBy(label).orderBy(_B).rowsBetween(Window.unboundedPreceding, 0)
+    cum = per_bucket.select(label, _B, "_cnt", F.sum("_cnt").over(upto).alias("_cum"),
+                            F.sum("_cnt").over(Window.partitionBy(label)).alias("_n"))
+    need = test_count(F.col("_n"), test_size)
+    # At most one row per label: bounded, broadcast.
+    cut = (cum.where((F.col("_cum") - F.col("_cnt") < need) & (F.col("_cum") >= need))
+           .select(label, _B, (need - (F.col("_cum") - F.col("_cnt"))).alias("_need")))
+    in_bucket = Window.partitionBy(label).orderBy(_H, key)
+    cutoff = (hashed.join(F.broadcast(cut), [label, _B])
+              .withColumn("_r", F.row_number().over(in_bucket))
+              .where(F.col("_r") == F.col("_need"))
+              .select(label, F.col(_H).alias("_cut_h"), F.col(key).alias("_cut_k")))
+    marked = hashed.join(F.broadcast(cutoff), label, "left").withColumn(
+        "is_test", F.coalesce((F.col(_H) < F.col("_cut_h"))
+                              | ((F.col(_H) == F.col("_cut_h")) & (F.col(key) <= F.col("_cut_k"))),
+                              F.lit(False)))
+    return marked.drop(_H, _B, "_cut_h", "_cut_k")
 
 
 def stratified_folds(df: DataFrame, k: int = N_FOLDS, label: str = TARGET, key: str = KEY,
