@@ -53,31 +53,57 @@ def _cells(df: DataFrame, col_in: str, col_out: str, edges: list[float]) -> Data
             .transform(df).withColumn(col_out, F.col(col_out).cast("int")))
 
 
+_SALTS = 64  # spread for copies of one point: groups and hot join keys
+
+
+def _distinct_points(rows: DataFrame, coords: list[str], id_col: str, keep: int) -> DataFrame:
+    """One row per distinct coordinate vector with its ``keep`` smallest ids and
+    its multiplicity. Copies of one point are first cut to ``keep`` per salted
+    subgroup (a window inside each subgroup), so no group is collected whole."""
+    salt = F.pmod(F.xxhash64(F.col(id_col)), F.lit(_SALTS))
+    w = Window.partitionBy(*coords, "_salt").orderBy(id_col)
+    pre = (rows.withColumn("_salt", salt).withColumn("_r", F.row_number().over(w))
+           .groupBy(*coords).agg(
+               F.slice(F.array_sort(F.collect_list(F.when(F.col("_r") <= keep, F.col(id_col)))),
+                       1, keep).alias("_ids"),
+               F.count(F.lit(1)).alias("_mult")))
+    return pre
+
+
 def knn(queries: DataFrame, candidates: DataFrame, k: int = 5, key: str = "CustomerId",
         features: str = "features", exclude_self: bool = True,
         carry: list[str] | None = None) -> DataFrame:
     """``(query, rank, neighbour, distance, neighbour_vec, *carry)`` for the k
     nearest candidates of every query row (fewer only if there are fewer
-    candidates). Ties at equal distance go to the smaller key."""
+    candidates). Ties at equal distance go to the smaller key.
+
+    Exact copies of a point are searched once: candidates collapse to distinct
+    points carrying their k+1 smallest keys, so a point repeated in a third of
+    the rows is one grid entry, not a hot cell."""
     carry = list(carry or [])
+    keep = k + 1 if exclude_self else k
     first = candidates.select(vector_to_array(F.col(features)).alias("a")).first()
     d = len(first["a"]) if first else 0
     m = max(1, min(_PROJ, d))
     pcs = PCA(k=m, inputCol=features, outputCol="_pc").fit(candidates).pc.toArray()
+    ccoords = [f"_c{i}" for i in range(d)]
+    qcoords = [f"_q{i}" for i in range(d)]
     arr_c = vector_to_array(F.col(features))
-    # Narrow candidate rows: coordinates and projections only; vectors and
-    # carried columns are attached to the k winners at the end.
-    c = candidates.select(F.col(key).alias("neighbour"),
-                          *[arr_c.getItem(i).alias(f"_c{i}") for i in range(d)])
-    c = materialize(_project(c, "_c", pcs, "_cp"), "knn-candidates")
+    c_rows = candidates.select(F.col(key).alias("neighbour"),
+                               *[arr_c.getItem(i).alias(f"_c{i}") for i in range(d)])
+    # Narrow distinct candidate points: coordinates, projections, kept keys.
+    c = materialize(_project(_distinct_points(c_rows, ccoords, "neighbour", keep),
+                             "_c", pcs, "_cp"), "knn-candidates")
     arr_q = vector_to_array(F.col(features))
-    q = queries.select(F.col(key).alias("query"), *[arr_q.getItem(i).alias(f"_q{i}")
-                                                    for i in range(d)])
-    # Materialised so later columns refer to plain values instead of
-    # re-inlining the projection expressions into every use.
-    q = materialize(_project(q, "_q", pcs, "_qp"), "knn-queries")
-
-    # Quantile grid on the first two directions, about 4k candidates per cell.
+    q_rows = queries.select(F.col(key).alias("query"),
+                            *[arr_q.getItem(i).alias(f"_q{i}") for i in range(d)])
+    # Distinct query points, materialised so later columns refer to plain
+    # values instead of re-inlining the projection expressions into every use.
+    q = materialize(_project(q_rows.groupBy(*qcoords).agg(F.count(F.lit(1)).alias("_qmult")),
+                             "_q", pcs, "_qp").withColumn("_pt", F.monotonically_increasing_id()),
+                    "knn-queries")
+
+    # Quantile grid on the first two directions, about 4k points per cell.
     n = c.count()
     g = max(1, int(math.sqrt(n / (4 * k))))
     dims = min(2, m)
@@ -94,21 +120,25 @@ def knn(queries: DataFrame, candidates: DataFrame, k: int = 5, key: str = "Custo
         c = _cells(c, f"_cp{j}", f"_g{j}", edges[j])
         q = _cells(q, f"_qp{j}", f"_qg{j}", edges[j])
     grid = [f"_g{j}" for j in range(dims)]
-    not_self = (F.col("query") != F.col("neighbour")) if exclude_self else F.lit(True)
     d2 = _sqdist("_q", "_c", d)
 
     def span(lo: Column, hi: Column, j: int) -> Column:
         return F.explode(F.sequence(F.greatest(lo, F.lit(0)), F.least(hi, F.lit(last[j]))))
 
-    # Phase 1: the 3^dims cells around each query bound its k-th distance.
+    def expand(pairs: DataFrame) -> DataFrame:
+        """(point pair, distance) -> one row per kept candidate key."""
+        return pairs.select("_pt", "_d2", F.explode("_ids").alias("neighbour"))
+
+    w = Window.partitionBy("_pt").orderBy("_d2", "neighbour")
+    # Phase 1: the 3^dims cells around each query point bound its keep-th
+    # distance (keep = k + 1 leaves room to drop the query row itself).
     near = q
     for j in range(dims):
         near = near.withColumn(f"_g{j}", span(F.col(f"_qg{j}") - 1, F.col(f"_qg{j}") + 1, j))
-    d1 = near.join(c, grid).where(not_self).select("query", "neighbour", d2.alias("_d2"))
-    w = Window.partitionBy("query").orderBy("_d2", "neighbour")
-    bound = (d1.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == k)
-             .select("query", F.col("_d2").alias("_b2")))
-    q2 = materialize(q.join(bound, "query", "left")
+    d1 = expand(near.join(c, grid).select("_pt", d2.alias("_d2"), "_ids"))
+    bound = (d1.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == keep)
+             .select("_pt", F.col("_d2").alias("_b2")))
+    q2 = materialize(q.join(bound, "_pt", "left")
                      .withColumn("_rad", F.coalesce(F.sqrt("_b2") * (1 + _EPS) + _EPS,
                                                     F.lit(float("inf")))), "knn-bounds")
 
@@ -124,10 +154,28 @@ def knn(queries: DataFrame, candidates: DataFrame, k: int = 5, key: str = "Custo
     close = F.lit(True)
     for j in range(m):
         close = close & (F.abs(F.col(f"_cp{j}") - F.col(f"_qp{j}")) <= F.col("_rad"))
-    pairs = (band.join(c, grid).where(not_self & close)
-             .select("query", "neighbour", d2.alias("_d2"), "_rad")
+    pairs = (band.join(c, grid).where(close)
+             .select("_pt", d2.alias("_d2"), "_ids", "_rad")
              .where(F.col("_d2") <= F.col("_rad") * F.col("_rad")))
-    top = (pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    per_point = (expand(pairs).withColumn("_r", F.row_number().over(w))
+                 .where(F.col("_r") <= keep).select("_pt", "_r", "neighbour", "_d2"))
+
+    # Back to query rows. A point copied in many query rows is a hot join key:
+    # its result rows are replicated over salts and its query rows spread by
+    # a salt of their key; other points use salt 0.
+    hot = F.col("_qmult") > F.lit(_SALTS * keep)
+    pts = q.select("_pt", *qcoords, "_qmult")
+    rows = (q_rows.join(pts, qcoords)
+            .withColumn("_salt", F.when(hot, F.pmod(F.xxhash64("query"), F.lit(_SALTS)))
+                        .otherwise(F.lit(0))))
+    res = (per_point.join(pts.select("_pt", "_qmult"), "_pt")
+           .withColumn("_salt", F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(_SALTS - 1)))
+                                          .otherwise(F.array(F.lit(0))))))
+    joined = rows.select("query", "_pt", "_salt").join(res, ["_pt", "_salt"])
+    if exclude_self:
+        joined = joined.where(F.col("query") != F.col("neighbour"))
+    wq = Window.partitionBy("query").orderBy("_d2", "neighbour")
+    top = (joined.withColumn("rank", F.row_number().over(wq)).where(F.col("rank") <= k)
            .select("query", "rank", "neighbour", F.sqrt("_d2").alias("distance")))
     extra = candidates.select(F.col(key).alias("neighbour"),
                               F.col(features).alias("neighbour_vec"), *carry)

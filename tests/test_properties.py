@@ -153,3 +153,20 @@ def test_search_draws_repeatable():
 def test_both_samplers_rejected():
     with pytest.raises(ValueError):
         models.build_pipeline(models.logistic(), use_smote=True, use_adasyn=True)
+
+
+def test_knn_exact_with_a_third_copies(spark):
+    rnd = np.random.default_rng(11)
+    pts = rnd.normal(size=(90, 3))
+    pts[:30] = pts[0]                      # a third of the rows are one point
+    pts[30:34] = pts[40]                   # and a small group of copies
+    df = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(pts)],
+                               "CustomerId long, a array<double>") \
+        .select("CustomerId", array_to_vector("a").alias("features"))
+    got = knn(df, df, k=4).toPandas()
+    d = np.sqrt(((pts[:, None, :] - pts[None, :, :]) ** 2).sum(-1))
+    np.fill_diagonal(d, np.inf)
+    assert got["query"].nunique() == 90
+    for q, part in got.groupby("query"):
+        want = np.lexsort((np.arange(len(pts)), d[q]))[:4]
+        assert list(part.sort_values("rank")["neighbour"]) == list(want)
