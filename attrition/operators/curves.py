@@ -24,7 +24,7 @@ def score_counts(scored: DataFrame, label: str = "y", score: str = "p") -> DataF
 
 
 def cumulative_counts(scored: DataFrame, label: str = "y", score: str = "p",
-                      num_buckets: int = 64) -> DataFrame:
+                      num_buckets: int | None = None) -> DataFrame:
     """Per distinct score t: tp/fp = positives/negatives with score >= t, plus
     the class totals ``tot_pos`` and ``tot_neg`` on every row."""
     counts = score_counts(scored, label, score)

@@ -34,12 +34,18 @@ def _bucket_edges(df: DataFrame, col: str, num_buckets: int) -> list[float]:
 def prefix_sums(df: DataFrame, order_col: str, sum_cols: list[str], *,
                 descending: bool = True, suffix: str = "_cum",
                 partition_by: list[str] | None = None,
-                num_buckets: int = 64) -> DataFrame:
+                num_buckets: int | None = None) -> DataFrame:
     """Add ``<col><suffix>`` = sum of ``col`` over rows whose ``order_col`` is
     at or beyond this row's (>= when descending, <= when ascending), ties
     included, separately per ``partition_by`` group (a handful of groups such as
     folds). ``order_col`` should be non-null."""
     parts = list(partition_by or [])
+    if num_buckets is None:
+        # As many buckets as the session plans shuffle partitions (x2), so the
+        # in-bucket windows use the whole cluster; a cluster sizes that setting
+        # to its data.
+        shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        num_buckets = max(16, 2 * shuffle)
     edges = _bucket_edges(df, order_col, num_buckets)
     bucketed = Bucketizer(splits=edges, inputCol=order_col, outputCol=_BUCKET,
                           handleInvalid="keep").transform(
