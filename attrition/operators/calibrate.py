@@ -17,8 +17,14 @@ from attrition.schema import RECALL_FLOOR
 
 
 def fit_isotonic(scored: DataFrame, label: str = "y", score: str = "p",
-                 weight: str | None = None) -> IsotonicRegressionModel:
-    df = scored.select(F.col(score).cast("double").alias("_x"),
+                 weight: str | None = None, digits: int | None = None) -> IsotonicRegressionModel:
+    """Isotonic fit of the label on the score. Spark merges the per-partition
+    blocks on the driver, so with billions of distinct scores pass ``digits``
+    to round scores first (an explicit, opt-in approximation)."""
+    x = F.col(score).cast("double")
+    if digits is not None:
+        x = F.round(x, digits)
+    df = scored.select(x.alias("_x"),
                        F.col(label).cast("double").alias("_y"),
                        *([F.col(weight).cast("double").alias("_w")] if weight else []))
     iso = IsotonicRegression(featuresCol="_x", labelCol="_y", predictionCol="_cal",
