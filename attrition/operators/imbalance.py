@@ -85,8 +85,7 @@ def smote(df: DataFrame, label: str = "Exited", features: str = "features", key:
     negative key.
     """
     from attrition.operators.knn import knn
-    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-              .collect()}
+    counts = label_counts(df, label)
     if len(counts) < 2:
         return df.select(key, features, label)
     minority = min(counts, key=lambda c: (counts[c], c))
@@ -114,8 +113,7 @@ def adasyn_allocation(df: DataFrame, label: str = "Exited", features: str = "fea
     neighbours over all rows, normalised r / sum(r), and the number of
     synthetic rows ``round(r_norm * G)``."""
     from attrition.operators.knn import knn
-    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-              .collect()}
+    counts = label_counts(df, label)
     minority = min(counts, key=lambda c: (counts[c], c))
     g = max(counts.values()) - counts[minority]
     mino = df.where(F.col(label) == minority).select(key, features)
@@ -135,8 +133,7 @@ def adasyn(df: DataFrame, label: str = "Exited", features: str = "features", key
     towards minority neighbours."""
     from attrition.operators.knn import knn
     alloc = adasyn_allocation(df, label, features, key, k, seed)
-    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-              .collect()}
+    counts = label_counts(df, label)
     minority = min(counts, key=lambda c: (counts[c], c))
     mino = df.where(F.col(label) == minority).select(key, features)
     neigh = knn(mino, mino, k=k, key=key, features=features, exclude_self=True)
