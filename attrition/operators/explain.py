@@ -180,6 +180,15 @@ def tree_model_of(model):
     return model.stages[-1] if isinstance(model, PipelineModel) else model
 
 
+def _ship_kernel() -> None:
+    """Send this module's numpy kernel to the Python workers by value, so
+    executors need numpy and pandas only, not this package on their path."""
+    import sys
+
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def tree_shap(model: PipelineModel, df: DataFrame, key: str = KEY) -> tuple[DataFrame, float]:
     """Long SHAP table for a tree-ensemble pipeline, plus the base value.
 
@@ -200,6 +209,7 @@ def tree_shap(model: PipelineModel, df: DataFrame, key: str = KEY) -> tuple[Data
     arr = feats.select(F.col(key).cast("long").alias(key),
                        vector_to_array(F.col("features")).alias("x"))
     payload = (trees, scale, names, key)
+    _ship_kernel()
 
     def explain(batches):
         trs, scl, nms, k = payload
