@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from attrition.llm import langid
+from attrition.llm import langid, licences, mixing, urls
 from attrition.llm.common import read
 
 QUERIES: dict = {}
@@ -17,3 +17,24 @@ def query(fn):
 @query
 def op4_language_id(spark, sf_dir):
     return langid.classify(read(spark, sf_dir, "documents"))
+
+
+@query
+def op5_url_filter(spark, sf_dir):
+    return urls.judge(read(spark, sf_dir, "pages"))
+
+
+@query
+def op3_mixture(spark, sf_dir):
+    return mixing.mix(read(spark, sf_dir, "documents"))
+
+
+ORACLE["op3_mixture"] = mixing.sql()
+
+
+@query
+def op2_license_scan(spark, sf_dir):
+    return licences.scan(read(spark, sf_dir, "documents"))
+
+
+ORACLE["op2_license_scan"] = licences.sql()
