@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from attrition.llm import langid, licences, mixing, urls
+from attrition.llm import langid, licences, mixing, urls, vectors
 from attrition.llm.common import read
 
 QUERIES: dict = {}
@@ -38,3 +38,8 @@ def op2_license_scan(spark, sf_dir):
 
 
 ORACLE["op2_license_scan"] = licences.sql()
+
+
+@query
+def op10_embedding_links(spark, sf_dir):
+    return vectors.link(read(spark, sf_dir, "embeddings"))
