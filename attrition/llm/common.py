@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from attrition.session import materialize
 from attrition.sources.tables import table_path
 
-__all__ = ["materialize", "documents", "crc_mod", "read", "chunks", "text_bytes", "table_width"]
+__all__ = ["materialize", "documents", "crc_mod", "read", "chunks", "text_bytes", "table_width", "head_floor"]
 
 CHUNK_BYTES = 2 << 20
 
@@ -29,6 +29,21 @@ def crc_mod(column: str, modulus: int) -> Column:
     return F.crc32(text.cast("binary")) % F.lit(modulus)
 
 
+def head_floor(counts: DataFrame, column: str, limit: int) -> int:
+    """Least power of two such that at most ``limit`` rows have ``column`` of that size or more.
+
+    The rows from there up are a head of proven size; one row per power of two is collected."""
+    sizes = (counts.where(F.col(column) > 0).groupBy(F.floor(F.log2(column)).cast("int").alias("power"))
+             .agg(F.count("*").alias("n")).collect())
+    room, floor = limit, 63
+    for row in sorted(sizes, key=lambda r: -r["power"]):
+        if row["n"] > room:
+            break
+        room -= row["n"]
+        floor = row["power"]
+    return 1 << floor
+
+
 def table_width(spark) -> int:
     """Shuffle partitions of the session, the unit in which intermediate tables are dealt."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

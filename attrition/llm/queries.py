@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from attrition.llm import langid, licences, mixing, urls, vectors
+from attrition.llm import decontaminate, langid, licences, mixing, quality, urls, vectors
 from attrition.llm.common import read
 
 QUERIES: dict = {}
@@ -43,3 +43,16 @@ ORACLE["op2_license_scan"] = licences.sql()
 @query
 def op10_embedding_links(spark, sf_dir):
     return vectors.link(read(spark, sf_dir, "embeddings"))
+
+
+@query
+def op6_decontaminate(spark, sf_dir):
+    return decontaminate.overlaps(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op6_decontaminate"] = decontaminate.sql()
+
+
+@query
+def op1_quality(spark, sf_dir):
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))

@@ -20,13 +20,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attrition.llm.common import documents
+from attrition.llm.common import documents, head_floor, materialize
 
 # The rules as (rule, verdict).
 RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"),
          ("com/fr/", "allow"), ("com/de/", "block")]
 
-#: Size of the unigram dictionary: the most frequent words of all pages (ties by word).
+#: Most words of the unigram dictionary: those of all pages down to a power-of-two count.
 DICTIONARY = 100_000
 LONGEST = 24
 _LOWER = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -57,11 +57,12 @@ def matching_rule(host_: Column, path_: Column, rules) -> Column:
 
 
 def unigrams(pages: DataFrame, size: int = DICTIONARY) -> dict[str, int]:
-    """Counts of the ``size`` most frequent a-z words in all page texts outside of tags."""
+    """Counts of the most frequent a-z words in all page texts outside of tags, ``size`` at most."""
     plain = F.translate(F.regexp_replace(F.col("html"), r"<[^>]*>", " "), *_LOWER)
     words = (pages.select(F.explode(F.split(plain, r"[^a-z]+")).alias("word"))
              .where(F.length("word").between(1, LONGEST)).groupBy("word").count())
-    top = words.orderBy(F.desc("count"), "word").limit(size)
+    words = materialize(words, "words")
+    top = words.where(F.col("count") >= head_floor(words, "count", size))
     return {r["word"]: r["count"] for r in top.collect()}
 
 
