@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from attrition.llm import decontaminate, langid, licences, mixing, quality, urls, vectors
+from attrition.llm import ctw, decontaminate, langid, licences, mixing, quality, urls, vectors
 from attrition.llm.common import read
 
 QUERIES: dict = {}
@@ -56,3 +56,8 @@ ORACLE["op6_decontaminate"] = decontaminate.sql()
 @query
 def op1_quality(spark, sf_dir):
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query
+def op7_lm_score(spark, sf_dir):
+    return ctw.score(read(spark, sf_dir, "documents"))
