@@ -9,9 +9,15 @@ from pyspark.sql import functions as F
 from attrition.session import materialize
 from attrition.sources.tables import table_path
 
-__all__ = ["materialize", "documents", "crc_mod", "read", "chunks", "text_bytes", "table_width", "head_floor"]
+__all__ = ["materialize", "documents", "crc_mod", "read", "chunks", "text_bytes", "table_width", "head_floor",
+           "lowered", "word_keys", "END_WORD", "ODD", "MIX"]
 
 CHUNK_BYTES = 2 << 20
+#: Key that no word has; stands for the end of a text among words.
+END_WORD = 0
+#: Odd multipliers that spread 64-bit hashes.
+ODD = 0x9E3779B97F4A7C15
+MIX = 0xBF58476D1CE4E5B9
 
 
 def read(spark, sf_dir: str, name: str) -> DataFrame:
@@ -73,3 +79,33 @@ def chunks(batch, column: str = "text", limit: int = CHUNK_BYTES):
         end = min(max(end, start + 1), batch.num_rows)
         yield batch.slice(start, end - start)
         start = end
+
+
+def lowered(part) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets of a batch's texts with A-Z in lower case."""
+    data, offsets = text_bytes(part.column("text"))
+    low = data.copy()
+    low[(data >= 65) & (data <= 90)] += 32
+    return low, offsets
+
+
+def word_keys(low: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(key, owner) of every word: runs of bytes other than 0x20 and 0x09-0x0D within a text."""
+    if not len(low):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    space = (low == 32) | ((low >= 9) & (low <= 13))
+    edge = np.zeros(len(low) + 1, bool)
+    edge[offsets] = True
+    begins = np.flatnonzero(~space & (edge[:-1] | np.r_[True, space[:-1]]))
+    ends = np.flatnonzero(~space & (edge[1:] | np.r_[space[1:], True])) + 1
+    mixed = (low.astype(np.uint64) + np.uint64(1)) * np.uint64(MIX)
+    mixed ^= mixed >> np.uint64(31)
+    power = np.cumprod(np.full(len(low), ODD, np.uint64))
+    total = np.zeros(len(low) + 1, np.uint64)
+    np.cumsum(mixed * power, out=total[1:])
+    # The sum over a word starts at some power of the odd number; its inverse moves it to one place.
+    inverse = np.cumprod(np.full(len(low), pow(ODD, -1, 1 << 64), np.uint64))
+    key = (total[ends] - total[begins]) * inverse[begins]
+    key = (key ^ (key >> np.uint64(32))) * np.uint64(MIX)
+    key[key == END_WORD] = 1
+    return key.view(np.int64), np.searchsorted(offsets, begins, side="right") - 1

@@ -28,24 +28,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attrition.llm.common import chunks, crc_mod, documents, head_floor, materialize, text_bytes
+from attrition.llm.common import (END_WORD, ODD, chunks, crc_mod, documents, head_floor, lowered,
+                                  materialize, word_keys)
 
 DEPTH = 4
 HEAD = 1 << 19
 #: Marks the end of a text and fills contexts before its start; never a byte of UTF-8.
 END = 255
 WORD, STRING = 0, 1
-#: Key of the end token among words.
-END_WORD = 0
-_ODD = 0x9E3779B97F4A7C15
-_EVEN_MIX = 0xBF58476D1CE4E5B9
-
-
-def _lowered(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    data, offsets = text_bytes(part.column("text"))
-    low = data.copy()
-    low[(data >= 65) & (data <= 90)] += 32
-    return low, offsets
 
 
 def byte_strings(low: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -64,35 +54,13 @@ def byte_strings(low: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return code[real].view(np.int64), np.repeat(np.arange(n), np.diff(offsets) + 1)
 
 
-def word_keys(low: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(key, owner) of every word: runs of bytes other than 0x20 and 0x09-0x0D within a text."""
-    if not len(low):
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    space = (low == 32) | ((low >= 9) & (low <= 13))
-    edge = np.zeros(len(low) + 1, bool)
-    edge[offsets] = True
-    begins = np.flatnonzero(~space & (edge[:-1] | np.r_[True, space[:-1]]))
-    ends = np.flatnonzero(~space & (edge[1:] | np.r_[space[1:], True])) + 1
-    mixed = (low.astype(np.uint64) + np.uint64(1)) * np.uint64(_EVEN_MIX)
-    mixed ^= mixed >> np.uint64(31)
-    power = np.cumprod(np.full(len(low), _ODD, np.uint64))
-    total = np.zeros(len(low) + 1, np.uint64)
-    np.cumsum(mixed * power, out=total[1:])
-    # The sum over a word starts at some power of the odd number; its inverse moves it to one place.
-    inverse = np.cumprod(np.full(len(low), pow(_ODD, -1, 1 << 64), np.uint64))
-    key = (total[ends] - total[begins]) * inverse[begins]
-    key = (key ^ (key >> np.uint64(32))) * np.uint64(_EVEN_MIX)
-    key[key == END_WORD] = 1
-    return key.view(np.int64), np.searchsorted(offsets, begins, side="right") - 1
-
-
 def _tally(batches):
     """Counts of words and byte strings: kind, key, n_train, n_all."""
     for batch in batches:
         parts: dict = {(kind, t): [] for kind in (WORD, STRING) for t in (True, False)}
         held = 0
         for part in chunks(batch):
-            low, offsets = _lowered(part)
+            low, offsets = lowered(part)
             train = np.asarray(part.column("train"))
             for kind, (key, owner) in ((WORD, word_keys(low, offsets)), (STRING, byte_strings(low, offsets))):
                 for t in (True, False):
@@ -212,7 +180,7 @@ class Head:
             place[rest] = (place[rest] + 1) & ((1 << self.power) - 1)
 
     def _place(self, keys: np.ndarray) -> np.ndarray:
-        x = (keys.view(np.uint64) ^ (keys.view(np.uint64) >> np.uint64(29))) * np.uint64(_ODD)
+        x = (keys.view(np.uint64) ^ (keys.view(np.uint64) >> np.uint64(29))) * np.uint64(ODD)
         return (x >> np.uint64(64 - self.power)).astype(np.int64)
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -267,7 +235,7 @@ def score(docs: DataFrame) -> DataFrame:
     def judge(batches):
         for batch in batches:
             for part in chunks(batch):
-                low, offsets = _lowered(part)
+                low, offsets = lowered(part)
                 rows = part.num_rows
                 row = np.asarray(part.column("row"))
                 key, owner = word_keys(low, offsets)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from attrition.llm import ctw, decontaminate, langid, licences, mixing, quality, urls, vectors
+from attrition.llm import ctw, decontaminate, langid, licences, mixing, neardup, quality, suffixes, urls, vectors
 from attrition.llm.common import read
 
 QUERIES: dict = {}
@@ -61,3 +61,13 @@ def op1_quality(spark, sf_dir):
 @query
 def op7_lm_score(spark, sf_dir):
     return ctw.score(read(spark, sf_dir, "documents"))
+
+
+@query
+def op8_near_duplicates(spark, sf_dir):
+    return neardup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query
+def op9_repeated_strings(spark, sf_dir):
+    return suffixes.remove_repeats(read(spark, sf_dir, "documents"))
