@@ -4,8 +4,9 @@ Both views are logistic regressions with their own features: the text view sees
 look like (hashed words and shares of character classes), the metadata view sees source,
 language and length. They start from the labelled rows. In each round both score a pool of
 unlabelled rows, and the rows one view is most confident about become labelled rows of the
-other. At the end each view is calibrated (Platt) on labelled rows held back from training, and
-the calibrated log odds are combined by their weights on the same rows.
+other; how confident it must be is read off labelled rows held back from training. At the end
+each view is calibrated (Platt) on the held-back rows, and their calibrated log odds are
+combined by weights fitted there too.
 
 Fitting uses bounded samples picked by the hash of doc_id: ``LABELLED`` labelled and ``POOL``
 unlabelled rows at most. Scoring is one map-only pass over all documents and whole texts.
@@ -27,12 +28,17 @@ from attrition.llm.common import chunks, documents, text_bytes
 LABELLED = 8_000
 POOL = 8_000
 ROUNDS = 4
-#: Rows of each class a view hands to the other per round, at most, and the least confidence.
+#: Rows of each class a view hands to the other per round, at most, and the share of them that
+#: must be right among the held-back rows of at least the same confidence.
 HANDED = 400
-CONFIDENCE = 0.9
+PRECISION = 0.97
 WORD_BUCKETS = 1 << 10
 META_BUCKETS = 1 << 8
 SHARES = 10
+#: Weight of the character shares beside the unit-length word vector.
+SHARE_WEIGHT = 6.0
+#: Calibrated log odds are held within this range.
+MOST_ODDS = 8.0
 
 
 def _hash_text(value: str) -> int:
@@ -80,7 +86,7 @@ def text_features(part: pa.RecordBatch) -> list[tuple[np.ndarray, np.ndarray]]:
     words = np.bincount(owner, minlength=n)
     distinct = np.bincount(doc, minlength=n)
     shares[:, 9] = distinct / np.maximum(words, 1)
-    shares = np.sqrt(shares)
+    shares = SHARE_WEIGHT * np.sqrt(shares)
     cut = np.searchsorted(doc, np.arange(n + 1))
     return [(np.r_[bucket[cut[i]:cut[i + 1]], WORD_BUCKETS + np.arange(SHARES)],
              np.r_[value[cut[i]:cut[i + 1]], shares[i]]) for i in range(n)]
@@ -122,20 +128,42 @@ def _odds(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     return x @ w[:-1] + w[-1]
 
 
-def _platt(score: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Slope and intercept that calibrate a score by unweighted logistic regression."""
-    a, b = 1.0, 0.0
+def _newton(x: np.ndarray, target: np.ndarray, shift: float, start: np.ndarray, pull: np.ndarray) -> np.ndarray:
+    """Logistic regression of soft targets by damped Newton steps; ``pull`` ties w to ``start``."""
+    def loss(w):
+        z = x @ w + shift
+        return (np.logaddexp(0, z) - target * z).sum() + (pull * (w - start) ** 2).sum() / 2
+    w = start.astype(float)
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a * score + b, -30, 30)))
-        g = np.array([((p - y) * score).sum() + 1e-3 * (a - 1), (p - y).sum() + 1e-3 * b])
-        v = p * (1 - p)
-        h = np.array([[(v * score * score).sum() + 1e-3, (v * score).sum()],
-                      [(v * score).sum(), v.sum() + 1e-3]])
-        change = np.linalg.solve(h, g)
-        a, b = a - change[0], b - change[1]
-        if np.abs(change).max() < 1e-8:
+        p = 1 / (1 + np.exp(-np.clip(x @ w + shift, -30, 30)))
+        gradient = x.T @ (p - target) + pull * (w - start)
+        change = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(pull + 1e-9), gradient)
+        size, now = 1.0, loss(w)
+        while size > 1e-6 and loss(w - size * change) > now:
+            size /= 2
+        w = w - size * change
+        if np.abs(size * change).max() < 1e-8:
             break
-    return np.array([a, b])
+    return w
+
+
+def _platt(score: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Slope and intercept that calibrate a score, by Platt's smoothed targets."""
+    target = np.where(y > 0, (y.sum() + 1) / (y.sum() + 2), 1 / (len(y) - y.sum() + 2))
+    return _newton(np.stack([score, np.ones(len(y))], 1).astype(float), target, 0.0, np.array([1.0, 0.0]), np.array([1e-3, 1e-3]))
+
+
+def calibrated(score: np.ndarray, platt: np.ndarray) -> np.ndarray:
+    return np.clip(platt[0] * score + platt[1], -MOST_ODDS, MOST_ODDS)
+
+
+def _sure(score: np.ndarray, y: np.ndarray, label: int) -> float:
+    """Least score (in the label's direction) from which PRECISION of the rows have the label."""
+    toward = score if label else -score
+    order = np.argsort(-toward, kind="stable")
+    right = np.cumsum(y[order] == label) / np.arange(1, len(y) + 1)
+    enough = np.flatnonzero((right >= PRECISION) & (np.arange(len(y)) >= 9))
+    return toward[order[enough[-1]]] if len(enough) else np.inf
 
 
 def co_train(xt, xm, y, pool_t, pool_m, held) -> dict:
@@ -148,43 +176,25 @@ def co_train(xt, xm, y, pool_t, pool_m, held) -> dict:
     views = [_fit(*s) for s in sets]
     for _ in range(ROUNDS):
         told = []
-        for view in (0, 1):
-            p = 1 / (1 + np.exp(-np.clip(_odds(pools[view], views[view]), -30, 30)))
-            for label, sure in ((1.0, p), (0.0, 1 - p)):
-                at = np.flatnonzero(free & (sure >= CONFIDENCE))
-                at = at[np.argsort(-sure[at], kind="stable")[:HANDED]]
-                told.append((1 - view, at, label))
+        for view, held_x in ((0, xt[held]), (1, xm[held])):
+            known, pool = _odds(held_x, views[view]), _odds(pools[view], views[view])
+            for label in (1, 0):
+                toward = pool if label else -pool
+                at = np.flatnonzero(free & (toward >= _sure(known, y[held], label)))
+                told.append((1 - view, at[np.argsort(-toward[at], kind="stable")[:HANDED]], float(label)))
         for other, at, label in told:
             sets[other][0] = np.vstack([sets[other][0], pools[other][at]])
             sets[other][1] = np.r_[sets[other][1], np.full(len(at), label)]
             free[at] = False
         views = [_fit(*s) for s in sets]
-    scores = [_odds(x[held], w) for x, w in zip((xt, xm), views)]
+    scores = [_odds(x[held], w).astype(float) for x, w in zip((xt, xm), views)]
     platt = [_platt(s, y[held]) for s in scores]
-    calibrated = np.stack([a * s + b for s, (a, b) in zip(scores, platt)], 1).astype(np.float64)
-    base = np.log((y[held].sum() + 0.5) / ((1 - y[held]).sum() + 0.5))
-    mix = np.maximum(_fit_plain(calibrated - base, y[held], base), 0)
+    base = float(np.log((y[held].sum() + 0.5) / ((1 - y[held]).sum() + 0.5)))
+    odds = np.stack([calibrated(s, c) for s, c in zip(scores, platt)], 1)
+    mix = np.maximum(_newton(odds - base, y[held], base, np.ones(2), np.ones(2)), 0)
     return {"views": views, "platt": platt, "base": base, "mix": mix}
 
 
-def _fit_plain(x: np.ndarray, y: np.ndarray, base: float) -> np.ndarray:
-    """Weights of the calibrated views' log odds over the base rate, pulled towards 1."""
-    w = np.ones(x.shape[1])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w + base, -30, 30)))
-        g = x.T @ (p - y) + (w - 1)
-        h = (x * (p * (1 - p))[:, None]).T @ x + np.eye(len(w))
-        change = np.linalg.solve(h, g)
-        w = w - change
-        if np.abs(change).max() < 1e-8:
-            break
-    return w
-
-
-def _sample(rows: DataFrame, limit: int) -> list:
-    return rows.orderBy(F.xxhash64(F.lit(29), "doc_id"), "doc_id").limit(limit).collect()
-
-
 def fit(docs: DataFrame, labels: DataFrame) -> dict | None:
     """Model from the documents that ``labels`` (doc_id, quality) names, or None without both classes."""
     told = documents(labels, "doc_id", "quality").where("quality in (0, 1)")
@@ -252,7 +262,7 @@ def score(docs: DataFrame, model: dict | None) -> DataFrame:
                 odds[:, 0] = [wt[i] @ v + wt[-1] for i, v in text_features(chunk)]
                 odds[:, 1] = [wm[i] @ v + wm[-1] for i, v in (meta_features(*x) for x in zip(
                     *(chunk.column(c).to_pylist() for c in ("lang", "source", "n_chars"))))]
-                odds = np.stack([a * odds[:, k] + b for k, (a, b) in enumerate(model["platt"])], 1)
+                odds = np.stack([calibrated(odds[:, k], c) for k, c in enumerate(model["platt"])], 1)
                 p = sure((odds - base) @ mix + base)
                 yield pa.RecordBatch.from_arrays(
                     [chunk.column("doc_id"), pa.array(sure(odds[:, 0])), pa.array(sure(odds[:, 1])),
