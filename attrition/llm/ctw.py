@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from attrition.llm.common import (END_WORD, ODD, chunks, crc_mod, documents, head_floor, lowered,
                                   materialize, word_keys)
 
-DEPTH = 4
+DEPTH = 5
 HEAD = 1 << 19
 #: Marks the end of a text and fills contexts before its start; never a byte of UTF-8.
 END = 255
