@@ -10,9 +10,16 @@ from pyspark.sql import functions as F
 from attrition.schema import AGE_BINS
 
 
-def balance_salary_ratio(balance: Column | str = "Balance",
-                         salary: Column | str = "EstimatedSalary") -> Column:
-    return F.col(balance) / (F.col(salary) + 1) if isinstance(balance, str) else balance / (salary + 1)
+def quotient(a: Column, b: Column) -> Column:
+    """a / b as floating point has it: a zero divisor gives an infinity, 0/0 NaN, null stays null."""
+    a, b = a.cast("double"), b.cast("double")
+    by_zero = (F.when(a > 0, F.lit(float("inf"))).when(a < 0, F.lit(float("-inf")))
+               .when(a.isNotNull(), F.lit(float("nan"))))
+    return F.when(b == 0, by_zero).when(b.isNotNull(), F.try_divide(a, b))
+
+
+def balance_salary_ratio(balance: str = "Balance", salary: str = "EstimatedSalary") -> Column:
+    return quotient(F.col(balance), F.col(salary) + 1)
 
 
 def active_by_card(active: str = "IsActiveMember", card: str = "HasCrCard") -> Column:
@@ -20,8 +27,7 @@ def active_by_card(active: str = "IsActiveMember", card: str = "HasCrCard") -> C
 
 
 def products_per_year(products: str = "NumOfProducts", tenure: str = "Tenure") -> Column:
-    # Spark's "/" is true division, as wanted.
-    return F.col(products) / (F.col(tenure) + 1)
+    return quotient(F.col(products), F.col(tenure) + 1)
 
 
 def age_group(age: Column | str = "Age") -> Column:
@@ -38,7 +44,7 @@ def engineer(df: DataFrame,
              extra_features: Iterable[Callable[[DataFrame], DataFrame]] | None = None) -> DataFrame:
     """Base derived features, then caller callables in order."""
     out = df.withColumns({
-        "BalanceSalaryRatio": F.col("Balance") / (F.col("EstimatedSalary") + 1),
+        "BalanceSalaryRatio": balance_salary_ratio(),
         "IsActive_by_CreditCard": active_by_card(),
         "ProductsPerYear": products_per_year(),
         "AgeGroup": age_group("Age"),

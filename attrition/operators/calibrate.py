@@ -1,37 +1,35 @@
 """Isotonic probability calibration with ``pyspark.ml.regression.IsotonicRegression``.
 
-Spark's fit first pools equal scores, runs pool-adjacent-violators per
-partition and merges the blocks, so the fit is distributed; the model is the
-list of block boundaries, bounded by the number of distinct scores.
+Equal scores are summed first; Spark then runs pool-adjacent-violators per
+partition and merges the blocks. The model is the list of block boundaries,
+bounded by the number of distinct scores.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attrition.operators import curves
-from attrition.schema import RECALL_FLOOR
 
 
 def fit_isotonic(scored: DataFrame, label: str = "y", score: str = "p",
                  weight: str | None = None, digits: int | None = None) -> IsotonicRegressionModel:
-    """Isotonic fit of the label on the score. Spark merges the per-partition
-    blocks on the driver, so with billions of distinct scores pass ``digits``
-    to round scores first (an explicit, opt-in approximation)."""
+    """Isotonic fit of the label on the score.
+
+    Rows are first summed to one row per distinct score (mean label, total weight), map-side,
+    which leaves the fit unchanged; so no task holds raw rows. Spark merges the blocks of the
+    distinct scores on the driver; ``digits`` rounds scores first (an opt-in approximation)."""
     x = F.col(score).cast("double")
     if digits is not None:
         x = F.round(x, digits)
-    df = scored.select(x.alias("_x"),
-                       F.col(label).cast("double").alias("_y"),
-                       *([F.col(weight).cast("double").alias("_w")] if weight else []))
-    iso = IsotonicRegression(featuresCol="_x", labelCol="_y", predictionCol="_cal",
+    w = F.col(weight).cast("double") if weight else F.lit(1.0)
+    sums = (scored.select(x.alias("_x"), F.col(label).cast("double").alias("_y"), w.alias("_w"))
+            .groupBy("_x").agg(F.sum(F.col("_y") * F.col("_w")).alias("_s"), F.sum("_w").alias("_w"))
+            .where("_w > 0"))
+    iso = IsotonicRegression(featuresCol="_x", labelCol="_y", predictionCol="_cal", weightCol="_w",
                              isotonic=True)
-    if weight:
-        iso.setWeightCol("_w")
-    return iso.fit(df)
+    return iso.fit(sums.select("_x", (F.col("_s") / F.col("_w")).alias("_y"), "_w"))
 
 
 def apply_isotonic(model: IsotonicRegressionModel, df: DataFrame, score: str = "p",
@@ -46,16 +44,3 @@ def isotonic_table(model: IsotonicRegressionModel, scored: DataFrame, score: str
     """Fitted value at every distinct training score: ``(p, calibrated)``."""
     distinct = scored.select(F.col(score).cast("double").alias(score)).distinct()
     return apply_isotonic(model, distinct, score, "calibrated")
-
-
-def recalibrated_threshold(scored: DataFrame, model: IsotonicRegressionModel,
-                           label: str = "y", score: str = "p",
-                           recall_floor: float = RECALL_FLOOR) -> tuple[DataFrame, float]:
-    """Calibrated scores and the threshold chosen again on them."""
-    cal = apply_isotonic(model, scored, score, "p_cal")
-    t = curves.best_threshold_value(cal, label, "p_cal", recall_floor)
-    return cal, t
-
-
-def assembled(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=cols, outputCol=out).transform(df)

@@ -114,6 +114,11 @@ def point_metrics(scored: DataFrame, t: float, label: str = "y", score: str = "p
                     f1.alias("f1"), acc.alias("accuracy"))
 
 
+def _wide(n):
+    """Counts as 19 digits: products of two fit 38 digits, where a long would overflow."""
+    return n.cast("decimal(19,0)")
+
+
 def roc_auc(scored: DataFrame, label: str = "y", score: str = "p") -> DataFrame:
     """Exact ROC-AUC, ties counted half, from per-score counts.
 
@@ -121,11 +126,11 @@ def roc_auc(scored: DataFrame, label: str = "y", score: str = "p") -> DataFrame:
     integers, so the result does not depend on summation order.
     """
     cum = cumulative_counts(scored, label, score)
-    twice = F.col("pos") * (2 * (F.col("tot_neg") - F.col("fp")) + F.col("neg"))
+    twice = _wide(F.col("pos")) * _wide(2 * (F.col("tot_neg") - F.col("fp")) + F.col("neg"))
     agg = cum.agg(F.sum(twice).alias("num2"), F.first("tot_pos").alias("P"),
                   F.first("tot_neg").alias("N"))
     return agg.select(F.when((F.col("P") > 0) & (F.col("N") > 0),
-                             F.col("num2") / (2.0 * F.col("P") * F.col("N")))
+                             F.col("num2").cast("double") / (2.0 * F.col("P") * F.col("N")))
                       .alias("roc_auc"),
                       F.col("P").alias("positives"), F.col("N").alias("negatives"))
 
@@ -205,7 +210,7 @@ def majority_baseline(df: DataFrame, label: str = "Exited") -> DataFrame:
 
 def metrics_by_fold(scored: DataFrame, t: float = 0.5, fold: str = "fold",
                     label: str = "y", score: str = "p") -> DataFrame:
-    """Per-fold ROC-AUC, F1 and recall at t, and their mean over folds."""
+    """Per-fold ROC-AUC (null in a fold with one class), F1 and recall at t."""
     counts = (scored.groupBy(fold, F.col(score).cast("double").alias("threshold"))
               .agg(F.count(F.lit(1)).alias("n"),
                    F.sum(F.col(label).cast("long")).alias("pos"))
@@ -214,9 +219,10 @@ def metrics_by_fold(scored: DataFrame, t: float = 0.5, fold: str = "fold",
     cum = prefix_sums(counts, "threshold", ["neg"], descending=False, partition_by=[fold])
     below = cum.withColumn("neg_below", F.col("neg_cum") - F.col("neg"))
     auc = (below.groupBy(fold)
-           .agg(F.sum(F.col("pos") * (2 * F.col("neg_below") + F.col("neg"))).alias("num2"),
+           .agg(F.sum(_wide(F.col("pos")) * _wide(2 * F.col("neg_below") + F.col("neg"))).alias("num2"),
                 F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-           .select(fold, (F.col("num2") / (2.0 * F.col("P") * F.col("N"))).alias("roc_auc")))
+           .select(fold, F.when((F.col("P") > 0) & (F.col("N") > 0),
+                                F.col("num2").cast("double") / (2.0 * F.col("P") * F.col("N"))).alias("roc_auc")))
     pred = F.col(score) >= F.lit(float(t))
     y = F.col(label) == 1
     pts = (scored.groupBy(fold)

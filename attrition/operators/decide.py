@@ -3,7 +3,7 @@ top factors and retention recommendations."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attrition.functions import decisions as D
@@ -31,19 +31,18 @@ def drop_ids(df: DataFrame, strict: bool = False, cols=(*ID_COLS, TARGET)) -> Da
     return df.drop(*cols)
 
 
-def batch_result(raw: DataFrame, probability: DataFrame, t: float, key: str = KEY) -> DataFrame:
+def batch_result(scored: DataFrame, t: float, probability: str = "probability", key: str = KEY,
+                 inputs: list[str] | None = None) -> DataFrame:
     """Key, rounded probability, CHURN/RETAIN, risk band, then the raw inputs.
 
-    ``probability`` is ``(key, probability)`` from a model; it meets the raw
-    rows on the key, never by position.
-    """
-    feats = drop_ids(raw)
-    p = F.col("probability")
-    pred = D.decide(p, t)
-    return (raw.select(key, *feats.columns).join(probability.select(key, "probability"), key)
-            .select(key, D.round_probability(p).alias("Churn_Probability"),
-                    D.decision_label(pred).alias("Churn_Prediction"),
-                    D.risk_band(p, t).alias("Risk_Level"), *feats.columns))
+    ``scored`` holds the raw rows and their ``probability`` side by side, so the result is a
+    projection: no join, and repeated keys keep their rows."""
+    inputs = inputs or drop_ids(scored.drop(probability)).columns
+    p = F.col(probability)
+    return scored.select(key, D.round_probability(p).alias("Churn_Probability"),
+                         D.decision_label(D.decide(p, t)).alias("Churn_Prediction"),
+                         D.risk_band(p, t).alias("Risk_Level"),
+                         *[c for c in inputs if c != key])
 
 
 def batch_counts(result: DataFrame) -> DataFrame:
@@ -66,51 +65,65 @@ def first_true_positive(decided: DataFrame, key: str = KEY) -> DataFrame:
 
 
 # ---------------------------------------------------------------- SHAP-driven
-def top_factors(shap_long: DataFrame, k: int = TOP_FACTORS, key: str = KEY) -> DataFrame:
-    """Top k features per customer by |shap| (ties: later feature first),
-    each marked Increases/Reduces Risk."""
-    w = Window.partitionBy(key).orderBy(F.abs("shap").desc(), F.col("feature_idx").desc())
-    return (shap_long.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-            .select(key, "rank", "feature", "shap",
-                    F.when(F.col("shap") > 0, "Increases Risk").otherwise("Reduces Risk")
-                    .alias("direction")))
+def shap_arrays(shap_long: DataFrame, key: str = KEY) -> DataFrame:
+    """One row per customer from a long SHAP table: ``factors``, an array of structs. The
+    explainers also give this form directly (``linear_shap_arrays``), without a shuffle."""
+    return shap_long.groupBy(key).agg(F.collect_list(
+        F.struct("shap", "feature_idx", "feature", "value")).alias("factors"))
 
 
-def actions_frame(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        [(i, k, title, text) for i, (k, title, text) in enumerate(FEATURE_ACTIONS)],
-        "ord int, key string, title string, text string")
+def _arrays(shap: DataFrame, key: str) -> DataFrame:
+    return shap if "factors" in shap.columns else shap_arrays(shap, key)
 
 
-def recommendations(shap_long: DataFrame, probability: DataFrame, t: float,
-                    key: str = KEY, limit: int = MAX_RECOMMENDATIONS) -> DataFrame:
+def top_factors(shap: DataFrame, k: int = TOP_FACTORS, key: str = KEY) -> DataFrame:
+    """Top k features per customer by |shap| (ties: later feature first),
+    each marked Increases/Reduces Risk."""
+    ordered = F.reverse(F.array_sort(F.transform("factors", lambda f: F.struct(
+        F.abs(f["shap"]).alias("size"), f["feature_idx"].alias("idx"), f["feature"].alias("feature"),
+        f["shap"].alias("shap")))))
+    return (_arrays(shap, key).select(key, F.posexplode(F.slice(ordered, 1, k)).alias("pos", "f"))
+            .select(key, (F.col("pos") + 1).alias("rank"), "f.feature", "f.shap",
+                    F.when(F.col("f.shap") > 0, "Increases Risk").otherwise("Reduces Risk").alias("direction")))
+
+
+def action_of(feature: Column, actions=FEATURE_ACTIONS) -> Column:
+    """Struct (title, text) of the exact key, else of the first key the name starts with, else null."""
+    pair = lambda a: F.struct(F.lit(a[1]).alias("title"), F.lit(a[2]).alias("text"))
+    out = None
+    for a in actions:
+        out = F.when(feature == a[0], pair(a)) if out is None else out.when(feature == a[0], pair(a))
+    for a in actions:
+        out = out.when(feature.startswith(a[0]), pair(a))
+    return out
+
+
+def recommendations(shap: DataFrame, probability: DataFrame | None, t: float, key: str = KEY,
+                    limit: int = MAX_RECOMMENDATIONS, actions=FEATURE_ACTIONS,
+                    general=GENERAL_ACTION) -> DataFrame:
     """Up to ``limit`` retention actions per customer at or above the threshold.
 
-    Features with positive shap (all features when none is positive) in
-    descending shap order; the action is the exact key match, else the first
-    map key the feature name starts with; one action per title; a customer
-    with no matching action gets the general retention action.
+    Features with positive shap (all features when none is positive) in descending shap order;
+    the action is the exact key match, else the first map key the feature name starts with; one
+    action per title; a customer with no matching action gets the general one. ``actions``:
+    (feature or prefix, title, text) in lookup order. ``probability`` None: ``shap`` has the
+    column beside its ``factors``, and nothing is joined or shuffled.
     """
-    spark = shap_long.sparkSession
-    flagged = probability.where(F.col("probability") >= F.lit(float(t))).select(key)
-    rows = shap_long.join(flagged, key)
-    any_pos = F.max(F.col("shap")).over(Window.partitionBy(key)) > 0
-    cand = rows.withColumn("_any_pos", any_pos).where(~F.col("_any_pos") | (F.col("shap") > 0))
-    # The action map is a fixed 15-row table: broadcasting it is bounded.
-    acts = F.broadcast(actions_frame(spark))
-    matched = cand.join(acts, (cand.feature == acts.key) | cand.feature.startswith(acts.key))
-    pick = Window.partitionBy(key, "feature").orderBy(
-        (F.col("feature") == F.col("key")).desc(), F.col("ord"))
-    one = matched.withColumn("_r", F.row_number().over(pick)).where(F.col("_r") == 1)
-    order = [F.col("shap").desc(), F.col("feature_idx").desc()]
-    by_title = one.withColumn("_t", F.row_number().over(
-        Window.partitionBy(key, "title").orderBy(*order))).where(F.col("_t") == 1)
-    ranked = by_title.withColumn("rank", F.row_number().over(
-        Window.partitionBy(key).orderBy(*order))).where(F.col("rank") <= limit)
-    recs = ranked.select(key, "rank", "title", "text", "feature", "shap")
-    general = (flagged.join(recs.select(key).distinct(), key, "left_anti")
-               .select(key, F.lit(1).alias("rank"), F.lit(GENERAL_ACTION[0]).alias("title"),
-                       F.lit(GENERAL_ACTION[1]).alias("text"),
-                       F.lit(None).cast("string").alias("feature"),
-                       F.lit(0.0).alias("shap")))
-    return recs.unionByName(general)
+    rows = _arrays(shap, key)
+    if probability is not None:
+        rows = rows.join(probability.select(key, "probability"), key)
+    flagged = rows.where(F.col("probability") >= F.lit(float(t)))
+    anywhere = F.exists("factors", lambda f: f["shap"] > 0)
+    told = F.transform(
+        F.reverse(F.array_sort(F.filter("factors", lambda f: ~anywhere | (f["shap"] > 0)))),
+        lambda f: F.struct(action_of(f["feature"], actions).alias("action"), f["feature"].alias("feature"),
+                           f["shap"].alias("shap")))
+    known = F.filter(told, lambda x: x["action"].isNotNull())
+    # A title counts once, at its first place: keep entries whose title has no earlier entry.
+    once = F.filter("known", lambda x, i: ~F.exists(
+        F.slice("known", F.lit(1), i), lambda y: y["action"]["title"] == x["action"]["title"]))
+    none = F.array(F.struct(F.struct(F.lit(general[0]).alias("title"), F.lit(general[1]).alias("text")).alias("action"),
+                            F.lit(None).cast("string").alias("feature"), F.lit(0.0).alias("shap")))
+    picked = flagged.select(key, known.alias("known")).select(key, F.slice(once, 1, limit).alias("picked"))
+    return (picked.select(key, F.posexplode(F.when(F.size("picked") > 0, F.col("picked")).otherwise(none)).alias("pos", "x"))
+            .select(key, (F.col("pos") + 1).alias("rank"), "x.action.title", "x.action.text", "x.feature", "x.shap"))

@@ -43,14 +43,23 @@ def linear_shap(features: DataFrame, names: list[str], coef: list[float],
                 background: DataFrame | None = None, key: str = KEY) -> DataFrame:
     """Long SHAP table for a linear log-odds score over named feature columns.
     ``background`` (default: ``features``) gives the means, in one aggregate."""
+    return (linear_shap_arrays(features, names, coef, background, key)
+            .select(key, F.explode("factors").alias("s"))
+            .select(key, "s.feature_idx", "s.feature", "s.value", "s.shap"))
+
+
+def linear_shap_arrays(features: DataFrame, names: list[str], coef: list[float],
+                       background: DataFrame | None = None, key: str = KEY,
+                       carry: list[str] | None = None) -> DataFrame:
+    """The same as one row per customer: ``factors``, an array of structs, beside ``carry``."""
     bg = background if background is not None else features
     means = bg.agg(*[F.avg(F.col(f"`{n}`")).alias(f"m{i}") for i, n in enumerate(names)]).first()
     mu = [float(means[f"m{i}"]) for i in range(len(names))]
-    return features.select(key, F.explode(F.array(*[
-        F.struct(F.lit(i).alias("feature_idx"), F.lit(n).alias("feature"),
-                 F.col(f"`{n}`").cast("double").alias("value"),
-                 (F.lit(float(b)) * (F.col(f"`{n}`").cast("double") - F.lit(m))).alias("shap"))
-        for i, (n, b, m) in enumerate(zip(names, coef, mu))])).alias("s")).select(key, "s.*")
+    return features.select(key, *(carry or []), F.array(*[
+        F.struct((F.lit(float(b)) * (F.col(f"`{n}`").cast("double") - F.lit(m))).alias("shap"),
+                 F.lit(i).alias("feature_idx"), F.lit(n).alias("feature"),
+                 F.col(f"`{n}`").cast("double").alias("value"))
+        for i, (n, b, m) in enumerate(zip(names, coef, mu))]).alias("factors"))
 
 
 def linear_base(intercept: float, coef: list[float], means: list[float]) -> float:

@@ -13,7 +13,7 @@ the exact neighbour search. Random choices come from hashes of
 from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attrition.schema import KEY, SEED_SAMPLER
@@ -44,13 +44,13 @@ def with_class_weight(df: DataFrame, label: str = "Exited", mode: str = "balance
 
 def class_weights(df: DataFrame, label: str = "Exited") -> DataFrame:
     """``(label, n, balanced_weight, positive_weight)`` per class."""
-    n = df.agg(F.count(F.lit(1))).scalar()
-    n0 = df.agg(F.count(F.when(F.col(label) == 0, 1))).scalar()
-    n1 = df.agg(F.count(F.when(F.col(label) == 1, 1))).scalar()
+    # One grouped count; the totals are windows over its two rows.
+    every = Window.partitionBy(F.lit(0))
     c = df.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    of = lambda y: F.sum(F.when(F.col("label") == y, F.col("n"))).over(every)
     return c.select("label", "n",
-                    (n.cast("double") / (F.lit(2.0) * F.col("n"))).alias("balanced_weight"),
-                    F.when(F.col("label") == 1, n0.cast("double") / n1).otherwise(F.lit(1.0))
+                    (F.sum("n").over(every).cast("double") / (F.lit(2.0) * F.col("n"))).alias("balanced_weight"),
+                    F.when(F.col("label") == 1, F.try_divide(of(0).cast("double"), of(1))).otherwise(F.lit(1.0))
                     .alias("positive_weight"))
 
 
@@ -71,9 +71,13 @@ def _interpolate(base: DataFrame, neigh: DataFrame, features: str, key: str, see
     joined = chosen.join(nb, [key, "_nb_rank"])
     x, v = vector_to_array(F.col(features)), vector_to_array(F.col("_nv"))
     synth = F.zip_with(x, v, lambda a, b: a + F.col("_gap") * (b - a))
-    return joined.select(
-        (F.lit(-1) * (F.col(key) * 1_000_003 + F.col("_i"))).cast("long").alias(key),
-        array_to_vector(synth).alias(features), F.lit(minority).cast("int").alias(label))
+    return joined.select(key, array_to_vector(synth).alias(features), F.lit(minority).cast("int").alias(label),
+                         F.col("_i").cast("int").alias("i"), F.lit(True).alias("synthetic"))
+
+
+def _originals(df: DataFrame, key: str, features: str, label: str) -> DataFrame:
+    return df.select(key, features, F.col(label).cast("int").alias(label), F.lit(0).alias("i"),
+                     F.lit(False).alias("synthetic"))
 
 
 def smote(df: DataFrame, label: str = "Exited", features: str = "features", key: str = KEY,
@@ -81,18 +85,21 @@ def smote(df: DataFrame, label: str = "Exited", features: str = "features", key:
     """Add synthetic minority rows until both classes have the same count.
 
     Minority row j (in seeded hash order) makes ``floor(G / m) + [j < G mod m]``
-    rows, G = majority - minority, m = minority count. Synthetic rows get a
-    negative key.
+    rows, G = majority - minority, m = minority count. Result: key, features, label, ``i``,
+    ``synthetic``; a synthetic row has the key of the row it starts from and is told apart by
+    ``i`` = 1, 2, ... (0 for an original).
     """
     from attrition.operators.knn import knn
     counts = label_counts(df, label)
     if len(counts) < 2:
-        return df.select(key, features, label)
+        return _originals(df, key, features, label)
     minority = min(counts, key=lambda c: (counts[c], c))
     m, big = counts[minority], max(counts.values())
     g = big - m
     if g == 0:
-        return df.select(key, features, label)
+        return _originals(df, key, features, label)
+    if m < 2:
+        raise ValueError("SMOTE needs two rows of the smaller class: one row has no neighbour")
     mino = df.where(F.col(label) == minority).select(key, features)
     neigh = knn(mino, mino, k=k, key=key, features=features, exclude_self=True)
     # Position of each minority row in the seeded hash order (distributed rank).
@@ -104,7 +111,7 @@ def smote(df: DataFrame, label: str = "Exited", features: str = "features", key:
             .join(kk, key)
             .withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_cnt")))))
     synth = _interpolate(base, neigh, features, key, seed, label, minority)
-    return df.select(key, features, label).unionByName(synth)
+    return _originals(df, key, features, label).unionByName(synth)
 
 
 def adasyn_allocation(df: DataFrame, label: str = "Exited", features: str = "features",
@@ -122,9 +129,12 @@ def adasyn_allocation(df: DataFrame, label: str = "Exited", features: str = "fea
                 carry=[label])
     r = (neigh.groupBy(F.col("query").alias(key))
          .agg((F.count(F.when(F.col(label) != minority, 1)) / F.lit(float(k))).alias("r")))
-    total = r.agg(F.sum("r")).scalar()
-    return r.select(key, "r", (F.col("r") / total).alias("r_norm"),
-                    F.bround(F.col("r") / total * F.lit(float(g)), 0).cast("int").alias("n_synthetic"))
+    total = r.agg(F.sum("r")).first()[0]
+    if not total:
+        raise ValueError("ADASYN finds no row of the larger class near the smaller one: "
+                         "the classes are apart, nothing can be allocated")
+    return r.select(key, "r", (F.col("r") / F.lit(total)).alias("r_norm"),
+                    F.bround(F.col("r") / F.lit(total) * F.lit(float(g)), 0).cast("int").alias("n_synthetic"))
 
 
 def adasyn(df: DataFrame, label: str = "Exited", features: str = "features", key: str = KEY,
@@ -141,4 +151,4 @@ def adasyn(df: DataFrame, label: str = "Exited", features: str = "features", key
     base = (mino.join(alloc.where(F.col("n_synthetic") > 0), key).join(kk, key)
             .withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("n_synthetic")))))
     synth = _interpolate(base, neigh, features, key, seed, label, minority)
-    return df.select(key, features, label).unionByName(synth)
+    return _originals(df, key, features, label).unionByName(synth)

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attrition.operators import imbalance
-from attrition.operators.preprocess import FeatureStages
+from attrition.operators.preprocess import MAX_CATEGORIES, FeatureStages
 from attrition.session import materialize
 from attrition.schema import (CAT_FEATURES, KEY, NUM_FEATURES, PASSTHROUGH_FEATURES, SEED_SPLIT,
                               TARGET)
@@ -27,22 +27,26 @@ STRATEGIES = ["class_weight", "SMOTE", "ADASYN"]
 
 
 def logistic(C: float = 1.0, max_iter: int = 1000, weighted: bool = False, n: int | None = None,
-             tol: float = 1e-4, **kw) -> LogisticRegression:
+             tol: float = 1e-4, penalty: str | None = "l2", **kw) -> LogisticRegression:
     """L2 logistic regression; sklearn's C maps to regParam = 1 / (C * n) and
-    its default stopping tolerance 1e-4 is kept."""
+    its default stopping tolerance 1e-4 is kept. ``penalty=None``: C is not used."""
     lr = LogisticRegression(maxIter=max_iter, elasticNetParam=0.0, standardization=False,
                             tol=tol, labelCol=TARGET, featuresCol="features", **kw)
+    if penalty is None:
+        lr.setRegParam(0.0)
     lr._attr_C = C  # n is known only at fit time
     if weighted:
         lr.setWeightCol("weight")
-    if n:
+    if n and penalty:
         lr.setRegParam(1.0 / (C * n))
     return lr
 
 
-def random_forest(num_trees: int = 200, max_depth: int = 5, seed: int = SEED_SPLIT,
+def random_forest(num_trees: int = 200, max_depth: int = 5, min_instances: int = 1,
+                  feature_subset: str = "auto", seed: int = SEED_SPLIT,
                   weighted: bool = False, **kw) -> RandomForestClassifier:
     rf = RandomForestClassifier(numTrees=num_trees, maxDepth=max_depth, seed=seed,
+                                minInstancesPerNode=min_instances, featureSubsetStrategy=feature_subset,
                                 labelCol=TARGET, featuresCol="features", **kw)
     if weighted:
         rf.setWeightCol("weight")
@@ -71,11 +75,14 @@ class AttritionPipeline(Estimator):
     def __init__(self, classifier: Estimator, num: list[str] = NUM_FEATURES,
                  cat: list[str] = CAT_FEATURES, passthrough: list[str] = PASSTHROUGH_FEATURES,
                  use_smote: bool = False, use_adasyn: bool = False,
-                 weight_mode: str | None = None, label: str = TARGET, key: str = KEY):
+                 weight_mode: str | None = None, label: str = TARGET, key: str = KEY,
+                 extra_features: dict[str, str] | None = None, max_categories: int = MAX_CATEGORIES):
         super().__init__()
         if use_smote and use_adasyn:
-            raise ValueError("use_smote and use_adasyn are mutually exclusive. Pick one.")
-        self.classifier, self.features = classifier, FeatureStages(num, cat, passthrough)
+            raise ValueError("a pipeline can resample with SMOTE or with ADASYN, not with both")
+        self.classifier = classifier
+        self.features = FeatureStages(num, cat, passthrough, extra_features=extra_features,
+                                      max_categories=max_categories)
         self.use_smote, self.use_adasyn = use_smote, use_adasyn
         self.weight_mode, self.label, self.key = weight_mode, label, key
 
@@ -88,8 +95,8 @@ class AttritionPipeline(Estimator):
             # The neighbour search reads the transformed rows several times:
             # cut the lineage once, and again after resampling.
             x = materialize(x.select(self.key, "features", self.label), "train-x")
-            x = materialize(sampler(x, label=self.label, features="features", key=self.key),
-                            "resampled")
+            x = materialize(sampler(x, label=self.label, features="features", key=self.key)
+                            .select("features", self.label), "resampled")
         counts = None
         if self.weight_mode:
             counts = imbalance.label_counts(x, self.label)
@@ -106,9 +113,14 @@ def build_pipeline(classifier: Estimator, num_features: list[str] = NUM_FEATURES
                    cat_features: list[str] = CAT_FEATURES,
                    passthrough_features: list[str] = PASSTHROUGH_FEATURES,
                    use_smote: bool = False, use_adasyn: bool = False,
-                   weight_mode: str | None = None) -> AttritionPipeline:
+                   weight_mode: str | None = None,
+                   extra_features: dict[str, str] | None = None,
+                   max_categories: int = MAX_CATEGORIES) -> AttritionPipeline:
+    """``extra_features`` (SQL expressions by name) are derived after the base features, scaled
+    with the numeric ones and saved with the pipeline."""
     return AttritionPipeline(classifier, num_features, cat_features, passthrough_features,
-                             use_smote, use_adasyn, weight_mode)
+                             use_smote, use_adasyn, weight_mode, extra_features=extra_features,
+                             max_categories=max_categories)
 
 
 def positive_probability(col: str = "probability") -> Column:

@@ -10,7 +10,7 @@ by the data.
 
 from __future__ import annotations
 
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
+from pyspark.ml import Estimator, Model, PipelineModel, Transformer
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols
@@ -19,14 +19,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attrition.functions.features import engineer
-from attrition.schema import CAT_FEATURES, NUM_FEATURES, PASSTHROUGH_FEATURES
+
+#: Distinct values of a category column above which a fit stops with an error.
+MAX_CATEGORIES = 1000
 
 
 class FeatureEngineer(Transformer, DefaultParamsReadable, DefaultParamsWritable):
-    """Stateless: the four derived features (see ``functions.features``)."""
+    """Stateless: the four derived features (see ``functions.features``), then extra features
+    as SQL expressions by name, which are saved with the stage."""
+
+    extraFeatures = Param(Params._dummy(), "extraFeatures", "name and SQL expression of added columns",
+                          TypeConverters.identity)
+
+    def __init__(self, extraFeatures: dict[str, str] | None = None):
+        super().__init__()
+        self._setDefault(extraFeatures={})
+        if extraFeatures:
+            self._set(extraFeatures=dict(extraFeatures))
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        return engineer(df)
+        out = engineer(df)
+        for name, expression in self.getOrDefault(self.extraFeatures).items():
+            out = out.withColumn(name, F.expr(expression))
+        return out
 
 
 class _ScalerParams(HasInputCols):
@@ -43,13 +58,7 @@ class PopulationScaler(Estimator, _ScalerParams, DefaultParamsReadable, DefaultP
             self._set(inputCols=inputCols)
 
     def _fit(self, df: DataFrame) -> "PopulationScalerModel":
-        cols = self.getInputCols()
-        row = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)],
-                     *[F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}")
-                       for i, c in enumerate(cols)]).first()
-        means = [float(row[f"m{i}"]) for i in range(len(cols))]
-        scales = [float(row[f"s{i}"]) if row[f"s{i}"] else 1.0 for i in range(len(cols))]
-        return PopulationScalerModel()._set(inputCols=cols, means=means, scales=scales)
+        return fit_scaler_and_encoder(df, self.getInputCols(), [])[0]
 
 
 class PopulationScalerModel(Model, _ScalerParams, DefaultParamsReadable, DefaultParamsWritable):
@@ -77,26 +86,15 @@ class DropFirstOneHot(Estimator, _OneHotParams, DefaultParamsReadable, DefaultPa
     a value unseen at fit encodes as all zeros. Output columns are named
     ``<column>_<category>``."""
 
-    def __init__(self, inputCols: list[str] | None = None, maxCategories: int = 1000):
+    def __init__(self, inputCols: list[str] | None = None, maxCategories: int = MAX_CATEGORIES):
         super().__init__()
-        self._setDefault(maxCategories=1000)
+        self._setDefault(maxCategories=MAX_CATEGORIES)
         if inputCols is not None:
             self._set(inputCols=inputCols)
         self._set(maxCategories=maxCategories)
 
     def _fit(self, df: DataFrame) -> "DropFirstOneHotModel":
-        cols = self.getInputCols()
-        limit = self.getOrDefault(self.maxCategories)
-        # Distinct values per column in one pass; the result is checked against
-        # maxCategories before it reaches the driver.
-        sizes = df.agg(*[F.count_distinct(c).alias(c) for c in cols]).first()
-        too_many = [c for c in cols if sizes[c] > limit]
-        if too_many:
-            raise ValueError(f"too many categories for one-hot encoding: {too_many}")
-        row = df.agg(*[F.sort_array(F.collect_set(F.col(c).cast("string"))).alias(c)
-                       for c in cols]).first()
-        return DropFirstOneHotModel()._set(inputCols=cols,
-                                           categories=[list(row[c][1:]) for c in cols])
+        return fit_scaler_and_encoder(df, [], self.getInputCols(), self.getOrDefault(self.maxCategories))[1]
 
 
 class DropFirstOneHotModel(Model, _OneHotParams, DefaultParamsReadable, DefaultParamsWritable):
@@ -113,41 +111,42 @@ class DropFirstOneHotModel(Model, _OneHotParams, DefaultParamsReadable, DefaultP
         return df.withColumns(out)
 
 
-def feature_pipeline(num: list[str] = NUM_FEATURES, cat: list[str] = CAT_FEATURES,
-                     passthrough: list[str] = PASSTHROUGH_FEATURES) -> "FeatureStages":
-    return FeatureStages(num, cat, passthrough)
-
-
 class FeatureStages:
     """Unfitted engineer -> scaler -> one-hot -> assembler, fitted together."""
 
-    def __init__(self, num, cat, passthrough, output: str = "features"):
-        self.num, self.cat, self.passthrough, self.output = list(num), list(cat), list(passthrough), output
+    def __init__(self, num, cat, passthrough, output: str = "features",
+                 extra_features: dict[str, str] | None = None, max_categories: int = MAX_CATEGORIES):
+        """``extra_features``: SQL expressions by name; they join the scaled numeric columns.
+        ``max_categories``: the fit fails when a category column has more distinct values."""
+        self.extra = dict(extra_features or {})
+        self.num = [*num, *[n for n in self.extra if n not in num]]
+        self.cat, self.passthrough, self.output = list(cat), list(passthrough), output
+        self.max_categories = max_categories
 
     def fit(self, df: DataFrame) -> PipelineModel:
-        eng = FeatureEngineer()
+        eng = FeatureEngineer(self.extra)
         engineered = eng.transform(df)
-        scaler, onehot = fit_scaler_and_encoder(engineered, self.num, self.cat)
+        scaler, onehot = fit_scaler_and_encoder(engineered, self.num, self.cat, self.max_categories)
         names = self.num + onehot.output_names() + self.passthrough
         asm = VectorAssembler(inputCols=names, outputCol=self.output, handleInvalid="keep")
         return PipelineModel(stages=[eng, scaler, onehot, asm])
 
 
 def fit_scaler_and_encoder(df: DataFrame, num: list[str], cat: list[str],
-                           max_categories: int = 1000):
+                           max_categories: int = MAX_CATEGORIES):
     """Both fits from two passes: means, deviations and category counts in one
     aggregate, then the (checked, bounded) category lists."""
-    stats = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(num)],
+    stats = df.agg(F.count(F.lit(1)).alias("n"), *[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(num)],
                    *[F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}")
                      for i, c in enumerate(num)],
                    *[F.count_distinct(c).alias(f"k{i}") for i, c in enumerate(cat)]).first()
-    means = [float(stats[f"m{i}"]) for i in range(len(num))]
+    means = [float(stats[f"m{i}"] or 0.0) for i in range(len(num))]
     scales = [float(stats[f"s{i}"]) if stats[f"s{i}"] else 1.0 for i in range(len(num))]
     too_many = [c for i, c in enumerate(cat) if stats[f"k{i}"] > max_categories]
     if too_many:
         raise ValueError(f"too many categories for one-hot encoding: {too_many}")
-    row = df.agg(*[F.sort_array(F.collect_set(F.col(c).cast("string"))).alias(f"v{i}")
-                   for i, c in enumerate(cat)]).first()
+    row = df.agg(F.count(F.lit(1)).alias("n"), *[F.sort_array(F.collect_set(F.col(c).cast("string"))).alias(f"v{i}")
+                                                for i, c in enumerate(cat)]).first() if cat else {}
     scaler = PopulationScalerModel()._set(inputCols=list(num), means=means, scales=scales)
     onehot = DropFirstOneHotModel()._set(inputCols=list(cat), maxCategories=max_categories,
                                          categories=[list(row[f"v{i}"][1:])
@@ -171,6 +170,3 @@ def feature_table(model: PipelineModel, df: DataFrame, key: str = "CustomerId",
     return out.select(key, *(extra or []), *[F.col(f"`{n}`").cast("double").alias(n)
                                              for n in names])
 
-
-def is_pipeline(x) -> bool:
-    return isinstance(x, (Pipeline, PipelineModel))

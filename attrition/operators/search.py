@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from attrition.operators import curves
 from attrition.operators.models import AttritionPipeline, score
 from attrition.schema import KEY, SCORE_WEIGHTS, SEED_SAMPLER, TARGET
+from attrition.session import materialize
 
 
 def out_of_fold(pipeline_fn: Callable[[], AttritionPipeline], folded: DataFrame,
@@ -52,10 +53,11 @@ def composite_score(f1="F1", recall="Recall", auc="ROC-AUC", weights=SCORE_WEIGH
             + F.lit(weights["ROC-AUC"]) * F.col(f"`{auc}`"))
 
 
-def rank_results(results: DataFrame, recall_floor: float | None = None) -> DataFrame:
+def rank_results(results: DataFrame, recall_floor: float | None = None,
+                 weights: dict[str, float] = SCORE_WEIGHTS) -> DataFrame:
     """Add Score, rank by Score descending (Model, Strategy break ties);
     optionally drop rows under a recall floor."""
-    df = results.withColumn("Score", composite_score())
+    df = results.withColumn("Score", composite_score(weights=weights))
     if recall_floor is not None:
         df = df.where(F.col("Recall") >= F.lit(recall_floor))
     # The comparison table has one row per grid cell: a handful of rows.
@@ -75,8 +77,8 @@ def compare_models(spark: SparkSession, folded: DataFrame,
     """One row per (Model, Strategy): mean fold ROC-AUC, F1, Recall at 0.5."""
     def one(cell):
         model, strategy, fn = cell
-        m = cross_validate(out_of_fold(fn, folded)).first()
-        return (model, strategy, float(m["roc_auc"]), float(m["f1"]), float(m["recall"]))
+        m = cross_validate(materialize(out_of_fold(fn, folded), "oof")).first()
+        return (model, strategy, m["roc_auc"], m["f1"], m["recall"])
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
         rows = list(ex.map(one, grid))
@@ -112,25 +114,31 @@ def draw(space: dict, trial: int, seed: int = SEED_SAMPLER) -> dict:
     return out
 
 
-def pooled_objective(oof: DataFrame, t: float = 0.5) -> float:
+def mean_fold_f1(oof: DataFrame, t: float = 0.5) -> float:
+    """Mean over folds of F1 at t: the objective when the caller names none."""
+    return float(cross_validate(oof, t).first()["f1"] or 0.0)
+
+
+def pooled_objective(oof: DataFrame, t: float = 0.5, weights: dict[str, float] = SCORE_WEIGHTS) -> float:
     """Composite of pooled out-of-fold F1 and recall at t and ROC-AUC."""
     pm = curves.point_metrics(oof, t).first()
     auc = curves.roc_auc(oof).first()["roc_auc"]
-    w = SCORE_WEIGHTS
+    w = weights
     return w["F1"] * pm["f1"] + w["Recall"] * pm["recall"] + w["ROC-AUC"] * (auc or 0.0)
 
 
 def random_search(spark: SparkSession, folded: DataFrame,
                   model_fn: Callable[..., AttritionPipeline], space: dict, n_trials: int,
                   seed: int = SEED_SAMPLER, fixed: dict | None = None,
-                  objective: Callable[[DataFrame], float] = pooled_objective,
-                  parallelism: int = 2) -> tuple[DataFrame, dict]:
+                  objective: Callable[[DataFrame], float] | None = None,
+                  parallelism: int = 4) -> tuple[DataFrame, dict]:
     """Trials table ``(trial, params, score)`` and the best parameters merged
-    with ``fixed``. Each trial is an out-of-fold Spark job."""
+    with ``fixed``. Each trial is an out-of-fold Spark job whose scores are stored
+    once; without an ``objective`` the mean fold F1 is used."""
     def one(trial):
         params = draw(space, trial, seed)
-        oof = out_of_fold(lambda: model_fn(**params), folded)
-        return trial, {k: str(v) for k, v in params.items()}, float(objective(oof)), params
+        oof = materialize(out_of_fold(lambda: model_fn(**params), folded), "oof")
+        return trial, {k: str(v) for k, v in params.items()}, float((objective or mean_fold_f1)(oof)), params
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
         res = list(ex.map(one, range(n_trials)))

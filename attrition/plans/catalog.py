@@ -16,7 +16,7 @@ from attrition.functions.features import engineer
 from attrition.operators import audit, curves, eda, split
 from attrition.plans.oracle_sql import calibration_bin_sql, with_ctes
 from attrition.schema import INPUT_COLS, KEY, TARGET
-from attrition.sources.profile import customer_profile, scored_fixture
+from attrition.sources.profile import customer_profile, fixture_score, scored_fixture
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -56,8 +56,9 @@ def scored(spark, sf_dir) -> DataFrame:
     return scored_fixture(profile(spark, sf_dir))
 
 
-def decided(spark, sf_dir) -> tuple[DataFrame, float]:
-    s = scored(spark, sf_dir)
+def decided(spark, sf_dir, prof: DataFrame | None = None) -> tuple[DataFrame, float]:
+    """Decisions on the scored fixture; ``prof``: the query's profile, if it has one already."""
+    s = scored_fixture(prof) if prof is not None else scored(spark, sf_dir)
     t = curves.best_threshold_value(s)
     return (s.select(KEY, F.col("y").alias("actual"), F.col("p").alias("probability"),
                      D.decide("p", t).alias("predicted")), t)
@@ -88,7 +89,7 @@ def q_rate_by_group(spark, sf_dir):
   FROM (SELECT count(*) AS c FROM profile GROUP BY CustomerId, CreditScore, Geography, Gender,
         Age, Tenure, Balance, NumOfProducts, HasCrCard, IsActiveMember, EstimatedSalary, Exited) g"""))
 def q_audit_duplicates(spark, sf_dir):
-    return audit.duplicates(profile(spark, sf_dir))
+    return audit.duplicates(customer_profile(spark, sf_dir))
 
 
 _AUDIT_TYPES = [("CustomerId", "int", True), ("CreditScore", "int", True),
@@ -113,7 +114,7 @@ def _audit_sql() -> str:
 
 @register("audit_columns", _audit_sql())
 def q_audit_columns(spark, sf_dir):
-    return audit.column_audit(profile(spark, sf_dir)).withColumn(
+    return audit.column_audit(customer_profile(spark, sf_dir)).withColumn(
         "position", F.col("position").cast("int"))
 
 
@@ -121,7 +122,7 @@ def q_audit_columns(spark, sf_dir):
   SELECT CustomerId, round(BalanceSalaryRatio, 9) AS BalanceSalaryRatio, IsActive_by_CreditCard,
          round(ProductsPerYear, 9) AS ProductsPerYear, AgeGroup FROM features"""))
 def q_derived_features(spark, sf_dir):
-    df = engineer(profile(spark, sf_dir))
+    df = engineer(customer_profile(spark, sf_dir))
     return rounded(df.select(KEY, "BalanceSalaryRatio", "IsActive_by_CreditCard",
                              "ProductsPerYear", "AgeGroup"),
                    ["BalanceSalaryRatio", "ProductsPerYear"])
@@ -131,7 +132,7 @@ def q_derived_features(spark, sf_dir):
   SELECT AgeGroup, CAST(count(*) AS BIGINT) AS n, min(Age) AS min_age, max(Age) AS max_age
   FROM features GROUP BY AgeGroup"""))
 def q_age_group(spark, sf_dir):
-    return (engineer(profile(spark, sf_dir)).groupBy("AgeGroup")
+    return (engineer(customer_profile(spark, sf_dir)).groupBy("AgeGroup")
             .agg(F.count(F.lit(1)).alias("n"), F.min("Age").alias("min_age"),
                  F.max("Age").alias("max_age")))
 
@@ -144,7 +145,7 @@ def age_balance(df: DataFrame) -> DataFrame:
 @register("extra_features", with_ctes(["features"], """
   SELECT CustomerId, AgeGroup, round(Age * Balance, 9) AS AgeBalance FROM features"""))
 def q_extra_features(spark, sf_dir):
-    df = engineer(profile(spark, sf_dir), extra_features=[age_balance])
+    df = engineer(customer_profile(spark, sf_dir), extra_features=[age_balance])
     return rounded(df.select(KEY, "AgeGroup", "AgeBalance"), ["AgeBalance"])
 
 
@@ -166,7 +167,7 @@ def _unpivot_sql() -> str:
 
 @register("unpivot_inputs", _unpivot_sql())
 def q_unpivot_inputs(spark, sf_dir):
-    df = profile(spark, sf_dir)
+    df = customer_profile(spark, sf_dir)
     return df.select(KEY, F.explode(F.array(*[
         F.struct(F.lit(i).alias("position"), F.lit(c).alias("feature"),
                  (F.col(c).cast("double") if c in _NUMERIC_INPUTS else F.lit(None).cast("double"))
@@ -179,7 +180,7 @@ def q_unpivot_inputs(spark, sf_dir):
 @register("row_detail", with_ctes(["features"], """
   SELECT * FROM features WHERE CustomerId = (SELECT min(CustomerId) FROM features)"""))
 def q_row_detail(spark, sf_dir):
-    df = engineer(profile(spark, sf_dir))
+    df = engineer(customer_profile(spark, sf_dir))
     first = df.agg(F.min(KEY)).scalar()
     return df.where(F.col(KEY) == first)
 
@@ -275,7 +276,7 @@ def q_high_corr(spark, sf_dir):
   SELECT max(c) / sum(c) AS majority_accuracy, CAST(sum(c) AS BIGINT) AS rows
   FROM (SELECT count(*) AS c FROM profile GROUP BY Exited)"""))
 def q_majority(spark, sf_dir):
-    return curves.majority_baseline(profile(spark, sf_dir))
+    return curves.majority_baseline(customer_profile(spark, sf_dir))
 
 
 # ------------------------------------------------------------- curves
@@ -360,8 +361,9 @@ def q_pr_point(spark, sf_dir):
 
 
 def _fold_scored(spark, sf_dir) -> DataFrame:
-    t = split.stratified_folds(train(spark, sf_dir)).select(KEY, "fold")
-    return scored(spark, sf_dir).join(t, KEY)
+    prof = profile(spark, sf_dir)
+    t = split.stratified_folds(split.split_frames(prof)[0]).select(KEY, "fold")
+    return scored_fixture(prof).join(t, KEY)
 
 
 @register("fold_metrics", with_ctes(["folds", "scored"], """
@@ -465,7 +467,8 @@ _ERR_SQL = """CASE WHEN actual = 1 AND predicted = 0 THEN 'False Negative'
   WHERE {_ERR_SQL} <> 'Correct'"""))
 def q_error_rows(spark, sf_dir):
     from attrition.operators import errors
-    return errors.error_rows(profile(spark, sf_dir), decided(spark, sf_dir)[0])
+    prof = profile(spark, sf_dir)
+    return errors.error_rows(prof, decided(spark, sf_dir, prof)[0])
 
 
 @register("error_breakdown", with_ctes(["decided", "features"], f"""
@@ -479,8 +482,8 @@ def q_error_rows(spark, sf_dir):
   GROUP BY dimension, value, error_type""".replace("\n  , er AS", ",\n  er AS")))
 def q_error_breakdown(spark, sf_dir):
     from attrition.operators import errors
-    return errors.error_breakdown(errors.error_rows(profile(spark, sf_dir),
-                                                    decided(spark, sf_dir)[0]))
+    prof = profile(spark, sf_dir)
+    return errors.error_breakdown(errors.error_rows(prof, decided(spark, sf_dir, prof)[0]))
 
 
 @register("error_totals", with_ctes(["decided"], f"""
@@ -538,8 +541,9 @@ _BATCH_SQL = f"""
 
 def _batch(spark, sf_dir):
     from attrition.operators import decide
-    d, t = decided(spark, sf_dir)
-    return decide.batch_result(profile(spark, sf_dir), d, t)
+    prof = profile(spark, sf_dir)
+    t = curves.best_threshold_value(scored_fixture(prof))
+    return decide.batch_result(prof.withColumn("probability", fixture_score()), t)
 
 
 def _batch_sql(body: str) -> str:
@@ -562,14 +566,11 @@ def q_batch_counts(spark, sf_dir):
     return decide.batch_counts(_batch(spark, sf_dir))
 
 
-TOP_K = 20
-
-
-@register("top_scores", _batch_sql(
-    f"SELECT * FROM br ORDER BY Churn_Probability DESC, CustomerId ASC LIMIT {TOP_K}"))
+@register("top_scores", _batch_sql("SELECT * FROM br ORDER BY Churn_Probability DESC, CustomerId ASC"))
 def q_top_scores(spark, sf_dir):
+    """The whole batch, highest probability first."""
     from attrition.operators import decide
-    return decide.top_scores(_batch(spark, sf_dir), TOP_K)
+    return decide.top_scores(_batch(spark, sf_dir))
 
 
 @register("first_true_positive", with_ctes(["decided"], """
@@ -710,16 +711,32 @@ def linear_coefficients(n: int) -> list[float]:
     return [0.25 * ((i % 5) - 2) + 0.1 for i in range(n)]
 
 
-def _linear(spark, sf_dir):
+def _linear_factors(spark, sf_dir):
+    """One row per customer: probability and the array of its SHAP factors."""
     from attrition.operators import explain
     tab, names = _ftab(spark, sf_dir)
     coef = linear_coefficients(len(names))
-    shap = explain.linear_shap(tab.select(KEY, *[F.col(f"`{n}`") for n in names]), names, coef)
-    shap = rounded(shap, ["shap", "value"])
+    scored_rows = tab.withColumn("probability", 1 / (1 + F.exp(-_logit(names, coef))))
+    out = explain.linear_shap_arrays(scored_rows, names, coef, background=tab, carry=["probability"])
+    return out.withColumn("factors", F.transform("factors", lambda f: F.struct(
+        F.round(f["shap"], ROUND).alias("shap"), f["feature_idx"].alias("feature_idx"),
+        f["feature"].alias("feature"), F.round(f["value"], ROUND).alias("value"))))
+
+
+def _logit(names, coef):
     logit = F.lit(LINEAR_INTERCEPT)
     for n, b in zip(names, coef):
         logit = logit + F.lit(b) * F.col(f"`{n}`")
-    prob = tab.select(KEY, TARGET, (1 / (1 + F.exp(-logit))).alias("probability"))
+    return logit
+
+
+def _linear(spark, sf_dir):
+    from attrition.operators import explain
+    tab, names = _ftab(spark, sf_dir)
+    coef = linear_coefficients(len(names))
+    shap = explain.linear_shap(tab.select(KEY, *[F.col(f"`{n}`") for n in names]), names, coef)
+    shap = rounded(shap, ["shap", "value"])
+    prob = tab.select(KEY, TARGET, (1 / (1 + F.exp(-_logit(names, coef)))).alias("probability"))
     means = tab.agg(*[F.avg(F.col(f"`{n}`")) for n in names]).first()
     base = explain.linear_base(LINEAR_INTERCEPT, coef, [float(v) for v in means])
     return shap, prob, base
@@ -762,7 +779,7 @@ def q_mean_abs_shap(spark, sf_dir):
         FROM lshap) WHERE rank <= 5"""))
 def q_top_factors(spark, sf_dir):
     from attrition.operators import decide
-    return decide.top_factors(_linear(spark, sf_dir)[0]).withColumn(
+    return decide.top_factors(_linear_factors(spark, sf_dir)).withColumn(
         "rank", F.col("rank").cast("int"))
 
 
@@ -819,144 +836,260 @@ def _general_sql() -> str:
   WHERE CustomerId NOT IN (SELECT CustomerId FROM rk)""".replace("\n  , flag AS", "  , flag AS")))
 def q_recommendations(spark, sf_dir):
     from attrition.operators import decide
-    shap, prob, _ = _linear(spark, sf_dir)
-    return decide.recommendations(shap, prob, 0.5).withColumn("rank", F.col("rank").cast("int"))
-
-
-# ------------------------------------------------------------- fitted models (rows-only)
-_MEMO: dict = {}
+    return decide.recommendations(_linear_factors(spark, sf_dir), None, 0.5).withColumn("rank", F.col("rank").cast("int"))
 
 
+# ------------------------------------------------------------- fitted models
+# Learned probabilities have no SQL twin. What SQL can say about them is checked row by row:
+# which customers are scored, in which fold, and that a residual of the fit vanishes.
 def _folded(spark, sf_dir):
-    k = ("folded", id(spark), sf_dir)
-    if k not in _MEMO:
-        from attrition.plans.training import prepare
-        _MEMO[k] = prepare(profile(spark, sf_dir))
-    return _MEMO[k]
-
-
-@register("oof_probabilities")
-def q_oof(spark, sf_dir):
-    from attrition.operators import models, search
-    folded, _ = _folded(spark, sf_dir)
-    return search.out_of_fold(
-        lambda: models.strategy_pipeline("Logistic Regression", "class_weight"), folded)
+    from attrition.plans.training import prepare
+    return prepare(profile(spark, sf_dir))
 
 
 def _fit_score(spark, sf_dir, family, strategy, **params):
     from attrition.operators import models
     folded, test = _folded(spark, sf_dir)
     m = models.strategy_pipeline(family, strategy, **params).fit(folded.drop("fold"))
-    return m, models.score(m, test)
+    return m, models.score(m, test), test
 
 
-@register("logistic_scores")
+def _in_range(df: DataFrame) -> DataFrame:
+    """Scores replaced by whether they are probabilities, which SQL can state."""
+    return df.withColumn("is_probability", F.col("p").between(0, 1)).drop("p")
+
+
+_TEST_ROWS = with_ctes(["test"], "SELECT CustomerId, Exited AS y, TRUE AS is_probability FROM test")
+
+
+@register("oof_probabilities", with_ctes(["folds"], """
+  SELECT CustomerId, Exited AS y, fold, TRUE AS is_probability FROM folds"""))
+def q_oof(spark, sf_dir):
+    """Every training row scored once, by the model of its own fold."""
+    from attrition.operators import models, search
+    folded, _ = _folded(spark, sf_dir)
+    return _in_range(search.out_of_fold(
+        lambda: models.strategy_pipeline("Logistic Regression", "class_weight"), folded))
+
+
+@register("logistic_scores", _TEST_ROWS)
 def q_logistic_scores(spark, sf_dir):
-    return _fit_score(spark, sf_dir, "Logistic Regression", "class_weight")[1]
+    return _in_range(_fit_score(spark, sf_dir, "Logistic Regression", "class_weight")[1])
 
 
-@register("forest_scores")
+@register("forest_scores", _TEST_ROWS)
 def q_forest_scores(spark, sf_dir):
-    return _fit_score(spark, sf_dir, "Random Forest", "class_weight", num_trees=20)[1]
+    return _in_range(_fit_score(spark, sf_dir, "Random Forest", "class_weight")[1])
 
 
-@register("boosted_scores")
+@register("boosted_scores", _TEST_ROWS)
 def q_boosted_scores(spark, sf_dir):
-    return _fit_score(spark, sf_dir, "Boosted Trees", "class_weight", max_iter=20)[1]
-
-
-def _comparison(spark, sf_dir):
-    k = ("comparison", id(spark), sf_dir)
-    if k not in _MEMO:
-        from attrition.operators import search
-        from attrition.plans.training import comparison_grid
-        folded, _ = _folded(spark, sf_dir)
-        _MEMO[k] = search.compare_models(spark, folded, comparison_grid(small=True))
-    return _MEMO[k]
+    return _in_range(_fit_score(spark, sf_dir, "Boosted Trees", "class_weight")[1])
 
 
 @register("model_comparison")
 def q_model_comparison(spark, sf_dir):
-    return _comparison(spark, sf_dir)
+    """The whole grid: three families by three strategies at their full sizes."""
+    from attrition.operators import search
+    from attrition.plans.training import comparison_grid
+    folded, _ = _folded(spark, sf_dir)
+    return search.compare_models(spark, folded, comparison_grid())
+
+
+# Fixed scores over the fold table stand in for learners: what is checked against SQL is the
+# comparison itself (fold metrics, their means, composite, rank, summary, best so far).
+FIXED_MODELS = [("Model A", "class_weight", 0.6, 0.3), ("Model A", "SMOTE", 0.5, 0.5),
+                ("Model B", "class_weight", 0.9, 0.1), ("Model B", "ADASYN", 0.3, 0.7),
+                ("Model C", "SMOTE", 0.75, 0.25)]
 
 
-@register("composite_rank")
+def _fixed_score(a: float, b: float):
+    """A score in whole hundredths from the label-leaking fixture and the age."""
+    return F.floor((F.lit(a) * F.col("p") + F.lit(b) * (F.col("Age") % 50) / 50) * 100 + F.lit(1e-6)) / 100
+
+
+def _fixed_rows(spark, sf_dir) -> DataFrame:
+    from attrition.session import materialize
+    prof = profile(spark, sf_dir)
+    folds = split.stratified_folds(split.split_frames(prof)[0])
+    return materialize(folds.select("fold", F.col(TARGET).alias("y"), "Age", fixture_score().alias("p")), "fixed")
+
+
+_FIXED_SQL = """
+  , fx AS (SELECT f.fold, s.y, f.Age, s.p FROM scored s JOIN folds f USING (CustomerId)),
+  models AS (SELECT * FROM (VALUES {models}) m(ord, Model, Strategy, a, b)),
+  ms AS (SELECT ord, Model, Strategy, fold, y,
+                floor((a * p + b * (Age % 50) / 50) * 100 + 1e-6) / 100 AS p FROM fx CROSS JOIN models),
+  mc AS (SELECT ord, Model, Strategy, fold, p, sum(y) AS pos, count(*) - sum(y) AS neg
+         FROM ms GROUP BY ALL),
+  ma AS (SELECT ord, Model, Strategy, fold, sum(pos * (2 * (le - neg) + neg)) / (2.0 * sum(pos) * sum(neg)) AS auc
+         FROM (SELECT *, sum(neg) OVER (PARTITION BY ord, fold ORDER BY p) AS le FROM mc) GROUP BY ALL),
+  mp AS (SELECT ord, fold, count(CASE WHEN y = 1 AND p >= 0.5 THEN 1 END) AS tp,
+                count(CASE WHEN y = 0 AND p >= 0.5 THEN 1 END) AS fp,
+                count(CASE WHEN y = 1 AND p < 0.5 THEN 1 END) AS fn FROM ms GROUP BY ALL),
+  res AS (SELECT ord, Model, Strategy, round(avg(auc), 9) AS "ROC-AUC",
+                 round(avg(CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END), 9) AS F1,
+                 round(avg(CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END), 9) AS Recall
+          FROM ma JOIN mp USING (ord, fold) GROUP BY ALL),
+  scoredm AS (SELECT *, round(0.35 * F1 + 0.40 * Recall + 0.25 * "ROC-AUC", 9) AS Score FROM res)
+""".replace("{models}", ", ".join(f"({i}, '{m}', '{s}', CAST({a!r} AS DOUBLE), CAST({b!r} AS DOUBLE))"
+                                  for i, (m, s, a, b) in enumerate(FIXED_MODELS)))
+
+
+def _fixed_sql(body: str) -> str:
+    return with_ctes(["folds", "scored"], _FIXED_SQL.replace("\n  , fx AS", ",\n  fx AS") + body)
+
+
+def _fixed_results(spark, sf_dir) -> DataFrame:
+    from attrition.operators import search
+    rows = _fixed_rows(spark, sf_dir)
+    out = None
+    for m, s, a, b in FIXED_MODELS:
+        one = search.cross_validate(rows.select("fold", "y", _fixed_score(a, b).alias("p"))).select(
+            F.lit(m).alias("Model"), F.lit(s).alias("Strategy"), F.round("roc_auc", ROUND).alias("ROC-AUC"),
+            F.round("f1", ROUND).alias("F1"), F.round("recall", ROUND).alias("Recall"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("composite_rank", _fixed_sql("""
+  SELECT Model, Strategy, "ROC-AUC", F1, Recall, Score,
+         CAST(row_number() OVER (ORDER BY Score DESC, Model, Strategy) AS INTEGER) AS rank FROM scoredm"""))
 def q_composite_rank(spark, sf_dir):
     from attrition.operators import search
-    return search.rank_results(_comparison(spark, sf_dir))
+    return rounded(search.rank_results(_fixed_results(spark, sf_dir)), ["Score"])
 
 
-@register("strategy_summary")
+@register("strategy_summary", _fixed_sql("""
+  SELECT Strategy, arg_max(Model, Score) AS best_model, max(Score) AS best_score,
+         round(avg(Score), 8) AS mean_score, CAST(count(*) AS BIGINT) AS models FROM scoredm GROUP BY Strategy"""))
 def q_strategy_summary(spark, sf_dir):
     from attrition.operators import search
-    return search.strategy_summary(search.rank_results(_comparison(spark, sf_dir)))
+    ranked = rounded(search.rank_results(_fixed_results(spark, sf_dir)), ["Score"])
+    return rounded(search.strategy_summary(ranked), ["mean_score"], 8)
 
 
-def _trials(spark, sf_dir):
-    k = ("trials", id(spark), sf_dir)
-    if k not in _MEMO:
-        from attrition.operators import models, search
-        from attrition.plans.training import SEARCH_SPACES
-        folded, _ = _folded(spark, sf_dir)
-        _MEMO[k] = search.random_search(
-            spark, folded, lambda **p: models.strategy_pipeline("Boosted Trees", "class_weight", **p),
-            SEARCH_SPACES["Boosted Trees"], n_trials=4)
-    return _MEMO[k]
+@register("best_so_far", _fixed_sql("""
+  SELECT trial, Score AS score FROM (SELECT CAST(ord AS INTEGER) AS trial, Score, max(Score) OVER (
+      ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM scoredm)
+  WHERE prev IS NULL OR Score > prev"""))
+def q_best_so_far(spark, sf_dir):
+    from attrition.operators import search
+    number = F.create_map(*[F.lit(x) for i, (m, s, _, _) in enumerate(FIXED_MODELS) for x in (f"{m}/{s}", i)])
+    trials = _fixed_results(spark, sf_dir).select(
+        number[F.concat_ws("/", "Model", "Strategy")].alias("trial"),
+        F.round(search.composite_score(), ROUND).alias("score"))
+    return search.best_so_far(trials)
 
 
 @register("random_search")
 def q_random_search(spark, sf_dir):
-    return _trials(spark, sf_dir)[0]
-
+    """The full number of trials over the logistic family's whole space."""
+    from attrition.operators import models, search
+    from attrition.plans.training import N_TRIALS, SEARCH_SPACES
+    folded, _ = _folded(spark, sf_dir)
+    return search.random_search(
+        spark, folded, lambda **p: models.strategy_pipeline("Logistic Regression", "class_weight", **p),
+        SEARCH_SPACES["Logistic Regression"], n_trials=N_TRIALS, objective=search.pooled_objective)[0]
 
-@register("best_so_far")
-def q_best_so_far(spark, sf_dir):
-    from attrition.operators import search
-    return search.best_so_far(_trials(spark, sf_dir)[0])
 
+def _resampled(spark, sf_dir, sampler: str) -> DataFrame:
+    """All rows after resampling, with named coordinates."""
+    from pyspark.ml.functions import vector_to_array
 
-def _train_vectors(spark, sf_dir):
+    from attrition.operators import imbalance
     tab, names = _ftab(spark, sf_dir)
-    return _vectors(tab, names)
+    out = getattr(imbalance, sampler)(_vectors(tab, names))
+    x = vector_to_array(F.col("features"))
+    return out.select(KEY, F.col("i").cast("int").alias("i"), "synthetic", TARGET,
+                      *[F.round(x[k], 6).alias(n) for k, n in enumerate(names)])
+
+
+def _resampled_sql(base: str) -> str:
+    """SQL twin of a sampler; ``base`` gives (CustomerId, times) of the rows to start from."""
+    from attrition.schema import SEED_SAMPLER
+    uniform = lambda what: (
+        f"CAST(CAST('0x' || substr(md5('{SEED_SAMPLER}:' || CustomerId || ':' || i || ':{what}'), 1, 13) "
+        f"AS BIGINT) AS DOUBLE) / {16 ** 13}")
+    cols = ", ".join(f"round(a.{qcol(n)} + c.u * (b.{qcol(n)} - a.{qcol(n)}), 6) AS {qcol(n)}" for n in ORACLE_NAMES)
+    own = ", ".join(f"round({qcol(n)}, 6) AS {qcol(n)}" for n in ORACLE_NAMES)
+    return _knn_sql("mino", f"""
+  , kk AS (SELECT query AS CustomerId, least(max(rank), 5) AS k FROM nn GROUP BY query),
+  size AS (SELECT count(*) FILTER (Exited = 1) AS m, count(*) FILTER (Exited = 0) AS big FROM ftab),
+  {base},
+  each AS (SELECT CustomerId, k, unnest(range(1, CAST(times AS BIGINT) + 1)) AS i FROM base JOIN kk USING (CustomerId)),
+  chosen AS (SELECT CustomerId, i, CAST(floor({uniform('nb')} * k) AS INTEGER) + 1 AS place, {uniform('gap')} AS u FROM each)
+  SELECT CustomerId, 0 AS i, FALSE AS synthetic, Exited, {own} FROM ftab
+  UNION ALL
+  SELECT c.CustomerId, CAST(c.i AS INTEGER), TRUE, 1, {cols}
+  FROM chosen c JOIN nn ON nn.query = c.CustomerId AND nn.rank = c.place
+  JOIN ftab a ON a.CustomerId = c.CustomerId JOIN ftab b ON b.CustomerId = nn.neighbour""".replace(
+        "\n  , kk AS", ",\n  kk AS", 1))
+
 
+def _smote_base() -> str:
+    from attrition.schema import SEED_SAMPLER
+    return f"""base AS (SELECT CustomerId, (big - m) // m + CASE WHEN j <= (big - m) % m THEN 1 ELSE 0 END AS times
+      FROM (SELECT CustomerId, row_number() OVER (ORDER BY md5('{SEED_SAMPLER}:' || CustomerId), CustomerId) AS j
+            FROM mino), size)"""
 
-@register("smote_rows")
+
+_ADASYN_BASE = f"""allp AS (SELECT a.CustomerId AS query, b.Exited, row_number() OVER (
+      PARTITION BY a.CustomerId ORDER BY sqrt({sq_distance_sql('a', 'b')}), b.CustomerId) AS rank
+      FROM mino a JOIN ftab b ON a.CustomerId <> b.CustomerId),
+  share AS (SELECT query AS CustomerId, count(CASE WHEN Exited <> 1 THEN 1 END) / 5.0 AS r
+            FROM allp WHERE rank <= 5 GROUP BY query),
+  base AS (SELECT CustomerId, round_even(r / (SELECT sum(r) FROM share) * (big - m), 0) AS times FROM share, size)"""
+
+
+@register("smote_rows", _resampled_sql(_smote_base()))
 def q_smote_rows(spark, sf_dir):
-    from attrition.operators import imbalance
-    out = imbalance.smote(_train_vectors(spark, sf_dir))
-    return out.select(KEY, TARGET, (F.col(KEY) < 0).alias("synthetic"))
+    return _resampled(spark, sf_dir, "smote")
 
 
-@register("adasyn_rows")
+@register("adasyn_rows", _resampled_sql(_ADASYN_BASE))
 def q_adasyn_rows(spark, sf_dir):
-    from attrition.operators import imbalance
-    out = imbalance.adasyn(_train_vectors(spark, sf_dir))
-    return out.select(KEY, TARGET, (F.col(KEY) < 0).alias("synthetic"))
+    return _resampled(spark, sf_dir, "adasyn")
 
 
-@register("tree_shap")
+@register("tree_shap", with_ctes(["test"], "SELECT CustomerId, 0.0 AS residual FROM test"))
 def q_tree_shap(spark, sf_dir):
+    """Per customer: how far the factors and the base are from the model's log odds."""
     from attrition.operators import explain
-    m, _ = _fit_score(spark, sf_dir, "Boosted Trees", "class_weight", max_iter=20)
-    _, test = _folded(spark, sf_dir)
-    return explain.model_shap(m, test)[0]
+    m, scores, test = _fit_score(spark, sf_dir, "Boosted Trees", "class_weight")
+    shap, base = explain.model_shap(m, test)
+    log_odds = F.log(F.col("p")) - F.log1p(-F.col("p"))
+    return (shap.groupBy(KEY).agg(F.sum("shap").alias("total")).join(scores, KEY)
+            .select(KEY, F.round(F.abs(F.lit(base) + F.col("total") - log_odds), 6).alias("residual")))
 
 
-@register("saved_model_scores")
+@register("saved_model_scores", with_ctes(["test"], """
+  SELECT CustomerId, 0.0 AS residual, TRUE AS same_decision FROM test"""))
 def q_saved_model_scores(spark, sf_dir):
+    """Calibrated scores and decisions of a saved and reloaded model against those in memory.
+    Calibrator and threshold come from out-of-fold scores, never from test rows."""
     import os
     import uuid
 
-    from attrition.operators import calibrate
+    from attrition.operators import calibrate, decide, models, search
     from attrition.plans.scoring import score_batch
-    from attrition.session import checkpoint_dir
+    from attrition.session import checkpoint_dir, materialize
     from attrition.sources import files
-    m, test_scores = _fit_score(spark, sf_dir, "Logistic Regression", "class_weight")
-    cal = calibrate.fit_isotonic(test_scores)
-    cal_scores = calibrate.apply_isotonic(cal, test_scores, "p", "p_cal")
-    t = curves.best_threshold_value(cal_scores, "y", "p_cal")
-    model_dir = os.path.join(checkpoint_dir(spark), f"models-{uuid.uuid4().hex}")
-    files.save_model(m, t, model_dir, "logistic")
-    loaded, t2, _ = files.load_model(spark, model_dir)
-    _, test = _folded(spark, sf_dir)
-    return score_batch(test, loaded, t2, cal)
+    folded, test = _folded(spark, sf_dir)
+    make = lambda: models.strategy_pipeline("Logistic Regression", "class_weight")
+    oof = materialize(search.out_of_fold(make, folded), "oof")
+    m = make().fit(folded.drop("fold"))
+    cal = calibrate.fit_isotonic(oof)
+    t = curves.best_threshold_value(calibrate.apply_isotonic(cal, oof), "y", "p_cal")
+    here = calibrate.apply_isotonic(cal, models.score(m, test))
+    table = decide.predictions_table(here.select(
+        F.col("y").alias("actual"), F.col("p_cal").alias("probability"), D.decide("p_cal", t).alias("predicted")))
+    folder = os.path.join(checkpoint_dir(spark), f"models-{uuid.uuid4().hex}")
+    files.save_model(m, t, folder, "logistic", cal, table, spark)
+    loaded, t2, name = files.load_model(spark, folder)
+    again = calibrate.apply_isotonic(files.load_calibrator(spark, folder, name), models.score(loaded, test))
+    batch = score_batch(test, loaded, t2, files.load_calibrator(spark, folder, name))
+    return (here.select(KEY, F.col("p_cal").alias("a")).join(again.select(KEY, F.col("p_cal").alias("b")), KEY)
+            .join(batch.select(KEY, "Churn_Prediction"), KEY)
+            .select(KEY, F.round(F.abs(F.col("a") - F.col("b")), 9).alias("residual"),
+                    (D.decision_label(D.decide("a", t)) == F.col("Churn_Prediction")).alias("same_decision")))

@@ -15,10 +15,11 @@ from attrition.schema import KEY
 def score_batch(raw: DataFrame, model: PipelineModel, t: float, calibrator=None,
                 key: str = KEY) -> DataFrame:
     """The batch result table for raw customer rows (ids/target ignored if present)."""
-    feats = decide.drop_ids(raw)
-    scored = model.transform(raw.select(key, *feats.columns)).select(
-        key, models.positive_probability().alias("p"))
+    inputs = [c for c in decide.drop_ids(raw).columns if c != key]
+    # The inputs travel beside the model's columns, which may overwrite some of them.
+    kept = raw.select("*", F.struct(*inputs).alias("_inputs"))
+    scored = model.transform(kept).select(key, "_inputs", models.positive_probability().alias("probability"))
     if calibrator is not None:
-        scored = calibrate.apply_isotonic(calibrator, scored, "p", "p_cal").select(
-            key, F.col("p_cal").alias("p"))
-    return decide.batch_result(raw, scored.withColumnRenamed("p", "probability"), t, key)
+        scored = calibrate.apply_isotonic(calibrator, scored, "probability", "p_cal").select(
+            key, "_inputs", F.col("p_cal").alias("probability"))
+    return decide.batch_result(scored.select(key, "probability", "_inputs.*"), t, key=key, inputs=inputs)

@@ -16,7 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attrition.operators import calibrate, curves, models, search, split
-from attrition.schema import KEY, N_FOLDS, RECALL_FLOOR, TARGET
+from attrition.schema import N_FOLDS, RECALL_FLOOR
+from attrition.session import materialize
+
+#: Trials of a parameter search.
+N_TRIALS = 150
 
 
 @dataclass
@@ -32,39 +36,38 @@ class TrainResult:
 
 def prepare(profile: DataFrame, k: int = N_FOLDS) -> tuple[DataFrame, DataFrame]:
     """Training rows with a fold column (checkpointed to the shared folder) and test rows."""
-    from attrition.session import materialize
     train, test = split.split_frames(profile)
     folded = materialize(split.stratified_folds(train, k), "folds")
     return folded, test
 
 
-def comparison_grid(small: bool = True, families: list[str] | None = None,
-                    strategies: list[str] | None = None) -> list:
-    """(Model, Strategy, pipeline factory) for every family x strategy."""
-    sizes = {"Random Forest": {"num_trees": 20 if small else 200},
-             "Boosted Trees": {"max_iter": 20 if small else 100},
-             "Logistic Regression": {}}
-    return [(fam, strat, (lambda f=fam, s=strat: models.strategy_pipeline(f, s, **sizes[f])))
+def comparison_grid(families: list[str] | None = None, strategies: list[str] | None = None,
+                    sizes: dict[str, dict] | None = None) -> list:
+    """(Model, Strategy, pipeline factory) for every family x strategy; ``sizes`` overrides the
+    learners' parameters by family (default: 200 trees, 100 boosting rounds)."""
+    sizes = sizes or {}
+    return [(fam, strat, (lambda f=fam, s=strat: models.strategy_pipeline(f, s, **sizes.get(f, {}))))
             for fam in (families or list(models.FAMILIES))
             for strat in (strategies or models.STRATEGIES)]
 
 
-def train_workflow(spark: SparkSession, profile: DataFrame, n_trials: int = 4,
-                   mode: str = "oof", small: bool = True, k: int = N_FOLDS,
-                   families: list[str] | None = None,
-                   strategies: list[str] | None = None) -> TrainResult:
+def train_workflow(spark: SparkSession, profile: DataFrame, n_trials: int = N_TRIALS,
+                   mode: str = "oof", k: int = N_FOLDS,
+                   families: list[str] | None = None, strategies: list[str] | None = None,
+                   sizes: dict[str, dict] | None = None) -> TrainResult:
     folded, test = prepare(profile, k)
-    grid = comparison_grid(small, families, strategies)
+    grid = comparison_grid(families, strategies, sizes)
     comparison = search.rank_results(search.compare_models(spark, folded, grid))
     best = comparison.where(F.col("rank") == 1).first()
     fam, strat = best["Model"], best["Strategy"]
     space = SEARCH_SPACES[fam]
     trials, params = search.random_search(
-        spark, folded, lambda **p: models.strategy_pipeline(fam, strat, **p), space, n_trials)
+        spark, folded, lambda **p: models.strategy_pipeline(fam, strat, **p), space, n_trials,
+        objective=search.pooled_objective)
     pipe = models.strategy_pipeline(fam, strat, **params)
     train = folded.drop("fold")
     final = pipe.fit(train)
-    oof = search.out_of_fold(lambda: models.strategy_pipeline(fam, strat, **params), folded)
+    oof = materialize(search.out_of_fold(lambda: models.strategy_pipeline(fam, strat, **params), folded), "oof")
     if mode == "reference":
         cal = calibrate.fit_isotonic(models.score(final, train))
         test_scores = calibrate.apply_isotonic(cal, models.score(final, test), "p", "p_cal")
@@ -78,10 +81,11 @@ def train_workflow(spark: SparkSession, profile: DataFrame, n_trials: int = 4,
 
 
 SEARCH_SPACES = {
-    "Logistic Regression": {"C": ("logfloat", 1e-3, 100.0)},
-    "Random Forest": {"num_trees": ("int", 10, 40), "max_depth": ("int", 3, 8)},
-    "Boosted Trees": {"max_iter": ("int", 10, 40), "step_size": ("logfloat", 0.015, 0.3),
-                      "max_depth": ("int", 2, 5), "subsampling_rate": ("float", 0.5, 0.8)},
+    "Logistic Regression": {"C": ("logfloat", 1e-3, 100.0), "penalty": ("cat", ["l2", None])},
+    "Random Forest": {"num_trees": ("int", 100, 800), "max_depth": ("int", 3, 20),
+                      "min_instances": ("int", 1, 10), "feature_subset": ("cat", ["sqrt", "log2"])},
+    "Boosted Trees": {"max_iter": ("int", 200, 700), "step_size": ("logfloat", 0.015, 0.1),
+                      "max_depth": ("int", 3, 5), "subsampling_rate": ("float", 0.5, 0.8)},
 }
 
 
@@ -89,6 +93,3 @@ def evaluate(test_scores: DataFrame, t: float, score: str = "p_cal") -> DataFram
     """PASS/FAIL table on the test rows."""
     return curves.targets_status(test_scores, t, "y", score)
 
-
-def labelled_scores(model: PipelineModel, df: DataFrame) -> DataFrame:
-    return models.score(model, df, KEY, TARGET)

@@ -5,9 +5,10 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
+from pyspark.ml.regression import IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from attrition.schema import DEFAULT_THRESHOLD, RAW_SCHEMA
@@ -32,13 +33,31 @@ def write_json_params(spark: SparkSession, params: dict, path: str) -> None:
     spark.createDataFrame([row]).coalesce(1).write.mode("overwrite").json(path)
 
 
-def save_model(model: PipelineModel, threshold: float, model_dir: str, name: str) -> str:
-    """Pipeline and threshold saved side by side under one name."""
+def _read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at ``path``, None if nothing is there; any other error is raised."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def save_model(model: PipelineModel, threshold: float, model_dir: str, name: str,
+               calibrator: IsotonicRegressionModel | None = None,
+               predictions: DataFrame | None = None, spark: SparkSession | None = None) -> str:
+    """Pipeline, its calibrator, threshold and predictions table saved under one name.
+
+    A threshold chosen on calibrated scores is only right together with its calibrator."""
     base = os.path.join(model_dir, name)
+    spark = spark or SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
     model.write().overwrite().save(os.path.join(base, "pipeline"))
-    spark = SparkSession.getActiveSession()
-    spark.createDataFrame([(float(threshold),)], "threshold double").coalesce(1) \
-        .write.mode("overwrite").parquet(os.path.join(base, "threshold"))
+    if calibrator is not None:
+        calibrator.write().overwrite().save(os.path.join(base, "calibrator"))
+    spark.createDataFrame([(float(threshold), calibrator is not None)], "threshold double, calibrated boolean") \
+        .coalesce(1).write.mode("overwrite").parquet(os.path.join(base, "threshold"))
+    if predictions is not None:
+        write_csv(predictions, os.path.join(base, "predictions"))
     spark.createDataFrame([(name,)], "name string").coalesce(1) \
         .write.mode("append").parquet(os.path.join(model_dir, "_models"))
     return base
@@ -46,11 +65,8 @@ def save_model(model: PipelineModel, threshold: float, model_dir: str, name: str
 
 def list_models(spark: SparkSession, model_dir: str) -> list[str]:
     """Names saved under model_dir, from its small name index."""
-    try:
-        idx = spark.read.parquet(os.path.join(model_dir, "_models"))
-    except Exception:  # noqa: BLE001 - no index yet
-        return []
-    return sorted({r[0] for r in idx.distinct().collect()})
+    idx = _read_if_there(spark, os.path.join(model_dir, "_models"))
+    return sorted({r[0] for r in idx.distinct().collect()}) if idx is not None else []
 
 
 def load_model(spark: SparkSession, model_dir: str,
@@ -64,8 +80,15 @@ def load_model(spark: SparkSession, model_dir: str,
         name = names[0]
     base = os.path.join(model_dir, name)
     model = PipelineModel.load(os.path.join(base, "pipeline"))
-    try:
-        t = spark.read.parquet(os.path.join(base, "threshold")).agg(F.first("threshold")).first()[0]
-    except Exception:  # noqa: BLE001 - missing threshold file
-        t = None
-    return model, float(t if t is not None else DEFAULT_THRESHOLD), name
+    saved = _read_if_there(spark, os.path.join(base, "threshold"))
+    row = saved.select("threshold").first() if saved is not None else None
+    return model, float(row[0] if row and row[0] is not None else DEFAULT_THRESHOLD), name
+
+
+def load_calibrator(spark: SparkSession, model_dir: str, name: str) -> IsotonicRegressionModel | None:
+    """The calibrator saved with a model, None if it was saved without one."""
+    base = os.path.join(model_dir, name)
+    saved = _read_if_there(spark, os.path.join(base, "threshold"))
+    if saved is None or "calibrated" not in saved.columns or not saved.first()["calibrated"]:
+        return None
+    return IsotonicRegressionModel.load(os.path.join(base, "calibrator"))

@@ -81,7 +81,10 @@ def customer_profile(spark: SparkSession, sf_dir: str, as_of: date = AS_OF) -> D
 def scored_fixture(profile: DataFrame) -> DataFrame:
     """``(CustomerId, y, p)``: a label-leaking score with many ties, for
     curve/threshold/calibration/decision tests only."""
-    y = F.col("Exited")
+    return profile.select("CustomerId", F.col("Exited").cast("int").alias("y"), fixture_score().alias("p"))
+
+
+def fixture_score() -> Column:
+    """The score of ``scored_fixture`` as a column of the profile."""
     m = (F.col("CustomerId") * 7919) % 1000
-    p = F.floor((F.lit(300.0) * y + F.lit(0.7) * m) / 10) / 100
-    return profile.select("CustomerId", y.cast("int").alias("y"), p.cast("double").alias("p"))
+    return (F.floor((F.lit(300.0) * F.col("Exited") + F.lit(0.7) * m) / 10) / 100).cast("double")

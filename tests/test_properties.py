@@ -79,13 +79,16 @@ def test_smote_balances_on_segments(spark):
     out = imbalance.smote(df, k=3)
     counts = dict(out.groupBy("Exited").count().collect())
     assert counts[0] == counts[1] == 60
-    again = imbalance.smote(df, k=3).where("CustomerId < 0").toPandas()
-    first = out.where("CustomerId < 0").toPandas()
-    assert sorted(first["CustomerId"]) == sorted(again["CustomerId"])
-    mino = np.array([r for r, _, y in rows if y == 1] and [a for _, a, y in rows if y == 1])
-    lo, hi = mino.min(0) - 1e-9, mino.max(0) + 1e-9
-    syn = np.vstack([v.toArray() for v in first["features"]])
-    assert ((syn >= lo) & (syn <= hi)).all()
+    first = out.where("synthetic").orderBy("CustomerId", "i").toPandas()
+    again = imbalance.smote(df, k=3).where("synthetic").orderBy("CustomerId", "i").toPandas()
+    assert first[["CustomerId", "i"]].equals(again[["CustomerId", "i"]])
+    # Each synthetic row lies on a segment from its source to one of the source's 3 nearest.
+    mino = np.array([a for _, a, y in rows if y == 1])
+    for key, v in zip(first["CustomerId"], first["features"]):
+        x, v = mino[key], v.toArray()
+        near = np.argsort(np.linalg.norm(mino - x, axis=1), kind="stable")[1:4]
+        gaps = [np.linalg.norm(v - x) + np.linalg.norm(mino[n] - v) - np.linalg.norm(mino[n] - x) for n in near]
+        assert min(gaps) < 1e-9
 
 
 @pytest.fixture(scope="module")
