@@ -41,7 +41,7 @@ def head_floor(counts: DataFrame, column: str, limit: int) -> int:
     The rows from there up are a head of proven size; one row per power of two is collected."""
     sizes = (counts.where(F.col(column) > 0).groupBy(F.floor(F.log2(column)).cast("int").alias("power"))
              .agg(F.count("*").alias("n")).collect())
-    room, floor = limit, 63
+    room, floor = limit, 62
     for row in sorted(sizes, key=lambda r: -r["power"]):
         if row["n"] > room:
             break
