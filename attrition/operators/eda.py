@@ -9,6 +9,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from attrition.functions.features import numeric_columns
 from attrition.schema import TARGET
 
 GAUSS_NORM = 1.0 / math.sqrt(2 * math.pi)
@@ -76,9 +77,11 @@ def kde_by_class(df: DataFrame, column: str, label: str = TARGET, grid_size: int
                     (F.col("_s") * norm / (F.col("n") * F.col("bw"))).alias("density")))
 
 
-def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
+def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Pearson r for every pair below the diagonal, in one aggregate pass.
-    ``(row_feature, col_feature, r)`` with col before row in ``columns`` order."""
+    ``(row_feature, col_feature, r)`` with col before row in ``columns`` order; by default all
+    numeric columns. A pair uses the rows in which both are known."""
+    columns = columns or numeric_columns(df)
     pairs = [(b, a) for a, b in combinations(columns, 2)]
     wide = df.agg(*[F.corr(F.col(r).cast("double"), F.col(c).cast("double")).alias(f"r{i}")
                     for i, (r, c) in enumerate(pairs)])

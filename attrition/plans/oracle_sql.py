@@ -7,8 +7,6 @@ query names only what it reads.
 
 from __future__ import annotations
 
-from attrition.operators.curves import inner_edges
-
 CTES: dict[str, tuple[list[str], str]] = {}
 
 
@@ -152,7 +150,8 @@ cte("point_metrics", ["point"], """
 
 
 def calibration_bin_sql(col: str, n_bins: int = 10) -> str:
-    return "(" + " + ".join(f"CAST({col} > {e!r} AS INTEGER)" for e in inner_edges(n_bins)) + ")"
+    edges = [repr(k / n_bins) for k in range(1, n_bins)]
+    return "(" + " + ".join(f"CAST({col} > CAST({e} AS DOUBLE) AS INTEGER)" for e in edges) + ")"
 
 
 # ---------------------------------------------------------------- feature table

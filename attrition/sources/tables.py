@@ -24,7 +24,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
 
     The scan DataFrame (a lazy plan, no data) is reused within a session so
     its schema is resolved once."""
-    k = (id(spark), table_path(sf_dir, name))
+    k = (spark.sparkContext.applicationId, table_path(sf_dir, name))
     if k not in _SCANS:
         _SCANS[k] = spark.read.parquet(table_path(sf_dir, name))
     df = _SCANS[k]

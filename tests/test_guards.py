@@ -183,3 +183,18 @@ def test_weights_and_actions_come_from_the_caller(spark):
     prob = spark.createDataFrame([(1, 0.9)], "CustomerId long, probability double")
     got = decide.recommendations(shap, prob, 0.5, actions=[("Zeal", "Own title", "Own text")]).first()
     assert (got["title"], got["text"]) == ("Own title", "Own text")
+
+
+def test_probabilities_round_half_even(spark):
+    from attrition.functions import decisions
+    rows = [(x,) for x in (0.00005, 0.00015, 0.00025, 0.12345, 0.12355, 0.99995, 0.123449999)]
+    got = [r[0] for r in spark.createDataFrame(rows, "p double").select(decisions.round_probability("p")).collect()]
+    assert got == [0.0, 0.0002, 0.0002, 0.1234, 0.1236, 1.0, 0.1234]
+
+
+def test_correlation_takes_all_numeric_columns(spark):
+    from attrition.operators import eda
+    df = spark.createDataFrame([(1, 2.0, "x"), (2, 4.1, "y"), (3, None, "z"), (4, 8.2, "x")], "a int, b double, c string")
+    got = eda.correlation_matrix(df).collect()
+    assert [(r["row_feature"], r["col_feature"]) for r in got] == [("b", "a")]
+    assert got[0]["r"] == pytest.approx(np.corrcoef([1, 2, 4], [2.0, 4.1, 8.2])[0, 1])
