@@ -1,73 +1,147 @@
-"""Exact k-nearest-neighbour search without comparing all pairs.
-
-Every point is projected on the candidates' first principal directions. A
-projection on a unit vector is 1-Lipschitz, so a candidate farther than r
-along any of them is farther than r in space. The search runs in two joins:
-
-1. Candidates are cut into a quantile grid on the first two directions (about
-   ``4k`` candidates per cell). Each query meets its own and the adjacent
-   cells; the k-th smallest distance found there is an upper bound r on its
-   true k-th neighbour distance (infinite when fewer than k were found).
-2. Each query meets every cell that meets the box [proj - r, proj + r], drops
-   pairs farther than r along the third direction, and keeps the k nearest by
-   (distance, key). Nothing outside that box can be closer, so the result is
-   exact; no candidate list is cut short.
-
-Cells are equi-join keys, so both joins are ordinary shuffles on the cell ids,
-and only ``(query, neighbour, distance)`` rows flow into the ranking window.
-The principal directions (3 x d numbers) and the cell edges (bounded by the cell
-count) are the only values that reach the driver.
+"""Exact k-nearest-neighbour search over the leaves of a space partition.
+
+Candidates are collapsed to distinct points and dealt to the leaves of a kd-tree whose splits
+come from a bounded sample; every leaf gets the bounding box of its own points over all
+coordinates. A query point then
+
+1. searches the nearest leaves that hold enough points, which bounds its k-th distance, and
+2. searches every other leaf whose box is no farther than that bound.
+
+A leaf that is skipped cannot hold a nearer point, so the result is exact. At most ``LEAVES``
+boxes are known to the tasks. Leaves are searched in pairs of (leaf, block of queries) of bounded
+size, in numpy, and only the k nearest of each leave a task.
+
+Copies: a point in many candidate rows is one entry with its smallest keys (cut to those per
+salted subgroup first); a point in many query rows is searched once and its result goes back to
+the rows over a salted join. Neighbours carry their vector and columns, so nothing is joined on a
+neighbour's key.
 """
 
 from __future__ import annotations
 
-import math
+import sys
 
-from pyspark.ml.feature import PCA, Bucketizer
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attrition.session import materialize
 
-_EPS = 1e-9
-_PROJ = 3  # principal directions used: the first keys the join, the rest prefilter
-
-
-def _sqdist(a: str, b: str, d: int) -> Column:
-    """Squared distance between column families a0.. and b0.., summed in index
-    order as plain arithmetic (stays inside generated code)."""
-    return sum(((F.col(f"{a}{i}") - F.col(f"{b}{i}")) * (F.col(f"{a}{i}") - F.col(f"{b}{i}"))
-                for i in range(d)), F.lit(0.0))
-
-
-def _project(df: DataFrame, prefix: str, pcs, out: str) -> DataFrame:
-    d, m = pcs.shape
-    return df.withColumns({f"{out}{j}": sum((F.col(f"{prefix}{i}") * F.lit(float(pcs[i, j]))
-                                             for i in range(d)), F.lit(0.0))
-                           for j in range(m)})
-
-
-def _cells(df: DataFrame, col_in: str, col_out: str, edges: list[float]) -> DataFrame:
-    return (Bucketizer(splits=edges, inputCol=col_in, outputCol=col_out, handleInvalid="keep")
-            .transform(df).withColumn(col_out, F.col(col_out).cast("int")))
-
-
-_SALTS = 64  # spread for copies of one point: groups and hot join keys
-
-
-def _distinct_points(rows: DataFrame, coords: list[str], id_col: str, keep: int) -> DataFrame:
-    """One row per distinct coordinate vector with its ``keep`` smallest ids and
-    its multiplicity. Copies of one point are first cut to ``keep`` per salted
-    subgroup (a window inside each subgroup), so no group is collected whole."""
-    salt = F.pmod(F.xxhash64(F.col(id_col)), F.lit(_SALTS))
-    w = Window.partitionBy(*coords, "_salt").orderBy(id_col)
-    pre = (rows.withColumn("_salt", salt).withColumn("_r", F.row_number().over(w))
-           .groupBy(*coords).agg(
-               F.slice(F.array_sort(F.collect_list(F.when(F.col("_r") <= keep, F.col(id_col)))),
-                       1, keep).alias("_ids"),
-               F.count(F.lit(1)).alias("_mult")))
-    return pre
+#: Points a leaf should hold, and the most leaves (boxes that every task knows).
+LEAF = 64
+LEAVES = 4096
+#: Points (at most) that the splits are chosen from.
+SAMPLE = 20_000
+#: Query points searched in a leaf by one task.
+QUERIES = 4096
+_SALTS = 16
+
+
+def build_tree(sample: np.ndarray, leaves: int) -> list[tuple]:
+    """Nodes (dimension, threshold, left, right); a leaf is (-1, leaf number, 0, 0)."""
+    nodes: list[tuple] = []
+    numbers = iter(range(1 << 30))
+
+    def grow(points: np.ndarray, share: int) -> int:
+        at = len(nodes)
+        nodes.append(())
+        widths = points.std(axis=0) if len(points) > 1 else np.zeros(points.shape[1])
+        dim = int(widths.argmax()) if share > 1 and len(widths) else -1
+        if dim < 0 or widths[dim] == 0:
+            nodes[at] = (-1, next(numbers), 0, 0)
+            return at
+        cut = float(np.median(points[:, dim]))
+        low = points[:, dim] < cut
+        if not low.any():  # the median is the least value: cut just above it
+            cut = float(points[points[:, dim] > cut, dim].min())
+            low = points[:, dim] < cut
+        left = grow(points[low], share // 2)
+        right = grow(points[~low], share - share // 2)
+        nodes[at] = (dim, cut, left, right)
+        return at
+
+    grow(sample, leaves)
+    return nodes
+
+
+def find_leaves(nodes: list[tuple], x: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(x), np.int32)
+    stack = [(0, np.arange(len(x)))]
+    while stack:
+        at, rows = stack.pop()
+        dim, cut, left, right = nodes[at]
+        if dim < 0:
+            out[rows] = cut
+            continue
+        low = x[rows, dim] < cut
+        stack += [(left, rows[low]), (right, rows[~low])]
+    return out
+
+
+def _matrix(column) -> np.ndarray:
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    flat = np.asarray(column.flatten(), np.float64)
+    return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
+
+
+def _box_distance(x: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Squared distance of each point to each box, in slices of bounded size."""
+    out = np.empty((len(x), len(low)))
+    for k in range(0, len(x), 256):
+        gap = np.maximum(np.maximum(low[None] - x[k:k + 256, None], x[k:k + 256, None] - high[None]), 0)
+        out[k:k + 256] = np.square(gap).sum(2)
+    return out
+
+
+def _search(keep: int):
+    def search(key: tuple[pa.Scalar, ...], queries: pa.Table, points: pa.Table) -> pa.Table:
+        """The ``keep`` nearest (by distance, then key) of a leaf's points for each query."""
+        q, c = _matrix(queries.column("x")), _matrix(points.column("x"))
+        h1, h2 = (np.asarray(queries.column(n)) for n in ("h1", "h2"))
+        lists = points.column("ids").combine_chunks()
+        bound = np.asarray(lists.offsets) - lists.offsets[0].as_py()
+        ids = np.asarray(lists.flatten().field("id")) if len(lists) else np.empty(0, np.int64)
+        out: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
+        for k in range(0, len(q) if len(c) else 0, 256):
+            part = q[k:k + 256]
+            square = np.zeros((len(part), len(c)))
+            for d in range(q.shape[1]):  # summed in coordinate order
+                square += np.square(part[:, d, None] - c[None, :, d])
+            place = min(keep, len(c)) - 1
+            limit = np.partition(square, place, axis=1)[:, place]
+            for i in range(len(part)):
+                near = np.flatnonzero(square[i] <= limit[i])
+                total = bound[near + 1] - bound[near]
+                entry = np.repeat(bound[near] - np.r_[0, np.cumsum(total)[:-1]], total) + np.arange(total.sum())
+                point = np.repeat(near, total)
+                order = np.lexsort((ids[entry], square[i][point]))[:keep]
+                out.append((k + i, entry[order], point[order], square[i][point[order]]))
+        row = np.concatenate([np.full(len(e), i) for i, e, _, _ in out]).astype(np.int64) if out else np.empty(0, np.int64)
+        entry = np.concatenate([e for _, e, _, _ in out]).astype(np.int64) if out else row
+        point = np.concatenate([p for _, _, p, _ in out]).astype(np.int64) if out else row
+        square = np.concatenate([s for _, _, _, s in out]) if out else np.empty(0)
+        return pa.table({"h1": pa.array(h1[row], pa.int64()), "h2": pa.array(h2[row], pa.int64()),
+                         "d2": pa.array(square, pa.float64()),
+                         "neighbour": lists.flatten().take(pa.array(entry)),
+                         "vec": points.column("x").combine_chunks().take(pa.array(point))})
+    return search
+
+
+def _hashes(x: Column) -> list[Column]:
+    return [F.xxhash64(x).alias("h1"), F.xxhash64(F.lit(1), x).alias("h2")]
+
+
+def _distinct_points(rows: DataFrame, keep: int) -> DataFrame:
+    """Distinct points (h1, h2, x) with their ``keep`` smallest ``id`` structs. Copies of a point
+    are first cut to ``keep`` per salted subgroup, so no group is collected whole."""
+    w = Window.partitionBy("h1", "h2", "_salt").orderBy("id.id")
+    return (rows.withColumn("_salt", F.pmod(F.xxhash64("id.id"), F.lit(_SALTS)))
+            .withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= keep)
+            .groupBy("h1", "h2").agg(F.slice(F.array_sort(F.collect_list("id")), 1, keep).alias("ids"),
+                                     F.any_value("x").alias("x")))
 
 
 def knn(queries: DataFrame, candidates: DataFrame, k: int = 5, key: str = "CustomerId",
@@ -75,109 +149,90 @@ def knn(queries: DataFrame, candidates: DataFrame, k: int = 5, key: str = "Custo
         carry: list[str] | None = None) -> DataFrame:
     """``(query, rank, neighbour, distance, neighbour_vec, *carry)`` for the k
     nearest candidates of every query row (fewer only if there are fewer
-    candidates). Ties at equal distance go to the smaller key.
-
-    Exact copies of a point are searched once: candidates collapse to distinct
-    points carrying their k+1 smallest keys, so a point repeated in a third of
-    the rows is one grid entry, not a hot cell."""
+    candidates). Ties at equal distance go to the smaller key."""
+    # Executors need numpy and pyarrow only, not this package on their path.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     carry = list(carry or [])
     keep = k + 1 if exclude_self else k
-    first = candidates.select(vector_to_array(F.col(features)).alias("a")).first()
-    d = len(first["a"]) if first else 0
-    m = max(1, min(_PROJ, d))
-    pcs = PCA(k=m, inputCol=features, outputCol="_pc").fit(candidates).pc.toArray()
-    ccoords = [f"_c{i}" for i in range(d)]
-    qcoords = [f"_q{i}" for i in range(d)]
-    arr_c = vector_to_array(F.col(features))
-    c_rows = candidates.select(F.col(key).alias("neighbour"),
-                               *[arr_c.getItem(i).alias(f"_c{i}") for i in range(d)])
-    # Narrow distinct candidate points: coordinates, projections, kept keys.
-    c = materialize(_project(_distinct_points(c_rows, ccoords, "neighbour", keep),
-                             "_c", pcs, "_cp"), "knn-candidates")
-    arr_q = vector_to_array(F.col(features))
-    q_rows = queries.select(F.col(key).alias("query"),
-                            *[arr_q.getItem(i).alias(f"_q{i}") for i in range(d)])
-    # Distinct query points, materialised so later columns refer to plain
-    # values instead of re-inlining the projection expressions into every use.
-    q = materialize(_project(q_rows.groupBy(*qcoords).agg(F.count(F.lit(1)).alias("_qmult")),
-                             "_q", pcs, "_qp").withColumn("_pt", F.monotonically_increasing_id()),
-                    "knn-queries")
-
-    # Quantile grid on the first two directions, about 4k points per cell.
-    n = c.count()
-    g = max(1, int(math.sqrt(n / (4 * k))))
-    dims = min(2, m)
-    qs = [i / g for i in range(1, g)]
-    edges = []
-    if qs:
-        row = c.agg(*[F.percentile_approx(f"_cp{j}", qs, max(10000, 10 * g)).alias(f"e{j}")
-                      for j in range(dims)]).first()
-    for j in range(dims):
-        inner = sorted({float(e) for e in ((row[f"e{j}"] or []) if qs else [])}) or [0.0]
-        edges.append([float("-inf"), *inner, float("inf")])
-    last = [len(e) - 2 for e in edges]
-    for j in range(dims):
-        c = _cells(c, f"_cp{j}", f"_g{j}", edges[j])
-        q = _cells(q, f"_qp{j}", f"_qg{j}", edges[j])
-    grid = [f"_g{j}" for j in range(dims)]
-    d2 = _sqdist("_q", "_c", d)
-
-    def span(lo: Column, hi: Column, j: int) -> Column:
-        return F.explode(F.sequence(F.greatest(lo, F.lit(0)), F.least(hi, F.lit(last[j]))))
-
-    def expand(pairs: DataFrame) -> DataFrame:
-        """(point pair, distance) -> one row per kept candidate key."""
-        return pairs.select("_pt", "_d2", F.explode("_ids").alias("neighbour"))
-
-    w = Window.partitionBy("_pt").orderBy("_d2", "neighbour")
-    # Phase 1: the 3^dims cells around each query point bound its keep-th
-    # distance (keep = k + 1 leaves room to drop the query row itself).
-    near = q
-    for j in range(dims):
-        near = near.withColumn(f"_g{j}", span(F.col(f"_qg{j}") - 1, F.col(f"_qg{j}") + 1, j))
-    d1 = expand(near.join(c, grid).select("_pt", d2.alias("_d2"), "_ids"))
-    bound = (d1.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == keep)
-             .select("_pt", F.col("_d2").alias("_b2")))
-    q2 = materialize(q.join(bound, "_pt", "left")
-                     .withColumn("_rad", F.coalesce(F.sqrt("_b2") * (1 + _EPS) + _EPS,
-                                                    F.lit(float("inf")))), "knn-bounds")
-
-    # Phase 2: every cell meeting the box [proj - r, proj + r] on the grid
-    # directions; the third direction and the full distance filter the rest.
-    band = q2
-    for j in range(dims):
-        band = _cells(band.withColumn("_lo", F.col(f"_qp{j}") - F.col("_rad")), "_lo",
-                      f"_lo{j}", edges[j])
-        band = _cells(band.withColumn("_hi", F.col(f"_qp{j}") + F.col("_rad")), "_hi",
-                      f"_hi{j}", edges[j])
-        band = band.withColumn(f"_g{j}", span(F.col(f"_lo{j}"), F.col(f"_hi{j}"), j))
-    close = F.lit(True)
-    for j in range(m):
-        close = close & (F.abs(F.col(f"_cp{j}") - F.col(f"_qp{j}")) <= F.col("_rad"))
-    pairs = (band.join(c, grid).where(close)
-             .select("_pt", d2.alias("_d2"), "_ids", "_rad")
-             .where(F.col("_d2") <= F.col("_rad") * F.col("_rad")))
-    per_point = (expand(pairs).withColumn("_r", F.row_number().over(w))
-                 .where(F.col("_r") <= keep).select("_pt", "_r", "neighbour", "_d2"))
-
-    # Back to query rows. A point copied in many query rows is a hot join key:
-    # its result rows are replicated over salts and its query rows spread by
-    # a salt of their key; other points use salt 0.
-    hot = F.col("_qmult") > F.lit(_SALTS * keep)
-    pts = q.select("_pt", *qcoords, "_qmult")
-    rows = (q_rows.join(pts, qcoords)
-            .withColumn("_salt", F.when(hot, F.pmod(F.xxhash64("query"), F.lit(_SALTS)))
-                        .otherwise(F.lit(0))))
-    res = (per_point.join(pts.select("_pt", "_qmult"), "_pt")
-           .withColumn("_salt", F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(_SALTS - 1)))
-                                          .otherwise(F.array(F.lit(0))))))
-    joined = rows.select("query", "_pt", "_salt").join(res, ["_pt", "_salt"])
+    x = vector_to_array(F.col(features))
+    ident = F.struct(F.col(key).cast("long").alias("id"), *carry)
+    points = materialize(_distinct_points(candidates.select(x.alias("x"), ident.alias("id"))
+                                          .select("x", "id", *_hashes(F.col("x"))), keep), "knn-points")
+    q_rows = queries.select(F.col(key).alias("query"), x.alias("x")).select("query", "x", *_hashes(F.col("x")))
+    asked = materialize(q_rows.groupBy("h1", "h2").agg(F.any_value("x").alias("x")), "knn-queries")
+    n = points.count()
+    sample = points.orderBy(F.xxhash64(F.lit(3), "h1")).limit(SAMPLE).select("x").toArrow().column("x")
+    nodes = build_tree(_matrix(sample) if n else np.zeros((1, 1)), max(1, min(LEAVES, -(-n // LEAF))))
+    width = _matrix(sample).shape[1] if n else 0
+
+    def place(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(find_leaves(nodes, _matrix(batch.column("x"))), pa.int32())],
+                names=[*batch.schema.names, "leaf"])
+
+    ids_type = dict(points.dtypes)["ids"]
+    held = materialize(points.select("ids", "x").mapInArrow(place, f"ids {ids_type}, x array<double>, leaf int"), "knn-leaves")
+    boxes = held.groupBy("leaf").agg(
+        F.sum(F.size("ids")).alias("n"), *[F.min(F.get("x", F.lit(d))).alias(f"l{d}") for d in range(width)],
+        *[F.max(F.get("x", F.lit(d))).alias(f"u{d}") for d in range(width)]).orderBy("leaf").toPandas()
+    leaf, size = boxes["leaf"].to_numpy(np.int32), boxes["n"].to_numpy(np.int64)
+    low = boxes[[f"l{d}" for d in range(width)]].to_numpy(float)
+    high = boxes[[f"u{d}" for d in range(width)]].to_numpy(float)
+
+    def visits(first: bool):
+        """(query, leaf): in the first round the nearest leaves that hold ``keep`` keys, then the
+        others within the bound."""
+        def go(batches):
+            for batch in batches:
+                q = _matrix(batch.column("x"))
+                if not len(q) or not len(leaf):
+                    continue
+                far = _box_distance(q, low, high)
+                order = np.argsort(far, axis=1, kind="stable")
+                before = np.cumsum(size[order], axis=1) - size[order]
+                start = np.zeros(far.shape, bool)
+                np.put_along_axis(start, order, before < keep, axis=1)
+                if first:
+                    chosen = start
+                else:
+                    radius = np.asarray(batch.column("radius"), np.float64)
+                    chosen = ~start & (far <= radius[:, None] * (1 + 1e-9) + 1e-12)
+                row, at = np.nonzero(chosen)
+                took = pa.array(row)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("h1").take(took), batch.column("h2").take(took), batch.column("x").take(took),
+                     pa.array(leaf[at], pa.int32())], names=["h1", "h2", "x", "leaf"])
+        return go
+
+    shape = "h1 long, h2 long, x array<double>, leaf int"
+    entry = ids_type[len("array<"):-1]
+    found_type = f"h1 long, h2 long, d2 double, neighbour {entry}, vec array<double>"
+
+    def search(frame: DataFrame, name: str) -> DataFrame:
+        frame = materialize(frame, f"{name}-visits")
+        blocks = frame.groupBy("leaf").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("blocks"))
+        one = (frame.join(blocks, "leaf")
+               .withColumn("block", F.pmod(F.xxhash64("h1", "h2"), F.col("blocks")).cast("int")).drop("blocks"))
+        two = held.join(blocks, "leaf").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+        return materialize(one.groupBy("leaf", "block").cogroup(two.groupBy("leaf", "block"))
+                           .applyInArrow(_search(keep), found_type), name)
+
+    start = search(asked.mapInArrow(visits(True), shape), "knn-first")
+    w = Window.partitionBy("h1", "h2").orderBy("d2", "neighbour.id")
+    bound = (start.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == keep)
+             .select("h1", "h2", F.col("d2").alias("radius")))
+    wide = asked.join(bound, ["h1", "h2"], "left").withColumn("radius", F.coalesce("radius", F.lit(float("inf"))))
+    rest = search(wide.select("h1", "h2", "x", "radius").mapInArrow(visits(False), shape), "knn-rest")
+    per_point = (start.unionByName(rest).withColumn("_r", F.row_number().over(w))
+                 .where(F.col("_r") <= keep).drop("_r"))
+    # Back to the rows: a point's result is repeated over the salts, its rows are spread over them.
+    salted = per_point.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    joined = (q_rows.select("query", "h1", "h2", F.pmod(F.xxhash64("query"), F.lit(_SALTS)).cast("int").alias("_salt"))
+              .join(salted, ["h1", "h2", "_salt"]))
     if exclude_self:
-        joined = joined.where(F.col("query") != F.col("neighbour"))
-    wq = Window.partitionBy("query").orderBy("_d2", "neighbour")
-    top = (joined.withColumn("rank", F.row_number().over(wq)).where(F.col("rank") <= k)
-           .select("query", "rank", "neighbour", F.sqrt("_d2").alias("distance")))
-    extra = candidates.select(F.col(key).alias("neighbour"),
-                              F.col(features).alias("neighbour_vec"), *carry)
-    return top.join(extra, "neighbour").select("query", "rank", "neighbour", "distance",
-                                               "neighbour_vec", *carry)
+        joined = joined.where(F.col("query") != F.col("neighbour.id"))
+    wq = Window.partitionBy("query").orderBy("d2", "neighbour.id")
+    return (joined.withColumn("rank", F.row_number().over(wq)).where(F.col("rank") <= k)
+            .select("query", "rank", F.col("neighbour.id").alias("neighbour"), F.sqrt("d2").alias("distance"),
+                    array_to_vector("vec").alias("neighbour_vec"), *[F.col(f"neighbour.{c}").alias(c) for c in carry]))
