@@ -33,18 +33,23 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from attrition.llm.common import MIX, ODD, chunks, documents, materialize, text_bytes
 
 LENGTH = 100
 STEP = 20
-GRAM = 24
+#: Long enough that equal strings are hardly ever chance, however large the corpus.
+GRAM = 40
 BITMAP_BITS = 27
 HOT = 4096
-GROUP_BYTES = 2 << 20
-SHARD_BYTES = 1 << 19
+#: Added to a key's count by segments that repeat a string inside.
+INSIDE = 1 << 32
+GROUP_BYTES = 1 << 20
+SHARD_BYTES = 1 << 18
+#: Text whose segments are worked out at once; the arrays hold some hundred bytes for each of it.
+SLICE_BYTES = 1 << 19
 #: Order of a row without doc_id.
 LAST = (1 << 63) - 1
 
@@ -60,7 +65,7 @@ _POWERS: dict[str, np.ndarray] = {}
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number and of its inverse modulo 2^64, kept for the next call."""
     if len(_POWERS.get("up", ())) < n:
-        n = max(n, 1 << 21)
+        n = max(n, 1 << 20)
         _POWERS["up"] = np.cumprod(np.r_[np.uint64(1), np.full(n, ODD, np.uint64)])
         _POWERS["down"] = np.cumprod(np.r_[np.uint64(1), np.full(n, pow(ODD, -1, 1 << 64), np.uint64)])
     return _POWERS["up"], _POWERS["down"]
@@ -117,19 +122,33 @@ def segments(data: np.ndarray, offsets: np.ndarray):
     return owner[fresh], begin - offsets[owner[fresh]], count, key[fresh].view(np.int64), code.view(np.int64), inside
 
 
+def _batch_segments(batch: pa.RecordBatch, known: np.ndarray | None = None) -> tuple:
+    """Segments of a batch, worked out in small slices; with ``known`` only those of its keys."""
+    parts, row = [], 0
+    for part in chunks(batch, limit=SLICE_BYTES):
+        owner, *rest = segments(*text_bytes(part.column("text")))
+        found = (owner + row, *rest)
+        row += part.num_rows
+        if known is not None:
+            take = _in_bitmap(known, found[3])
+            found = tuple(x[take] for x in found)
+        parts.append(found)
+    return tuple(np.concatenate(x) for x in zip(*parts)) if parts else segments(np.empty(0, np.uint8), np.zeros(1, np.int64))
+
+
 def _count_keys(batches):
     for batch in batches:
-        for part in chunks(batch):
-            _, _, _, key, code, inside = segments(*text_bytes(part.column("text")))
-            order = np.argsort(key, kind="stable")
-            key, code, inside = key[order], code[order], inside[order]
-            first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.empty(0, np.int64)
-            if len(first):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key[first]), pa.array(np.diff(np.r_[first, len(key)])),
-                     pa.array(np.minimum.reduceat(code, first)), pa.array(np.maximum.reduceat(code, first)),
-                     pa.array(np.logical_or.reduceat(inside, first))],
-                    names=["key", "n", "low", "high", "inside"])
+        _, _, _, key, code, inside = _batch_segments(batch)
+        if not len(key):
+            continue
+        order = np.argsort(key)
+        key, code, inside = key[order], code[order], inside[order]
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(key[first]),
+             pa.array(np.diff(np.r_[first, len(key)]) + np.logical_or.reduceat(inside, first) * INSIDE),
+             pa.array(np.minimum.reduceat(code, first)), pa.array(np.maximum.reduceat(code, first))],
+            names=["key", "n", "low", "high"])
 
 
 def _bitmap(keys: DataFrame) -> np.ndarray:
@@ -152,39 +171,43 @@ _FOUND = "kind int, key long, seg long, doc long, hash long, start int, n int, i
 
 
 def _find(repeated: np.ndarray, varied: np.ndarray):
-    """Segments of repeated keys; equal ones of a chunk at once become removed spans (kind 1)."""
+    """Segments of repeated keys; equal ones of a batch at once become removed spans (kind 1)."""
     def find(batches):
         for batch in batches:
-            for part in chunks(batch):
-                data, offsets = text_bytes(part.column("text"))
-                owner, start, n, key, code, inside = segments(data, offsets)
-                take = np.flatnonzero(_in_bitmap(repeated, key))
-                if not len(take):
-                    continue
-                owner, start, n, key, code, inside = (x[take] for x in (owner, start, n, key, code, inside))
-                doc = np.asarray(part.column("doc"))[owner]
-                tie = np.asarray(part.column("hash"))[owner]
-                order = np.lexsort((start, tie, doc, code, key))
-                same = np.r_[False, (key[order][1:] == key[order][:-1]) & (code[order][1:] == code[order][:-1])]
-                kind = np.zeros(len(take), np.int32)
-                kind[order[same]] = 1
-                # A repeated row is no later copy of itself.
-                twin = np.r_[False, same[1:] & (doc[order][1:] == doc[order][:-1]) & (tie[order][1:] == tie[order][:-1])
-                             & (start[order][1:] == start[order][:-1])]
-                head = np.maximum.accumulate(np.where(~same, np.arange(len(order)), 0))
-                itself = same & (doc[order] == doc[order[head]]) & (tie[order] == tie[order[head]]) & (start[order] == start[order[head]])
-                keep = np.ones(len(take), bool)
-                keep[order[twin | itself]] = False
-                text = _in_bitmap(varied, key) & (kind == 0)
-                begin = offsets[owner] + start
-                raw = data.tobytes()
-                texts = [raw[b:b + m] if t else None for b, m, t in zip(begin, n + LENGTH - 1, text)]
-                table = pa.RecordBatch.from_arrays(
-                    [pa.array(kind), pa.array(key), pa.array(code), pa.array(doc, pa.int64()), pa.array(tie, pa.int64()),
-                     pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(inside),
-                     pa.array(texts, pa.binary())],
-                    names=["kind", "key", "seg", "doc", "hash", "start", "n", "inside", "text"])
-                yield table.filter(pa.array(keep))
+            owner, start, n, key, code, inside = _batch_segments(batch, repeated)
+            if not len(key):
+                continue
+            doc = np.asarray(batch.column("doc"))[owner]
+            tie = np.asarray(batch.column("hash"))[owner]
+            order = np.lexsort((start, tie, doc, code, key))
+            same = np.r_[False, (key[order][1:] == key[order][:-1]) & (code[order][1:] == code[order][:-1])]
+            kind = np.zeros(len(key), np.int32)
+            kind[order[same]] = 1
+            # A repeated row is no later copy of itself.
+            place = np.stack([doc, tie, start], 1)[order]
+            head = np.maximum.accumulate(np.where(~same, np.arange(len(order)), 0))
+            twin = same & np.r_[False, (place[1:] == place[:-1]).all(1)]
+            itself = same & (place == place[head]).all(1)
+            keep = np.ones(len(key), bool)
+            keep[order[twin | itself]] = False
+            # Neighbouring removed segments of a text become one row.
+            gone = np.flatnonzero(keep & (kind == 1))
+            if len(gone):
+                joins = np.r_[False, (owner[gone[1:]] == owner[gone[:-1]])
+                              & (start[gone[1:]] == start[gone[:-1]] + n[gone[:-1]])]
+                heads = np.flatnonzero(~joins)
+                n = n.copy()
+                n[gone[heads]] = np.add.reduceat(n[gone], heads)
+                keep[gone[joins]] = False
+            data, offsets = text_bytes(batch.column("text"))
+            begin = offsets[owner] + start
+            text = _in_bitmap(varied, key) & (kind == 0) & keep
+            texts = [data[b:b + m].tobytes() if t else None for b, m, t in zip(begin, n + LENGTH - 1, text)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(kind), pa.array(key), pa.array(code), pa.array(doc, pa.int64()), pa.array(tie, pa.int64()),
+                 pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(inside),
+                 pa.array(texts, pa.binary())],
+                names=["kind", "key", "seg", "doc", "hash", "start", "n", "inside", "text"]).filter(pa.array(keep))
     return find
 
 
@@ -293,41 +316,80 @@ def _identified(docs: DataFrame, *more: str) -> DataFrame:
     return narrow.withColumn("hash", tie)
 
 
+def _window_codes(batches):
+    """Hash of every window of the texts, once per batch."""
+    for batch in batches:
+        texts = batch.column("text").to_pylist()
+        codes = [_codes(t) for t in texts]
+        code, n = np.unique(np.concatenate(codes) if codes else np.empty(0, np.int64), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(code, pa.int64()), pa.array(n, pa.int64())], names=["key", "n"])
+
+
+def _codes(text: bytes) -> np.ndarray:
+    total = _prefix(np.frombuffer(text, np.uint8))
+    start = np.arange(len(text) - LENGTH + 1)
+    return _hash(total, start, start + LENGTH).view(np.int64)
+
+
+def _cut_windows(repeated: np.ndarray):
+    """Windows of the texts whose hash is in the bitmap, as texts of their own."""
+    def cut(batches):
+        for batch in batches:
+            out: dict[str, list] = {k: [] for k in ("doc", "hash", "start", "text", "deal")}
+            for doc, tie, start, text in zip(*(batch.column(c).to_pylist() for c in ("doc", "hash", "start", "text"))):
+                code = _codes(text)
+                for o in np.flatnonzero(_in_bitmap(repeated, code)):
+                    for k, v in (("doc", doc), ("hash", tie), ("start", start + int(o)),
+                                 ("text", text[o:o + LENGTH]), ("deal", int(code[o]))):
+                        out[k].append(v)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(out["doc"], pa.int64()), pa.array(out["hash"], pa.int64()), pa.array(out["start"], pa.int32()),
+                 pa.array(out["text"], pa.binary()), pa.array(out["deal"], pa.int64())], names=list(out))
+    return cut
+
+
 def removed_spans(docs: DataFrame) -> DataFrame:
     """Rows (doc, hash, begin, end): bytes to remove; spans of a document may overlap."""
     source = docs.select("doc", "hash", "text")
-    keys = materialize(source.select("text").mapInArrow(_count_keys, "key long, n long, low long, high long, inside boolean")
-                       .groupBy("key").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"),
-                                           F.max("inside").alias("inside")).where("n > 1 or inside")
-                       .select("key", (F.col("inside") | (F.col("low") != F.col("high"))).alias("varied")), "keys")
+    keys = materialize(source.select("text").mapInArrow(_count_keys, "key long, n long, low long, high long")
+                       .groupBy("key").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+                       .where("n > 1").select("key", ((F.col("n") >= INSIDE) | (F.col("low") != F.col("high"))).alias("varied")),
+                       "keys")
     repeated, varied = _bitmap(keys), _bitmap(keys.where("varied"))
     found = materialize(source.mapInArrow(_find(repeated, varied), _FOUND), "segments")
-    length = LENGTH - 1
-    candidates = found.where("kind = 0")
-    at_once = found.where("kind = 1").select("doc", "hash", F.col("start").cast("long").alias("begin"),
-                                             (F.col("start") + F.col("n") + length).cast("long").alias("end"))
-    firsts = materialize(
-        candidates.groupBy("key", "seg").agg(F.min(F.struct("doc", "hash", "start")).alias("f"), F.max("inside").alias("inside"))
-        .select("key", "seg", "inside", F.col("f.doc").alias("fdoc"), F.col("f.hash").alias("fhash"), F.col("f.start").alias("fstart")), "firsts")
-    met = candidates.drop("text", "inside").join(firsts.drop("inside"), ["key", "seg"])
-    later = met.where("doc <> fdoc or hash <> fhash or start <> fstart").select(
-        "doc", "hash", F.col("start").cast("long").alias("begin"), (F.col("start") + F.col("n") + length).cast("long").alias("end"))
-    several = firsts.groupBy("key").agg(F.count("*").alias("segs"), F.max("inside").alias("any")).where("segs > 1 or any")
-    chosen = firsts.join(several.select("key", "segs"), "key").select(
-        "key", "seg", F.col("fdoc").alias("doc"), F.col("fhash").alias("hash"), F.col("fstart").alias("start"), "segs")
-    texts = materialize(candidates.where(F.col("text").isNotNull()).join(chosen, ["key", "seg", "doc", "hash", "start"])
-                        .select("key", "doc", "hash", "start", "n", "text", "segs").dropDuplicates(["doc", "hash", "start"]), "texts")
-    hot = texts.where(F.col("segs") > HOT)
-    windows = (hot.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-               .select("doc", "hash", (F.col("start") + F.col("o")).alias("start"),
-                       F.expr(f"substring(text, o + 1, {LENGTH})").alias("text"))
-               .withColumn("deal", F.xxhash64("text")))
-    calm = texts.where(F.col("segs") <= HOT).select("doc", "hash", "start", "text", F.xxhash64("key").alias("deal"))
-    size = texts.agg(F.sum(F.length("text") + F.when(F.col("segs") > HOT, F.col("n") * LENGTH).otherwise(0))).first()[0] or 0
+    # One exchange by key serves all that is asked of a key: a segment's first place (within its
+    # copies, of which a batch sends one) and the number of the key's different segments.
+    copies = Window.partitionBy("key", "seg").orderBy("doc", "hash", "start")
+    every = Window.partitionBy("key")
+    at = F.struct("doc", "hash", "start")
+    judged = (found.where("kind = 0").drop("kind").repartition("key")
+              .withColumn("place", F.row_number().over(copies)).withColumn("later", F.first(at).over(copies) != at)
+              .withColumn("segs", F.sum(F.when(F.col("place") == 1, 1).otherwise(0)).over(every))
+              .withColumn("any", F.max("inside").over(every)))
+    judged = materialize(
+        judged.where(F.col("later") | ((F.col("place") == 1) & ((F.col("segs") > 1) | F.col("any"))))
+        .select("key", "doc", "hash", "start", "n", "later", F.when(~F.col("later"), F.col("segs")).alias("segs"),
+                F.when(~F.col("later"), F.col("text")).alias("text")), "judged")
+    spans = (found.where("kind = 1").select("doc", "hash", "start", "n")
+             .unionByName(judged.where("later").select("doc", "hash", "start", "n"))
+             .select("doc", "hash", F.col("start").cast("long").alias("begin"),
+                     (F.col("start") + F.col("n") + LENGTH - 1).cast("long").alias("end")))
+    texts = judged.where("not later and text is not null")
+    hot, calm = texts.where(F.col("segs") > HOT), texts.where(F.col("segs") <= HOT)
+    rows = calm.select("doc", "hash", "start", "text", F.xxhash64("key").alias("deal"))
+    size = calm.agg(F.sum(F.length("text"))).first()[0] or 0
+    if not hot.isEmpty():
+        # Most windows of a key with many different segments occur once: only the others are dealt.
+        codes = (hot.select("text").mapInArrow(_window_codes, "key long, n long").groupBy("key")
+                 .agg(F.sum("n").alias("n")).where("n > 1").select("key"))
+        windows = materialize(hot.select("doc", "hash", "start", "text").mapInArrow(
+            _cut_windows(_bitmap(codes)), "doc long, hash long, start int, text binary, deal long"), "windows")
+        rows = rows.unionByName(windows)
+        size += windows.count() * (LENGTH + STEP)
     groups = max(1, -(-size // GROUP_BYTES))
-    merged = (calm.unionByName(windows).withColumn("group", F.pmod("deal", F.lit(groups))).drop("deal")
+    merged = (rows.withColumn("group", F.pmod("deal", F.lit(groups))).drop("deal")
               .groupBy("group").applyInArrow(_merge_group, "doc long, hash long, begin long, end long"))
-    return at_once.unionByName(later).unionByName(merged)
+    return spans.unionByName(merged)
 
 
 def _joined(spans: list) -> list[tuple[int, int]]:
@@ -341,10 +403,41 @@ def _joined(spans: list) -> list[tuple[int, int]]:
     return out
 
 
-def _with_spans(docs: DataFrame) -> DataFrame:
-    spans = (removed_spans(docs).groupBy("doc", "hash")
-             .agg(F.collect_list(F.struct(F.col("begin").alias("b"), F.col("end").alias("e"))).alias("spans")))
-    return docs.join(spans, ["doc", "hash"], "left")
+def _collected(docs: DataFrame) -> DataFrame:
+    """Spans of each document that has some, in one row: doc, hash, spans; stored."""
+    return materialize(removed_spans(docs).groupBy("doc", "hash").agg(
+        F.collect_list(F.struct(F.col("begin").alias("b"), F.col("end").alias("e"))).alias("spans")), "spans")
+
+
+def _marked(doc: np.ndarray) -> np.ndarray:
+    """Bitmap key of a document."""
+    return _mixed(doc.astype(np.int64).view(np.uint64) + np.uint64(ODD)).view(np.int64)
+
+
+def _marks(batches):
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(_marked(np.asarray(batch.column("doc"))))], names=["key"])
+
+
+def _split(docs: DataFrame, spans: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """``columns`` of documents without spans, and of those that may have some beside ``spans``.
+
+    Which is which is told by a bitmap of fixed size that misses none, so the texts of most
+    untouched documents are not shuffled."""
+    bitmap = _bitmap(spans.select("doc").mapInArrow(_marks, "key long"))
+    wanted = list(dict.fromkeys([*columns, "doc", "hash"]))
+    schema = docs.select(*wanted).schema
+
+    def take(marked: bool):
+        def filtered(batches):
+            for batch in batches:
+                hit = _in_bitmap(bitmap, _marked(np.asarray(batch.column("doc"))))
+                yield batch.filter(pa.array(hit == marked))
+        return filtered
+
+    free = docs.select(*wanted).mapInArrow(take(False), schema).select(*columns)
+    rest = docs.select(*wanted).mapInArrow(take(True), schema).join(spans, ["doc", "hash"], "left")
+    return free, rest.select(*columns, "spans")
 
 
 def _apply(parts: list[tuple[int, int]], raw: bytes) -> bytes:
@@ -375,9 +468,11 @@ def _digest(batches):
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-    found = _with_spans(_identified(docs)).select("doc_id", "text", "spans")
-    kind = dict(found.dtypes)["doc_id"]
-    return found.mapInArrow(_digest, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    order = _identified(docs)
+    free, rest = _split(order, _collected(order), ["doc_id", "text"])
+    none = free.select("*", F.expr("CAST(null AS array<struct<b:bigint,e:bigint>>)").alias("spans"))
+    schema = f"doc_id {dict(free.dtypes)['doc_id']}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    return none.mapInArrow(_digest, schema).unionByName(rest.mapInArrow(_digest, schema))
 
 
 def _characters(spans: list, raw: bytes) -> list[tuple[int, int]]:
@@ -409,14 +504,15 @@ def cut_documents(docs: DataFrame) -> DataFrame:
     columns = docs.columns
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"),
                          F.col("doc_id").alias("doc_id"), F.col("text").alias("text"))
-    found = _with_spans(_identified(packed, "row"))
-    found = found.select(F.struct(*[F.col("row").getField(c).alias(c) for c in columns if c != "text"]).alias("row"),
-                         "text", "spans", F.col("spans").isNotNull().alias("cut"))
-    kind = found.schema["row"].dataType.simpleString()
-    left = found.mapInArrow(_cut, f"row {kind}, left string, cut boolean")
+    order = _identified(packed, "row")
+    free, rest = _split(order, _collected(order), ["row", "text"])
+    found = rest.select(F.struct(*[F.col("row").getField(c).alias(c) for c in columns if c != "text"]).alias("row"),
+                        "text", "spans", F.col("spans").isNotNull().alias("cut"))
+    left = found.mapInArrow(_cut, f"row {found.schema['row'].dataType.simpleString()}, left string, cut boolean")
     left = left.where(~F.col("cut") | (F.trim("left") != ""))
     of = {c: F.col("row").getField(c) for c in columns if c != "text"}
     of["text"] = F.col("left")
     if "n_chars" in of:
         of["n_chars"] = F.when(F.col("cut"), F.length("left").cast(docs.schema["n_chars"].dataType)).otherwise(of["n_chars"])
-    return left.select(*[of[c].alias(c) for c in columns])
+    return (free.select(*[F.col("row").getField(c).alias(c) for c in columns])
+            .unionByName(left.select(*[of[c].alias(c) for c in columns])))
