@@ -254,8 +254,9 @@ def classes(docs: DataFrame, sketched: DataFrame) -> DataFrame:
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .withColumn("one", F.least("block", "other")).withColumn("two", F.greatest("block", "other"))
              .join(sets, "rep").select("band", "key", "one", "two", "rep", "label", "items"))
-    more = dealt.groupBy("band", "key", "one", "two").applyInArrow(_cross_links, "a long, b long")
-    final = components(links.unionByName(more))
+    more = materialize(dealt.groupBy("band", "key", "one", "two").applyInArrow(_cross_links, "a long, b long"), "more")
+    final = first if more.isEmpty() else components(first.select(F.col("node").alias("a"), F.col("component").alias("b"))
+                                                    .unionByName(more))
     return texts.join(final, F.col("rep") == F.col("node"), "left").select(
         "digest", F.coalesce("component", "rep").alias("class_id"))
 
