@@ -12,7 +12,8 @@ from attrition.sources.tables import table_path
 __all__ = ["materialize", "documents", "crc_mod", "read", "chunks", "text_bytes", "table_width", "head_floor",
            "lowered", "word_keys", "END_WORD", "ODD", "MIX"]
 
-CHUNK_BYTES = 2 << 20
+#: Text that a task turns into arrays at once; they hold some hundred bytes for each of it.
+CHUNK_BYTES = 1 << 19
 #: Key that no word has; stands for the end of a text among words.
 END_WORD = 0
 #: Odd multipliers that spread 64-bit hashes.

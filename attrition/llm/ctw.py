@@ -68,7 +68,7 @@ def _tally(batches):
             parts[WORD, True].append((np.array([END_WORD]), np.array([train.sum()])))
             parts[WORD, False].append((np.array([END_WORD]), np.array([(~train).sum()])))
             held += 1
-            if held == 8:
+            if held == 16:
                 yield from _merged(parts)
                 held = 0
         yield from _merged(parts)
@@ -163,8 +163,13 @@ def tree(strings: DataFrame) -> DataFrame:
 class Head:
     """Open-addressing table of int64 keys to float64 values with vectorised lookup."""
 
+    def __reduce__(self):
+        # Tasks get the keys and values and lay out the table themselves.
+        return Head, self.rows
+
     def __init__(self, keys: np.ndarray, values: np.ndarray):
-        self.power = max(4, int(len(keys) * 3).bit_length())
+        self.rows = (keys, values)
+        self.power = max(4, int(len(keys) * 2).bit_length())
         self.keys = np.zeros(1 << self.power, np.int64)
         self.values = np.zeros(1 << self.power)
         self.used = np.zeros(1 << self.power, bool)
