@@ -114,10 +114,15 @@ def digest(plain_lines: Column) -> Column:
     return F.md5(spelled(F.array_join(plain_lines, " ")).cast("binary"))
 
 
+def _table(spark, texts) -> DataFrame:
+    """The fixed list as rows (license, text)."""
+    rows = [F.struct(F.lit(name).alias("license"), F.lit(text).alias("text")) for name, text in texts]
+    return spark.range(1).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
 def known(spark, texts) -> DataFrame:
     """Distinct digests of known texts with their licence."""
-    table = spark.createDataFrame(texts, "license string, text string")
-    return (table.select("license", digest(lines(F.col("text"))).alias("digest"))
+    return (_table(spark, texts).select("license", digest(lines(F.col("text"))).alias("digest"))
             .groupBy("digest").agg(F.min("license").alias("license")))
 
 
@@ -126,7 +131,7 @@ def scan(docs: DataFrame, texts=TEXTS, notices=NOTICES) -> DataFrame:
     distinct licences of its notice lines, comma-joined, else null)."""
     spark = docs.sparkSession
     canonical = documents(docs, "doc_id", "text").select("doc_id", lines(F.col("text")).alias("lines"))
-    sizes = spark.createDataFrame(notices, "license string, text string").select(
+    sizes = _table(spark, notices).select(
         F.length(F.array_join(lines(F.col("text")), " ")).alias("n")).distinct().collect()
     sized = [r["n"] for r in sizes] or [-1]
     whole = canonical.select(
