@@ -1,10 +1,14 @@
 """Embedding near-duplicates: spherical k-means cells, blocked cosine products, one kept per group.
 
-Centroids are fitted on a bounded sample of distinct vectors; every vector is put into its
-``PROBES`` nearest cells. A cell with many vectors is cut into blocks, and each pair of blocks is
-one task of bounded size that multiplies the two blocks and returns link counts and a spanning
-star per local group, never the pairs. A pair that shares several cells is counted in the least
-one. Equal vectors are collapsed first and weigh as many as they are.
+Centroids are fitted on a bounded sample of distinct vectors; those that lie too close together to
+part linked vectors are merged, so a dense cluster is one cell. A vector is at home in the cell of
+its nearest centroid and visits every lower cell in which a vector linked with it can be at home,
+so no pair is lost: two linked unit vectors are at most ``NEAR`` apart, so if one of them is nearer
+to centroid c than to d, the other has at most ``NEAR * |d - c|`` more in common with d than with
+c. A pair is counted in the lower of its two homes. The vectors at home in a cell and its visitors
+are cut into blocks, and each pair of blocks of which one is at home is one task of bounded size
+that multiplies the two blocks and returns link counts and a spanning star per local group, never
+the pairs. Equal vectors are collapsed first and weigh as many as they are.
 
 Only vectors of equal label and equal length are compared. Vectors that are null, zero or hold
 null or non-finite components, and rows with a null label or null vec_id, link with nothing and
@@ -25,10 +29,13 @@ THRESHOLD = 0.98
 #: Vectors (at most) on which the centroids are fitted, and Lloyd rounds.
 SAMPLE = 20_000
 ROUNDS = 8
-#: Distinct vectors a cell should hold, the most cells, and cells a vector is put into.
+#: Distance of two unit vectors whose cosine is THRESHOLD, with room for rounding.
+NEAR = (2 - 2 * THRESHOLD) ** 0.5 + 1e-6
+#: Centroids under this angle are merged: the vectors around them visit both cells anyway.
+MERGED = 2 * np.arccos(THRESHOLD)
+#: Distinct vectors of a label that a cell should hold, and the most cells.
 CELL = 512
 MOST_CELLS = 1024
-PROBES = 4
 BLOCK = 1024
 
 
@@ -64,41 +71,63 @@ def fit_centroids(sample: list, cells: int, seed: int = 3) -> np.ndarray:
         np.add.at(total, near, x)
         filled = np.linalg.norm(total, axis=1) > 1e-12
         centroids[filled] = _unit(total[filled])
-    return centroids
+    return _apart(centroids)
+
+
+def _apart(centroids: np.ndarray) -> np.ndarray:
+    """The centroids without those that lie closer than MERGED to one before them."""
+    kept: list[int] = []
+    for i, likeness in enumerate(centroids @ centroids.T):
+        if not (likeness[kept] > np.cos(MERGED)).any():
+            kept.append(i)
+    return centroids[kept]
+
+
+def places(x: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Home cell of each row, and the lower cells it visits; rows are unit vectors or parts of them."""
+    gap = np.sqrt(np.maximum(2 - 2 * centroids @ centroids.T, 0))
+    home, visits = np.empty(len(x), np.int32), []
+    for k in range(0, len(x), BLOCK):
+        likeness = x[k:k + BLOCK] @ centroids.T
+        own = likeness.argmax(1)
+        home[k:k + BLOCK] = own
+        open_ = likeness.max(1, keepdims=True) - likeness <= NEAR * gap[own]
+        open_ &= np.arange(len(centroids)) < own[:, None]
+        visits += [np.flatnonzero(row).astype(np.int32) for row in open_]
+    return home, visits
 
 
 def _cells(unique: DataFrame, centroids: np.ndarray) -> DataFrame:
     def assign(batches):
-        probes = min(PROBES, len(centroids))
         for batch in batches:
             vectors = batch.column("embedding")
             lengths = np.diff(np.asarray(vectors.offsets))
-            near = np.zeros((batch.num_rows, probes), np.int32)
+            home = np.zeros(batch.num_rows, np.int32)
+            visits: list = [None] * batch.num_rows
             flat = np.asarray(vectors.flatten(), np.float64)
             starts = np.r_[0, np.cumsum(lengths)]
             for n in np.unique(lengths):
                 rows = np.flatnonzero(lengths == n)
                 x = flat[starts[rows][:, None] + np.arange(n)]
-                likeness = _unit(_fitted(_unit(x), centroids.shape[1])) @ centroids.T
-                top = np.argpartition(-likeness, probes - 1, axis=1)[:, :probes]
-                near[rows] = np.sort(top, axis=1)
+                # Cutting components off brings vectors closer together, never apart.
+                home[rows], found = places(_fitted(_unit(x), centroids.shape[1]), centroids)
+                for row, cells in zip(rows, found):
+                    visits[row] = cells
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(list(near), pa.list_(pa.int32()))],
-                names=[*batch.schema.names, "cells"])
+                [*batch.columns, pa.array(home), pa.array(visits, pa.list_(pa.int32()))],
+                names=[*batch.schema.names, "home", "visits"])
 
-    return unique.mapInArrow(assign, "rep long, label string, width int, many long, embedding array<float>, cells array<int>"
+    return unique.mapInArrow(assign, "rep long, label string, width int, many long, embedding array<float>, home int, visits array<int>"
                              .replace("array<float>", dict(unique.dtypes)["embedding"]))
 
 
 def _block_links(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     """Links of one pair of blocks: for each vector the rows it links with and its local root."""
-    cell, one, two = (k.as_py() for k in key[2:])
+    one, two = (k.as_py() for k in key[3:])
     rep = np.asarray(table.column("rep"))
     many = np.asarray(table.column("many"))
     block = np.asarray(table.column("block"))
     x = _unit(_matrix(table.column("embedding")))
-    lists = table.column("cells").combine_chunks()
-    cells = np.asarray(lists.flatten()).reshape(len(rep), -1)
     left = np.flatnonzero(block == one)
     right = left if one == two else np.flatnonzero(block == two)
     links = np.zeros(len(rep), np.int64)
@@ -107,15 +136,8 @@ def _block_links(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     p, q = left[p], right[q]
     p, q = (p[p < q], q[p < q]) if one == two else (p, q)
     if len(p):
-        # The least cell both vectors are in counts the pair.
-        common = np.full(len(p), np.iinfo(np.int32).max, np.int64)
-        for i in range(cells.shape[1]):
-            mine = cells[p, i]
-            shared = (cells[q] == mine[:, None]).any(1)
-            common = np.where(shared, np.minimum(common, mine), common)
-        own = common == cell
-        np.add.at(links, p[own], many[q[own]])
-        np.add.at(links, q[own], many[p[own]])
+        np.add.at(links, p, many[q])
+        np.add.at(links, q, many[p])
         order = np.argsort(rep, kind="stable")
         rank = np.empty(len(rep), np.int64)
         rank[order] = np.arange(len(rep))
@@ -148,23 +170,28 @@ def link(vectors: DataFrame) -> DataFrame:
         marked.where("label is not null").groupBy("label", "h1", "h2")
         .agg(F.min("vec_id").alias("rep"), F.count("*").alias("many"), F.any_value("embedding").alias("embedding")),
         "vectors")
-    count = unique.count()
-    if count == 0:
+    if unique.isEmpty():
         return narrow.select("vec_id", F.lit(0).cast("long").alias("n_links"),
                              F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+    # Only vectors of one label and length are compared, so the largest of these groups sets the cells.
+    largest = unique.groupBy("label", F.size("embedding")).count().agg(F.max("count")).first()[0]
     sample = unique.orderBy(F.xxhash64(F.lit(17), "rep")).limit(SAMPLE).select("embedding").collect()
     centroids = fit_centroids([r["embedding"] for r in sample],
-                              max(1, min(MOST_CELLS, -(-count // CELL))))
+                              min(MOST_CELLS, -(-largest // CELL)))
     placed = materialize(_cells(unique.select("rep", "label", F.size("embedding").alias("width"), "many", "embedding"),
                                 centroids), "cells")
-    spots = placed.withColumn("cell", F.explode("cells"))
-    blocks = (spots.groupBy("label", "width", "cell").agg(F.count("*").alias("n"))
-              .select("label", "width", "cell", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
+    # Blocks of those at home come first; those of visitors meet no visitors.
+    spots = placed.select("*", F.col("home").alias("cell"), F.lit(False).alias("guest")).unionByName(
+        placed.select("*", F.explode("visits").alias("cell"), F.lit(True).alias("guest"))).drop("home", "visits")
+    cut = lambda guest: F.ceil(F.count_if(F.col("guest") == guest) / BLOCK).cast("int")
+    blocks = spots.groupBy("label", "width", "cell").agg(cut(False).alias("own"), cut(True).alias("guests")).where("own > 0")
+    share = F.xxhash64(F.lit(23), "rep")
     dealt = (spots.join(blocks, ["label", "width", "cell"])
-             .withColumn("block", F.pmod(F.xxhash64(F.lit(23), "rep"), F.col("blocks")).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .withColumn("block", F.when(F.col("guest"), F.col("own") + F.pmod(share, F.col("guests")))
+                         .otherwise(F.pmod(share, F.col("own"))).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("own") - 1 + F.when(F.col("guest"), 0).otherwise(F.col("guests")))))
              .withColumn("one", F.least("block", "other")).withColumn("two", F.greatest("block", "other")))
-    found = materialize(dealt.select("label", "width", "cell", "one", "two", "block", "rep", "many", "embedding", "cells")
+    found = materialize(dealt.select("label", "width", "cell", "one", "two", "block", "rep", "many", "embedding")
                         .groupBy("label", "width", "cell", "one", "two")
                         .applyInArrow(_block_links, "rep long, links long, root long"), "links")
     group = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))

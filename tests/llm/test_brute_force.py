@@ -164,6 +164,23 @@ def test_embedding_links(spark, monkeypatch):
     assert got[906]["component_id"] == 905 and got[906]["n_links"] == 1
 
 
+def test_embedding_links_inside_a_dense_cluster(spark, monkeypatch):
+    """Distinct vectors that are all near each other, many cells' worth of them, beside spread ones."""
+    monkeypatch.setattr(vectors, "BLOCK", 64)
+    monkeypatch.setattr(vectors, "CELL", 20)
+    rng = np.random.default_rng(8)
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    dense = unit(unit(rng.normal(size=(1, 16))) + rng.normal(size=(500, 16)) * 0.03)
+    loose = unit(rng.normal(size=(1, 16))) + rng.normal(size=(300, 16)) * 0.06
+    x = np.float32(np.vstack([dense, loose, rng.normal(size=(400, 16))]))
+    frame = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int")
+    x = unit(x.astype(np.float64))
+    linked = x @ x.T >= 0.98
+    np.fill_diagonal(linked, False)
+    got = {r["vec_id"]: r["n_links"] for r in vectors.link(frame.repartition(3)).collect()}
+    assert [got[i] for i in range(len(x))] == linked.sum(1).tolist() and linked.sum() > 100_000
+
+
 def base_scores(texts, held):
     count = Counter()
     for i, t in texts.items():
