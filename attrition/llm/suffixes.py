@@ -20,7 +20,9 @@ hold a repeat. They are known to the tasks as a bitmap of fixed size, which lets
 others at no harm. (2) Of equal segments the first one stays and all windows of the others go.
 (3) Different segments of one key, and segments that repeat a string inside, are dealt by key
 into groups of bounded size, and there the transforms are merged. A key with more than ``HOT``
-different segments is cut into its windows, which are dealt by their own hash instead.
+different segments, or more than ``GROUP_BYTES`` of them, is cut into its windows, which are dealt
+by their own hash instead. Of equal windows only the first and the last go to the transforms,
+whatever their number; those between become removed spans by their places.
 
 Defined results: null text is empty; texts under 100 bytes keep everything; rows that repeat
 doc_id and text are one document and get the same result; rows that share a doc_id otherwise are
@@ -33,7 +35,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attrition.llm.common import MIX, ODD, chunks, documents, materialize, text_bytes
@@ -285,11 +287,7 @@ def repeated_windows(texts: list[bytes]) -> np.ndarray:
     sure = valid[again] & valid[first]
     again, first = again[sure], first[sure]
     # Blocks were told by their hashes: look at the bytes before anything is removed.
-    span = np.arange(LENGTH)
-    equal = np.ones(len(again), bool)
-    for k in range(0, len(again), 1 << 14):
-        part = slice(k, k + (1 << 14))
-        equal[part] = (data[again[part, None] + span] == data[first[part, None] + span]).all(1)
+    equal = _equal(data, again, first)
     return np.sort(again[equal]) - STEP * owner[np.sort(again[equal])]
 
 
@@ -331,20 +329,52 @@ def _codes(text: bytes) -> np.ndarray:
     return _hash(total, start, start + LENGTH).view(np.int64)
 
 
+def _equal(data: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Whether the LENGTH bytes from each place of ``one`` and ``two`` are the same."""
+    span, out = np.arange(LENGTH), np.ones(len(one), bool)
+    for k in range(0, len(one), 1 << 14):
+        part = slice(k, k + (1 << 14))
+        out[part] = (data[one[part, None] + span] == data[two[part, None] + span]).all(1)
+    return out
+
+
+_WINDOWS = "kind int, doc long, hash long, begin long, end long, text binary, deal long"
+
+
 def _cut_windows(repeated: np.ndarray):
-    """Windows of the texts whose hash is in the bitmap, as texts of their own."""
+    """Windows of the texts whose hash is in the bitmap: the first of equal ones as a text of its own
+    (kind 0), runs of later ones as removed spans (kind 1)."""
     def cut(batches):
         for batch in batches:
-            out: dict[str, list] = {k: [] for k in ("doc", "hash", "start", "text", "deal")}
-            for doc, tie, start, text in zip(*(batch.column(c).to_pylist() for c in ("doc", "hash", "start", "text"))):
-                code = _codes(text)
-                for o in np.flatnonzero(_in_bitmap(repeated, code)):
-                    for k, v in (("doc", doc), ("hash", tie), ("start", start + int(o)),
-                                 ("text", text[o:o + LENGTH]), ("deal", int(code[o]))):
-                        out[k].append(v)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out["doc"], pa.int64()), pa.array(out["hash"], pa.int64()), pa.array(out["start"], pa.int32()),
-                 pa.array(out["text"], pa.binary()), pa.array(out["deal"], pa.int64())], names=list(out))
+            for part in chunks(batch, limit=SLICE_BYTES):
+                data, offsets = text_bytes(part.column("text"))
+                windows = np.diff(offsets) - LENGTH + 1
+                owner = np.repeat(np.arange(len(windows)), windows)
+                at = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows) + offsets[owner]
+                code = _hash(_prefix(data), at, at + LENGTH).view(np.int64)
+                take = np.flatnonzero(_in_bitmap(repeated, code))
+                if not len(take):
+                    continue
+                owner, at, code = owner[take], at[take], code[take]
+                doc, tie, base = (np.asarray(part.column(c)).astype(np.int64)[owner] for c in ("doc", "hash", "start"))
+                start = base + at - offsets[owner]
+                order = np.lexsort((start, tie, doc, code))
+                same = np.r_[False, code[order][1:] == code[order][:-1]]
+                head = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))]
+                later = np.zeros(len(order), bool)
+                again = np.flatnonzero(same)
+                later[order[again]] = _equal(data, at[order[again]], at[head[again]])
+                gone, first = np.flatnonzero(later), np.flatnonzero(~later)
+                fresh = np.flatnonzero(np.r_[True, (np.diff(owner[gone]) != 0) | (np.diff(start[gone]) != 1)][:len(gone)])
+                last = gone[np.r_[fresh[1:], len(gone)] - 1] if len(gone) else gone
+                gone = gone[fresh]
+                rows = np.r_[first, gone]
+                texts = [data[b:b + LENGTH].tobytes() for b in at[first]] + [None] * len(gone)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.r_[np.zeros(len(first), np.int32), np.ones(len(gone), np.int32)]), pa.array(doc[rows]),
+                     pa.array(tie[rows]), pa.array(start[rows]), pa.array(start[np.r_[first, last]] + LENGTH),
+                     pa.array(texts, pa.binary()), pa.array(code[rows])],
+                    names=["kind", "doc", "hash", "begin", "end", "text", "deal"])
     return cut
 
 
@@ -357,35 +387,42 @@ def removed_spans(docs: DataFrame) -> DataFrame:
                        "keys")
     repeated, varied = _bitmap(keys), _bitmap(keys.where("varied"))
     found = materialize(source.mapInArrow(_find(repeated, varied), _FOUND), "segments")
-    # One exchange by key serves all that is asked of a key: a segment's first place (within its
-    # copies, of which a batch sends one) and the number of the key's different segments.
-    copies = Window.partitionBy("key", "seg").orderBy("doc", "hash", "start")
-    every = Window.partitionBy("key")
-    at = F.struct("doc", "hash", "start")
-    judged = (found.where("kind = 0").drop("kind").repartition("key")
-              .withColumn("place", F.row_number().over(copies)).withColumn("later", F.first(at).over(copies) != at)
-              .withColumn("segs", F.sum(F.when(F.col("place") == 1, 1).otherwise(0)).over(every))
-              .withColumn("any", F.max("inside").over(every)))
-    judged = materialize(
-        judged.where(F.col("later") | ((F.col("place") == 1) & ((F.col("segs") > 1) | F.col("any"))))
-        .select("key", "doc", "hash", "start", "n", "later", F.when(~F.col("later"), F.col("segs")).alias("segs"),
-                F.when(~F.col("later"), F.col("text")).alias("text")), "judged")
-    spans = (found.where("kind = 1").select("doc", "hash", "start", "n")
-             .unionByName(judged.where("later").select("doc", "hash", "start", "n"))
+    # What is asked of equal segments and of a key is summed before it is dealt, and rows are told
+    # from the first of their kind by their places, so no key or segment is gathered in a task.
+    place = ["doc", "hash", "start"]
+    same = found.where("kind = 0")
+    first = same.groupBy("key", "seg").agg(F.min(F.struct(*place)).alias("at"), F.max("n").alias("n"))
+    # At most one key for HOT segments or GROUP_BYTES of text.
+    crowded = (first.groupBy("key").agg(F.count("*").alias("segs"), F.sum(F.col("n") + LENGTH - 1).alias("bytes"))
+               .where((F.col("segs") > HOT) | ((F.col("segs") > 1) & (F.col("bytes") > GROUP_BYTES)))
+               .select("key", F.lit(True).alias("hot")))
+    marks = first.join(F.broadcast(crowded), "key", "left").select("at.*", F.coalesce("hot", F.lit(False)).alias("hot"))
+    judged = materialize(same.join(marks, place, "left").where("hot is null or text is not null")
+                         .select("key", *place, "n", "hot", F.when(F.col("hot").isNotNull(), F.col("text")).alias("text")), "judged")
+    spans = (found.where("kind = 1").select(*place, "n")
+             .unionByName(judged.where("hot is null").select(*place, "n"))
              .select("doc", "hash", F.col("start").cast("long").alias("begin"),
                      (F.col("start") + F.col("n") + LENGTH - 1).cast("long").alias("end")))
-    texts = judged.where("not later and text is not null")
-    hot, calm = texts.where(F.col("segs") > HOT), texts.where(F.col("segs") <= HOT)
-    rows = calm.select("doc", "hash", "start", "text", F.xxhash64("key").alias("deal"))
+    # A repeated row is no later copy of itself.
+    texts = judged.where("hot is not null").dropDuplicates(place)
+    hot, calm = texts.where("hot"), texts.where("not hot")
+    rows = calm.select(*place, "text", F.xxhash64("key").alias("deal"))
     size = calm.agg(F.sum(F.length("text"))).first()[0] or 0
-    if not hot.isEmpty():
+    if not judged.where("hot").isEmpty():
         # Most windows of a key with many different segments occur once: only the others are dealt.
+        hot = materialize(hot.select(*place, "text"), "hot")
         codes = (hot.select("text").mapInArrow(_window_codes, "key long, n long").groupBy("key")
                  .agg(F.sum("n").alias("n")).where("n > 1").select("key"))
-        windows = materialize(hot.select("doc", "hash", "start", "text").mapInArrow(
-            _cut_windows(_bitmap(codes)), "doc long, hash long, start int, text binary, deal long"), "windows")
-        rows = rows.unionByName(windows)
-        size += windows.count() * (LENGTH + STEP)
+        windows = materialize(hot.mapInArrow(_cut_windows(_bitmap(codes)), _WINDOWS), "windows")
+        at = F.struct("doc", "hash", "begin")
+        ends = windows.where("kind = 0").groupBy("deal", "text").agg(F.min(at).alias("first"), F.max(at).alias("last"))
+        ends = materialize(ends.select("deal", "text", (F.col("first") != F.col("last")).alias("several"),
+                                       F.explode(F.array_distinct(F.array("first", "last"))).alias("at"))
+                           .select("deal", "text", "several", "at.*"), "ends")
+        rows = rows.unionByName(ends.where("several").select("doc", "hash", F.col("begin").cast("int").alias("start"), "text", "deal"))
+        between = windows.where("kind = 0").join(ends.select("doc", "hash", "begin"), ["doc", "hash", "begin"], "left_anti")
+        spans = spans.unionByName(windows.where("kind = 1").unionByName(between).select("doc", "hash", "begin", "end"))
+        size += ends.where("several").count() * (LENGTH + STEP)
     groups = max(1, -(-size // GROUP_BYTES))
     merged = (rows.withColumn("group", F.pmod("deal", F.lit(groups))).drop("deal")
               .groupBy("group").applyInArrow(_merge_group, "doc long, hash long, begin long, end long"))

@@ -87,6 +87,27 @@ def test_repeated_strings(spark, monkeypatch, hot):
     assert {r["doc_id"]: tuple(r)[1:] for r in got} == expected
 
 
+def test_one_passage_in_many_documents_makes_no_large_group(spark, monkeypatch):
+    """A passage with other words around it each time: its windows are as many as the documents."""
+    monkeypatch.setattr(suffixes, "GROUP_BYTES", 4000)
+    monkeypatch.setattr(suffixes, "HOT", 16)
+    real = suffixes._merge_group
+
+    def bounded(key, table):
+        assert sum(map(len, table.column("text").to_pylist())) <= 20_000
+        return real(key, table)
+
+    monkeypatch.setattr(suffixes, "_merge_group", bounded)
+    rng = random.Random(12)
+    write = lambda k: "".join(rng.choice("abcdefgh ") for _ in range(k))
+    passage = write(130)
+    rows = [(i, write(rng.randint(0, 60)) + passage + write(rng.randint(0, 60))) for i in range(400)]
+    rows += rows[:3] + [(500 + i, "-" * (100 + 7 * i)) for i in range(40)]
+    expected = removed_by_hand(dict(rows).items())
+    got = suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {r["doc_id"]: tuple(r)[1:] for r in got} == expected and len(got) == len(rows)
+
+
 def test_merged_transforms_equal_one_sort(monkeypatch):
     texts = [t.encode() for t in made_documents(5, 40) if len(t.encode()) >= 100]
     monkeypatch.setattr(suffixes, "SHARD_BYTES", 1 << 30)
