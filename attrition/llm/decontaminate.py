@@ -2,7 +2,8 @@
 
 A mask names the token positions of a window that count; the others may differ. Every window of
 every benchmark item and of every document is hashed under each mask, and equal hashes are
-joined. A hit fixes an alignment of document and item; on it the item's tokens are compared one
+joined. The masks are chosen by enumeration so that wherever up to ``SUBSTITUTIONS`` tokens differ,
+one of them fits between: no pair that is to be reported is missed. A hit fixes an alignment of document and item; on it the item's tokens are compared one
 by one, and the pair is reported when some ``WINDOW`` aligned tokens in a row hold at most
 ``SUBSTITUTIONS`` differences (an item shorter than that is compared as a whole).
 
@@ -11,7 +12,7 @@ and found to be at most ``BROADCAST_ROWS``; beyond that the planner joins by shu
 collapsed to one row per (document, item, alignment) before any shuffle.
 
 Defined results: null or empty texts and documents shorter than a mask have no hit; items with
-fewer tokens than the masks span cannot be found. Documents are told apart by doc_id and text;
+fewer than ``SPAN`` tokens are not looked for. Documents are told apart by doc_id and text;
 repeated rows give one result row. Only contaminated (document, item) pairs are returned.
 """
 
@@ -22,7 +23,12 @@ from pyspark.sql import functions as F
 
 from attrition.llm.common import documents, materialize
 
-#: Positions that count in a window of SPAN tokens, one tuple per mask.
+#: Positions that count, one tuple per mask: every 3 differences in WINDOW tokens leave one of these
+#: whole somewhere; for items of SPAN to WINDOW - 1 tokens, every 3 in SPAN tokens one of those.
+SEEDS = ((0, 1, 3, 5, 6, 7), (0, 1, 2, 5, 8, 9), (0, 1, 2, 3, 4, 5), (0, 1, 4, 6, 9, 10), (0, 1, 3, 4, 8, 9),
+         (0, 1, 6, 7, 9, 11))
+SHORT_SEEDS = ((0, 1, 3, 4), (0, 1, 5, 6), (0, 1, 2, 3), (0, 2, 4, 8), (0, 1, 7, 8))
+#: Masks of the SQL, in a window of SPAN tokens; they miss some of the pairs.
 MASKS = ((0, 1, 3, 4, 6, 8), (0, 2, 3, 5, 7, 8), (0, 1, 2, 5, 6, 8))
 SPAN = 9
 WINDOW = 13
@@ -35,14 +41,15 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
 
 
-def _windows(frame: DataFrame) -> DataFrame:
-    """One row per window and mask: ``at`` and ``seed``; ``frame`` has ``words``."""
-    last = F.size("words") - SPAN
+def _windows(frame: DataFrame, masks: dict[int, tuple[int, ...]]) -> DataFrame:
+    """One row per window and mask that fits: ``at`` and ``seed``; ``frame`` has ``words``."""
+    last = F.size("words") - 1 - min(mask[-1] for mask in masks.values())
     starts = F.when(last >= 0, F.sequence(F.lit(0), last))
     frame = frame.withColumn("at", F.explode(starts))
-    seeds = [F.xxhash64(F.lit(n), *[F.get("words", F.col("at") + o) for o in mask])
-             for n, mask in enumerate(MASKS)]
-    return frame.withColumn("seed", F.explode(F.array(*seeds)))
+    seeds = [F.when(F.col("at") + mask[-1] < F.size("words"),
+                    F.xxhash64(F.lit(n), *[F.get("words", F.col("at") + o) for o in mask]))
+             for n, mask in masks.items()]
+    return frame.withColumn("seed", F.explode(F.array(*seeds))).where("seed is not null")
 
 
 def _best_run(equal: Column) -> Column:
@@ -56,14 +63,21 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Contaminated pairs: doc_id, item_id, n_equal, n_aligned, best_run, item_words."""
     items = materialize(documents(benchmark, "item_id", "text").select("item_id", words(F.col("text")).alias("words"))
                         .where(F.size("words") >= SPAN).distinct(), "items")
-    seeds = materialize(_windows(items).select("seed", "item_id", F.col("at").alias("item_at"), "words")
+    masks = dict(enumerate(SEEDS))
+    short = dict(enumerate(SHORT_SEEDS, len(SEEDS)))
+    brief = F.size("words") < WINDOW
+    windows = _windows(items.where(~brief), masks)
+    if not items.where(brief).isEmpty():
+        windows = windows.unionByName(_windows(items.where(brief), short))
+        masks |= short
+    seeds = materialize(windows.select("seed", "item_id", F.col("at").alias("item_at"), "words")
                         .withColumn("n_item", F.size("words"))
                         .withColumn("item_key", F.xxhash64("item_id", "words")).drop("words").distinct(), "seeds")
     small = seeds.count() <= BROADCAST_ROWS
     bound = F.broadcast if small else (lambda x: x)
     texts = documents(docs, "doc_id", "text").select(
         "doc_id", F.xxhash64("text").alias("text_key"), words(F.col("text")).alias("words"))
-    hits = _windows(texts).join(bound(seeds), "seed")
+    hits = _windows(texts, masks).join(bound(seeds), "seed")
     off = F.col("at") - F.col("item_at")
     first = F.greatest(off, F.lit(0))
     length = F.least(F.col("n_item") - F.greatest(-off, F.lit(0)), F.size("words") - first)

@@ -1,6 +1,7 @@
 """The operators against brute-force versions on small tables."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -10,7 +11,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from attrition.llm import ctw, langid, neardup, quality, suffixes, urls, vectors
+from attrition.llm import ctw, decontaminate, langid, neardup, quality, suffixes, urls, vectors
 from attrition.llm.common import read
 
 SF = "/root/testdata/sf0.001"
@@ -202,6 +203,31 @@ def test_embedding_links_inside_a_dense_cluster(spark, monkeypatch):
     assert [got[i] for i in range(len(x))] == linked.sum(1).tolist() and linked.sum() > 100_000
 
 
+def overlaps_by_hand(doc, item):
+    """Whether some alignment has at most 3 differences in 13 tokens in a row, or in a whole shorter item."""
+    n = min(13, len(item))
+    return any(sum(doc[d + k] == item[i + k] for k in range(n)) >= n - 3
+               for i in range(len(item) - n + 1) for d in range(len(doc) - n + 1))
+
+
+def test_every_placement_of_substitutions(spark):
+    rng = random.Random(9)
+    items = {n: [f"i{n}x{k}" for k in range(n)] for n in (9, 10, 12, 13, 15)}
+    docs = []
+    for n, item in items.items():
+        for size in (3, 4):
+            places = list(itertools.combinations(range(n), size))
+            for gone in places if size == 3 else rng.sample(places, 40):
+                docs.append([f"a{rng.randrange(99)}"] * rng.randrange(3) + ["zz" if k in gone else w for k, w in enumerate(item)])
+    # Overlaps of 13 tokens with the end of the longest item.
+    docs += [["zz" if k in gone else w for k, w in enumerate(items[15][2:])] for gone in itertools.combinations(range(13), 3)]
+    expected = {(d, n) for d, doc in enumerate(docs) for n, item in items.items() if overlaps_by_hand(doc, item)}
+    got = decontaminate.overlaps(
+        spark.createDataFrame([(d, " ".join(doc)) for d, doc in enumerate(docs)], "doc_id long, text string"),
+        spark.createDataFrame([(n, " ".join(item)) for n, item in items.items()], "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == expected and len(expected) > 1300
+
+
 def base_scores(texts, held):
     count = Counter()
     for i, t in texts.items():
