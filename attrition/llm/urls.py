@@ -20,15 +20,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attrition.llm.common import documents, head_floor, materialize
+from attrition.llm.common import documents, materialize
 
 # The rules as (rule, verdict).
 RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"),
          ("com/fr/", "allow"), ("com/de/", "block")]
 
-#: Most words of the unigram dictionary: those of all pages down to a power-of-two count.
-DICTIONARY = 100_000
+#: Longest word, and strings that a task holds before it passes them on.
 LONGEST = 24
+HELD = 200_000
 _LOWER = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -56,19 +56,50 @@ def matching_rule(host_: Column, path_: Column, rules) -> Column:
     return F.coalesce(*cases)
 
 
-def unigrams(pages: DataFrame, size: int = DICTIONARY) -> dict[str, int]:
-    """Counts of the most frequent a-z words in all page texts outside of tags, ``size`` at most."""
+def _words(pages: DataFrame) -> DataFrame:
+    """Counts of all a-z words in all page texts outside of tags."""
     plain = F.translate(F.regexp_replace(F.col("html"), r"<[^>]*>", " "), *_LOWER)
-    words = (pages.select(F.explode(F.split(plain, r"[^a-z]+")).alias("word"))
-             .where(F.length("word").between(1, LONGEST)).groupBy("word").count())
-    words = materialize(words, "words")
-    top = words.where(F.col("count") >= head_floor(words, "count", size))
-    return {r["word"]: r["count"] for r in top.collect()}
-
-
-def segmenter(counts: dict[str, int]):
-    """Viterbi splitter of a-z runs; a character outside all words costs as a rare word."""
-    total = sum(counts.values()) + 1
+    return (pages.select(F.explode(F.split(plain, r"[^a-z]+")).alias("word"))
+            .where(F.length("word").between(1, LONGEST)).groupBy("word").count())
+
+
+def unigrams(pages: DataFrame) -> dict[str, int]:
+    """All words of ``pages`` and their counts."""
+    return {r["word"]: r["count"] for r in _words(pages).collect()}
+
+
+def _inside(batches):
+    """Strings of up to LONGEST letters inside the a-z runs of hosts and paths."""
+    runs: set[str] = set()
+    found: set[str] = set()
+    pack = lambda x: pa.RecordBatch.from_arrays([pa.array(list(x), pa.string())], names=["word"])
+    for batch in batches:
+        for h, p in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist()):
+            for run in _RUNS.findall(h) + _RUNS.findall(p.lower()):
+                if run in runs or not "a" <= run[0] <= "z":
+                    continue
+                runs.add(run)
+                for start in range(len(run)):
+                    found.update(run[start:end] for end in range(start + 1, min(len(run), start + LONGEST) + 1))
+                    if len(found) > HELD:
+                        yield pack(found)
+                        found, runs = set(), set()
+    yield pack(found)
+
+
+def dictionary(pages: DataFrame, names: DataFrame) -> tuple[dict[str, int], int]:
+    """Counts of the words that occur inside the hosts and paths of ``names``, which are all that a
+    segmentation can use, and the number of words in all page texts."""
+    words = materialize(_words(pages), "words")
+    total = words.agg(F.sum("count")).first()[0] or 0
+    used = words.join(names.select("host", "path").mapInArrow(_inside, "word string").distinct(), "word", "left_semi")
+    return {r["word"]: r["count"] for r in used.collect()}, total
+
+
+def segmenter(counts: dict[str, int], total: int | None = None):
+    """Viterbi splitter of a-z runs; a character outside all words costs as a rare word. ``total`` is
+    the number of words counted, if ``counts`` does not hold them all."""
+    total = (sum(counts.values()) if total is None else total) + 1
     price = {w: math.log(total) - math.log(c) for w, c in counts.items()}
     unknown = math.log(total) + math.log(10)
     longest = max(map(len, price), default=1)
@@ -111,19 +142,19 @@ def tokens(host_: str, path_: str, split) -> list[str]:
     return out
 
 
-def judge(pages: DataFrame, rules=RULES, dictionary: int = DICTIONARY) -> DataFrame:
+def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     """Every page: page_id, host, path, rule, verdict, p_block.
 
-    The dictionary has a fixed size and the naive Bayes vocabulary is made of its words, so both
-    models are bounded. Scoring is map-only; names are split once per task and distinct run."""
+    The dictionary holds every word of the page texts that occurs inside some host or path, whatever
+    its count, and the naive Bayes vocabulary is made of its words. Scoring is map-only; names are split once per task and distinct run."""
     narrow = documents(pages, "page_id", "url")
     parts = narrow.select("page_id", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
     parts = parts.withColumn("rule", matching_rule(F.col("host"), F.col("path"), rules))
-    words = unigrams(documents(pages, "html"), dictionary)
+    words, total = dictionary(documents(pages, "html"), parts)
     verdict_of = dict(rules)
 
     def count(batches):
-        split = segmenter(words)
+        split = segmenter(words, total)
         seen: dict[str, Counter] = {"allow": Counter(), "block": Counter()}
         for batch in batches:
             for h, p, r in zip(*(batch.column(c).to_pylist() for c in ("host", "path", "rule"))):
@@ -149,7 +180,7 @@ def judge(pages: DataFrame, rules=RULES, dictionary: int = DICTIONARY) -> DataFr
     start = math.log(prior[1] + 1) - math.log(prior[0] + 1) if sum(prior) else 0.0
 
     def score(batches):
-        split = segmenter(words)
+        split = segmenter(words, total)
         for batch in batches:
             p_block = []
             for h, p in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist()):

@@ -396,3 +396,22 @@ def test_naive_bayes_odds(spark):
                 odds += math.log((seen["block"][t] + 1) / (sum(seen["block"].values()) + vocabulary)
                                  / (seen["allow"][t] + 1) * (sum(seen["allow"].values()) + vocabulary))
         assert r["p_block"] == pytest.approx(1 / (1 + math.exp(-odds)), rel=1e-6, abs=1e-12)
+
+
+def test_rare_words_stay_in_a_large_vocabulary(spark):
+    """A word seen once still splits a host when the pages hold more than 100,000 other words."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    name = lambda i: "q" + "".join(letters[i // 26 ** k % 26] for k in range(4))
+    many = " ".join(f"{name(i)} {name(i)}" for i in range(110_000))
+    rows = [(1, "http://bluebadger.com/fr/", "<p>blue badger</p>"), (2, "http://rest.com/de/", many),
+            (3, "http://badger.net/x", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r for r in urls.judge(pages).collect()}
+    split, seen = urls.segmenter(urls.unigrams(pages)), {"allow": Counter(), "block": Counter()}
+    assert split("bluebadger") == ("blue", "badger")
+    for i in (1, 2):
+        seen[got[i]["verdict"]].update(urls.tokens(got[i]["host"], got[i]["path"], split))
+    size, vocabulary = {k: sum(c.values()) for k, c in seen.items()}, len({*seen["allow"], *seen["block"]}) + 1
+    odds = sum(math.log((seen["block"][t] + 1) / (size["block"] + vocabulary) / (seen["allow"][t] + 1) * (size["allow"] + vocabulary))
+               for t in urls.tokens("badger.net", "/x", split) if t in seen["allow"] or t in seen["block"])
+    assert got[3]["p_block"] == pytest.approx(1 / (1 + math.exp(-odds)), rel=1e-6)
