@@ -69,4 +69,19 @@ def materialize(df, name: str = "table"):
     spark = df.sparkSession
     path = os.path.join(checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._scratch = path
+    return out
+
+
+def release(*tables) -> None:
+    """Delete the files of tables that ``materialize`` returned.
+
+    For a caller whose last reader of them is stored: a plan over a released table fails.
+    Other DataFrames are left alone."""
+    for table in tables:
+        path = getattr(table, "_scratch", None)
+        if path:
+            spark = table.sparkSession
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
