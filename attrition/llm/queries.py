@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from attrition.llm import ctw, decontaminate, langid, licences, mixing, neardup, quality, suffixes, urls, vectors
+from attrition.llm import (ctw, decontaminate, langid, licences, mixing, neardup, pq, quality, suffixes, urls,
+                           vectors, whitening)
 from attrition.llm.common import read
 
 QUERIES: dict = {}
@@ -71,3 +72,16 @@ def op8_near_duplicates(spark, sf_dir):
 @query
 def op9_repeated_strings(spark, sf_dir):
     return suffixes.remove_repeats(read(spark, sf_dir, "documents"))
+
+
+@query
+def op12_embedding_whitening(spark, sf_dir):
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_vector_codes(spark, sf_dir):
+    return pq.compress(read(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op13_vector_codes"] = pq.sql()
