@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from attrition.llm import (ctw, decontaminate, langid, licences, mixing, neardup, pq, quality, suffixes, urls,
-                           vectors, whitening)
+from attrition.llm import (automata, ctw, decontaminate, langid, licences, mixing, neardup, pq, quality, suffixes,
+                           urls, vectors, whitening)
 from attrition.llm.common import read
 
 QUERIES: dict = {}
@@ -74,6 +74,14 @@ def op9_repeated_strings(spark, sf_dir):
     return suffixes.remove_repeats(read(spark, sf_dir, "documents"))
 
 
+@query
+def op11_repeated_words(spark, sf_dir):
+    return automata.remove_repeats(read(spark, sf_dir, "documents"))
+
+
+ORACLE["op11_repeated_words"] = automata.sql()
+
+
 @query
 def op12_embedding_whitening(spark, sf_dir):
     return whitening.whiten(read(spark, sf_dir, "embeddings"))
