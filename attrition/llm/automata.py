@@ -2,20 +2,20 @@
 
 The reference texts are dealt into shards of bounded size, and each shard becomes one suffix
 automaton over its words. A state stands for runs of words that end at the same places; its count
-says at how many. States below two are cut off, so what is left reads exactly the runs that occur
-twice or more. Each automaton is broadcast along the shuffle to all blocks of document pieces that
-could match it, and each piece is streamed through it: at every word the walk knows the longest
-run ending there that is repeated (the matching statistics), and the maximal spans of 35 words or
-more are removed. All copies go, the first one too.
-
-Which pieces can match which shard is found without loss. Windows of 35 words that are equal have
-the same least hashed run of 12 words inside, their key. A piece is a run of neighbouring windows
-with one key. (1) Keys are counted over the corpus; only those that occur twice can hold a repeat,
-told to the tasks as a bitmap of fixed size, which lets some others through at no harm. (2) Pieces
-and reference texts are dealt by key. A key whose different texts are more than a shard holds is
-cut again by the least run of 24 words, then by the windows themselves, where one key has one
-text. A shard with many pieces gets many blocks, each with a copy of its automaton. Equal texts
-are counted, not repeated, in a shard.
+says at how many. The pieces of documents that could match a shard are streamed through its
+automaton: at every word the walk knows the longest run ending there that occurs twice or more (the
+matching statistics), and the maximal spans of 35 words or more are removed. All copies go, the
+first one too.
+
+All automata together grow with the corpus, so none is sent to all tasks: pieces are routed to the
+shard that they can match instead, without loss. Windows of 35 words that are equal have the same
+least hashed run of 12 words inside, their key. A piece is a run of neighbouring windows with one
+key. (1) Keys are counted over the corpus; only those that occur twice can hold a repeat, told to
+the tasks as a bitmap of fixed size, which lets some others through at no harm. (2) Equal pieces
+are counted and streamed once; what is found in them goes back to their places over a join by the
+sha256 of their words, those with very many places apart from the rest. (3) A key whose different
+texts are more than a shard holds is cut again by the least run of 24 words, then by the windows
+themselves, where one key has one text.
 
 With ``reference`` given, the words go that the reference repeats instead: a window counts if it
 starts anywhere in the reference, however often in the documents.
@@ -40,16 +40,17 @@ from pyspark.sql import functions as F
 from attrition.llm.common import chunks, documents, materialize, text_bytes
 from attrition.llm.suffixes import (_bitmap, _hash, _identified, _in_bitmap, _joined, _least, _pairs, _prefix,
                                     _split)
-
+from attrition.session import release
 
 LENGTH = 35
 #: Words of the runs that make keys, level by level; at the last one the key is the window.
 GRAMS = (12, 24, LENGTH)
 #: Windows that a piece has at most.
 PIECE = 2048
-#: Text of a reference shard, and of the pieces that one task streams through its automaton.
+#: Different texts of a shard.
 SHARD_BYTES = 1 << 18
-BLOCK_BYTES = 1 << 21
+#: Places of one text from which it is joined apart from the others.
+COPIES = 4096
 #: Text whose pieces are worked out at once.
 SLICE_BYTES = 1 << 19
 #: Bytes from which a word stands as its digest in pieces.
@@ -120,7 +121,7 @@ def _told(word: bytes) -> bytes:
     return word if len(word) <= LONG_WORD else b"\t" + hashlib.sha256(word).digest().hex().encode()
 
 
-_PIECES = "key long, doc long, hash long, start int, many int, text binary"
+_PIECES = "key long, doc long, hash long, start int, many int, digest binary, text binary"
 
 
 def _cut_pieces(repeated: np.ndarray, gram: int):
@@ -142,7 +143,8 @@ def _cut_pieces(repeated: np.ndarray, gram: int):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key), part.column("doc").take(pa.array(own)), part.column("hash").take(pa.array(own)),
                      pa.array((base + start).astype(np.int32)), pa.array(weight.astype(np.int32)),
-                     pa.array(texts, pa.binary())], names=["key", "doc", "hash", "start", "many", "text"])
+                     pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary()), pa.array(texts, pa.binary())],
+                    names=["key", "doc", "hash", "start", "many", "digest", "text"])
     return cut
 
 
@@ -152,20 +154,14 @@ class Automaton:
     def __init__(self):
         self.step, self.link, self.length, self.count = [{}], [-1], [0], [0]
 
-    def _state(self, step: dict, link: int, length: int) -> int:
-        self.step.append(step)
-        self.link.append(link)
-        self.length.append(length)
-        self.count.append(0)
-        return len(self.link) - 1
-
-    def _whole(self, state: int, symbol: int) -> int:
-        """The state of ``state``'s longest run and the symbol, split off if it shares one."""
+    def _split(self, state: int, symbol: int, to: int) -> int:
+        """A state for the longest run of ``state`` and the symbol, which ``to`` holds among longer ones."""
         step, link, length = self.step, self.link, self.length
-        to = step[state][symbol]
-        if length[to] == length[state] + 1:
-            return to
-        copy = self._state(dict(step[to]), link[to], length[state] + 1)
+        copy = len(link)
+        step.append(step[to].copy())
+        link.append(link[to])
+        length.append(length[state] + 1)
+        self.count.append(0)
         link[to] = copy
         while state >= 0 and step[state].get(symbol) == to:
             step[state][symbol] = copy
@@ -176,148 +172,129 @@ class Automaton:
         step, link, length, count = self.step, self.link, self.length, self.count
         last = 0
         for symbol in symbols:
-            if symbol in step[last]:
-                last = self._whole(last, symbol)
-            else:
-                fresh, state = self._state({}, 0, length[last] + 1), last
-                while state >= 0 and symbol not in step[state]:
+            to = step[last].get(symbol)
+            if to is None:
+                fresh, state = len(link), last
+                step.append({})
+                link.append(0)
+                length.append(length[last] + 1)
+                count.append(0)
+                while state >= 0:
+                    to = step[state].get(symbol)
+                    if to is not None:
+                        link[fresh] = to if length[to] == length[state] + 1 else self._split(state, symbol, to)
+                        break
                     step[state][symbol] = fresh
                     state = link[state]
-                if state >= 0:
-                    link[fresh] = self._whole(state, symbol)
                 last = fresh
+            elif length[to] == length[last] + 1:
+                last = to
+            else:
+                last = self._split(last, symbol, to)
             count[last] += weight
 
-    def repeated(self):
-        """States that occur twice, renumbered: link, length, and steps (state, symbol, to)."""
+    def settle(self) -> None:
+        """Counts of all states from those of the ends; to be called once, after all texts."""
         link, count = self.link, self.count
         for state in np.argsort(self.length, kind="stable")[:0:-1].tolist():
             count[link[state]] += count[state]
-        kept = np.array(count) >= 2
-        kept[0] = True
-        number = np.cumsum(kept) - 1
-        steps = [(number[s], symbol, number[to]) for s in np.flatnonzero(kept).tolist()
-                 for symbol, to in self.step[s].items() if kept[to]]
-        links = np.array(link)[kept]
-        links = np.where(links >= 0, number[links], 0)
-        return links, np.array(self.length)[kept], np.array(steps, np.int64).reshape(-1, 3)
 
-
-_MACHINE = "shard int, words binary, link binary, length binary, state binary, symbol binary, to binary"
-
-
-def _build(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """The automaton of a shard's texts, without what occurs once; no row if no window is left."""
+    def spans(self, symbols: list[int], least: int = LENGTH) -> list[tuple[int, int]]:
+        """Maximal spans of ``symbols`` covered by runs of ``least`` or more that occur at least twice."""
+        step, link, length, count = self.step, self.link, self.length, self.count
+        out: list[tuple[int, int]] = []
+        state = run = begin = 0
+        end = -1
+        for i, symbol in enumerate(symbols):
+            to = step[state].get(symbol)
+            while (to is None or count[to] < 2) and state:
+                state = link[state]
+                run = length[state]
+                to = step[state].get(symbol)
+            if to is None or count[to] < 2:
+                run = 0
+                continue
+            state = to
+            run += 1
+            if run >= least:
+                if i - run >= end:
+                    if end >= 0:
+                        out.append((begin, end))
+                    begin = i - run + 1
+                end = i + 1
+        if end >= 0:
+            out.append((begin, end))
+        return out
+
+
+_FOUND = "deal long, digest binary, n long, spans array<struct<b:bigint,e:bigint>>"
+
+
+def _stream(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """Spans of a shard's texts under the automaton of its reference texts."""
     ids: dict[bytes, int] = {}
+    texts = [[ids.setdefault(w, len(ids)) for w in t.split(b" ")] for t in table.column("text").to_pylist()]
     machine = Automaton()
-    for text, n in zip(table.column("text").to_pylist(), table.column("n").to_pylist()):
-        machine.add([ids.setdefault(w, len(ids)) for w in text.split(b" ")], n)
-    link, length, steps = machine.repeated()
-    if length.max(initial=0) < LENGTH:
-        return pa.table({c: [] for c in ("shard", "words", "link", "length", "state", "symbol", "to")},
-                        schema=pa.schema([("shard", pa.int32()), *((c, pa.binary()) for c in ("words", "link", "length", "state", "symbol", "to"))]))
-    used, symbol = np.unique(steps[:, 1], return_inverse=True)
-    words = list(ids)
-    packed = [a.astype(np.int32).tobytes() for a in (link, length, steps[:, 0], symbol, steps[:, 2])]
-    return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "words": pa.array([b" ".join(words[u] for u in used)], pa.binary()),
-                     **{c: pa.array([p], pa.binary()) for c, p in zip(("link", "length", "state", "symbol", "to"), packed)}})
-
-
-def statistics(symbols: list[int], step: dict, link: list, length: list, width: int) -> list[tuple[int, int]]:
-    """Maximal spans of ``symbols`` that the automaton reads in runs of LENGTH or more."""
-    spans: list[tuple[int, int]] = []
-    state = run = begin = 0
-    end = -1
-    for i, symbol in enumerate(symbols):
-        to = step.get(state * width + symbol) if symbol >= 0 else None
-        while to is None and state:
-            state = link[state]
-            run = length[state]
-            to = step.get(state * width + symbol) if symbol >= 0 else None
-        if to is None:
-            run = 0
-            continue
-        state = to
-        run += 1
-        if run >= LENGTH:
-            if i - run >= end:
-                if end >= 0:
-                    spans.append((begin, end))
-                begin = i - run + 1
-            end = i + 1
-    if end >= 0:
-        spans.append((begin, end))
-    return spans
-
-
-def _stream(key: tuple[pa.Scalar, ...], pieces: pa.Table, machine: pa.Table) -> pa.Table:
-    """Removed spans of a block of pieces under the automaton of its shard."""
-    docs, ties, begins, ends = [], [], [], []
-    if machine.num_rows and pieces.num_rows:
-        row = machine.slice(0, 1).to_pylist()[0]
-        link, length, state, symbol, to = (np.frombuffer(row[c], np.int32) for c in ("link", "length", "state", "symbol", "to"))
-        ids = {w: i for i, w in enumerate(row["words"].split(b" "))}
-        width = len(ids)
-        step = dict(zip((state.astype(np.int64) * width + symbol).tolist(), to.tolist()))
-        link, length = link.tolist(), length.tolist()
-        seen: dict[bytes, list] = {}
-        for text, doc, tie, start in zip(*(pieces.column(c).to_pylist() for c in ("text", "doc", "hash", "start"))):
-            spans = seen.get(text)
-            if spans is None:
-                spans = seen[text] = statistics([ids.get(w, -1) for w in text.split(b" ")], step, link, length, width)
-            for begin, end in spans:
-                docs.append(doc)
-                ties.append(tie)
-                begins.append(start + begin)
-                ends.append(start + end)
-    return pa.table({"doc": pa.array(docs, pa.int64()), "hash": pa.array(ties, pa.int64()),
-                     "begin": pa.array(begins, pa.int64()), "end": pa.array(ends, pa.int64())})
-
-
-def _routed(source: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pieces (deal, doc, hash, start, many, text) and different reference texts (deal, text, n)."""
-    pieces, texts, level = [], [], source
+    for symbols, weight in zip(texts, table.column("weight").to_pylist()):
+        if weight:
+            machine.add(symbols, weight)
+    machine.settle()
+    spans = [machine.spans(symbols) if n else [] for symbols, n in zip(texts, table.column("n").to_pylist())]
+    told = [i for i, s in enumerate(spans) if s]
+    some = table.select(["deal", "digest", "n"]).take(pa.array(told, pa.int64()))
+    return some.append_column("spans", pa.array([[{"b": b, "e": e} for b, e in spans[i]] for i in told],
+                                                pa.list_(pa.struct([("b", pa.int64()), ("e", pa.int64())]))))
+
+
+def _routed(source: DataFrame, scratch: list) -> tuple[DataFrame, DataFrame]:
+    """Places of pieces (deal, digest, doc, hash, start) and their different texts (deal, digest,
+    text, weight, n), n the number of places in documents."""
+    places, texts, level = [], [], source
     for depth, gram in enumerate(GRAMS):
         keys = (level.select("text", "weight").mapInArrow(_count_keys(gram), "key long, n long")
                 .groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key"))
         found = materialize(level.mapInArrow(_cut_pieces(_bitmap(keys), gram), _PIECES), "pieces")
-        known = materialize(found.where("many > 0").groupBy("key", "text").agg(F.sum("many").alias("n")), "reference")
+        known = materialize(found.groupBy("key", "digest", "text").agg(F.sum("many").alias("weight"), F.count("doc").alias("n")), "texts")
         # One key at most for SHARD_BYTES of different texts.
         crowded = materialize(known.groupBy("key").agg(F.count("*").alias("texts"), F.sum(F.length("text")).alias("bytes"))
                               .where(f"texts > 1 and bytes > {SHARD_BYTES}").select("key"), "crowded")
+        scratch += [found, known, crowded]
         last = gram == GRAMS[-1] or crowded.isEmpty()
         deal = F.xxhash64(F.lit(depth), "key").alias("deal")
         calm = [t if last else t.join(crowded, "key", "left_anti") for t in (found, known)]
-        pieces.append(calm[0].select(deal, "doc", "hash", "start", "many", "text"))
-        texts.append(calm[1].select(deal, "text", "n"))
+        places.append(calm[0].where("doc is not null").select(deal, "digest", "doc", "hash", "start"))
+        texts.append(calm[1].select(deal, "digest", "text", "weight", "n"))
         if last:
             break
-        level = found.join(crowded, "key", "left_semi").select(
-            "doc", "hash", "start", "text", F.col("many").alias("weight"))
-    for more in (pieces, texts):
+        level = found.join(crowded, "key", "left_semi").select("doc", "hash", "start", "text", F.col("many").alias("weight"))
+    for more in (places, texts):
         while len(more) > 1:
             more.append(more.pop(0).unionByName(more.pop(0)))
-    return pieces[0], texts[0]
+    return places[0], texts[0]
 
 
-def repeated_spans(docs: DataFrame, reference: DataFrame | None = None) -> DataFrame:
-    """Rows (doc, hash, begin, end): words to remove of documents (doc, hash, text)."""
+def repeated_spans(docs: DataFrame, reference: DataFrame | None = None, scratch: list | None = None) -> DataFrame:
+    """Rows (doc, hash, spans) of documents (doc, hash, text): spans of words to remove, which may
+    overlap, one row for each place with some. ``scratch`` is given the stored tables that the rows
+    are made from, to be released once these are stored."""
+    scratch = [] if scratch is None else scratch
     weight = F.lit(1 if reference is None else 0)
     source = docs.select("doc", "hash", F.lit(0).alias("start"), "text", weight.alias("weight"))
     if reference is not None:
         source = source.unionByName(documents(reference, "text").select(
             F.lit(None).cast("long").alias("doc"), F.lit(None).cast("long").alias("hash"), F.lit(0).alias("start"), "text", F.lit(2).alias("weight")))
-    pieces, texts = _routed(source)
+    places, texts = _routed(source, scratch)
     size = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     shard = F.pmod("deal", F.lit(max(1, -(-size // SHARD_BYTES)))).cast("int").alias("shard")
-    machines = materialize(texts.select(shard, "text", "n").groupBy("shard").applyInArrow(_build, _MACHINE), "automata")
-    streamed = pieces.where("doc is not null").select(shard, "doc", "hash", "start", "text")
-    blocks = materialize(streamed.groupBy("shard").agg(F.ceil(F.sum(F.length("text")) / BLOCK_BYTES).cast("int").alias("blocks"))
-                         .join(machines.select("shard"), "shard", "left_semi"), "blocks")
-    dealt = streamed.join(blocks, "shard").withColumn("block", F.pmod(F.xxhash64("doc", "hash", "start"), "blocks").cast("int")).drop("blocks")
-    sent = machines.join(blocks, "shard").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
-    return (dealt.groupBy("shard", "block").cogroup(sent.groupBy("shard", "block"))
-            .applyInArrow(_stream, "doc long, hash long, begin long, end long"))
+    found = materialize(texts.select(shard, "*").groupBy("shard").applyInArrow(_stream, _FOUND), "found")
+    scratch.append(found)
+    # A text with many places is one row of a table with at most one row for COPIES places.
+    hot = materialize(found.where(F.col("n") >= COPIES).select("deal", "digest", "spans"), "hot")
+    scratch.append(hot)
+    by = ["deal", "digest"]
+    rare = places.join(hot.select(*by), by, "left_anti").join(found.where(F.col("n") < COPIES).select(*by, "spans"), by)
+    moved = F.transform("spans", lambda s: F.struct((s["b"] + F.col("start")).alias("b"), (s["e"] + F.col("start")).alias("e")))
+    return rare.unionByName(places.join(hot, by)).select("doc", "hash", moved.alias("spans"))
 
 
 def _digest(batches):
@@ -349,8 +326,10 @@ def _kept_words(batches):
 def _with_spans(docs: DataFrame, reference: DataFrame | None) -> tuple[DataFrame, str]:
     """Rows (doc_id, text, spans) and the type of doc_id; only texts that may have spans are shuffled."""
     order = _identified(docs)
-    spans = materialize(repeated_spans(order, reference).groupBy("doc", "hash").agg(
-        F.collect_list(F.struct(F.col("begin").alias("b"), F.col("end").alias("e"))).alias("spans")), "word-spans")
+    scratch: list = []
+    spans = materialize(repeated_spans(order, reference, scratch).groupBy("doc", "hash").agg(
+        F.flatten(F.collect_list("spans")).alias("spans")), "word-spans")
+    release(*scratch)
     free, rest = _split(order, spans, ["doc_id", "text"])
     none = free.select("*", F.expr("CAST(null AS array<struct<b:bigint,e:bigint>>)").alias("spans"))
     return none, rest, dict(free.dtypes)["doc_id"]

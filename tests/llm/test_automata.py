@@ -61,7 +61,7 @@ def test_repeated_runs(spark, monkeypatch, small):
     if small:
         # Every key with two texts is cut again, shards and blocks are many, pieces short.
         monkeypatch.setattr(automata, "SHARD_BYTES", 300)
-        monkeypatch.setattr(automata, "BLOCK_BYTES", 400)
+        monkeypatch.setattr(automata, "COPIES", 3)
         monkeypatch.setattr(automata, "PIECE", 3)
     texts = made_texts(1 + small)
     frame = spark.createDataFrame(list(enumerate(texts)), SCHEMA).repartition(4)
@@ -93,13 +93,23 @@ def test_counts_of_the_automaton():
         for i in range(len(symbols)):
             for j in range(i, len(symbols)):
                 runs[tuple(symbols[i:j + 1])] += weight
-    link, length, steps = machine.repeated()
-    step = {(s, c): t for s, c, t in steps.tolist()}
+    machine.settle()
     for run, n in runs.items():
         state = 0
         for symbol in run:
-            state = step.get((state, symbol)) if state is not None else None
-        assert (state is not None) == (n >= 2)
+            state = machine.step[state][symbol]
+        assert machine.count[state] == n
+    for least in (1, 2, 5):
+        for symbols, _ in texts:
+            gone = np.zeros(len(symbols), bool)
+            for i in range(len(symbols) - least + 1):
+                if runs[tuple(symbols[i:i + least])] >= 2:
+                    gone[i:i + least] = True
+            told = np.zeros(len(symbols), bool)
+            for begin, end in machine.spans(symbols, least):
+                assert not told[max(0, begin - 1):end].any()
+                told[begin:end] = True
+            assert (told == gone).all()
 
 
 def test_odd_rows(spark):
