@@ -1,8 +1,10 @@
-"""Isotonic probability calibration with ``pyspark.ml.regression.IsotonicRegression``.
+"""Isotonic probability calibration.
 
-Equal scores are summed first; Spark then runs pool-adjacent-violators per
-partition and merges the blocks. The model is the list of block boundaries,
-bounded by the number of distinct scores.
+Equal scores are summed first and the sums pooled by ranges (``pooling.blocks``), so neither a
+task nor the driver gathers the scores. The blocks' ends become a
+``pyspark.ml.regression.IsotonicRegressionModel``, which saves, loads and applies like any other.
+Of n rows with labels 0 and 1 there are at most some n^(2/3) blocks: their means are different
+fractions whose denominators add up to n.
 """
 
 from __future__ import annotations
@@ -11,25 +13,35 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from attrition.operators import pooling
+from attrition.session import materialize
 
 
-def fit_isotonic(scored: DataFrame, label: str = "y", score: str = "p",
-                 weight: str | None = None, digits: int | None = None) -> IsotonicRegressionModel:
-    """Isotonic fit of the label on the score.
+def isotonic_blocks(scored: DataFrame, label: str = "y", score: str = "p",
+                    weight: str | None = None, digits: int | None = None) -> DataFrame:
+    """Pooled blocks ``(lo, hi, value, weight)`` of the isotonic fit of the label on the score.
 
-    Rows are first summed to one row per distinct score (mean label, total weight), map-side,
-    which leaves the fit unchanged; so no task holds raw rows. Spark merges the blocks of the
-    distinct scores on the driver; ``digits`` rounds scores first (an opt-in approximation)."""
+    Rows are first summed to one row per distinct score (label sum, total weight), map-side,
+    which leaves the fit unchanged; ``digits`` rounds scores first (an opt-in approximation)."""
     x = F.col(score).cast("double")
     if digits is not None:
         x = F.round(x, digits)
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
-    sums = (scored.select(x.alias("_x"), F.col(label).cast("double").alias("_y"), w.alias("_w"))
-            .groupBy("_x").agg(F.sum(F.col("_y") * F.col("_w")).alias("_s"), F.sum("_w").alias("_w"))
-            .where("_w > 0"))
+    return pooling.blocks(scored.select(x.alias("_x"), F.col(label).cast("double").alias("_y"), w.alias("_w"))
+                          .groupBy("_x").agg(F.sum(F.col("_y") * F.col("_w")).alias("_s"), F.sum("_w").alias("_w"))
+                          .where("_w > 0"))
+
+
+def fit_isotonic(scored: DataFrame, label: str = "y", score: str = "p",
+                 weight: str | None = None, digits: int | None = None) -> IsotonicRegressionModel:
+    """Isotonic fit of the label on the score, from the ends of the pooled blocks."""
+    blocks = materialize(isotonic_blocks(scored, label, score, weight, digits), "blocks")
+    ends = F.when(F.col("lo") < F.col("hi"), F.array("lo", "hi")).otherwise(F.array("hi"))
+    rows = (blocks.withColumn("_ends", ends).select(F.explode("_ends").alias("_x"), F.col("value").alias("_y"),
+                                                     (F.col("weight") / F.size("_ends")).alias("_w")))
     iso = IsotonicRegression(featuresCol="_x", labelCol="_y", predictionCol="_cal", weightCol="_w",
                              isotonic=True)
-    return iso.fit(sums.select("_x", (F.col("_s") / F.col("_w")).alias("_y"), "_w"))
+    return iso.fit(rows)
 
 
 def apply_isotonic(model: IsotonicRegressionModel, df: DataFrame, score: str = "p",
