@@ -3,13 +3,7 @@
 * Linear models: the exact Shapley values of a linear score with independent
   features are ``coef_j * (x_j - mean_j)`` in log-odds; pure column arithmetic.
 * Tree ensembles (Spark GBT, random forest, decision tree): exact
-  path-dependent tree SHAP. The fitted trees are read from the model's own
-  saved data (one row per node, bounded by trees x 2^depth, independent of the
-  data size), and every Arrow batch of customers is explained with numpy in
-  ``mapInPandas``. For each leaf the game value is a product over the distinct
-  features on its path (indicator when the feature is known, cover fraction
-  when not); its Shapley values follow from a polynomial expansion of that
-  product, so the cost is O(leaves x depth^2) vector operations per tree.
+  path-dependent tree SHAP over a packed table of merged paths (see ``paths``).
 
 All explanations come out as one long table
 ``(CustomerId, feature_idx, feature, value, shap)``; ``base`` is the expected
@@ -18,12 +12,10 @@ model output.
 
 from __future__ import annotations
 
-import math
 import os
 import uuid
 
 import numpy as np
-import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassificationModel, GBTClassificationModel,
                                        LogisticRegressionModel,
@@ -32,11 +24,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from attrition.operators import paths
 from attrition.operators.preprocess import feature_names
 from attrition.schema import KEY, WATERFALL_SHOWN
 
-SHAP_SCHEMA = "CustomerId long, feature_idx int, feature string, value double, shap double"
-
 
 # ---------------------------------------------------------------- linear
 def linear_shap(features: DataFrame, names: list[str], coef: list[float],
@@ -87,24 +78,30 @@ def _save_dir(spark) -> str:
     return os.path.join(checkpoint_dir(spark), f"trees-{uuid.uuid4().hex}")
 
 
-def tree_tables(model, spark) -> tuple[list[dict], list[float], str]:
-    """Nodes of every tree from the model's saved data, tree weights and kind."""
+def save_trees(model, spark) -> tuple[str, list[float], str]:
+    """Folder of the model's saved nodes, the weights of its trees and its kind."""
     path = _save_dir(spark)
     model.write().overwrite().save(path)
-    nodes = (spark.read.parquet(os.path.join(path, "data"))
-             .select("treeID", "nodeData.id", "nodeData.prediction", "nodeData.impurityStats",
-                     "nodeData.leftChild", "nodeData.rightChild",
-                     "nodeData.split.featureIndex", "nodeData.split.leftCategoriesOrThreshold",
-                     "nodeData.split.numCategories").toPandas())
     if isinstance(model, DecisionTreeClassificationModel):
-        weights, kind, ids = [1.0], "forest", [0]
-    else:
-        meta = spark.read.parquet(os.path.join(path, "treesMetadata"))
-        if "treeID" not in meta.columns:  # written as (treeID, metadata, weights) tuples
-            meta = meta.toDF("treeID", "metadata", "weights")
-        meta = meta.select("treeID", "weights").toPandas().sort_values("treeID")
-        weights, ids = meta["weights"].astype(float).tolist(), meta["treeID"].tolist()
-        kind = "boosted" if isinstance(model, GBTClassificationModel) else "forest"
+        return path, [1.0], "forest"
+    meta = spark.read.parquet(os.path.join(path, "treesMetadata"))
+    if "treeID" not in meta.columns:  # written as (treeID, metadata, weights) tuples
+        meta = meta.toDF("treeID", "metadata", "weights")
+    weights = [float(r["weights"]) for r in meta.select("treeID", "weights").orderBy("treeID").collect()]
+    return path, weights, "boosted" if isinstance(model, GBTClassificationModel) else "forest"
+
+
+def tree_tables(model, spark) -> tuple[list[dict], list[float], str]:
+    """Nodes of every tree from the model's saved data, tree weights and kind; for models whose
+    trees the driver can hold."""
+    path, weights, kind = save_trees(model, spark)
+    nodes = spark.read.parquet(os.path.join(path, "data"))
+    tree = F.col("treeID") if "treeID" in nodes.columns else F.lit(0)
+    nodes = (nodes.select(tree.alias("treeID"), "nodeData.id", "nodeData.prediction", "nodeData.impurityStats",
+                          "nodeData.leftChild", "nodeData.rightChild",
+                          "nodeData.split.featureIndex", "nodeData.split.leftCategoriesOrThreshold",
+                          "nodeData.split.numCategories").toPandas())
+    ids = range(len(weights))
     trees = []
     for tid in ids:
         t = nodes[nodes["treeID"] == tid].sort_values("id")
@@ -125,119 +122,23 @@ def tree_tables(model, spark) -> tuple[list[dict], list[float], str]:
     return trees, weights, kind
 
 
-def _leaf_paths(tree: dict):
-    """(leaf value, leaf cover, [(node, feature, goes_left)]) for every leaf."""
-    out, stack = [], [(0, [])]
-    while stack:
-        node, path = stack.pop()
-        if tree["left"][node] < 0:
-            out.append((tree["value"][node], tree["cover"][node], path))
-            continue
-        f = int(tree["feature"][node])
-        stack.append((int(tree["left"][node]), path + [(node, f, True)]))
-        stack.append((int(tree["right"][node]), path + [(node, f, False)]))
-    return out
-
-
-def _goes_left(tree: dict, node: int, col: np.ndarray) -> np.ndarray:
-    split = tree["split"][node]
-    if tree["ncat"][node] >= 0:                    # categorical: listed categories go left
-        return np.isin(col, split)
-    return col <= split[0]
-
-
-def expected_value(tree: dict) -> float:
-    return float(sum(v * c for v, c, _ in _leaf_paths(tree)) / tree["cover"][0])
-
-
-def tree_shap_matrix(tree: dict, X: np.ndarray) -> np.ndarray:
-    """Exact path-dependent Shapley values of one tree for every row of X."""
-    n, d = X.shape
-    phi = np.zeros((n, d))
-    for value, _, path in _leaf_paths(tree):
-        if not path:
-            continue
-        z: dict[int, float] = {}
-        o: dict[int, np.ndarray] = {}
-        for node, f, left in path:
-            child = tree["left"][node] if left else tree["right"][node]
-            ratio = tree["cover"][child] / tree["cover"][node] if tree["cover"][node] > 0 else 0.0
-            ind = _goes_left(tree, node, X[:, f])
-            ind = ind if left else ~ind
-            z[f] = z.get(f, 1.0) * ratio
-            o[f] = o.get(f, np.ones(n, dtype=bool)) & ind
-        feats = list(z)
-        m = len(feats)
-        w = np.array([math.factorial(s) * math.factorial(m - s - 1) / math.factorial(m)
-                      for s in range(m)])
-        ov = {f: o[f].astype(float) for f in feats}
-        for j in feats:
-            poly = np.zeros((n, m))
-            poly[:, 0] = 1.0
-            deg = 0
-            for k in feats:
-                if k == j:
-                    continue
-                nxt = poly * z[k]
-                nxt[:, 1:deg + 2] += poly[:, :deg + 1] * ov[k][:, None]
-                poly, deg = nxt, deg + 1
-            phi[:, j] += value * (ov[j] - z[j]) * (poly @ w)
-    return phi
-
-
 def tree_model_of(model):
     return model.stages[-1] if isinstance(model, PipelineModel) else model
 
 
-def _ship_kernel() -> None:
-    """Send this module's numpy kernel to the Python workers by value, so
-    executors need numpy and pandas only, not this package on their path."""
-    import sys
-
-    from pyspark import cloudpickle
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
 def tree_shap(model: PipelineModel, df: DataFrame, key: str = KEY) -> tuple[DataFrame, float]:
     """Long SHAP table for a tree-ensemble pipeline, plus the base value.
 
     Boosted trees are explained in log-odds (Spark's probability is
     1 / (1 + exp(-2F)), so log-odds = 2F); forests and single trees in
-    probability of class 1.
+    probability of class 1. See ``paths`` for how.
     """
-    spark = df.sparkSession
     clf = tree_model_of(model)
-    trees, weights, kind = tree_tables(clf, spark)
-    names = feature_names(model)
-    if kind == "boosted":
-        scale = [2.0 * w for w in weights]
-    else:
-        scale = [1.0 / len(trees)] * len(trees)
-    base = float(sum(s * expected_value(t) for s, t in zip(scale, trees)))
+    path, weights, kind = save_trees(clf, df.sparkSession)
+    scale = [2.0 * w for w in weights] if kind == "boosted" else [1.0 / len(weights)] * len(weights)
     feats = PipelineModel(stages=model.stages[:-1]).transform(df)
-    arr = feats.select(F.col(key).cast("long").alias(key),
-                       vector_to_array(F.col("features")).alias("x"))
-    payload = (trees, scale, names, key)
-    _ship_kernel()
-
-    def explain(batches):
-        trs, scl, nms, k = payload
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            X = np.vstack(pdf["x"].to_numpy())
-            phi = np.zeros_like(X, dtype=float)
-            for tr, s in zip(trs, scl):
-                phi += s * tree_shap_matrix(tr, X)
-            n, d = X.shape
-            yield pd.DataFrame({
-                k: np.repeat(pdf[k].to_numpy(), d),
-                "feature_idx": np.tile(np.arange(d, dtype=np.int32), n),
-                "feature": np.tile(np.array(nms, dtype=object), n),
-                "value": X.reshape(-1), "shap": phi.reshape(-1)})
-
-    schema = SHAP_SCHEMA.replace("CustomerId", key)
-    return arr.mapInPandas(explain, schema), base
+    rows = feats.select(F.col(key).cast("long").alias(key), vector_to_array(F.col("features")).alias("x"))
+    return paths.explain(rows, paths.packed(path, kind, scale, df.sparkSession), feature_names(model), key)
 
 
 def model_shap(model: PipelineModel, df: DataFrame, background: DataFrame | None = None,
