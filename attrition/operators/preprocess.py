@@ -10,8 +10,10 @@ by the data.
 
 from __future__ import annotations
 
+import importlib
+
 from pyspark.ml import Estimator, Model, PipelineModel, Transformer
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -20,25 +22,40 @@ from pyspark.sql import functions as F
 
 from attrition.functions.features import engineer
 
-#: Distinct values of a category column above which a fit stops with an error.
+#: Distinct values up to which a category column becomes one named column per value; above, one sparse
+#: vector, up to the second number. Beyond that a fit stops with an error.
 MAX_CATEGORIES = 1000
+MAX_SPARSE = 1_000_000
+
+
+def step(name: str):
+    """The function ``module:function`` of a feature step, which takes and returns a DataFrame."""
+    module, _, function = name.partition(":")
+    if not function:
+        raise ValueError(f"a feature step is named module:function, not {name!r}")
+    return getattr(importlib.import_module(module), function)
 
 
 class FeatureEngineer(Transformer, DefaultParamsReadable, DefaultParamsWritable):
-    """Stateless: the four derived features (see ``functions.features``), then extra features
-    as SQL expressions by name, which are saved with the stage."""
+    """Stateless: the four derived features (see ``functions.features``), then steps, which are
+    functions from DataFrame to DataFrame named ``module:function``, then extra features as SQL
+    expressions by name. Names and expressions are saved with the stage, so a loaded pipeline
+    derives the same columns."""
 
     extraFeatures = Param(Params._dummy(), "extraFeatures", "name and SQL expression of added columns",
                           TypeConverters.identity)
+    steps = Param(Params._dummy(), "steps", "functions that add columns, as module:function", TypeConverters.toListString)
 
-    def __init__(self, extraFeatures: dict[str, str] | None = None):
+    def __init__(self, extraFeatures: dict[str, str] | None = None, steps: list[str] | None = None):
         super().__init__()
-        self._setDefault(extraFeatures={})
+        self._setDefault(extraFeatures={}, steps=[])
         if extraFeatures:
             self._set(extraFeatures=dict(extraFeatures))
+        if steps:
+            self._set(steps=list(steps))
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        out = engineer(df)
+        out = engineer(df, [step(name) for name in self.getOrDefault(self.steps)])
         for name, expression in self.getOrDefault(self.extraFeatures).items():
             out = out.withColumn(name, F.expr(expression))
         return out
@@ -115,21 +132,57 @@ class FeatureStages:
     """Unfitted engineer -> scaler -> one-hot -> assembler, fitted together."""
 
     def __init__(self, num, cat, passthrough, output: str = "features",
-                 extra_features: dict[str, str] | None = None, max_categories: int = MAX_CATEGORIES):
+                 extra_features: dict[str, str] | None = None, max_categories: int = MAX_CATEGORIES,
+                 steps: list[str] | None = None):
         """``extra_features``: SQL expressions by name; they join the scaled numeric columns.
-        ``max_categories``: the fit fails when a category column has more distinct values."""
+        ``steps``: functions that add columns, as module:function; ``num`` and ``cat`` may name them.
+        ``max_categories``: a category column with more distinct values is encoded as a sparse vector."""
         self.extra = dict(extra_features or {})
         self.num = [*num, *[n for n in self.extra if n not in num]]
         self.cat, self.passthrough, self.output = list(cat), list(passthrough), output
-        self.max_categories = max_categories
+        self.max_categories, self.steps = max_categories, list(steps or [])
 
     def fit(self, df: DataFrame) -> PipelineModel:
-        eng = FeatureEngineer(self.extra)
+        eng = FeatureEngineer(self.extra, self.steps)
         engineered = eng.transform(df)
-        scaler, onehot = fit_scaler_and_encoder(engineered, self.num, self.cat, self.max_categories)
-        names = self.num + onehot.output_names() + self.passthrough
+        wide = wide_categories(engineered, self.cat, self.max_categories)
+        narrow = [c for c in self.cat if c not in wide]
+        scaler, onehot = fit_scaler_and_encoder(engineered, self.num, narrow, self.max_categories)
+        columns = {c: [f"{c}_{v}" for v in kept] for c, kept in zip(narrow, onehot.getOrDefault(onehot.categories))}
+        sparse = [stage for c in wide for stage in fit_sparse(engineered, c)]
+        columns |= {c: [sparse_column(c)] for c in wide}
+        names = self.num + [n for c in self.cat for n in columns[c]] + self.passthrough
         asm = VectorAssembler(inputCols=names, outputCol=self.output, handleInvalid="keep")
-        return PipelineModel(stages=[eng, scaler, onehot, asm])
+        return PipelineModel(stages=[eng, scaler, onehot, *sparse, asm])
+
+
+def sparse_column(column: str) -> str:
+    return f"{column}__onehot"
+
+
+def wide_categories(df: DataFrame, cat: list[str], most: int) -> list[str]:
+    """Category columns with more than ``most`` distinct values, in one aggregate."""
+    if not cat:
+        return []
+    counts = df.agg(*[F.count_distinct(F.col(c)).alias(f"k{i}") for i, c in enumerate(cat)]).first()
+    return [c for i, c in enumerate(cat) if counts[f"k{i}"] > most]
+
+
+def fit_sparse(df: DataFrame, column: str) -> list:
+    """Two Spark stages that turn a column into a sparse drop-first one-hot vector.
+
+    The dictionary holds all values but the first in alphabetical order; that one, nulls and values
+    unseen at fit share the index past its end, which the encoder drops. Looking a value up is one
+    hash lookup, whatever the number of categories."""
+    values = df.select(F.col(column).cast("string").alias("v")).where("v is not null").distinct()
+    labels = [r["v"] for r in values.orderBy("v").limit(MAX_SPARSE + 2).collect()][1:]
+    if len(labels) > MAX_SPARSE:
+        raise ValueError(f"too many categories for one-hot encoding: ['{column}']")
+    spark = df.sparkSession
+    index = f"{column}__index"
+    lookup = StringIndexerModel.from_labels(labels, inputCol=column, outputCol=index, handleInvalid="keep")
+    ends = spark.createDataFrame([(float(len(labels)),)], f"`{index}` double")
+    return [lookup, OneHotEncoder(inputCols=[index], outputCols=[sparse_column(column)], dropLast=True).fit(ends)]
 
 
 def fit_scaler_and_encoder(df: DataFrame, num: list[str], cat: list[str],
@@ -156,9 +209,11 @@ def fit_scaler_and_encoder(df: DataFrame, num: list[str], cat: list[str],
 
 def feature_names(model: PipelineModel) -> list[str]:
     """Ordered names of the assembled vector: numerics, one-hots, pass-through."""
+    spread = {sparse_column(st.getInputCol()): [f"{st.getInputCol()}_{v}" for v in st.labels]
+              for st in model.stages if isinstance(st, StringIndexerModel)}
     for st in model.stages:
         if isinstance(st, VectorAssembler):
-            return list(st.getInputCols())
+            return [n for c in st.getInputCols() for n in spread.get(c, [c])]
     raise ValueError("no assembler in pipeline")
 
 
