@@ -1,15 +1,19 @@
-"""Exact k-nearest-neighbour search over the leaves of a space partition.
+"""Exact k-nearest-neighbour search over a two-level space partition with pivot distances.
 
-Candidates are collapsed to distinct points and dealt to the leaves of a kd-tree whose splits
-come from a bounded sample; every leaf gets the bounding box of its own points over all
+Candidates are collapsed to distinct points and dealt to the cells of a kd-tree whose splits
+come from a bounded sample; every cell gets the bounding box of its own points over all
 coordinates. A query point then
 
-1. searches the nearest leaves that hold enough points, which bounds its k-th distance, and
-2. searches every other leaf whose box is no farther than that bound.
+1. searches the nearest cells that hold enough points, which bounds its k-th distance, and
+2. searches every other cell whose box is no farther than that bound.
 
-A leaf that is skipped cannot hold a nearer point, so the result is exact. At most ``LEAVES``
-boxes are known to the tasks. Leaves are searched in pairs of (leaf, block of queries) of bounded
-size, in numpy, and only the k nearest of each leave a task.
+A cell that is skipped cannot hold a nearer point, so the result is exact. At most ``CELLS``
+boxes are known to the tasks. Cells are searched in pairs of (cell, block of queries) of bounded
+size. Inside, the cell's points are cut again into leaves of ``LEAF`` points with boxes of their
+own, however many these are, and a table holds every point's distances to ``PIVOTS`` far-apart
+points of the cell: by the triangle inequality a point whose pivot distance differs from the
+query's by more than the bound is not looked at. Only the k nearest of each cell leave a task, and
+the number of distances that were computed.
 
 Copies: a point in many candidate rows is one entry with its smallest keys (cut to those per
 salted subgroup first); a point in many query rows is searched once and its result goes back to
@@ -30,9 +34,14 @@ from pyspark.sql import functions as F
 
 from attrition.session import materialize
 
-#: Points a leaf should hold, and the most leaves (boxes that every task knows).
-LEAF = 64
-LEAVES = 4096
+#: Points a cell should hold, and the most cells (boxes that every task knows).
+CELL = 256
+CELLS = 1 << 14
+#: Points a leaf of a cell should hold, and the pivots of a cell.
+LEAF = 8
+PIVOTS = 16
+#: Numbers held at once in comparisons of queries with boxes or points.
+HELD = 1 << 21
 #: Points (at most) that the splits are chosen from.
 SAMPLE = 20_000
 #: Query points searched in a leaf by one task.
@@ -90,43 +99,113 @@ def _matrix(column) -> np.ndarray:
 def _box_distance(x: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """Squared distance of each point to each box, in slices of bounded size."""
     out = np.empty((len(x), len(low)))
-    for k in range(0, len(x), 256):
-        gap = np.maximum(np.maximum(low[None] - x[k:k + 256, None], x[k:k + 256, None] - high[None]), 0)
-        out[k:k + 256] = np.square(gap).sum(2)
+    step = max(1, HELD // max(1, low.size))
+    for k in range(0, len(x), step):
+        gap = np.maximum(np.maximum(low[None] - x[k:k + step, None], x[k:k + step, None] - high[None]), 0)
+        out[k:k + step] = np.square(gap).sum(2)
     return out
 
 
+def _slack(square: np.ndarray) -> np.ndarray:
+    """A squared bound with room for rounding."""
+    return square * (1 + 1e-9) + 1e-12
+
+
+class _Cell:
+    """A cell's points in leaves, their boxes, and the distances to its pivots."""
+
+    def __init__(self, c: np.ndarray):
+        leaf = find_leaves(build_tree(c, -(-len(c) // LEAF)), c)
+        self.order = np.argsort(leaf, kind="stable")
+        self.c = c[self.order]
+        _, first = np.unique(leaf[self.order], return_index=True)
+        self.first, self.size = first, np.diff(np.r_[first, len(c)])
+        self.low, self.high = np.minimum.reduceat(self.c, first), np.maximum.reduceat(self.c, first)
+        # Each pivot is the point farthest from those before it.
+        pivots = [0]
+        nearest = np.square(self.c - self.c[0]).sum(1)
+        while len(pivots) < min(PIVOTS, len(c)) and nearest.max() > 0:
+            pivots.append(int(nearest.argmax()))
+            nearest = np.minimum(nearest, np.square(self.c - self.c[pivots[-1]]).sum(1))
+        self.pivots = self.c[pivots]
+        self.table = self._to_pivots(self.c)
+
+    def _to_pivots(self, x: np.ndarray) -> np.ndarray:
+        return np.sqrt(np.stack([np.square(x - p).sum(1) for p in self.pivots], 1))
+
+    def _pairs(self, leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(query, point) of the chosen (query, leaf) pairs."""
+        row, leaf = np.nonzero(leaves)
+        many = self.size[leaf]
+        within = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        return np.repeat(row, many), np.repeat(self.first[leaf], many) + within
+
+    def _square(self, q: np.ndarray, row: np.ndarray, point: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(row))
+        for d in range(q.shape[1]):  # summed in coordinate order
+            out += np.square(q[row, d] - self.c[point, d])
+        return out
+
+    def near(self, q: np.ndarray, radius: np.ndarray, keep: int):
+        """Pairs (query, point, squared distance) that may be among the ``keep`` nearest within the
+        squared radius, and how many distances were computed."""
+        far = _box_distance(q, self.low, self.high)
+        order = np.argsort(far, axis=1, kind="stable")
+        before = np.empty(far.shape, np.int64)
+        np.put_along_axis(before, order, np.cumsum(self.size[order], axis=1) - self.size[order], axis=1)
+        to_pivots, limit = self._to_pivots(q), radius.copy()
+        row, point, square = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+        computed, low = 0, 0
+        # The nearest leaves first; what they hold bounds the rest.
+        for high in (keep, 4 * keep, 16 * keep, len(self.c) + 1):
+            more, other = self._pairs((before >= low) & (before < high) & (far <= _slack(limit)[:, None]))
+            reach = np.sqrt(_slack(limit))
+            for k in range(len(self.pivots)):
+                open_ = np.abs(to_pivots[more, k] - self.table[other, k]) <= reach[more]
+                more, other = more[open_], other[open_]
+            computed += len(more)
+            row, point = np.r_[row, more], np.r_[point, other]
+            square = np.r_[square, self._square(q, more, other)]
+            by = np.lexsort((square, row))
+            by = by[np.arange(len(by)) - np.searchsorted(row[by], row[by]) == keep - 1]
+            limit[row[by]] = np.minimum(limit[row[by]], square[by])
+            low = high
+        inside = square <= _slack(limit)[row]
+        return row[inside], self.order[point[inside]], square[inside], computed
+
+
 def _search(keep: int):
     def search(key: tuple[pa.Scalar, ...], queries: pa.Table, points: pa.Table) -> pa.Table:
-        """The ``keep`` nearest (by distance, then key) of a leaf's points for each query."""
+        """The ``keep`` nearest (by distance, then key) of a cell's points for each query; a last row
+        without a query has the number of distances computed."""
         q, c = _matrix(queries.column("x")), _matrix(points.column("x"))
         h1, h2 = (np.asarray(queries.column(n)) for n in ("h1", "h2"))
+        radius = np.asarray(queries.column("radius").combine_chunks().fill_null(float("inf")), np.float64)
         lists = points.column("ids").combine_chunks()
         bound = np.asarray(lists.offsets) - lists.offsets[0].as_py()
         ids = np.asarray(lists.flatten().field("id")) if len(lists) else np.empty(0, np.int64)
-        out: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
-        for k in range(0, len(q) if len(c) else 0, 256):
-            part = q[k:k + 256]
-            square = np.zeros((len(part), len(c)))
-            for d in range(q.shape[1]):  # summed in coordinate order
-                square += np.square(part[:, d, None] - c[None, :, d])
-            place = min(keep, len(c)) - 1
-            limit = np.partition(square, place, axis=1)[:, place]
-            for i in range(len(part)):
-                near = np.flatnonzero(square[i] <= limit[i])
-                total = bound[near + 1] - bound[near]
-                entry = np.repeat(bound[near] - np.r_[0, np.cumsum(total)[:-1]], total) + np.arange(total.sum())
-                point = np.repeat(near, total)
-                order = np.lexsort((ids[entry], square[i][point]))[:keep]
-                out.append((k + i, entry[order], point[order], square[i][point[order]]))
-        row = np.concatenate([np.full(len(e), i) for i, e, _, _ in out]).astype(np.int64) if out else np.empty(0, np.int64)
-        entry = np.concatenate([e for _, e, _, _ in out]).astype(np.int64) if out else row
-        point = np.concatenate([p for _, _, p, _ in out]).astype(np.int64) if out else row
-        square = np.concatenate([s for _, _, _, s in out]) if out else np.empty(0)
-        return pa.table({"h1": pa.array(h1[row], pa.int64()), "h2": pa.array(h2[row], pa.int64()),
-                         "d2": pa.array(square, pa.float64()),
-                         "neighbour": lists.flatten().take(pa.array(entry)),
-                         "vec": points.column("x").combine_chunks().take(pa.array(point))})
+        found: list[tuple] = []
+        computed = 0
+        cell = _Cell(c) if len(c) else None
+        step = max(1, min(256, HELD // max(1, len(c))))
+        for k in range(0, len(q) if len(c) else 0, step):
+            row, point, square, n = cell.near(q[k:k + step], radius[k:k + step], keep)
+            computed += n
+            many = bound[point + 1] - bound[point]
+            entry = np.repeat(bound[point] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+            row, point, square = (np.repeat(v, many) for v in (row, point, square))
+            order = np.lexsort((ids[entry], square, row))
+            order = order[np.arange(len(order)) - np.searchsorted(row[order], row[order]) < keep]
+            found.append((row[order] + k, entry[order], point[order], square[order]))
+        row, entry, point = (np.concatenate([f[j] for f in found]).astype(np.int64) if found else np.empty(0, np.int64) for j in range(3))
+        square = np.concatenate([f[3] for f in found]) if found else np.empty(0)
+        out = pa.table({"h1": pa.array(h1[row], pa.int64()), "h2": pa.array(h2[row], pa.int64()),
+                        "d2": pa.array(square, pa.float64()),
+                        "neighbour": lists.flatten().take(pa.array(entry)),
+                        "vec": points.column("x").combine_chunks().take(pa.array(point))})
+        count = pa.table({"h1": pa.nulls(1, pa.int64()), "h2": pa.nulls(1, pa.int64()), "d2": pa.array([float(computed)]),
+                          "neighbour": pa.nulls(1, out.schema.field("neighbour").type), "vec": pa.nulls(1, out.schema.field("vec").type)})
+        return pa.concat_tables([out, count])
     return search
 
 
@@ -146,10 +225,11 @@ def _distinct_points(rows: DataFrame, keep: int) -> DataFrame:
 
 def knn(queries: DataFrame, candidates: DataFrame, k: int = 5, key: str = "CustomerId",
         features: str = "features", exclude_self: bool = True,
-        carry: list[str] | None = None) -> DataFrame:
+        carry: list[str] | None = None, visited: list | None = None) -> DataFrame:
     """``(query, rank, neighbour, distance, neighbour_vec, *carry)`` for the k
     nearest candidates of every query row (fewer only if there are fewer
-    candidates). Ties at equal distance go to the smaller key."""
+    candidates). Ties at equal distance go to the smaller key. ``visited`` is given the share of
+    all (query point, candidate point) pairs whose distance was computed."""
     # Executors need numpy and pyarrow only, not this package on their path.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     carry = list(carry or [])
@@ -162,7 +242,7 @@ def knn(queries: DataFrame, candidates: DataFrame, k: int = 5, key: str = "Custo
     asked = materialize(q_rows.groupBy("h1", "h2").agg(F.any_value("x").alias("x")), "knn-queries")
     n = points.count()
     sample = points.orderBy(F.xxhash64(F.lit(3), "h1")).limit(SAMPLE).select("x").toArrow().column("x")
-    nodes = build_tree(_matrix(sample) if n else np.zeros((1, 1)), max(1, min(LEAVES, -(-n // LEAF))))
+    nodes = build_tree(_matrix(sample) if n else np.zeros((1, 1)), max(1, min(CELLS, -(-n // CELL))))
     width = _matrix(sample).shape[1] if n else 0
 
     def place(batches):
@@ -184,28 +264,24 @@ def knn(queries: DataFrame, candidates: DataFrame, k: int = 5, key: str = "Custo
         """(query, leaf): in the first round the nearest leaves that hold ``keep`` keys, then the
         others within the bound."""
         def go(batches):
-            for batch in batches:
-                q = _matrix(batch.column("x"))
-                if not len(q) or not len(leaf):
-                    continue
-                far = _box_distance(q, low, high)
-                order = np.argsort(far, axis=1, kind="stable")
-                before = np.cumsum(size[order], axis=1) - size[order]
-                start = np.zeros(far.shape, bool)
-                np.put_along_axis(start, order, before < keep, axis=1)
-                if first:
-                    chosen = start
-                else:
-                    radius = np.asarray(batch.column("radius"), np.float64)
-                    chosen = ~start & (far <= radius[:, None] * (1 + 1e-9) + 1e-12)
-                row, at = np.nonzero(chosen)
-                took = pa.array(row)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("h1").take(took), batch.column("h2").take(took), batch.column("x").take(took),
-                     pa.array(leaf[at], pa.int32())], names=["h1", "h2", "x", "leaf"])
+            step = max(1, HELD // max(1, len(leaf)))
+            for whole in batches:
+                for k in range(0, whole.num_rows if len(leaf) else 0, step):
+                    batch = whole.slice(k, step)
+                    far = _box_distance(_matrix(batch.column("x")), low, high)
+                    order = np.argsort(far, axis=1, kind="stable")
+                    before = np.cumsum(size[order], axis=1) - size[order]
+                    start = np.zeros(far.shape, bool)
+                    np.put_along_axis(start, order, before < keep, axis=1)
+                    radius = np.asarray(batch.column("radius").fill_null(float("inf")), np.float64)
+                    row, at = np.nonzero(start if first else ~start & (far <= _slack(radius)[:, None]))
+                    took = pa.array(row)
+                    yield pa.RecordBatch.from_arrays(
+                        [*(batch.column(c).take(took) for c in ("h1", "h2", "x", "radius")), pa.array(leaf[at], pa.int32())],
+                        names=["h1", "h2", "x", "radius", "leaf"])
         return go
 
-    shape = "h1 long, h2 long, x array<double>, leaf int"
+    shape = "h1 long, h2 long, x array<double>, radius double, leaf int"
     entry = ids_type[len("array<"):-1]
     found_type = f"h1 long, h2 long, d2 double, neighbour {entry}, vec array<double>"
 
@@ -215,15 +291,21 @@ def knn(queries: DataFrame, candidates: DataFrame, k: int = 5, key: str = "Custo
         one = (frame.join(blocks, "leaf")
                .withColumn("block", F.pmod(F.xxhash64("h1", "h2"), F.col("blocks")).cast("int")).drop("blocks"))
         two = held.join(blocks, "leaf").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
-        return materialize(one.groupBy("leaf", "block").cogroup(two.groupBy("leaf", "block"))
-                           .applyInArrow(_search(keep), found_type), name)
-
-    start = search(asked.mapInArrow(visits(True), shape), "knn-first")
+        found = materialize(one.groupBy("leaf", "block").cogroup(two.groupBy("leaf", "block"))
+                            .applyInArrow(_search(keep), found_type), name)
+        if visited is not None:
+            computed.append(found.where("h1 is null").agg(F.sum("d2")).first()[0] or 0.0)
+        return found.where("h1 is not null")
+
+    computed: list[float] = []
+    start = search(asked.withColumn("radius", F.lit(None).cast("double")).mapInArrow(visits(True), shape), "knn-first")
     w = Window.partitionBy("h1", "h2").orderBy("d2", "neighbour.id")
     bound = (start.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == keep)
              .select("h1", "h2", F.col("d2").alias("radius")))
-    wide = asked.join(bound, ["h1", "h2"], "left").withColumn("radius", F.coalesce("radius", F.lit(float("inf"))))
+    wide = asked.join(bound, ["h1", "h2"], "left")
     rest = search(wide.select("h1", "h2", "x", "radius").mapInArrow(visits(False), shape), "knn-rest")
+    if visited is not None:
+        visited.append(sum(computed) / max(1, asked.count() * n))
     per_point = (start.unionByName(rest).withColumn("_r", F.row_number().over(w))
                  .where(F.col("_r") <= keep).drop("_r"))
     # Back to the rows: a point's result is repeated over the salts, its rows are spread over them.
