@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attrition.operators import imbalance
+from attrition.operators.newton_boost import NewtonBoostedTrees
 from attrition.operators.preprocess import MAX_CATEGORIES, FeatureStages
 from attrition.session import materialize
 from attrition.schema import (CAT_FEATURES, KEY, NUM_FEATURES, PASSTHROUGH_FEATURES, SEED_SPLIT,
@@ -64,11 +65,21 @@ def boosted_trees(max_iter: int = 100, step_size: float = 0.1, max_depth: int =
     return gbt
 
 
-FAMILIES: dict[str, Callable[..., Estimator]] = {
+def newton_boosted(max_iter: int = 100, step_size: float = 0.1, max_depth: int = 3, l2: float = 3.0,
+                   subsampling_rate: float = 1.0, seed: int = SEED_SPLIT, weighted: bool = False) -> NewtonBoostedTrees:
+    """Boosting with Newton steps and an L2 term on the leaves (see ``newton_boost``)."""
+    boost = NewtonBoostedTrees(maxIter=max_iter, stepSize=step_size, maxDepth=max_depth, l2=l2,
+                               subsamplingRate=subsampling_rate, seed=seed)
+    return boost.setWeightCol("weight") if weighted else boost
+
+
+#: Families of the comparison grid.
+GRID: dict[str, Callable[..., Estimator]] = {
     "Logistic Regression": logistic,
     "Random Forest": random_forest,
     "Boosted Trees": boosted_trees,
 }
+FAMILIES: dict[str, Callable[..., Estimator]] = {**GRID, "Newton Boosted Trees": newton_boosted}
 
 
 class AttritionPipeline(Estimator):
@@ -76,13 +87,14 @@ class AttritionPipeline(Estimator):
                  cat: list[str] = CAT_FEATURES, passthrough: list[str] = PASSTHROUGH_FEATURES,
                  use_smote: bool = False, use_adasyn: bool = False,
                  weight_mode: str | None = None, label: str = TARGET, key: str = KEY,
-                 extra_features: dict[str, str] | None = None, max_categories: int = MAX_CATEGORIES):
+                 extra_features: dict[str, str] | None = None, max_categories: int = MAX_CATEGORIES,
+                 steps: list[str] | None = None):
         super().__init__()
         if use_smote and use_adasyn:
             raise ValueError("a pipeline can resample with SMOTE or with ADASYN, not with both")
         self.classifier = classifier
         self.features = FeatureStages(num, cat, passthrough, extra_features=extra_features,
-                                      max_categories=max_categories)
+                                      max_categories=max_categories, steps=steps)
         self.use_smote, self.use_adasyn = use_smote, use_adasyn
         self.weight_mode, self.label, self.key = weight_mode, label, key
 
@@ -115,12 +127,13 @@ def build_pipeline(classifier: Estimator, num_features: list[str] = NUM_FEATURES
                    use_smote: bool = False, use_adasyn: bool = False,
                    weight_mode: str | None = None,
                    extra_features: dict[str, str] | None = None,
-                   max_categories: int = MAX_CATEGORIES) -> AttritionPipeline:
-    """``extra_features`` (SQL expressions by name) are derived after the base features, scaled
-    with the numeric ones and saved with the pipeline."""
+                   max_categories: int = MAX_CATEGORIES, steps: list[str] | None = None) -> AttritionPipeline:
+    """``steps`` (functions from DataFrame to DataFrame, named ``module:function``) and
+    ``extra_features`` (SQL expressions by name) are derived after the base features and saved with
+    the pipeline; the latter are scaled with the numeric ones."""
     return AttritionPipeline(classifier, num_features, cat_features, passthrough_features,
                              use_smote, use_adasyn, weight_mode, extra_features=extra_features,
-                             max_categories=max_categories)
+                             max_categories=max_categories, steps=steps)
 
 
 def positive_probability(col: str = "probability") -> Column:
@@ -143,6 +156,6 @@ def strategy_pipeline(family: str, strategy: str, **params) -> AttritionPipeline
     clf = FAMILIES[family](weighted=weighted, **params)
     mode = None
     if weighted:
-        mode = "positive" if family == "Boosted Trees" else "balanced"
+        mode = {"Boosted Trees": "positive"}.get(family, "balanced")
     return build_pipeline(clf, use_smote=strategy == "SMOTE", use_adasyn=strategy == "ADASYN",
                           weight_mode=mode)
