@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from attrition.operators import curves
+from attrition.operators.ledger import Ledger, model_name
+from attrition.operators.ledger import out_of_fold as ledger_folds
 from attrition.operators.models import AttritionPipeline, score
 from attrition.schema import KEY, SCORE_WEIGHTS, SEED_SAMPLER, TARGET
 from attrition.session import materialize
@@ -73,11 +75,18 @@ def strategy_summary(ranked: DataFrame) -> DataFrame:
 
 def compare_models(spark: SparkSession, folded: DataFrame,
                    grid: list[tuple[str, str, Callable[[], AttritionPipeline]]],
-                   parallelism: int = 3) -> DataFrame:
-    """One row per (Model, Strategy): mean fold ROC-AUC, F1, Recall at 0.5."""
+                   parallelism: int = 3, ledger: Ledger | None = None, name: str = "") -> DataFrame:
+    """One row per (Model, Strategy): mean fold ROC-AUC, F1, Recall at 0.5.
+
+    With a ``ledger`` a stopped comparison goes on where it was; ``name`` tells grids apart whose
+    cells share names but not parameters."""
+    called = lambda model, strategy: model_name(grid=name, model=model, strategy=strategy)
+    held = ledger_folds(ledger, folded, {called(m, s): fn for m, s, fn in grid}) if ledger else {}
+
     def one(cell):
         model, strategy, fn = cell
-        m = cross_validate(materialize(out_of_fold(fn, folded), "oof")).first()
+        oof = held[called(model, strategy)] if ledger else materialize(out_of_fold(fn, folded), "oof")
+        m = cross_validate(oof).first()
         return (model, strategy, m["roc_auc"], m["f1"], m["recall"])
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
@@ -131,13 +140,19 @@ def random_search(spark: SparkSession, folded: DataFrame,
                   model_fn: Callable[..., AttritionPipeline], space: dict, n_trials: int,
                   seed: int = SEED_SAMPLER, fixed: dict | None = None,
                   objective: Callable[[DataFrame], float] | None = None,
-                  parallelism: int = 4) -> tuple[DataFrame, dict]:
+                  parallelism: int = 4, ledger: Ledger | None = None, name: str = "") -> tuple[DataFrame, dict]:
     """Trials table ``(trial, params, score)`` and the best parameters merged
     with ``fixed``. Each trial is an out-of-fold Spark job whose scores are stored
-    once; without an ``objective`` the mean fold F1 is used."""
+    once; without an ``objective`` the mean fold F1 is used. With a ``ledger`` a stopped
+    search goes on where it was, and equal parameters are fitted once; ``name`` says what
+    ``model_fn`` fits."""
+    drawn = [draw(space, trial, seed) for trial in range(n_trials)]
+    called = lambda params: model_name(search=name, **params)
+    held = ledger_folds(ledger, folded, {called(p): (lambda p=p: model_fn(**p)) for p in drawn}) if ledger else {}
+
     def one(trial):
-        params = draw(space, trial, seed)
-        oof = materialize(out_of_fold(lambda: model_fn(**params), folded), "oof")
+        params = drawn[trial]
+        oof = held[called(params)] if ledger else materialize(out_of_fold(lambda: model_fn(**params), folded), "oof")
         return trial, {k: str(v) for k, v in params.items()}, float((objective or mean_fold_f1)(oof)), params
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:

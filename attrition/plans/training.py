@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attrition.operators import calibrate, curves, models, search, split
+from attrition.operators.ledger import Ledger
 from attrition.schema import N_FOLDS, RECALL_FLOOR
 from attrition.session import materialize
 
@@ -47,23 +48,25 @@ def comparison_grid(families: list[str] | None = None, strategies: list[str] | N
     learners' parameters by family (default: 200 trees, 100 boosting rounds)."""
     sizes = sizes or {}
     return [(fam, strat, (lambda f=fam, s=strat: models.strategy_pipeline(f, s, **sizes.get(f, {}))))
-            for fam in (families or list(models.FAMILIES))
+            for fam in (families or list(models.GRID))
             for strat in (strategies or models.STRATEGIES)]
 
 
 def train_workflow(spark: SparkSession, profile: DataFrame, n_trials: int = N_TRIALS,
                    mode: str = "oof", k: int = N_FOLDS,
                    families: list[str] | None = None, strategies: list[str] | None = None,
-                   sizes: dict[str, dict] | None = None) -> TrainResult:
+                   sizes: dict[str, dict] | None = None, ledger: Ledger | None = None) -> TrainResult:
+    """``ledger``: keeps every fold's fit of the comparison and the search, so that a workflow that
+    was stopped fits only the rest when it is run again."""
     folded, test = prepare(profile, k)
     grid = comparison_grid(families, strategies, sizes)
-    comparison = search.rank_results(search.compare_models(spark, folded, grid))
+    comparison = search.rank_results(search.compare_models(spark, folded, grid, ledger=ledger, name=str(sizes or "")))
     best = comparison.where(F.col("rank") == 1).first()
     fam, strat = best["Model"], best["Strategy"]
     space = SEARCH_SPACES[fam]
     trials, params = search.random_search(
         spark, folded, lambda **p: models.strategy_pipeline(fam, strat, **p), space, n_trials,
-        objective=search.pooled_objective)
+        objective=search.pooled_objective, ledger=ledger, name=f"{fam}/{strat}")
     pipe = models.strategy_pipeline(fam, strat, **params)
     train = folded.drop("fold")
     final = pipe.fit(train)
@@ -86,6 +89,9 @@ SEARCH_SPACES = {
                       "min_instances": ("int", 1, 10), "feature_subset": ("cat", ["sqrt", "log2"])},
     "Boosted Trees": {"max_iter": ("int", 200, 700), "step_size": ("logfloat", 0.015, 0.1),
                       "max_depth": ("int", 3, 5), "subsampling_rate": ("float", 0.5, 0.8)},
+    "Newton Boosted Trees": {"max_iter": ("int", 200, 700), "step_size": ("logfloat", 0.015, 0.1),
+                             "max_depth": ("int", 3, 5), "l2": ("logfloat", 0.01, 6.0),
+                             "subsampling_rate": ("float", 0.5, 0.8)},
 }
 
 
