@@ -117,7 +117,7 @@ def test_saved_pair_is_consistent(spark, profile, fitted):
     gap = again.join(here.select("CustomerId", F.col("p_cal").alias("q")), "CustomerId").agg(
         F.max(F.abs(F.col("p_cal") - F.col("q")))).first()[0]
     assert t2 == t and gap < 1e-12
-    assert spark.read.option("header", True).csv(os.path.join(folder, "lr", "predictions")).count() == 1
+    assert files.load_predictions(spark, folder, "lr").count() == 1
     files.save_model(fitted, 0.4, folder, "plain", spark=spark)
     assert files.load_calibrator(spark, folder, "plain") is None
 
