@@ -231,11 +231,15 @@ def _kde_sql(col: str) -> str:
   GROUP BY s.label, g.i, s.gmin, s.gmax, s.n, s.bw"""
 
 
-@register("kde_by_class", with_ctes(["train"], _kde_sql("Age") + "\nUNION ALL\n"
-                                     + _kde_sql("CreditScore")))
+KDE_COLS = ["Age", "CreditScore", "Balance", "EstimatedSalary"]
+
+
+@register("kde_by_class", with_ctes(["train"], "\nUNION ALL\n".join(map(_kde_sql, KDE_COLS))))
 def q_kde(spark, sf_dir):
     t = train(spark, sf_dir)
-    out = eda.kde_by_class(t, "Age").unionByName(eda.kde_by_class(t, "CreditScore"))
+    out = eda.kde_by_class(t, KDE_COLS[0])
+    for c in KDE_COLS[1:]:
+        out = out.unionByName(eda.kde_by_class(t, c))
     # Grid positions (tens, from a bandwidth whose last bit differs between
     # engines) are compared at 6 decimals; densities at 9.
     out = rounded(out.withColumn("grid_index", F.col("grid_index").cast("bigint")), ["x"], 6)
@@ -260,16 +264,26 @@ def q_corr(spark, sf_dir):
     return rounded(eda.correlation_matrix(train(spark, sf_dir), CORR_COLS), ["r"])
 
 
-HIGH_CORR = 0.7
+#: The audit's threshold and a lower one.
+HIGH_CORR = [0.7, 0.1]
+HIGH_CORR_COLS = [*CORR_COLS, "BalanceSalaryRatio", "ProductsPerYear"]
+
+
+def _high_corr_sql() -> str:
+    value = {c: c for c in CORR_COLS} | {"BalanceSalaryRatio": "Balance / (EstimatedSalary + 1)",
+                                         "ProductsPerYear": "NumOfProducts / (Tenure + 1)"}
+    return with_ctes(["train"], "\nUNION ALL\n".join(
+        f"SELECT CAST({t!r} AS DOUBLE) AS threshold, '{min(a, b)}' AS feature_1, '{max(a, b)}' AS feature_2, round(abs(r), 9) AS abs_r "
+        f"FROM (SELECT corr(CAST({value[a]} AS DOUBLE), CAST({value[b]} AS DOUBLE)) AS r FROM train) WHERE abs(r) > {t!r}"
+        for t in HIGH_CORR for i, a in enumerate(HIGH_CORR_COLS) for b in HIGH_CORR_COLS[i + 1:]))
 
 
-@register("high_correlation_pairs", _corr_sql(
-    "SELECT least(row_feature, col_feature) AS feature_1, "
-    "greatest(row_feature, col_feature) AS feature_2, round(abs(r), 9) AS abs_r "
-    "FROM ({sel}) WHERE abs(r) > " + repr(HIGH_CORR)))
+@register("high_correlation_pairs", _high_corr_sql())
 def q_high_corr(spark, sf_dir):
-    c = eda.correlation_matrix(train(spark, sf_dir), CORR_COLS)
-    return rounded(eda.high_correlation_pairs(c, HIGH_CORR), ["abs_r"])
+    """Strongly correlated pairs among inputs, target and derived ratios, at both thresholds."""
+    c = eda.correlation_matrix(engineer(train(spark, sf_dir)), HIGH_CORR_COLS)
+    out = [eda.high_correlation_pairs(c, t).select(F.lit(t).alias("threshold"), "*") for t in HIGH_CORR]
+    return rounded(out[0].unionByName(out[1]), ["abs_r"])
 
 
 @register("majority_baseline", with_ctes(["profile"], """
@@ -854,37 +868,88 @@ def _fit_score(spark, sf_dir, family, strategy, **params):
     return m, models.score(m, test), test
 
 
-def _in_range(df: DataFrame) -> DataFrame:
-    """Scores replaced by whether they are probabilities, which SQL can state."""
-    return df.withColumn("is_probability", F.col("p").between(0, 1)).drop("p")
-
-
-_TEST_ROWS = with_ctes(["test"], "SELECT CustomerId, Exited AS y, TRUE AS is_probability FROM test")
-
-
 @register("oof_probabilities", with_ctes(["folds"], """
-  SELECT CustomerId, Exited AS y, fold, TRUE AS is_probability FROM folds"""))
+  SELECT CustomerId, Exited AS y, fold, 0.0 AS residual FROM folds"""))
 def q_oof(spark, sf_dir):
-    """Every training row scored once, by the model of its own fold."""
-    from attrition.operators import models, search
+    """Every training row scored once by the model of its own fold: the gap between the pipelines
+    that are fitted fold by fold and the batched solver, which never sees their tables."""
+    from attrition.operators import batch_logistic, models, search
     folded, _ = _folded(spark, sf_dir)
-    return _in_range(search.out_of_fold(
-        lambda: models.strategy_pipeline("Logistic Regression", "class_weight"), folded))
+    single = search.out_of_fold(
+        lambda: models.strategy_pipeline("Logistic Regression", "class_weight", tol=FIT_TOLERANCE), folded)
+    of = batch_logistic.design(folded)
+    fits, trials = batch_logistic.trial_fits(of, [{}])
+    batched = batch_logistic.held_out_scores(of, fits, batch_logistic.fit_all(of, fits), trials)
+    return (single.join(batched.select(F.col("key").alias(KEY), F.col("fold").alias("_f"), F.col("p").alias("_p")), KEY)
+            .select(KEY, "y", "fold", F.when(F.col("fold") == F.col("_f"), F.round(F.abs(F.col("p") - F.col("_p")), 5)).alias("residual")))
 
 
-@register("logistic_scores", _TEST_ROWS)
-def q_logistic_scores(spark, sf_dir):
-    return _in_range(_fit_score(spark, sf_dir, "Logistic Regression", "class_weight")[1])
+#: Stopping tolerance of the fits whose residuals SQL states as 0.
+FIT_TOLERANCE = 1e-12
 
 
-@register("forest_scores", _TEST_ROWS)
-def q_forest_scores(spark, sf_dir):
-    return _in_range(_fit_score(spark, sf_dir, "Random Forest", "class_weight")[1])
+@register("logistic_scores", with_ctes(["test"], """
+  SELECT CustomerId, Exited AS y, 0.0 AS residual, 0.0 AS gradient FROM test"""))
+def q_logistic_scores(spark, sf_dir):
+    """Test customers scored: how far each score is from coefficients times features, and the largest
+    entry of the loss's gradient at the fit, taken from the scores of the training rows."""
+    from attrition.operators import evidence, models
+    folded, test = _folded(spark, sf_dir)
+    tr = folded.drop("fold")
+    m = models.strategy_pipeline("Logistic Regression", "class_weight", tol=FIT_TOLERANCE).fit(tr)
+    gradient = evidence.logistic_gradient(m, tr, "balanced").agg(F.max(F.abs("gradient"))).first()[0]
+    scored_ = m.transform(test).withColumn("p", models.positive_probability())
+    return scored_.select(KEY, F.col(TARGET).cast("int").alias("y"),
+                          F.round(evidence.logistic_residual(scored_, m), 9).alias("residual"),
+                          F.round(F.lit(gradient), 5).alias("gradient"))
 
 
-@register("boosted_scores", _TEST_ROWS)
+@register("forest_scores", with_ctes(["test"], """
+  SELECT CustomerId, Exited AS y, 0.0 AS residual, TRUE AS beats_constant FROM test"""))
+def q_forest_scores(spark, sf_dir):
+    """Test customers scored: how far each score is from a walk over the saved nodes, and whether the
+    forest's weighted log loss on its training rows is below that of the best constant."""
+    from attrition.operators import evidence, imbalance, models
+    m, _, test = _fit_score(spark, sf_dir, "Random Forest", "class_weight")
+    folded, _ = _folded(spark, sf_dir)
+    walked_ = evidence.walked(m, test).withColumn("p", models.positive_probability())
+    scored_ = imbalance.with_class_weight(m.transform(folded.drop("fold")), TARGET, "balanced").withColumn(
+        "_q", F.greatest(F.lit(1e-15), F.least(F.lit(1 - 1e-15), models.positive_probability())))
+    loss = scored_.agg((F.sum(F.col("weight") * -F.log(F.when(F.col(TARGET) == 1, F.col("_q")).otherwise(1 - F.col("_q"))))
+                        / F.sum("weight"))).first()[0]
+    # Balanced weights make one half the best constant.
+    return walked_.select(KEY, F.col(TARGET).cast("int").alias("y"),
+                          F.round(F.abs(F.col("p") - evidence.walked_probability(m)), 9).alias("residual"),
+                          (F.lit(loss) < F.log(F.lit(2.0))).alias("beats_constant"))
+
+
+@register("boosted_scores", with_ctes(["test"], """
+  SELECT CustomerId, Exited AS y, 0.0 AS residual, 0.0 AS value_gap, 0.0 AS cover_gap FROM test"""))
 def q_boosted_scores(spark, sf_dir):
-    return _in_range(_fit_score(spark, sf_dir, "Boosted Trees", "class_weight")[1])
+    """Test customers scored: how far each score is from a walk over the saved nodes, and how far any
+    leaf of any round is from the mean pseudo-residual and the weight of its training rows."""
+    from attrition.operators import evidence, models
+    folded, test = _folded(spark, sf_dir)
+    tr = folded.drop("fold")
+    m = models.strategy_pipeline("Boosted Trees", "class_weight").fit(tr)
+    gaps = evidence.leaf_residuals(m, tr, "positive").agg(F.max("value_gap"), F.max("cover_gap")).first()
+    walked_ = evidence.walked(m, test).withColumn("p", models.positive_probability())
+    return walked_.select(KEY, F.col(TARGET).cast("int").alias("y"),
+                          F.round(F.abs(F.col("p") - evidence.walked_probability(m)), 9).alias("residual"),
+                          F.round(F.lit(gaps[0]), 6).alias("value_gap"), F.round(F.lit(gaps[1]), 4).alias("cover_gap"))
+
+
+@register("newton_boosted_scores", with_ctes(["test"], """
+  SELECT CustomerId, Exited AS y, TRUE AS is_probability, 0.0 AS gap FROM test"""))
+def q_newton_boosted_scores(spark, sf_dir):
+    """Test customers scored by twenty rounds with an L2 term, and how far any leaf of any round is from
+    -G / (H + l2) of its training rows."""
+    from attrition.operators import evidence, models
+    folded, test = _folded(spark, sf_dir)
+    tr = folded.drop("fold")
+    m = models.strategy_pipeline("Newton Boosted Trees", "class_weight", max_iter=20, l2=1.5).fit(tr)
+    gap = evidence.newton_gaps(m, tr, 1.5, "balanced").agg(F.max("gap")).first()[0]
+    return models.score(m, test).select(KEY, "y", F.col("p").between(0, 1).alias("is_probability"), F.round(F.lit(gap), 7).alias("gap"))
 
 
 @register("model_comparison")
@@ -982,20 +1047,47 @@ def q_best_so_far(spark, sf_dir):
     return search.best_so_far(trials)
 
 
-#: The workflow's 150 trials of 5 fits take longer than a query may here (``N_TRIALS`` is the default
-#: of ``train_workflow``; pass any number to ``search.random_search``).
-QUERY_TRIALS = 25
-
-
 @register("random_search")
 def q_random_search(spark, sf_dir):
-    """Trials over the logistic family's whole space."""
-    from attrition.operators import models, search
-    from attrition.plans.training import SEARCH_SPACES
+    """The workflow's 150 trials of 5 folds over the logistic family's whole space, fitted together."""
+    from attrition.operators import batch_logistic
+    from attrition.plans.training import N_TRIALS, SEARCH_SPACES
+    folded, _ = _folded(spark, sf_dir)
+    return batch_logistic.logistic_search(spark, folded, SEARCH_SPACES["Logistic Regression"], N_TRIALS)[0]
+
+
+def _draw_sql(trial: str, name: str) -> str:
+    """The uniform number that ``search.draw`` takes for a parameter of a trial."""
+    from attrition.schema import SEED_SAMPLER
+    return (f"CAST(CAST('0x' || substr(md5('{SEED_SAMPLER}:' || {trial} || ':{name}'), 1, 13) AS BIGINT) AS DOUBLE) / {16 ** 13}")
+
+
+def _search_fits_sql() -> str:
+    import math
+
+    from attrition.plans.training import N_TRIALS, SEARCH_SPACES
+    low, high = (math.log(v) for v in SEARCH_SPACES["Logistic Regression"]["C"][1:])
+    return with_ctes(["folds"], f"""
+  SELECT CAST(t.trial AS INTEGER) AS trial, k.fold, round(exp({low!r} + {_draw_sql('t.trial', 'C')} * ({high!r} - {low!r})), 9) AS C,
+         CASE WHEN {_draw_sql('t.trial', 'penalty')} < 0.5 THEN 'l2' END AS penalty,
+         (SELECT count(*) FROM folds f WHERE f.fold <> k.fold) AS rows, 0.0 AS gradient
+  FROM range({N_TRIALS}) t(trial) CROSS JOIN (SELECT DISTINCT fold FROM folds) k""")
+
+
+@register("search_fits", _search_fits_sql())
+def q_search_fits(spark, sf_dir):
+    """Every fit of the search: drawn parameters, training rows and the largest entry of the gradient
+    at the coefficients that were found."""
+    from attrition.operators import batch_logistic, search
+    from attrition.plans.training import N_TRIALS, SEARCH_SPACES
     folded, _ = _folded(spark, sf_dir)
-    return search.random_search(
-        spark, folded, lambda **p: models.strategy_pipeline("Logistic Regression", "class_weight", **p),
-        SEARCH_SPACES["Logistic Regression"], n_trials=QUERY_TRIALS, objective=search.pooled_objective)[0]
+    of = batch_logistic.design(folded)
+    params = [search.draw(SEARCH_SPACES["Logistic Regression"], t) for t in range(N_TRIALS)]
+    fits, trials = batch_logistic.trial_fits(of, params)
+    rows = [(t, f.fold, float(f.C), f.penalty, sum(of.counts(f.fold).values()), float(m.gradient))
+            for t, f, m in zip(trials, fits, batch_logistic.fit_all(of, fits))]
+    return rounded(rounded(spark.createDataFrame(rows, "trial int, fold int, C double, penalty string, rows long, gradient double"), ["C"]),
+                   ["gradient"], 8)
 
 
 def _resampled(spark, sf_dir, sampler: str) -> DataFrame:
@@ -1100,5 +1192,5 @@ def q_saved_model_scores(spark, sf_dir):
                     (D.decision_label(D.decide("a", t)) == F.col("Churn_Prediction")).alias("same_decision")))
 
 # Queries that run many fits come last.
-for _name in ("random_search", "model_comparison"):
+for _name in ("random_search", "search_fits", "model_comparison"):
     QUERIES[_name] = QUERIES.pop(_name)
