@@ -14,14 +14,14 @@ sorting suffixes. A place where two neighbours part is marked in the round in wh
 order within an interval is that of the corpus, so its first string stays and the others go.
 
 What reaches the transforms is found without loss first. Windows of 100 bytes that are equal
-have the same least hashed ``GRAM``-byte string inside. A segment is a run of windows with the
+have the same least hashed 40-byte string inside. A segment is a run of windows with the
 same least string (its key). (1) Keys are counted over the corpus; only keys that occur twice can
 hold a repeat. They are known to the tasks as a bitmap of fixed size, which lets through some
 others at no harm. (2) Of equal segments the first one stays and all windows of the others go.
 (3) Different segments of one key, and segments that repeat a string inside, are dealt by key
 into groups of bounded size, and there the transforms are merged. A key with more than ``HOT``
-different segments, or more than ``GROUP_BYTES`` of them, is cut into its windows, which are dealt
-by their own hash instead. Of equal windows only the first and the last go to the transforms,
+different segments, or more than ``GROUP_BYTES`` of them, is cut again by a longer least string,
+and at last into its windows, which are dealt by their own hash. Of equal windows only the first and the last go to the transforms,
 whatever their number; those between become removed spans by their places.
 
 Defined results: null text is empty; texts under 100 bytes keep everything; rows that repeat
@@ -39,11 +39,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attrition.llm.common import MIX, ODD, chunks, documents, materialize, text_bytes
+from attrition.session import release
 
 LENGTH = 100
 STEP = 20
-#: Long enough that equal strings are hardly ever chance, however large the corpus.
-GRAM = 40
+#: Bytes of the strings that make keys, level by level. The first is long enough that equal strings are
+#: hardly ever chance, however large the corpus; beyond the last, windows are keys.
+GRAMS = (40, 70)
 BITMAP_BITS = 27
 HOT = 4096
 #: Added to a key's count by segments that repeat a string inside.
@@ -96,19 +98,19 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[:n], values[width - size:width - size + n])
 
 
-def segments(data: np.ndarray, offsets: np.ndarray):
+def segments(data: np.ndarray, offsets: np.ndarray, gram_bytes: int = GRAMS[0]):
     """Segments of all texts: owner, start within the text, windows, key, hash, repeats inside."""
     none = np.empty(0, np.int64)
     if len(data) < LENGTH:
         return none, none, none, none, none, none.astype(bool)
     total = _prefix(data)
-    places = len(data) - GRAM + 1
-    gram = _hash(total, slice(0, places), slice(GRAM, GRAM + places))
+    places = len(data) - gram_bytes + 1
+    gram = _hash(total, slice(0, places), slice(gram_bytes, gram_bytes + places))
     bits = np.uint64(int(places).bit_length())
     coarse = (gram >> bits) << bits
     place = np.arange(places, dtype=np.uint64)
     mask = (np.uint64(1) << bits) - np.uint64(1)
-    width = LENGTH - GRAM + 1
+    width = LENGTH - gram_bytes + 1
     left = (_least(coarse | place, width) & mask).astype(np.int64)
     right = (mask - (_least(coarse | (mask - place), width) & mask)).astype(np.int64)
     size = np.diff(offsets)
@@ -124,33 +126,22 @@ def segments(data: np.ndarray, offsets: np.ndarray):
     return owner[fresh], begin - offsets[owner[fresh]], count, key[fresh].view(np.int64), code.view(np.int64), inside
 
 
-def _batch_segments(batch: pa.RecordBatch, known: np.ndarray | None = None) -> tuple:
-    """Segments of a batch, worked out in small slices; with ``known`` only those of its keys."""
-    parts, row = [], 0
-    for part in chunks(batch, limit=SLICE_BYTES):
-        owner, *rest = segments(*text_bytes(part.column("text")))
-        found = (owner + row, *rest)
-        row += part.num_rows
-        if known is not None:
-            take = _in_bitmap(known, found[3])
-            found = tuple(x[take] for x in found)
-        parts.append(found)
-    return tuple(np.concatenate(x) for x in zip(*parts)) if parts else segments(np.empty(0, np.uint8), np.zeros(1, np.int64))
-
-
-def _count_keys(batches):
-    for batch in batches:
-        _, _, _, key, code, inside = _batch_segments(batch)
-        if not len(key):
-            continue
-        order = np.argsort(key)
-        key, code, inside = key[order], code[order], inside[order]
-        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(key[first]),
-             pa.array(np.diff(np.r_[first, len(key)]) + np.logical_or.reduceat(inside, first) * INSIDE),
-             pa.array(np.minimum.reduceat(code, first)), pa.array(np.maximum.reduceat(code, first))],
-            names=["key", "n", "low", "high"])
+def _count_keys(gram: int):
+    def count(batches):
+        for batch in batches:
+            for part in chunks(batch, limit=SLICE_BYTES):
+                _, _, _, key, code, inside = segments(*text_bytes(part.column("text")), gram)
+                if not len(key):
+                    continue
+                order = np.argsort(key)
+                key, code, inside = key[order], code[order], inside[order]
+                first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key[first]),
+                     pa.array(np.diff(np.r_[first, len(key)]) + np.logical_or.reduceat(inside, first) * INSIDE),
+                     pa.array(np.minimum.reduceat(code, first)), pa.array(np.maximum.reduceat(code, first))],
+                    names=["key", "n", "low", "high"])
+    return count
 
 
 def _bitmap(keys: DataFrame) -> np.ndarray:
@@ -172,44 +163,47 @@ def _in_bitmap(bitmap: np.ndarray, key: np.ndarray) -> np.ndarray:
 _FOUND = "kind int, key long, seg long, doc long, hash long, start int, n int, inside boolean, text binary"
 
 
-def _find(repeated: np.ndarray, varied: np.ndarray):
-    """Segments of repeated keys; equal ones of a batch at once become removed spans (kind 1)."""
+def _find(repeated: np.ndarray, varied: np.ndarray, gram: int):
+    """Segments of repeated keys; equal ones of a slice at once become removed spans (kind 1)."""
     def find(batches):
         for batch in batches:
-            owner, start, n, key, code, inside = _batch_segments(batch, repeated)
-            if not len(key):
-                continue
-            doc = np.asarray(batch.column("doc"))[owner]
-            tie = np.asarray(batch.column("hash"))[owner]
-            order = np.lexsort((start, tie, doc, code, key))
-            same = np.r_[False, (key[order][1:] == key[order][:-1]) & (code[order][1:] == code[order][:-1])]
-            kind = np.zeros(len(key), np.int32)
-            kind[order[same]] = 1
-            # A repeated row is no later copy of itself.
-            place = np.stack([doc, tie, start], 1)[order]
-            head = np.maximum.accumulate(np.where(~same, np.arange(len(order)), 0))
-            twin = same & np.r_[False, (place[1:] == place[:-1]).all(1)]
-            itself = same & (place == place[head]).all(1)
-            keep = np.ones(len(key), bool)
-            keep[order[twin | itself]] = False
-            # Neighbouring removed segments of a text become one row.
-            gone = np.flatnonzero(keep & (kind == 1))
-            if len(gone):
-                joins = np.r_[False, (owner[gone[1:]] == owner[gone[:-1]])
-                              & (start[gone[1:]] == start[gone[:-1]] + n[gone[:-1]])]
-                heads = np.flatnonzero(~joins)
-                n = n.copy()
-                n[gone[heads]] = np.add.reduceat(n[gone], heads)
-                keep[gone[joins]] = False
-            data, offsets = text_bytes(batch.column("text"))
-            begin = offsets[owner] + start
-            text = _in_bitmap(varied, key) & (kind == 0) & keep
-            texts = [data[b:b + m].tobytes() if t else None for b, m, t in zip(begin, n + LENGTH - 1, text)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(kind), pa.array(key), pa.array(code), pa.array(doc, pa.int64()), pa.array(tie, pa.int64()),
-                 pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(inside),
-                 pa.array(texts, pa.binary())],
-                names=["kind", "key", "seg", "doc", "hash", "start", "n", "inside", "text"]).filter(pa.array(keep))
+            for part in chunks(batch, limit=SLICE_BYTES):
+                data, offsets = text_bytes(part.column("text"))
+                owner, start, n, key, code, inside = segments(data, offsets, gram)
+                take = _in_bitmap(repeated, key)
+                if not take.any():
+                    continue
+                owner, start, n, key, code, inside = (v[take] for v in (owner, start, n, key, code, inside))
+                begin = offsets[owner] + start
+                doc, tie, base = (np.asarray(part.column(c)).astype(np.int64)[owner] for c in ("doc", "hash", "start"))
+                start = base + start
+                order = np.lexsort((start, tie, doc, code, key))
+                same = np.r_[False, (key[order][1:] == key[order][:-1]) & (code[order][1:] == code[order][:-1])]
+                kind = np.zeros(len(key), np.int32)
+                kind[order[same]] = 1
+                # A repeated row is no later copy of itself.
+                place = np.stack([doc, tie, start], 1)[order]
+                head = np.maximum.accumulate(np.where(~same, np.arange(len(order)), 0))
+                twin = same & np.r_[False, (place[1:] == place[:-1]).all(1)]
+                itself = same & (place == place[head]).all(1)
+                keep = np.ones(len(key), bool)
+                keep[order[twin | itself]] = False
+                # Neighbouring removed segments of a text become one row.
+                gone = np.flatnonzero(keep & (kind == 1))
+                text = _in_bitmap(varied, key) & (kind == 0) & keep
+                texts = [data[b:b + m].tobytes() if t else None for b, m, t in zip(begin, n + LENGTH - 1, text)]
+                if len(gone):
+                    joins = np.r_[False, (owner[gone[1:]] == owner[gone[:-1]])
+                                  & (start[gone[1:]] == start[gone[:-1]] + n[gone[:-1]])]
+                    heads = np.flatnonzero(~joins)
+                    n = n.copy()
+                    n[gone[heads]] = np.add.reduceat(n[gone], heads)
+                    keep[gone[joins]] = False
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(kind), pa.array(key), pa.array(code), pa.array(doc), pa.array(tie),
+                     pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(inside),
+                     pa.array(texts, pa.binary())],
+                    names=["kind", "key", "seg", "doc", "hash", "start", "n", "inside", "text"]).filter(pa.array(keep))
     return find
 
 
@@ -315,18 +309,20 @@ def _identified(docs: DataFrame, *more: str) -> DataFrame:
 
 
 def _window_codes(batches):
-    """Hash of every window of the texts, once per batch."""
+    """Hash of every window of the texts, once per slice."""
     for batch in batches:
-        texts = batch.column("text").to_pylist()
-        codes = [_codes(t) for t in texts]
-        code, n = np.unique(np.concatenate(codes) if codes else np.empty(0, np.int64), return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(code, pa.int64()), pa.array(n, pa.int64())], names=["key", "n"])
+        for part in chunks(batch, limit=SLICE_BYTES):
+            data, offsets = text_bytes(part.column("text"))
+            _, at = _window_places(offsets)
+            code, n = np.unique(_hash(_prefix(data), at, at + LENGTH).view(np.int64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(code, pa.int64()), pa.array(n, pa.int64())], names=["key", "n"])
 
 
-def _codes(text: bytes) -> np.ndarray:
-    total = _prefix(np.frombuffer(text, np.uint8))
-    start = np.arange(len(text) - LENGTH + 1)
-    return _hash(total, start, start + LENGTH).view(np.int64)
+def _window_places(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Owner and place of every window of the texts."""
+    windows = np.maximum(np.diff(offsets) - LENGTH + 1, 0)
+    owner = np.repeat(np.arange(len(windows)), windows)
+    return owner, np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows) + offsets[owner]
 
 
 def _equal(data: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
@@ -348,9 +344,7 @@ def _cut_windows(repeated: np.ndarray):
         for batch in batches:
             for part in chunks(batch, limit=SLICE_BYTES):
                 data, offsets = text_bytes(part.column("text"))
-                windows = np.diff(offsets) - LENGTH + 1
-                owner = np.repeat(np.arange(len(windows)), windows)
-                at = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows) + offsets[owner]
+                owner, at = _window_places(offsets)
                 code = _hash(_prefix(data), at, at + LENGTH).view(np.int64)
                 take = np.flatnonzero(_in_bitmap(repeated, code))
                 if not len(take):
@@ -378,47 +372,69 @@ def _cut_windows(repeated: np.ndarray):
     return cut
 
 
-def removed_spans(docs: DataFrame) -> DataFrame:
-    """Rows (doc, hash, begin, end): bytes to remove; spans of a document may overlap."""
-    source = docs.select("doc", "hash", "text")
-    keys = materialize(source.select("text").mapInArrow(_count_keys, "key long, n long, low long, high long")
-                       .groupBy("key").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
-                       .where("n > 1").select("key", ((F.col("n") >= INSIDE) | (F.col("low") != F.col("high"))).alias("varied")),
-                       "keys")
+def _level(source: DataFrame, gram: int, scratch: list) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One level of keys over texts (doc, hash, start, text): spans of later equal segments, first
+    segments of calm keys and of hot ones."""
+    def stored(frame: DataFrame, name: str) -> DataFrame:
+        scratch.append(materialize(frame, name))
+        return scratch[-1]
+
+    keys = stored(source.select("text").mapInArrow(_count_keys(gram), "key long, n long, low long, high long")
+                  .groupBy("key").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+                  .where("n > 1").select("key", ((F.col("n") >= INSIDE) | (F.col("low") != F.col("high"))).alias("varied")),
+                  "keys")
     repeated, varied = _bitmap(keys), _bitmap(keys.where("varied"))
-    found = materialize(source.mapInArrow(_find(repeated, varied), _FOUND), "segments")
+    release(keys)
+    found = stored(source.mapInArrow(_find(repeated, varied, gram), _FOUND), "segments")
     # What is asked of equal segments and of a key is summed before it is dealt, and rows are told
     # from the first of their kind by their places, so no key or segment is gathered in a task.
     place = ["doc", "hash", "start"]
     same = found.where("kind = 0")
     first = same.groupBy("key", "seg").agg(F.min(F.struct(*place)).alias("at"), F.max("n").alias("n"))
-    # At most one key for HOT segments or GROUP_BYTES of text.
+    # At most one key for HOT segments or GROUP_BYTES of text; the planner looks at their number.
     crowded = (first.groupBy("key").agg(F.count("*").alias("segs"), F.sum(F.col("n") + LENGTH - 1).alias("bytes"))
                .where((F.col("segs") > HOT) | ((F.col("segs") > 1) & (F.col("bytes") > GROUP_BYTES)))
                .select("key", F.lit(True).alias("hot")))
-    marks = first.join(F.broadcast(crowded), "key", "left").select("at.*", F.coalesce("hot", F.lit(False)).alias("hot"))
-    judged = materialize(same.join(marks, place, "left").where("hot is null or text is not null")
-                         .select("key", *place, "n", "hot", F.when(F.col("hot").isNotNull(), F.col("text")).alias("text")), "judged")
-    spans = (found.where("kind = 1").select(*place, "n")
-             .unionByName(judged.where("hot is null").select(*place, "n"))
-             .select("doc", "hash", F.col("start").cast("long").alias("begin"),
-                     (F.col("start") + F.col("n") + LENGTH - 1).cast("long").alias("end")))
+    marks = first.join(stored(crowded, "crowded"), "key", "left").select("at.*", F.coalesce("hot", F.lit(False)).alias("hot"))
+    judged = stored(same.join(marks, place, "left").where("hot is null or text is not null")
+                    .select("key", *place, "n", "hot", F.when(F.col("hot").isNotNull(), F.col("text")).alias("text")), "judged")
+    spans = stored(found.where("kind = 1").select(*place, "n")
+                   .unionByName(judged.where("hot is null").select(*place, "n"))
+                   .select("doc", "hash", F.col("start").cast("long").alias("begin"),
+                           (F.col("start") + F.col("n") + LENGTH - 1).cast("long").alias("end")), "later")
+    release(found)
     # A repeated row is no later copy of itself.
     texts = judged.where("hot is not null").dropDuplicates(place)
-    hot, calm = texts.where("hot"), texts.where("not hot")
-    rows = calm.select(*place, "text", F.xxhash64("key").alias("deal"))
-    size = calm.agg(F.sum(F.length("text"))).first()[0] or 0
-    if not judged.where("hot").isEmpty():
+    return spans, texts.where("not hot"), texts.where("hot")
+
+
+def removed_spans(docs: DataFrame, scratch: list | None = None) -> DataFrame:
+    """Rows (doc, hash, begin, end): bytes to remove; spans of a document may overlap. ``scratch``
+    is given the stored tables that the rows are made from, to be released once these are stored."""
+    scratch = [] if scratch is None else scratch
+    place = ["doc", "hash", "start"]
+    level, spans, rows, size = docs.select("doc", "hash", F.lit(0).alias("start"), "text"), None, None, 0
+    for depth, gram in enumerate(GRAMS):
+        later, calm, hot = _level(level, gram, scratch)
+        calm = calm.select(*place, "text", F.xxhash64(F.lit(depth), "key").alias("deal"))
+        size += calm.agg(F.sum(F.length("text"))).first()[0] or 0
+        spans = later if spans is None else spans.unionByName(later)
+        rows = calm if rows is None else rows.unionByName(calm)
+        level = materialize(hot.select(*place, "text"), "hot")
+        scratch.append(level)
+        if level.isEmpty():
+            break
+    else:
         # Most windows of a key with many different segments occur once: only the others are dealt.
-        hot = materialize(hot.select(*place, "text"), "hot")
-        codes = (hot.select("text").mapInArrow(_window_codes, "key long, n long").groupBy("key")
+        codes = (level.select("text").mapInArrow(_window_codes, "key long, n long").groupBy("key")
                  .agg(F.sum("n").alias("n")).where("n > 1").select("key"))
-        windows = materialize(hot.mapInArrow(_cut_windows(_bitmap(codes)), _WINDOWS), "windows")
+        windows = materialize(level.mapInArrow(_cut_windows(_bitmap(codes)), _WINDOWS), "windows")
         at = F.struct("doc", "hash", "begin")
         ends = windows.where("kind = 0").groupBy("deal", "text").agg(F.min(at).alias("first"), F.max(at).alias("last"))
         ends = materialize(ends.select("deal", "text", (F.col("first") != F.col("last")).alias("several"),
                                        F.explode(F.array_distinct(F.array("first", "last"))).alias("at"))
                            .select("deal", "text", "several", "at.*"), "ends")
+        scratch += [windows, ends]
         rows = rows.unionByName(ends.where("several").select("doc", "hash", F.col("begin").cast("int").alias("start"), "text", "deal"))
         between = windows.where("kind = 0").join(ends.select("doc", "hash", "begin"), ["doc", "hash", "begin"], "left_anti")
         spans = spans.unionByName(windows.where("kind = 1").unionByName(between).select("doc", "hash", "begin", "end"))
@@ -442,8 +458,11 @@ def _joined(spans: list) -> list[tuple[int, int]]:
 
 def _collected(docs: DataFrame) -> DataFrame:
     """Spans of each document that has some, in one row: doc, hash, spans; stored."""
-    return materialize(removed_spans(docs).groupBy("doc", "hash").agg(
+    scratch: list = []
+    spans = materialize(removed_spans(docs, scratch).groupBy("doc", "hash").agg(
         F.collect_list(F.struct(F.col("begin").alias("b"), F.col("end").alias("e"))).alias("spans")), "spans")
+    release(*scratch)
+    return spans
 
 
 def _marked(doc: np.ndarray) -> np.ndarray:
@@ -539,17 +558,17 @@ def cut_documents(docs: DataFrame) -> DataFrame:
     anew; a character of which a byte was cut goes as a whole. A document of which only white
     space is left after a cut goes; all others stay."""
     columns = docs.columns
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"),
-                         F.col("doc_id").alias("doc_id"), F.col("text").alias("text"))
-    order = _identified(packed, "row")
+    others = [c for c in columns if c != "text"]
+    row = F.struct(*[F.col(f"`{c}`") for c in others])
+    order = _identified(docs.select(row.alias("row"), F.col("doc_id").alias("doc_id"), F.col("text").alias("text")), "row")
     free, rest = _split(order, _collected(order), ["row", "text"])
-    found = rest.select(F.struct(*[F.col("row").getField(c).alias(c) for c in columns if c != "text"]).alias("row"),
-                        "text", "spans", F.col("spans").isNotNull().alias("cut"))
+    found = rest.select("row", "text", "spans", F.col("spans").isNotNull().alias("cut"))
     left = found.mapInArrow(_cut, f"row {found.schema['row'].dataType.simpleString()}, left string, cut boolean")
     left = left.where(~F.col("cut") | (F.trim("left") != ""))
-    of = {c: F.col("row").getField(c) for c in columns if c != "text"}
+    of = {c: F.col("row").getField(c) for c in others}
+    whole = {**of, "text": F.col("text")}
     of["text"] = F.col("left")
     if "n_chars" in of:
         of["n_chars"] = F.when(F.col("cut"), F.length("left").cast(docs.schema["n_chars"].dataType)).otherwise(of["n_chars"])
-    return (free.select(*[F.col("row").getField(c).alias(c) for c in columns])
+    return (free.select(*[whole[c].alias(c) for c in columns])
             .unionByName(left.select(*[of[c].alias(c) for c in columns])))
