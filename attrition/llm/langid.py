@@ -231,9 +231,9 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     """Pipeline form: all columns of the documents whose language is told without ambiguity."""
     model = fit_split(docs)
     columns = docs.columns
-    # Documents travel as one struct so that no column name of theirs can clash.
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"),
-                         F.col("text").alias("text"))
-    told = predict(packed, model, ["row"])
+    # The other columns travel as one struct, so that no name of theirs can clash, the text once.
+    others = [c for c in columns if c != "text"]
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"), F.col("text").alias("text"))
+    told = predict(packed, model, ["row", "text"])
     return told.where(~F.col("ambiguous")).select(
-        *[F.col("row").getField(c).alias(c) for c in columns])
+        *[F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in columns])
