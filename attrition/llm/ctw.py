@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from attrition.llm.common import (END_WORD, ODD, chunks, crc_mod, documents, head_floor, lowered,
                                   materialize, word_keys)
+from attrition.session import release
 
 DEPTH = 5
 HEAD = 1 << 19
@@ -115,11 +116,12 @@ def _bits(strings: DataFrame) -> DataFrame:
             .withColumn("bit", F.expr("shiftright(byte, 7 - i) & 1")).drop("byte", "i"))
 
 
-def tree(strings: DataFrame) -> DataFrame:
+def tree(strings: DataFrame, scratch: list | None = None) -> DataFrame:
     """Rows (key, log_p): log10 probability of each byte string's last byte in its context.
 
     ``strings``: key, n_train. Levels are built from the deepest up by grouped sums, then the
-    mixture is carried down by equi-joins in which a parent has at most 256 children."""
+    mixture is carried down by equi-joins in which a parent has at most 256 children. ``scratch`` is
+    given the stored levels, to be released once the rows are stored."""
     half = math.log(0.5)
     levels = {DEPTH: _bits(strings).groupBy("context", "before").agg(
         F.sum(F.when(F.col("bit") == 0, F.col("n_train")).otherwise(0)).alias("n0"),
@@ -137,6 +139,8 @@ def tree(strings: DataFrame) -> DataFrame:
         up = (up.withColumn("stop", F.exp(half + F.col("own") - F.col("weighted")))
               .withColumn("go", F.exp(half + F.col("below") - F.col("weighted"))))
         levels[depth] = materialize(up.drop("own", "below"), "ctw")
+    if scratch is not None:
+        scratch += levels.values()
     path = None
     for depth in range(DEPTH + 1):
         here = levels[depth].select(
@@ -155,9 +159,16 @@ def tree(strings: DataFrame) -> DataFrame:
                 (F.col("u1") + F.col("left") * F.col("stop") * F.col("p1")).alias("q1"),
                 (F.col("left") * F.col("go")).alias("left"))
         path = path.select("context", "before", "q0", "q1", "left")
-    p = F.log10(F.when(F.col("bit") == 0, F.col("q0")).otherwise(F.col("q1")))
-    return (_bits(strings.select("key")).join(path.drop("left"), ["context", "before"])
-            .groupBy("key").agg(F.sum(p).alias("log_p")))
+    # A context's nodes, at most 255 of them, come together, so a string is one row of the join.
+    nodes = path.groupBy("context").agg(F.map_from_entries(F.collect_list(F.struct("before", F.struct("q0", "q1")))).alias("nodes"))
+    byte = F.col("key").bitwiseAND(255).cast("int")
+    log_p = F.lit(0.0)
+    for i in range(8):
+        node = F.col("nodes")[F.shiftright(byte, 8 - i).bitwiseOR(F.lit(1 << i))]
+        bit = F.shiftright(byte, 7 - i).bitwiseAND(F.lit(1))
+        log_p = log_p + F.log10(F.when(bit == 0, node["q0"]).otherwise(node["q1"]))
+    return (strings.select("key", F.shiftright("key", 8).alias("context")).join(nodes, "context")
+            .select("key", log_p.alias("log_p")))
 
 
 class Head:
@@ -231,7 +242,11 @@ def score(docs: DataFrame) -> DataFrame:
     strings = counts.where(F.col("kind") == STRING).drop("kind")
     size = words.agg(F.sum("n_train"), F.count(F.when(F.col("n_train") > 0, 1))).first()
     n, v = size[0] or 0, size[1] or 0
-    priced = materialize(tree(strings.select("key", "n_train")).join(strings.select("key", "n_all"), "key"), "priced")
+    levels: list = []
+    priced = materialize(tree(strings.select("key", "n_train"), levels).join(strings.select("key", "n_all"), "key"), "priced")
+    # From here on the strings are read from ``priced``, the words from a table of their own.
+    words = materialize(words, "words")
+    release(*levels, counts)
     word_floor, string_floor = head_floor(words, "n_all", HEAD), head_floor(priced, "n_all", HEAD)
     head_words = _head(words.where(F.col("n_all") >= word_floor), "n_train")
     head_strings = _head(priced.where(F.col("n_all") >= string_floor), "log_p")
