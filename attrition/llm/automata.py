@@ -297,8 +297,14 @@ def repeated_spans(docs: DataFrame, reference: DataFrame | None = None, scratch:
     return rare.unionByName(places.join(hot, by)).select("doc", "hash", moved.alias("spans"))
 
 
-def _digest(batches):
+def _slices(batches):
+    """Pieces of the batches that hold about SLICE_BYTES of text."""
     for batch in batches:
+        yield from chunks(batch, limit=SLICE_BYTES)
+
+
+def _digest(batches):
+    for batch in _slices(batches):
         out: list[tuple] = []
         for text, spans in zip(batch.column("text").to_pylist(), _pairs(batch.column("spans"))):
             words = (text or "").encode().split()
@@ -313,7 +319,7 @@ def _digest(batches):
 
 
 def _kept_words(batches):
-    for batch in batches:
+    for batch in _slices(batches):
         texts = []
         for text, spans in zip(batch.column("text").to_pylist(), _pairs(batch.column("spans"))):
             words = (text or "").encode().split()
