@@ -35,7 +35,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from attrition.llm.common import MIX, ODD, chunks, documents, materialize, text_bytes
@@ -408,6 +408,25 @@ def _level(source: DataFrame, gram: int, scratch: list) -> tuple[DataFrame, Data
     return spans, texts.where("not hot"), texts.where("hot")
 
 
+def _runs(ends: DataFrame) -> DataFrame:
+    """Texts (doc, hash, start, text, deal) of the first and the last place of equal windows: windows
+    that follow one another at both places are one text there, so what they share is written once."""
+    by = [F.col(f"{e}.{c}").alias(f"{e}_{c}") for e in ("first", "last") for c in ("doc", "hash")]
+    pair = [f"{e}_{c}" for e in ("first", "last") for c in ("doc", "hash")] + ["apart"]
+    told = ends.select(*by, (F.col("last.begin") - F.col("first.begin")).alias("apart"), F.col("first.begin").alias("begin"), "text")
+    along = Window.partitionBy(*pair).orderBy("begin")
+    told = told.withColumn("run", F.col("begin") - F.row_number().over(along))
+    byte = F.struct("begin", F.hex(F.substring("text", LENGTH, 1)).alias("byte"))
+    runs = told.groupBy(*pair, "run").agg(F.min("begin").alias("begin"), F.min_by("text", "begin").alias("head"),
+                                         F.array_sort(F.collect_list(byte)).alias("tail"))
+    rest = F.unhex(F.array_join(F.transform(F.slice("tail", 2, F.greatest(F.size("tail") - 1, F.lit(1))), lambda t: t["byte"]), ""))
+    text = F.concat("head", F.when(F.size("tail") > 1, rest).otherwise(F.lit(b"")))
+    whole = runs.select(*pair, "begin", text.alias("text")).withColumn("deal", F.xxhash64(*pair, "begin"))
+    ends_ = F.array(*[F.struct(F.col(f"{e}_doc").alias("doc"), F.col(f"{e}_hash").alias("hash"),
+                               (F.col("begin") + (F.col("apart") if e == "last" else F.lit(0))).cast("int").alias("start")) for e in ("first", "last")])
+    return whole.select(F.explode(ends_).alias("at"), "text", "deal").select("at.*", "text", "deal")
+
+
 def removed_spans(docs: DataFrame, scratch: list | None = None) -> DataFrame:
     """Rows (doc, hash, begin, end): bytes to remove; spans of a document may overlap. ``scratch``
     is given the stored tables that the rows are made from, to be released once these are stored."""
@@ -431,14 +450,14 @@ def removed_spans(docs: DataFrame, scratch: list | None = None) -> DataFrame:
         windows = materialize(level.mapInArrow(_cut_windows(_bitmap(codes)), _WINDOWS), "windows")
         at = F.struct("doc", "hash", "begin")
         ends = windows.where("kind = 0").groupBy("deal", "text").agg(F.min(at).alias("first"), F.max(at).alias("last"))
-        ends = materialize(ends.select("deal", "text", (F.col("first") != F.col("last")).alias("several"),
-                                       F.explode(F.array_distinct(F.array("first", "last"))).alias("at"))
-                           .select("deal", "text", "several", "at.*"), "ends")
-        scratch += [windows, ends]
-        rows = rows.unionByName(ends.where("several").select("doc", "hash", F.col("begin").cast("int").alias("start"), "text", "deal"))
-        between = windows.where("kind = 0").join(ends.select("doc", "hash", "begin"), ["doc", "hash", "begin"], "left_anti")
+        ends = materialize(ends.select("text", "first", "last"), "ends")
+        runs = materialize(_runs(ends.where("first <> last")), "runs")
+        scratch += [windows, ends, runs]
+        rows = rows.unionByName(runs)
+        told = ends.select(F.explode(F.array("first", "last")).alias("at")).select("at.*")
+        between = windows.where("kind = 0").join(told, ["doc", "hash", "begin"], "left_anti")
         spans = spans.unionByName(windows.where("kind = 1").unionByName(between).select("doc", "hash", "begin", "end"))
-        size += ends.where("several").count() * (LENGTH + STEP)
+        size += runs.agg(F.sum(F.length("text"))).first()[0] or 0
     groups = max(1, -(-size // GROUP_BYTES))
     merged = (rows.withColumn("group", F.pmod("deal", F.lit(groups))).drop("deal")
               .groupBy("group").applyInArrow(_merge_group, "doc long, hash long, begin long, end long"))
@@ -509,8 +528,14 @@ def _pairs(column) -> list[list[tuple[int, int]]]:
     return [[(s["b"], s["e"]) for s in row or ()] for row in column.to_pylist()]
 
 
-def _digest(batches):
+def _slices(batches):
+    """Pieces of the batches that hold about SLICE_BYTES of text."""
     for batch in batches:
+        yield from chunks(batch, limit=SLICE_BYTES)
+
+
+def _digest(batches):
+    for batch in _slices(batches):
         out: list[tuple] = []
         for text, spans in zip(batch.column("text").to_pylist(), _pairs(batch.column("spans"))):
             raw = (text or "").encode()
@@ -544,7 +569,7 @@ def _characters(spans: list, raw: bytes) -> list[tuple[int, int]]:
 
 
 def _cut(batches):
-    for batch in batches:
+    for batch in _slices(batches):
         texts = []
         for text, spans in zip(batch.column("text").to_pylist(), _pairs(batch.column("spans"))):
             raw = (text or "").encode()

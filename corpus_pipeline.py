@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from attrition.llm import decontaminate, langid, mixing, neardup, suffixes
 from attrition.llm.common import materialize, read
+from attrition.session import release
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,5 +54,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        before, docs = docs, materialize(stage(spark, docs, sf_dir), name)
+        release(before)
     return docs
