@@ -2,18 +2,23 @@
 
 Both views are logistic regressions with their own features: the text view sees what the words
 look like (hashed words and shares of character classes), the metadata view sees source,
-language and length. They start from the labelled rows. In each round both score a pool of
-unlabelled rows, and the rows one view is most confident about become labelled rows of the
-other; how confident it must be is read off labelled rows held back from training. At the end
-each view is calibrated (Platt) on the held-back rows, and their calibrated log odds are
-combined by weights fitted there too.
-
-Fitting uses bounded samples picked by the hash of doc_id: ``LABELLED`` labelled and ``POOL``
-unlabelled rows at most. Scoring is one map-only pass over all documents and whole texts.
+language and length. They start from the labelled rows. In each round both score every unlabelled
+row, and all rows one view is confident enough about become labelled rows of the other; how
+confident it must be is read off labelled rows held back from training, and nothing else limits
+their number. At the end each view is calibrated (Platt) on the held-back rows, and their
+calibrated log odds are combined by weights fitted there too.
+
+The labelled rows are a bounded sample picked by the hash of doc_id (``LABELLED`` at most) and held
+by the driver as features. The unlabelled rows stay in Spark: their features are stored once,
+rows handed over are tables, and a round's fit reads them in at most ``PASSES`` passes, each of
+which returns sums of loss and gradient. Scoring is one map-only pass over all documents and whole
+texts.
 
 Defined results: null text counts as empty, null source, language and length have features of
 their own; without labelled rows of both classes every score is 0.5 (kept); repeated label rows
-count as rows; the score of a document never depends on its own label row at scoring time.
+count as rows; the score of a document never depends on its own label row at scoring time. A score
+of exactly 0.5 is kept. Very long texts are one row of features like any other. An empty table of
+documents gives no rows. Other columns of the input are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -23,20 +28,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attrition.llm.common import chunks, documents, text_bytes
+from attrition.llm.common import chunks, documents, materialize, text_bytes
+from attrition.session import release
 
+#: Labelled rows (at most) that the views are fitted on.
 LABELLED = 8_000
-POOL = 8_000
 ROUNDS = 4
-#: Rows of each class a view hands to the other per round, at most, and the share of them that
-#: must be right among the held-back rows of at least the same confidence.
-HANDED = 400
+#: Share that must be right among the held-back rows of at least the same confidence, for a view to hand
+#: a row to the other.
 PRECISION = 0.97
+#: Passes over the pseudo-labelled rows that a round's fit takes, and steps its search remembers.
+PASSES = 20
+MEMORY = 8
 WORD_BUCKETS = 1 << 10
 META_BUCKETS = 1 << 8
 SHARES = 10
 #: Weight of the character shares beside the unit-length word vector.
 SHARE_WEIGHT = 6.0
+PENALTY = 1e-4
 #: Calibrated log odds are held within this range.
 MOST_ODDS = 8.0
 
@@ -107,7 +116,7 @@ def _dense(rows: list, width: int) -> np.ndarray:
     return out
 
 
-def _fit(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, rounds: int = 150) -> np.ndarray:
+def _fit(x: np.ndarray, y: np.ndarray, penalty: float = PENALTY, rounds: int = 150) -> np.ndarray:
     """Class-balanced logistic regression by accelerated gradient steps; last weight: bias."""
     x = np.hstack([x, np.ones((len(x), 1), np.float32)])
     share = np.where(y > 0, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9)) / len(y)
@@ -166,27 +175,177 @@ def _sure(score: np.ndarray, y: np.ndarray, label: int) -> float:
     return toward[order[enough[-1]]] if len(enough) else np.inf
 
 
-def co_train(xt, xm, y, pool_t, pool_m, held) -> dict:
+class Sums:
+    """Loss and gradient of both views over a labelled part, held here, and a pseudo-labelled table.
+
+    A class weighs one half in each view's loss, whatever its size; ``told`` has the rows' features
+    and, per view, the label they were given (-1: none)."""
+
+    def __init__(self, sets: list, told: DataFrame | None):
+        self.sets, self.told = sets, told
+        more = np.zeros((2, 2))
+        if told is not None:
+            row = told.agg(*[F.count_if(F.col(f"label{v}") == y).alias(f"n{v}{y}") for v in (0, 1) for y in (0, 1)]).first()
+            more = np.array([[row[f"n{v}{y}"] for y in (0, 1)] for v in (0, 1)], float)
+        self.share = [[0.5 / max(1.0, (s[1] == y).sum() + more[v, y]) for y in (0, 1)] for v, s in enumerate(sets)]
+        self.some = [more[v].sum() > 0 for v in (0, 1)]
+
+    def at(self, weights: list) -> list:
+        """(loss, gradient) of each view at the given weights, in one pass over the table."""
+        out = [_loss(_with_one(x), y, self.share[v], weights[v]) for v, (x, y) in enumerate(self.sets)]
+        if any(self.some):
+            widths = [len(w) for w in weights]
+            for row in _told_sums(self.told, weights, self.share).collect():
+                sums, at = np.array(row["sums"]), 0
+                for v in (0, 1):
+                    out[v][0] += sums[at]
+                    out[v][1] += sums[at + 1:at + 1 + widths[v]]
+                    at += 1 + widths[v]
+        return [(loss + PENALTY / 2 * float(w @ w), gradient + PENALTY * w) for (loss, gradient), w in zip(out, weights)]
+
+
+def _with_one(x: np.ndarray) -> np.ndarray:
+    return np.hstack([x, np.ones((len(x), 1), x.dtype)]).astype(float)
+
+
+def _loss(x: np.ndarray, y: np.ndarray, share: list, w: np.ndarray) -> list:
+    z = x @ w
+    weight = np.where(y > 0, share[1], share[0])
+    return [float((weight * (np.logaddexp(0, z) - y * z)).sum()), x.T @ (weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y))]
+
+
+def _told_sums(told: DataFrame, weights: list, share: list) -> DataFrame:
+    """Sums of both views over the table, in a few rows."""
+    size = sum(1 + len(w) for w in weights)
+
+    def add(batches):
+        from pyspark import TaskContext
+        total = np.zeros(size)
+        for batch in batches:
+            at = 0
+            for v, (label, index, value) in enumerate((("label0", "ti", "tv"), ("label1", "mi", None))):
+                w = weights[v]
+                y = np.asarray(batch.column(label))
+                rows = np.flatnonzero(y >= 0)
+                if len(rows):
+                    loss, gradient = _sparse_loss(batch.take(pa.array(rows)), index, value, y[rows].astype(float), share[v], w)
+                    total[at] += loss
+                    total[at + 1:at + 1 + len(w)] += gradient
+                at += 1 + len(w)
+        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % 32], pa.int32()),
+                                          pa.array([total.tolist()], pa.list_(pa.float64()))], names=["part", "sums"])
+
+    def merge(key, table):
+        sums = np.asarray(table.column("sums").combine_chunks().flatten()).reshape(-1, size).sum(0)
+        return pa.table({"sums": pa.array([sums.tolist()], pa.list_(pa.float64()))})
+
+    return told.mapInArrow(add, "part int, sums array<double>").groupBy("part").applyInArrow(merge, "sums array<double>")
+
+
+def _rows_of(batch: pa.RecordBatch, index: str, value: str | None):
+    """Row, bucket and value of every feature of a batch."""
+    column = batch.column(index)
+    offsets = np.asarray(column.offsets)
+    bucket = np.asarray(column.flatten()).astype(np.int64)
+    row = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
+    return row, bucket, np.asarray(batch.column(value).flatten(), float) if value else np.ones(len(bucket))
+
+
+def _sparse_odds(batch: pa.RecordBatch, index: str, value: str | None, w: np.ndarray) -> np.ndarray:
+    row, bucket, v = _rows_of(batch, index, value)
+    return np.bincount(row, w[bucket] * v, minlength=batch.num_rows) + w[-1]
+
+
+def _sparse_loss(batch: pa.RecordBatch, index: str, value: str | None, y: np.ndarray, share: list, w: np.ndarray):
+    row, bucket, v = _rows_of(batch, index, value)
+    z = np.bincount(row, w[bucket] * v, minlength=batch.num_rows) + w[-1]
+    weight = np.where(y > 0, share[1], share[0])
+    error = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y)
+    gradient = np.bincount(bucket, v * error[row], minlength=len(w)).astype(float)
+    gradient[-1] += error.sum()
+    return float((weight * (np.logaddexp(0, z) - y * z)).sum()), gradient
+
+
+def refit(sums: Sums, views: list) -> list:
+    """Both views from where they were, by limited-memory quasi-Newton steps that share their passes."""
+    now = [w.astype(float) for w in views]
+    told = sums.at(now)
+    past: list[list] = [[], []]
+    scale, trial = [1.0, 1.0], [None, None]
+    for _ in range(PASSES - 1):
+        for v in (0, 1):
+            if trial[v] is None:
+                trial[v] = _direction(told[v][1], past[v])
+        ahead = [w + scale[v] * trial[v] for v, w in enumerate(now)]
+        new = sums.at(ahead)
+        for v in (0, 1):
+            slope = float(told[v][1] @ trial[v])
+            if new[v][0] <= told[v][0] + 1e-4 * scale[v] * slope:
+                step, change = ahead[v] - now[v], new[v][1] - told[v][1]
+                if float(step @ change) > 1e-12:
+                    past[v] = [*past[v], (step, change)][-MEMORY:]
+                now[v], told[v], trial[v], scale[v] = ahead[v], new[v], None, 1.0
+            else:
+                scale[v] /= 4
+        if all(np.abs(t[1]).max() < 1e-6 for t in told):
+            break
+    return now
+
+
+def _direction(gradient: np.ndarray, past: list) -> np.ndarray:
+    """Minus the gradient times the inverse curvature that past steps tell of."""
+    q, used = gradient.copy(), []
+    for step, change in reversed(past):
+        a = float(step @ q) / float(step @ change)
+        used.append(a)
+        q -= a * change
+    if past:
+        step, change = past[-1]
+        q *= float(step @ change) / float(change @ change)
+    for (step, change), a in zip(past, reversed(used)):
+        q += step * (a - float(change @ q) / float(step @ change))
+    return -q
+
+
+def _hand_over(models: list):
+    """Rows that a view is sure of for the first time in the last round of ``models``: what it says
+    becomes the other view's label."""
+    def go(batches):
+        for batch in batches:
+            given = np.full((2, batch.num_rows), -1, np.int32)
+            free = np.ones(batch.num_rows, bool)
+            for views, sure in models:
+                given[:] = -1
+                for v, (index, value) in enumerate((("ti", "tv"), ("mi", None))):
+                    odds = _sparse_odds(batch, index, value, views[v])
+                    for label in (1, 0):
+                        given[1 - v][free & ((odds if label else -odds) >= sure[v][label])] = label
+                last, free = free, free & (given < 0).all(0)
+            took = np.flatnonzero(last & ~free) if models else np.empty(0, int)
+            some = batch.take(pa.array(took))
+            yield pa.RecordBatch.from_arrays(
+                [*some.columns, pa.array(given[0][took]), pa.array(given[1][took])], names=[*batch.schema.names, "label0", "label1"])
+    return go
+
+
+def co_train(xt, xm, y, pool: DataFrame | None, held) -> dict:
     """Both views' weights, their calibration and the combination weights.
 
-    xt, xm: feature matrices of labelled rows; y: 0/1; held: rows kept for calibration only."""
+    xt, xm: feature matrices of labelled rows; y: 0/1; held: rows kept for calibration only; pool: the
+    features (ti, tv, mi) of all unlabelled rows, or None. In a round every unlabelled row is scored by
+    both views; each row that a view is sure of is handed to the other with its label, none is left out."""
     train = ~held
     sets = [[xt[train], y[train]], [xm[train], y[train]]]
-    pools, free = (pool_t, pool_m), np.ones(len(pool_t), bool)
     views = [_fit(*s) for s in sets]
-    for _ in range(ROUNDS):
-        told = []
-        for view, held_x in ((0, xt[held]), (1, xm[held])):
-            known, pool = _odds(held_x, views[view]), _odds(pools[view], views[view])
-            for label in (1, 0):
-                toward = pool if label else -pool
-                at = np.flatnonzero(free & (toward >= _sure(known, y[held], label)))
-                told.append((1 - view, at[np.argsort(-toward[at], kind="stable")[:HANDED]], float(label)))
-        for other, at, label in told:
-            sets[other][0] = np.vstack([sets[other][0], pools[other][at]])
-            sets[other][1] = np.r_[sets[other][1], np.full(len(at), label)]
-            free[at] = False
-        views = [_fit(*s) for s in sets]
+    models, told, scratch = [], None, []
+    for _ in range(ROUNDS if pool is not None else 0):
+        sure = [[_sure(_odds(x[held], views[v]), y[held], label) for label in (0, 1)] for v, x in ((0, xt), (1, xm))]
+        models.append((views, sure))
+        fresh = materialize(pool.mapInArrow(_hand_over(models), "ti array<int>, tv array<float>, mi array<int>, label0 int, label1 int"), "told")
+        scratch.append(fresh)
+        told = fresh if told is None else told.unionByName(fresh)
+        views = refit(Sums(sets, told), views)
+    release(*scratch)
     scores = [_odds(x[held], w).astype(float) for x, w in zip((xt, xm), views)]
     platt = [_platt(s, y[held]) for s in scores]
     base = float(np.log((y[held].sum() + 0.5) / ((1 - y[held]).sum() + 0.5)))
@@ -195,53 +354,49 @@ def co_train(xt, xm, y, pool_t, pool_m, held) -> dict:
     return {"views": views, "platt": platt, "base": base, "mix": mix}
 
 
+def _features(batches):
+    for batch in batches:
+        for chunk in chunks(batch):
+            rows = text_features(chunk)
+            meta = [meta_features(*x) for x in zip(*(chunk.column(c).to_pylist() for c in ("lang", "source", "n_chars")))]
+            yield pa.RecordBatch.from_arrays(
+                [chunk.column("doc_id"), chunk.column("quality"),
+                 pa.array([r[0].astype(np.int32) for r in rows], pa.list_(pa.int32())),
+                 pa.array([r[1].astype(np.float32) for r in rows], pa.list_(pa.float32())),
+                 pa.array([m[0].astype(np.int32) for m in meta], pa.list_(pa.int32()))],
+                names=["doc_id", "quality", "ti", "tv", "mi"])
+
+
+def featured(frame: DataFrame) -> DataFrame:
+    """Rows (doc_id, quality, ti, tv, mi) of documents with a quality (null: unlabelled)."""
+    narrow = frame.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"), "text", "lang", "source", "n_chars")
+    return narrow.mapInArrow(_features, "doc_id long, quality int, ti array<int>, tv array<float>, mi array<int>")
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> dict | None:
     """Model from the documents that ``labels`` (doc_id, quality) names, or None without both classes."""
     told = documents(labels, "doc_id", "quality").where("quality in (0, 1)")
     narrow = documents(docs, "doc_id", "text", "lang", "source", "n_chars")
-    rate = lambda n, limit: max(1, round(1_000_000 * min(1.0, 1.2 * limit / max(n, 1))))
-    part = F.pmod(F.xxhash64(F.lit(31), "doc_id"), F.lit(1_000_000))
-    picked = told.where(part < rate(told.count(), LABELLED))
-    ids = picked.orderBy(F.xxhash64(F.lit(29), "doc_id"), "doc_id").limit(LABELLED)
-    known = narrow.join(ids, "doc_id").select("text", "lang", "source", "n_chars", "quality", "doc_id")
-    known = known.orderBy(F.xxhash64(F.lit(29), "doc_id"), "doc_id").limit(LABELLED)
-    loose = (narrow.where(F.pmod(F.xxhash64(F.lit(37), "doc_id"), F.lit(1_000_000))
-                          < rate(narrow.count(), POOL)).join(told.select("doc_id"), "doc_id", "left_anti"))
-    loose = loose.orderBy(F.xxhash64(F.lit(29), "doc_id"), "doc_id").limit(POOL)
-
-    def features(batches):
-        for batch in batches:
-            for chunk in chunks(batch):
-                rows = text_features(chunk)
-                meta = [meta_features(*x) for x in zip(*(chunk.column(c).to_pylist() for c in ("lang", "source", "n_chars")))]
-                yield pa.RecordBatch.from_arrays(
-                    [chunk.column("doc_id"), chunk.column("quality"),
-                     pa.array([r[0].astype(np.int32) for r in rows], pa.list_(pa.int32())),
-                     pa.array([r[1].astype(np.float32) for r in rows], pa.list_(pa.float32())),
-                     pa.array([m[0].astype(np.int32) for m in meta], pa.list_(pa.int32()))],
-                    names=["doc_id", "quality", "ti", "tv", "mi"])
-
-    schema = "doc_id long, quality int, ti array<int>, tv array<float>, mi array<int>"
-    columns = ["doc_id", F.col("quality").cast("int").alias("quality"), "text", "lang", "source", "n_chars"]
-    width = WORD_BUCKETS + SHARES
-
-    def matrices(frame):
-        rows = frame.mapInArrow(features, schema).toArrow().sort_by([("doc_id", "ascending")])
-        column = lambda c: rows.column(c).to_pylist()
-        text = _dense(list(zip(map(np.array, column("ti")), column("tv"))), width) if len(rows) else np.zeros((0, width), np.float32)
-        meta = _dense([(np.array(m), 1.0) for m in column("mi")], META_BUCKETS) if len(rows) else np.zeros((0, META_BUCKETS), np.float32)
-        return text, meta, np.array(column("quality"), float)
-
-    xt, xm, y = matrices(known.select(*columns))
+    # The limit is taken over ids, and again over features where an id has several rows.
+    ids = told.orderBy(F.xxhash64(F.lit(29), "doc_id"), "doc_id").limit(LABELLED)
+    known = featured(narrow.join(ids, "doc_id")).orderBy(F.xxhash64(F.lit(29), "doc_id"), "doc_id").limit(LABELLED).toArrow()
+    known = known.sort_by([("doc_id", "ascending")])
+    column = lambda c: known.column(c).to_pylist()
+    y = np.array(column("quality"), float)
     if len(y) < 20 or y.min() == y.max():
         return None
+    xt = _dense(list(zip(map(np.array, column("ti")), column("tv"))), WORD_BUCKETS + SHARES)
+    xm = _dense([(np.array(m), 1.0) for m in column("mi")], META_BUCKETS)
     held = np.zeros(len(y), bool)
     for label in (0, 1):
         held[np.flatnonzero(y == label)[::4]] = True
     if y[~held].min() == y[~held].max():
         return None
-    pt, pm, _ = matrices(loose.withColumn("quality", F.lit(-1)).select(*columns))
-    return co_train(xt, xm, y, pt, pm, held)
+    loose = narrow.join(told.select("doc_id").distinct(), "doc_id", "left_anti").withColumn("quality", F.lit(None).cast("int"))
+    pool = materialize(featured(loose).select("ti", "tv", "mi"), "features")
+    model = co_train(xt, xm, y, pool, held)
+    release(pool)
+    return model
 
 
 def score(docs: DataFrame, model: dict | None) -> DataFrame:
