@@ -53,7 +53,7 @@ INSIDE = 1 << 32
 GROUP_BYTES = 1 << 20
 SHARD_BYTES = 1 << 18
 #: Text whose segments are worked out at once; the arrays hold some hundred bytes for each of it.
-SLICE_BYTES = 1 << 19
+SLICE_BYTES = 1 << 18
 #: Order of a row without doc_id.
 LAST = (1 << 63) - 1
 
@@ -211,7 +211,7 @@ def transform(symbol: np.ndarray, ahead: np.ndarray) -> np.ndarray:
     """Order of a shard's suffixes by their first LENGTH bytes, ties in corpus order.
 
     symbol: block at each place; ahead: the place STEP bytes before, cyclic within its text."""
-    order = np.arange(len(symbol))
+    order = np.arange(len(symbol), dtype=np.int32)
     for _ in range(LENGTH // STEP):
         before = ahead[order]
         order = before[_stable_order(symbol[before])]
@@ -223,7 +223,8 @@ def _stable_order(symbol: np.ndarray) -> np.ndarray:
     bits = np.uint64(max(1, int(len(symbol)).bit_length()))
     packed = ((symbol >> bits) << bits) | np.arange(len(symbol), dtype=np.uint64)
     packed.sort()
-    return (packed & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    packed &= (np.uint64(1) << bits) - np.uint64(1)
+    return packed.astype(np.int32)
 
 
 def merge(one: np.ndarray, two: np.ndarray, symbol: np.ndarray, ahead: np.ndarray):
@@ -239,11 +240,11 @@ def merge(one: np.ndarray, two: np.ndarray, symbol: np.ndarray, ahead: np.ndarra
         read = np.empty(n, np.uint64)
         read[~source], read[source] = bwt
         dealt = _stable_order(read)
-        group = np.cumsum(begins)[dealt]
+        group = np.cumsum(begins, dtype=np.int32)[dealt]
         read = read[dealt]
         begins = np.r_[True, (read[1:] != read[:-1]) | (group[1:] != group[:-1])]
         source = source[dealt]
-    merged = np.empty(n, np.int64)
+    merged = np.empty(n, np.int32)
     merged[~source], merged[source] = one, two
     return merged, begins
 
@@ -255,9 +256,10 @@ def repeated_windows(texts: list[bytes]) -> np.ndarray:
     closed = size + STEP
     data = np.frombuffer((b"\xff" * STEP).join([*texts, b""]), np.uint8)
     bound = np.r_[0, np.cumsum(closed)]
-    owner = np.repeat(np.arange(len(texts)), closed)
-    place = np.arange(len(data))
-    ahead = np.where(place - bound[owner] >= STEP, place - STEP, place - STEP + closed[owner])
+    # Places are 32-bit: a group is far from 2^31 bytes, and these arrays are what a task holds.
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), closed)
+    place = np.arange(len(data), dtype=np.int32)
+    ahead = np.where(place - bound[owner] >= STEP, place - STEP, place - STEP + closed[owner]).astype(np.int32)
     symbol = np.zeros(len(data), np.uint64)
     whole = np.flatnonzero(place + STEP <= bound[owner + 1])
     symbol[whole] = _hash(_prefix(data), whole, whole + STEP) | np.uint64(1 << 63)
@@ -266,9 +268,9 @@ def repeated_windows(texts: list[bytes]) -> np.ndarray:
     parts = []
     for a, b in zip(cuts[:-1], cuts[1:]):
         low, high = bound[a], bound[b]
-        parts.append(transform(symbol[low:high], ahead[low:high] - low) + low)
+        parts.append(transform(symbol[low:high], ahead[low:high] - np.int32(low)) + np.int32(low))
     if len(parts) == 1:
-        parts.append(np.empty(0, np.int64))
+        parts.append(np.empty(0, np.int32))
     while len(parts) > 1:
         pairs = [merge(parts[i], parts[i + 1], symbol, ahead) if i + 1 < len(parts) else (parts[i], None)
                  for i in range(0, len(parts), 2)]
@@ -276,13 +278,14 @@ def repeated_windows(texts: list[bytes]) -> np.ndarray:
         begins = pairs[0][1]
     order = parts[0]
     again = order[~begins]
-    first = order[np.maximum.accumulate(np.where(begins, np.arange(len(order)), 0))[~begins]]
+    first = order[np.maximum.accumulate(np.where(begins, np.arange(len(order), dtype=np.int32), 0))[~begins]]
     valid = place - bound[owner] <= size[owner] - LENGTH
     sure = valid[again] & valid[first]
     again, first = again[sure], first[sure]
     # Blocks were told by their hashes: look at the bytes before anything is removed.
     equal = _equal(data, again, first)
-    return np.sort(again[equal]) - STEP * owner[np.sort(again[equal])]
+    again = np.sort(again[equal]).astype(np.int64)
+    return again - STEP * owner[again]
 
 
 def _merge_group(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
