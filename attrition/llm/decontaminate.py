@@ -139,9 +139,9 @@ def sql(docs: str = "documents", benchmark: str = "benchmark") -> str:
 WITH items AS MATERIALIZED (SELECT *, row_number() OVER () AS item FROM (SELECT DISTINCT item_id, {words_} AS words FROM {benchmark})
     WHERE len(words) > 0),
   texts AS MATERIALIZED (SELECT *, row_number() OVER () AS doc FROM (SELECT DISTINCT doc_id, text, {words_} AS words FROM {docs})),
-  doc_tokens AS (SELECT doc, unnest(words) AS token, unnest(range(len(words))) AS at FROM texts),
-  item_tokens AS (SELECT item, len(words) AS n, unnest(words) AS token, unnest(range(len(words))) AS item_at FROM items),
-  hits AS (SELECT doc, item, at - item_at AS off FROM doc_tokens JOIN item_tokens USING (token) GROUP BY doc, item, at - item_at, n
+  doc_tokens AS (SELECT doc, unnest(words) AS token, unnest(range(len(words))) AS pos FROM texts),
+  item_tokens AS (SELECT item, len(words) AS n, unnest(words) AS token, unnest(range(len(words))) AS item_pos FROM items),
+  hits AS (SELECT doc, item, pos - item_pos AS off FROM doc_tokens JOIN item_tokens USING (token) GROUP BY doc, item, pos - item_pos, n
            HAVING count(*) >= least(n, {WINDOW}) - {allowed('n')}),
   cut AS (SELECT doc_id, item_id, t.words AS dw, i.words AS iw, greatest(off, 0) AS d0, greatest(-off, 0) AS i0,
           least(len(i.words) - greatest(-off, 0), len(t.words) - greatest(off, 0)) AS n FROM hits JOIN texts t USING (doc) JOIN items i USING (item)),
