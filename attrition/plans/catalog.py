@@ -216,10 +216,10 @@ def q_class_counts(spark, sf_dir):
 def _kde_sql(col: str) -> str:
     return f"""
   SELECT '{col}' AS column, s.label, g.i AS grid_index,
-         round(s.gmin + (s.gmax - s.gmin) * g.i / 199, 6) AS x,
+         round(s.gmin + (s.gmax - s.gmin) * g.i / 199, 3) AS x,
          round(sum(c.cnt * exp(-0.5 * ((s.gmin + (s.gmax - s.gmin) * g.i / 199 - c.v) / s.bw)
                                     * ((s.gmin + (s.gmax - s.gmin) * g.i / 199 - c.v) / s.bw)))
-               * {eda.GAUSS_NORM!r} / (s.n * s.bw), 9) AS density
+               * {eda.GAUSS_NORM!r} / (s.n * s.bw), 11) AS density
   FROM (SELECT Exited AS label, CAST({col} AS DOUBLE) AS v, count(*) AS cnt
         FROM train WHERE {col} IS NOT NULL GROUP BY 1, 2) c
   JOIN (SELECT label, n, bw, lo - bw * 3.0 AS gmin, hi + bw * 3.0 AS gmax
@@ -240,10 +240,10 @@ def q_kde(spark, sf_dir):
     out = eda.kde_by_class(t, KDE_COLS[0])
     for c in KDE_COLS[1:]:
         out = out.unionByName(eda.kde_by_class(t, c))
-    # Grid positions (tens, from a bandwidth whose last bit differs between
-    # engines) are compared at 6 decimals; densities at 9.
-    out = rounded(out.withColumn("grid_index", F.col("grid_index").cast("bigint")), ["x"], 6)
-    return rounded(out, ["density"])
+    # Grid positions (up to some 100,000, from a bandwidth whose last bit differs between
+    # engines) are compared at 3 decimals; densities (down to 1e-6) at 11.
+    out = rounded(out.withColumn("grid_index", F.col("grid_index").cast("bigint")), ["x"], 3)
+    return rounded(out, ["density"], 11)
 
 
 CORR_COLS = ["CreditScore", "Age", "Tenure", "Balance", "NumOfProducts", "HasCrCard",
