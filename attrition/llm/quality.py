@@ -40,6 +40,8 @@ PRECISION = 0.97
 #: Passes over the pseudo-labelled rows that a round's fit takes, and steps its search remembers.
 PASSES = 20
 MEMORY = 8
+#: Labelled rows whose features the driver widens to double precision at once.
+BLOCK = 1024
 WORD_BUCKETS = 1 << 10
 META_BUCKETS = 1 << 8
 SHARES = 10
@@ -116,6 +118,15 @@ def _dense(rows: list, width: int) -> np.ndarray:
     return out
 
 
+def _dense_columns(index: pa.ChunkedArray, value: pa.ChunkedArray | None, width: int) -> np.ndarray:
+    """``_dense`` of Arrow columns, without an object for every entry; no values: ones."""
+    index = index.combine_chunks()
+    row = np.repeat(np.arange(len(index)), np.diff(np.asarray(index.offsets)))
+    out = np.zeros((len(index), width), np.float32)
+    out[row, np.asarray(index.flatten())] = 1.0 if value is None else np.asarray(value.combine_chunks().flatten())
+    return out
+
+
 def _fit(x: np.ndarray, y: np.ndarray, penalty: float = PENALTY, rounds: int = 150) -> np.ndarray:
     """Class-balanced logistic regression by accelerated gradient steps; last weight: bias."""
     x = np.hstack([x, np.ones((len(x), 1), np.float32)])
@@ -192,7 +203,7 @@ class Sums:
 
     def at(self, weights: list) -> list:
         """(loss, gradient) of each view at the given weights, in one pass over the table."""
-        out = [_loss(_with_one(x), y, self.share[v], weights[v]) for v, (x, y) in enumerate(self.sets)]
+        out = [_loss(x, y, self.share[v], weights[v]) for v, (x, y) in enumerate(self.sets)]
         if any(self.some):
             widths = [len(w) for w in weights]
             for row in _told_sums(self.told, weights, self.share).collect():
@@ -209,9 +220,14 @@ def _with_one(x: np.ndarray) -> np.ndarray:
 
 
 def _loss(x: np.ndarray, y: np.ndarray, share: list, w: np.ndarray) -> list:
-    z = x @ w
-    weight = np.where(y > 0, share[1], share[0])
-    return [float((weight * (np.logaddexp(0, z) - y * z)).sum()), x.T @ (weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y))]
+    loss, gradient = 0.0, np.zeros(len(w))
+    for k in range(0, len(x), BLOCK):
+        part, own = _with_one(x[k:k + BLOCK]), y[k:k + BLOCK]
+        z = part @ w
+        weight = np.where(own > 0, share[1], share[0])
+        loss += float((weight * (np.logaddexp(0, z) - own * z)).sum())
+        gradient += part.T @ (weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - own))
+    return [loss, gradient]
 
 
 def _told_sums(told: DataFrame, weights: list, share: list) -> DataFrame:
@@ -381,19 +397,21 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict | None:
     ids = told.orderBy(F.xxhash64(F.lit(29), "doc_id"), "doc_id").limit(LABELLED)
     known = featured(narrow.join(ids, "doc_id")).orderBy(F.xxhash64(F.lit(29), "doc_id"), "doc_id").limit(LABELLED).toArrow()
     known = known.sort_by([("doc_id", "ascending")])
-    column = lambda c: known.column(c).to_pylist()
-    y = np.array(column("quality"), float)
+    y = np.array(known.column("quality").to_pylist(), float)
     if len(y) < 20 or y.min() == y.max():
         return None
-    xt = _dense(list(zip(map(np.array, column("ti")), column("tv"))), WORD_BUCKETS + SHARES)
-    xm = _dense([(np.array(m), 1.0) for m in column("mi")], META_BUCKETS)
+    xt = _dense_columns(known.column("ti"), known.column("tv"), WORD_BUCKETS + SHARES)
+    xm = _dense_columns(known.column("mi"), None, META_BUCKETS)
+    del known
     held = np.zeros(len(y), bool)
     for label in (0, 1):
         held[np.flatnonzero(y == label)[::4]] = True
     if y[~held].min() == y[~held].max():
         return None
-    loose = narrow.join(told.select("doc_id").distinct(), "doc_id", "left_anti").withColumn("quality", F.lit(None).cast("int"))
-    pool = materialize(featured(loose).select("ti", "tv", "mi"), "features")
+    # Features are dealt instead of texts, and by a shuffle at every size: the labels grow with the documents.
+    every = featured(narrow.withColumn("quality", F.lit(None).cast("int"))).drop("quality")
+    loose = every.join(told.select(F.col("doc_id").cast("long")).distinct().hint("merge"), "doc_id", "left_anti")
+    pool = materialize(loose.select("ti", "tv", "mi"), "features")
     model = co_train(xt, xm, y, pool, held)
     release(pool)
     return model

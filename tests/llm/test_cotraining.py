@@ -66,3 +66,31 @@ def test_every_sure_row_is_handed_over_once(features):
     for k in (1, 2):
         got = rows.select("ti", "tv", "mi").repartition(2).mapInArrow(Q._hand_over(models[:k]), schema).collect()
         assert sorted((r["ti"], r["label0"], r["label1"]) for r in got) == expected[k - 1] and got
+
+
+def test_columns_become_the_dense_rows(features):
+    rows, held, text, meta = features
+    table = rows.orderBy("doc_id").toArrow()
+    assert (Q._dense_columns(table.column("ti"), table.column("tv"), text.shape[1]) == text).all()
+    assert (Q._dense_columns(table.column("mi"), None, meta.shape[1]) == meta).all()
+
+
+def test_no_text_is_dealt_for_the_unlabelled_rows(spark, monkeypatch):
+    """Features, not texts, meet the labels, by a shuffle however few the labels are."""
+    docs = spark.createDataFrame([(i, "good words here " * (1 + i % 5) if i % 2 else "!!! @@ 99", "en", "web", 40) for i in range(80)]
+                                 + [(None, "lone text", "en", "web", 9)], "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(3, 1), (None, 1)], "doc_id long, quality int")
+    plans, pools = [], []
+
+    def stored(frame, name="table"):
+        if name == "features":
+            plans.append(frame._jdf.queryExecution().optimizedPlan().toString())
+            pools.append(frame.count())
+        return kept(frame, name)
+
+    kept = Q.materialize
+    monkeypatch.setattr(Q, "materialize", stored)
+    assert Q.fit(docs, labels) is not None
+    assert pools == [41]
+    join = plans[0].index("Join LeftAnti")
+    assert "strategy=merge" in plans[0] and plans[0].index("MapInArrow") > join
