@@ -20,7 +20,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_BUCKET = "_pfx_bucket"
+BUCKET = "_pfx_bucket"
 
 
 def _bucket_edges(df: DataFrame, col: str, num_buckets: int) -> list[float]:
@@ -39,7 +39,14 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: list[str], *,
     at or beyond this row's (>= when descending, <= when ascending), ties
     included, separately per ``partition_by`` group (a handful of groups such as
     folds). ``order_col`` should be non-null."""
-    parts = list(partition_by or [])
+    rows = bucketed(df, order_col, num_buckets)
+    totals = rows.groupBy(*(partition_by or []), BUCKET).agg(*[F.sum(c).alias(c) for c in sum_cols])
+    return cumulated(rows, totals, order_col, sum_cols, descending, suffix, partition_by).select(
+        *df.columns, *[f"{c}{suffix}" for c in sum_cols])
+
+
+def bucketed(df: DataFrame, order_col: str, num_buckets: int | None = None) -> DataFrame:
+    """Rows with the bucket of ``order_col`` (as double)."""
     if num_buckets is None:
         # As many buckets as the session plans shuffle partitions (x2), so the
         # in-bucket windows use the whole cluster; a cluster sizes that setting
@@ -47,13 +54,19 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: list[str], *,
         shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
         num_buckets = max(16, 2 * shuffle)
     edges = _bucket_edges(df, order_col, num_buckets)
-    bucketed = Bucketizer(splits=edges, inputCol=order_col, outputCol=_BUCKET,
-                          handleInvalid="keep").transform(
+    return Bucketizer(splits=edges, inputCol=order_col, outputCol=BUCKET,
+                      handleInvalid="keep").transform(
         df.withColumn(order_col, F.col(order_col).cast("double")))
-    keys = [*parts, _BUCKET]
-    totals = bucketed.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sum_cols])
+
+
+def cumulated(rows: DataFrame, totals: DataFrame, order_col: str, sum_cols: list[str],
+              descending: bool = True, suffix: str = "_cum",
+              partition_by: list[str] | None = None) -> DataFrame:
+    """``prefix_sums`` over bucketed rows whose bucket totals are known."""
+    parts = list(partition_by or [])
+    keys = [*parts, BUCKET]
     # Offsets of whole buckets strictly beyond this one: groups x buckets rows.
-    beyond = Window.orderBy(F.col(_BUCKET).desc() if descending else F.col(_BUCKET))
+    beyond = Window.orderBy(F.col(BUCKET).desc() if descending else F.col(BUCKET))
     if parts:
         beyond = beyond.partitionBy(*parts)
     beyond = beyond.rowsBetween(Window.unboundedPreceding, -1)
@@ -63,6 +76,6 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: list[str], *,
               .orderBy(F.col(order_col).desc() if descending else F.col(order_col))
               .rangeBetween(Window.unboundedPreceding, Window.currentRow))
     # The offsets table is bounded by groups x num_buckets rows, never by data.
-    out = bucketed.join(F.broadcast(offsets), keys)
-    return out.select(*df.columns, *[(F.sum(c).over(within) + F.col(f"_off_{c}"))
-                                     .alias(f"{c}{suffix}") for c in sum_cols])
+    out = rows.join(F.broadcast(offsets), keys)
+    return out.select(*rows.columns, *[(F.sum(c).over(within) + F.col(f"_off_{c}"))
+                                       .alias(f"{c}{suffix}") for c in sum_cols])
