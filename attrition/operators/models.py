@@ -98,10 +98,17 @@ class AttritionPipeline(Estimator):
         self.use_smote, self.use_adasyn = use_smote, use_adasyn
         self.weight_mode, self.label, self.key = weight_mode, label, key
 
+    def preparation(self) -> tuple:
+        """What the rows that the classifier sees hang on, weights apart."""
+        return (type(self), self.features.signature(), self.use_smote, self.use_adasyn, self.label, self.key)
+
     def _fit(self, df: DataFrame) -> PipelineModel:
+        return self.fit_prepared(*self.prepare(df))
+
+    def prepare(self, df: DataFrame) -> tuple[PipelineModel, DataFrame]:
+        """Fitted feature stages and the rows that the classifier sees, resampled if asked for."""
         fm = self.features.fit(df)
         x = fm.transform(df)
-        clf = self.classifier.copy()
         if self.use_smote or self.use_adasyn:
             sampler = imbalance.smote if self.use_smote else imbalance.adasyn
             # The neighbour search reads the transformed rows several times:
@@ -109,6 +116,10 @@ class AttritionPipeline(Estimator):
             x = materialize(x.select(self.key, "features", self.label), "train-x")
             x = materialize(sampler(x, label=self.label, features="features", key=self.key)
                             .select("features", self.label), "resampled")
+        return fm, x
+
+    def fit_prepared(self, fm: PipelineModel, x: DataFrame) -> PipelineModel:
+        clf = self.classifier.copy()
         counts = None
         if self.weight_mode:
             counts = imbalance.label_counts(x, self.label)

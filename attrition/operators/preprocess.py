@@ -142,6 +142,10 @@ class FeatureStages:
         self.cat, self.passthrough, self.output = list(cat), list(passthrough), output
         self.max_categories, self.steps = max_categories, list(steps or [])
 
+    def signature(self) -> str:
+        """Stages of the same signature fit the same way."""
+        return repr((self.num, self.cat, self.passthrough, self.output, sorted(self.extra.items()), self.max_categories, self.steps))
+
     def fit(self, df: DataFrame) -> PipelineModel:
         eng = FeatureEngineer(self.extra, self.steps)
         engineered = eng.transform(df)
