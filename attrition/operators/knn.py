@@ -42,6 +42,8 @@ LEAF = 8
 PIVOTS = 16
 #: Numbers held at once in comparisons of queries with boxes or points.
 HELD = 1 << 21
+#: Rows of (query, cell) that leave a task at once, each with the query's vector.
+BATCH = 1 << 14
 #: Points (at most) that the splits are chosen from.
 SAMPLE = 20_000
 #: Query points searched in a leaf by one task.
@@ -264,7 +266,7 @@ def knn(queries: DataFrame, candidates: DataFrame, k: int = 5, key: str = "Custo
         """(query, leaf): in the first round the nearest leaves that hold ``keep`` keys, then the
         others within the bound."""
         def go(batches):
-            step = max(1, HELD // max(1, len(leaf)))
+            step = max(1, HELD // (8 * max(1, len(leaf))))
             for whole in batches:
                 for k in range(0, whole.num_rows if len(leaf) else 0, step):
                     batch = whole.slice(k, step)
@@ -275,10 +277,11 @@ def knn(queries: DataFrame, candidates: DataFrame, k: int = 5, key: str = "Custo
                     np.put_along_axis(start, order, before < keep, axis=1)
                     radius = np.asarray(batch.column("radius").fill_null(float("inf")), np.float64)
                     row, at = np.nonzero(start if first else ~start & (far <= _slack(radius)[:, None]))
-                    took = pa.array(row)
-                    yield pa.RecordBatch.from_arrays(
-                        [*(batch.column(c).take(took) for c in ("h1", "h2", "x", "radius")), pa.array(leaf[at], pa.int32())],
-                        names=["h1", "h2", "x", "radius", "leaf"])
+                    for a in range(0, len(row), BATCH):
+                        took = pa.array(row[a:a + BATCH])
+                        yield pa.RecordBatch.from_arrays(
+                            [*(batch.column(c).take(took) for c in ("h1", "h2", "x", "radius")), pa.array(leaf[at[a:a + BATCH]], pa.int32())],
+                            names=["h1", "h2", "x", "radius", "leaf"])
         return go
 
     shape = "h1 long, h2 long, x array<double>, radius double, leaf int"
