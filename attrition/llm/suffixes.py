@@ -51,9 +51,12 @@ HOT = 4096
 #: Added to a key's count by segments that repeat a string inside.
 INSIDE = 1 << 32
 GROUP_BYTES = 1 << 20
+#: Text of a group on average: a group holds at most one key's GROUP_BYTES beside about this much. The
+#: transforms hold some hundred bytes for each of it.
+DEALT_BYTES = 1 << 18
 SHARD_BYTES = 1 << 18
 #: Text whose segments are worked out at once; the arrays hold some hundred bytes for each of it.
-SLICE_BYTES = 1 << 18
+SLICE_BYTES = 1 << 17
 #: Order of a row without doc_id.
 LAST = (1 << 63) - 1
 
@@ -461,7 +464,7 @@ def removed_spans(docs: DataFrame, scratch: list | None = None) -> DataFrame:
         between = windows.where("kind = 0").join(told, ["doc", "hash", "begin"], "left_anti")
         spans = spans.unionByName(windows.where("kind = 1").unionByName(between).select("doc", "hash", "begin", "end"))
         size += runs.agg(F.sum(F.length("text"))).first()[0] or 0
-    groups = max(1, -(-size // GROUP_BYTES))
+    groups = max(1, -(-size // DEALT_BYTES))
     merged = (rows.withColumn("group", F.pmod("deal", F.lit(groups))).drop("deal")
               .groupBy("group").applyInArrow(_merge_group, "doc long, hash long, begin long, end long"))
     return spans.unionByName(merged)
