@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attrition.schema import KEY, SEED_SAMPLER
+from attrition.session import materialize
 
 
 def label_counts(df: DataFrame, label: str = "Exited") -> dict:
@@ -101,7 +102,8 @@ def smote(df: DataFrame, label: str = "Exited", features: str = "features", key:
     if m < 2:
         raise ValueError("SMOTE needs two rows of the smaller class: one row has no neighbour")
     mino = df.where(F.col(label) == minority).select(key, features)
-    neigh = knn(mino, mino, k=k, key=key, features=features, exclude_self=True)
+    neigh = materialize(knn(mino, mino, k=k, key=key, features=features, exclude_self=True)
+                        .select("query", "rank", "neighbour_vec"), "neighbours")
     # Position of each minority row in the seeded hash order (distributed rank).
     from attrition.operators.split import stratified_rank
     ranked = stratified_rank(mino.withColumn("_lbl", F.lit(1)), "_lbl", key, seed).drop("_lbl", "_n")
@@ -127,8 +129,8 @@ def adasyn_allocation(df: DataFrame, label: str = "Exited", features: str = "fea
     everyone = df.select(key, features, label)
     neigh = knn(mino, everyone, k=k, key=key, features=features, exclude_self=True,
                 carry=[label])
-    r = (neigh.groupBy(F.col("query").alias(key))
-         .agg((F.count(F.when(F.col(label) != minority, 1)) / F.lit(float(k))).alias("r")))
+    r = materialize(neigh.groupBy(F.col("query").alias(key))
+                    .agg((F.count(F.when(F.col(label) != minority, 1)) / F.lit(float(k))).alias("r")), "shares")
     total = r.agg(F.sum("r")).first()[0]
     if not total:
         raise ValueError("ADASYN finds no row of the larger class near the smaller one: "
@@ -146,7 +148,8 @@ def adasyn(df: DataFrame, label: str = "Exited", features: str = "features", key
     counts = label_counts(df, label)
     minority = min(counts, key=lambda c: (counts[c], c))
     mino = df.where(F.col(label) == minority).select(key, features)
-    neigh = knn(mino, mino, k=k, key=key, features=features, exclude_self=True)
+    neigh = materialize(knn(mino, mino, k=k, key=key, features=features, exclude_self=True)
+                        .select("query", "rank", "neighbour_vec"), "neighbours")
     kk = neigh.groupBy(F.col("query").alias(key)).agg(F.max("rank").alias("_k"))
     base = (mino.join(alloc.where(F.col("n_synthetic") > 0), key).join(kk, key)
             .withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("n_synthetic")))))

@@ -4,11 +4,14 @@ Candidates are collapsed to distinct points and dealt to the cells of a kd-tree
 come from a bounded sample; every cell gets the bounding box of its own points over all
 coordinates. A query point then
 
-1. searches the nearest cells that hold enough points, which bounds its k-th distance, and
+1. searches its own cell, and its neighbours in the tree as far as they are needed to hold enough
+   points, which bounds its k-th distance, and
 2. searches every other cell whose box is no farther than that bound.
 
 A cell that is skipped cannot hold a nearer point, so the result is exact. At most ``CELLS``
-boxes are known to the tasks. Cells are searched in pairs of (cell, block of queries) of bounded
+boxes are known to the tasks; ``GROUP`` neighbours in the tree share a box of their own, as do as many
+of these, and only what such a box within the bound holds is compared with a query. Query points are dealt by their
+number, not by the size of their file. Cells are searched in pairs of (cell, block of queries) of bounded
 size. Inside, the cell's points are cut again into leaves of ``LEAF`` points with boxes of their
 own, however many these are, and a table holds every point's distances to ``PIVOTS`` far-apart
 points of the cell: by the triangle inequality a point whose pivot distance differs from the
@@ -17,7 +20,7 @@ the number of distances that were computed.
 
 Copies: a point in many candidate rows is one entry with its smallest keys (cut to those per
 salted subgroup first); a point in many query rows is searched once and its result goes back to
-the rows over a salted join. Neighbours carry their vector and columns, so nothing is joined on a
+the rows over a join, salted where they are more than ``ROWS``. Neighbours carry their vector and columns, so nothing is joined on a
 neighbour's key.
 """
 
@@ -37,6 +40,9 @@ from attrition.session import materialize
 #: Points a cell should hold, and the most cells (boxes that every task knows).
 CELL = 256
 CELLS = 1 << 14
+#: Cells, or boxes of cells, that share a box, and the most boxes that are compared with every query.
+GROUP = 8
+TOP = 64
 #: Points a leaf of a cell should hold, and the pivots of a cell.
 LEAF = 8
 PIVOTS = 16
@@ -46,8 +52,10 @@ HELD = 1 << 21
 BATCH = 1 << 14
 #: Points (at most) that the splits are chosen from.
 SAMPLE = 20_000
-#: Query points searched in a leaf by one task.
+#: Query points searched in a leaf by one task, and those that a task finds the cells of.
 QUERIES = 4096
+#: Rows of a query point that get its result in one task.
+ROWS = 4096
 _SALTS = 16
 
 
@@ -113,6 +121,54 @@ def _slack(square: np.ndarray) -> np.ndarray:
     return square * (1 + 1e-9) + 1e-12
 
 
+class _Boxes:
+    """The cells in tree order: their keys, their boxes and those of groups of neighbours."""
+
+    def __init__(self, size: np.ndarray, low: np.ndarray, high: np.ndarray, keep: int):
+        self.low, self.high = low, high
+        held = np.r_[0, np.cumsum(size)]
+        # From each cell on (at the end of the order: before it), the cells that hold ``keep`` keys.
+        at = np.arange(len(size))
+        self.end = np.minimum(np.searchsorted(held, held[at] + keep), len(size))
+        self.begin = np.clip(np.searchsorted(held, held[self.end] - keep, side="right") - 1, 0, at)
+        self.levels = [(low, high)]
+        while len(self.levels[-1][0]) > TOP:
+            at = np.arange(0, len(self.levels[-1][0]), GROUP)
+            self.levels.append(tuple(f.reduceat(v, at) for f, v in zip((np.minimum, np.maximum), self.levels[-1])))
+
+    def start(self, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(query, cell) of the first cells, given the cell that each query lies in."""
+        many = self.end[own] - self.begin[own]
+        return np.repeat(np.arange(len(own)), many), _counted(self.begin[own], many)
+
+    def reached(self, x: np.ndarray, own: np.ndarray, radius: np.ndarray):
+        """(query, cell) of the other cells within the squared radius, in parts of bounded size."""
+        limit = _slack(radius)
+        top = len(self.levels) - 1
+        for row, cell in self._within(x, limit, top, *np.nonzero(_box_distance(x, *self.levels[top]) <= limit[:, None])):
+            other = (cell < self.begin[own[row]]) | (cell >= self.end[own[row]])
+            yield row[other], cell[other]
+
+    def _within(self, x: np.ndarray, limit: np.ndarray, level: int, row: np.ndarray, box: np.ndarray):
+        if not level:
+            yield row, box
+            return
+        low, high = self.levels[level - 1]
+        step = max(1, HELD // (4 * GROUP * max(1, x.shape[1])))
+        for k in range(0, len(row), step):
+            first = box[k:k + step] * GROUP
+            many = np.minimum(len(low) - first, GROUP)
+            query, inner = np.repeat(row[k:k + step], many), _counted(first, many)
+            gap = np.maximum(np.maximum(low[inner] - x[query], x[query] - high[inner]), 0)
+            near = np.square(gap).sum(1) <= limit[query]
+            yield from self._within(x, limit, level - 1, query[near], inner[near])
+
+
+def _counted(first: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """``many`` numbers from each of ``first`` on."""
+    return np.repeat(first - (np.cumsum(many) - many), many) + np.arange(many.sum())
+
+
 class _Cell:
     """A cell's points in leaves, their boxes, and the distances to its pivots."""
 
@@ -241,8 +297,8 @@ def knn(queries: DataFrame, candidates: DataFrame, k: int = 5, key: str = "Custo
     points = materialize(_distinct_points(candidates.select(x.alias("x"), ident.alias("id"))
                                           .select("x", "id", *_hashes(F.col("x"))), keep), "knn-points")
     q_rows = queries.select(F.col(key).alias("query"), x.alias("x")).select("query", "x", *_hashes(F.col("x")))
-    asked = materialize(q_rows.groupBy("h1", "h2").agg(F.any_value("x").alias("x")), "knn-queries")
-    n = points.count()
+    asked = materialize(q_rows.groupBy("h1", "h2").agg(F.any_value("x").alias("x"), F.count("*").alias("many")), "knn-queries")
+    n, parts = points.count(), max(1, -(-asked.count() // QUERIES))
     sample = points.orderBy(F.xxhash64(F.lit(3), "h1")).limit(SAMPLE).select("x").toArrow().column("x")
     nodes = build_tree(_matrix(sample) if n else np.zeros((1, 1)), max(1, min(CELLS, -(-n // CELL))))
     width = _matrix(sample).shape[1] if n else 0
@@ -262,26 +318,25 @@ def knn(queries: DataFrame, candidates: DataFrame, k: int = 5, key: str = "Custo
     low = boxes[[f"l{d}" for d in range(width)]].to_numpy(float)
     high = boxes[[f"u{d}" for d in range(width)]].to_numpy(float)
 
+    cells = _Boxes(size, low, high, keep)
+
     def visits(first: bool):
-        """(query, leaf): in the first round the nearest leaves that hold ``keep`` keys, then the
-        others within the bound."""
+        """(query, leaf): in the first round the leaves around the query that hold ``keep`` keys, then
+        the others within the bound."""
         def go(batches):
-            step = max(1, HELD // (8 * max(1, len(leaf))))
+            step = max(1, HELD // (8 * max(1, len(cells.levels[-1][0]))))
             for whole in batches:
                 for k in range(0, whole.num_rows if len(leaf) else 0, step):
                     batch = whole.slice(k, step)
-                    far = _box_distance(_matrix(batch.column("x")), low, high)
-                    order = np.argsort(far, axis=1, kind="stable")
-                    before = np.cumsum(size[order], axis=1) - size[order]
-                    start = np.zeros(far.shape, bool)
-                    np.put_along_axis(start, order, before < keep, axis=1)
+                    x = _matrix(batch.column("x"))
+                    own = np.minimum(np.searchsorted(leaf, find_leaves(nodes, x)), len(leaf) - 1)
                     radius = np.asarray(batch.column("radius").fill_null(float("inf")), np.float64)
-                    row, at = np.nonzero(start if first else ~start & (far <= _slack(radius)[:, None]))
-                    for a in range(0, len(row), BATCH):
-                        took = pa.array(row[a:a + BATCH])
-                        yield pa.RecordBatch.from_arrays(
-                            [*(batch.column(c).take(took) for c in ("h1", "h2", "x", "radius")), pa.array(leaf[at[a:a + BATCH]], pa.int32())],
-                            names=["h1", "h2", "x", "radius", "leaf"])
+                    for row, at in [cells.start(own)] if first else cells.reached(x, own, radius):
+                        for a in range(0, len(row), BATCH):
+                            took = pa.array(row[a:a + BATCH])
+                            yield pa.RecordBatch.from_arrays(
+                                [*(batch.column(c).take(took) for c in ("h1", "h2", "x", "radius")), pa.array(leaf[at[a:a + BATCH]], pa.int32())],
+                                names=["h1", "h2", "x", "radius", "leaf"])
         return go
 
     shape = "h1 long, h2 long, x array<double>, radius double, leaf int"
@@ -301,19 +356,25 @@ def knn(queries: DataFrame, candidates: DataFrame, k: int = 5, key: str = "Custo
         return found.where("h1 is not null")
 
     computed: list[float] = []
-    start = search(asked.withColumn("radius", F.lit(None).cast("double")).mapInArrow(visits(True), shape), "knn-first")
+    dealt = lambda frame: frame.select("h1", "h2", "x", "radius").repartition(parts, "h1", "h2")
+    start = search(dealt(asked.withColumn("radius", F.lit(None).cast("double"))).mapInArrow(visits(True), shape), "knn-first")
     w = Window.partitionBy("h1", "h2").orderBy("d2", "neighbour.id")
     bound = (start.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == keep)
              .select("h1", "h2", F.col("d2").alias("radius")))
     wide = asked.join(bound, ["h1", "h2"], "left")
-    rest = search(wide.select("h1", "h2", "x", "radius").mapInArrow(visits(False), shape), "knn-rest")
+    rest = search(dealt(wide).mapInArrow(visits(False), shape), "knn-rest")
     if visited is not None:
         visited.append(sum(computed) / max(1, asked.count() * n))
     per_point = (start.unionByName(rest).withColumn("_r", F.row_number().over(w))
                  .where(F.col("_r") <= keep).drop("_r"))
-    # Back to the rows: a point's result is repeated over the salts, its rows are spread over them.
-    salted = per_point.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-    joined = (q_rows.select("query", "h1", "h2", F.pmod(F.xxhash64("query"), F.lit(_SALTS)).cast("int").alias("_salt"))
+    # Back to the rows: the result of a point with many rows is repeated over salts, its rows are
+    # spread over them.
+    heavy = materialize(asked.where(F.col("many") > ROWS).select("h1", "h2", F.ceil(F.col("many") / ROWS).cast("int").alias("salts")),
+                        "knn-heavy")
+    salts = F.coalesce("salts", F.lit(1))
+    salted = per_point.join(heavy, ["h1", "h2"], "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts")
+    joined = (q_rows.join(heavy, ["h1", "h2"], "left")
+              .select("query", "h1", "h2", F.pmod(F.xxhash64("query"), salts).cast("int").alias("_salt"))
               .join(salted, ["h1", "h2", "_salt"]))
     if exclude_self:
         joined = joined.where(F.col("query") != F.col("neighbour.id"))

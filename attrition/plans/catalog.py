@@ -1095,8 +1095,9 @@ def _resampled(spark, sf_dir, sampler: str) -> DataFrame:
     from pyspark.ml.functions import vector_to_array
 
     from attrition.operators import imbalance
+    from attrition.session import materialize
     tab, names = _ftab(spark, sf_dir)
-    out = getattr(imbalance, sampler)(_vectors(tab, names))
+    out = getattr(imbalance, sampler)(materialize(_vectors(tab, names), "vectors"))
     x = vector_to_array(F.col("features"))
     return out.select(KEY, F.col("i").cast("int").alias("i"), "synthetic", TARGET,
                       *[F.round(x[k], 6).alias(n) for k, n in enumerate(names)])
