@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attrition.llm.common import chunks, documents, materialize, text_bytes
+from attrition.llm.common import ODD, chunks, documents, materialize, text_bytes
 from attrition.session import release
 
 #: Labelled rows (at most) that the views are fitted on.
@@ -59,25 +59,43 @@ def _hash_text(value: str) -> int:
     return out
 
 
+#: Class of every byte whose share is a feature (the last one: none of them); a line feed counts as a
+#: space too.
+CLASSES = np.full(256, 9, np.uint8)
+for _class, _members in enumerate([range(65, 91), range(48, 58), b"\n", b"|", b"!", b"*&%$#@^~<>{}[]=+_\\/", b".,;:?'\"-()",
+                                   b" \t\v\f\r", range(128, 256)]):
+    CLASSES[list(_members)] = _class
+#: The byte in lower case, mixed for the hash of a word.
+MIXED = np.array([b + 33 if 65 <= b <= 90 else b + 1 for b in range(256)], np.uint64)
+_POWERS: dict[str, np.ndarray] = {}
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse modulo 2^64, kept for the next call."""
+    if len(_POWERS.get("up", ())) < n:
+        n = max(n, 1 << 20)
+        _POWERS["up"] = np.cumprod(np.full(n, ODD, np.uint64))
+        _POWERS["down"] = np.cumprod(np.full(n, pow(ODD, -1, 1 << 64), np.uint64))
+    return _POWERS["up"], _POWERS["down"]
+
+
 def text_features(part: pa.RecordBatch) -> list[tuple[np.ndarray, np.ndarray]]:
     """Per text (indices, values): word buckets by root frequency, then character shares."""
     data, offsets = text_bytes(part.column("text"))
     n = len(offsets) - 1
-    space = (data == 32) | ((data >= 9) & (data <= 13))
-    low = data.copy()
-    upper = (data >= 65) & (data <= 90)
-    low[upper] += 32
+    size = np.diff(offsets)
+    kind = CLASSES[data]
+    space = (kind == 7) | (kind == 2)
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     word = ~space
     begins = np.flatnonzero(word & (edge[:-1] | np.r_[True, space[:-1]][:len(data)]))
     ends = np.flatnonzero(word & (edge[1:] | np.r_[space[1:], True][:len(data)])) + 1
     # Hash of a word: sum of mixed bytes times powers of an odd number, by prefix sums modulo 2^64.
-    power = np.cumprod(np.full(len(data) + 1, 0x9E3779B97F4A7C15, np.uint64))
+    power, inverse = _powers(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((low.astype(np.uint64) + np.uint64(1)) * power[:-1], out=total[1:])
+    np.cumsum(MIXED[data] * power[:len(data)], out=total[1:])
     # Dividing by the first power is left out: words are compared after scaling to one position.
-    inverse = np.cumprod(np.full(len(data) + 1, pow(0x9E3779B97F4A7C15, -1, 1 << 64), np.uint64))
     key = (total[ends] - total[begins]) * inverse[begins] if len(begins) else np.empty(0, np.uint64)
     key = ((key ^ (key >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(54)
     owner = np.searchsorted(offsets, begins, side="right") - 1
@@ -86,14 +104,10 @@ def text_features(part: pa.RecordBatch) -> list[tuple[np.ndarray, np.ndarray]]:
     value = np.sqrt(times)
     norm = np.sqrt(np.bincount(doc, times, minlength=n))
     value = value / norm[doc] if len(doc) else value
-    classes = [upper, (data >= 48) & (data <= 57), data == 10, data == 124, data == 33,
-               np.isin(data, np.frombuffer(b"*&%$#@^~<>{}[]=+_\\/", np.uint8)),
-               np.isin(data, np.frombuffer(b".,;:?'\"-()", np.uint8)), space, data >= 128]
-    size = np.maximum(np.diff(offsets), 1)
     shares = np.zeros((n, SHARES))
-    for k, c in enumerate(classes):
-        run = np.r_[0, np.cumsum(c)]
-        shares[:, k] = (run[offsets[1:]] - run[offsets[:-1]]) / size
+    counted = np.bincount(np.repeat(np.arange(0, 10 * n, 10), size) + kind, minlength=10 * n).reshape(n, 10)[:, :9]
+    counted[:, 7] += counted[:, 2]
+    shares[:, :9] = counted / np.maximum(size, 1)[:, None]
     words = np.bincount(owner, minlength=n)
     distinct = np.bincount(doc, minlength=n)
     shares[:, 9] = distinct / np.maximum(words, 1)
