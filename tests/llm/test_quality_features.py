@@ -16,6 +16,6 @@ def test_powers_are_made_once(monkeypatch):
     assert all(np.array_equal(a, b) for x, y in zip(first, again) for a, b in zip(x, y))
     shares = [v[-quality.SHARES:] for _, v in first]
     counts = [1, 1, 1, 1, 1, 1, 0, 3, 0]
-    assert np.allclose(shares[0], quality.SHARE_WEIGHT * np.sqrt(np.r_[np.array(counts) / 12, 3 / 4]))
+    assert np.allclose(shares[0], quality.SHARE_WEIGHT * np.sqrt(np.r_[np.array(counts) / 12, 1]))
     assert not shares[1].any() and not shares[2].any()
     assert np.allclose(shares[3], quality.SHARE_WEIGHT * np.sqrt(np.r_[np.array([0, 0, 0, 0, 0, 0, 1, 0, 2]) / 3, 1]))
