@@ -32,6 +32,7 @@ ordered by the hash of their texts; null doc_ids come last.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +58,9 @@ DEALT_BYTES = 1 << 18
 SHARD_BYTES = 1 << 18
 #: Text whose segments are worked out at once; the arrays hold some hundred bytes for each of it.
 SLICE_BYTES = 1 << 17
+#: Segments of repeated keys that are judged at once, and the most passes this is cut into by key.
+JUDGED = 1 << 21
+PASSES = 2
 #: Order of a row without doc_id.
 LAST = (1 << 63) - 1
 
@@ -394,23 +398,31 @@ def _level(source: DataFrame, gram: int, scratch: list) -> tuple[DataFrame, Data
     found = stored(source.mapInArrow(_find(repeated, varied, gram), _FOUND), "segments")
     # What is asked of equal segments and of a key is summed before it is dealt, and rows are told
     # from the first of their kind by their places, so no key or segment is gathered in a task.
+    # Keys are judged in passes, whose shuffles are on disk one after the other.
     place = ["doc", "hash", "start"]
-    same = found.where("kind = 0")
-    first = same.groupBy("key", "seg").agg(F.min(F.struct(*place)).alias("at"), F.max("n").alias("n"))
-    # At most one key for HOT segments or GROUP_BYTES of text; the planner looks at their number.
-    crowded = (first.groupBy("key").agg(F.count("*").alias("segs"), F.sum(F.col("n") + LENGTH - 1).alias("bytes"))
-               .where((F.col("segs") > HOT) | ((F.col("segs") > 1) & (F.col("bytes") > GROUP_BYTES)))
-               .select("key", F.lit(True).alias("hot")))
-    marks = first.join(stored(crowded, "crowded"), "key", "left").select("at.*", F.coalesce("hot", F.lit(False)).alias("hot"))
-    judged = stored(same.join(marks, place, "left").where("hot is null or text is not null")
-                    .select("key", *place, "n", "hot", F.when(F.col("hot").isNotNull(), F.col("text")).alias("text")), "judged")
+    passes = min(PASSES, 1 + found.count() // JUDGED)
+    parts = []
+    for k in range(passes):
+        same = found.where((F.col("kind") == 0) & (F.pmod("key", F.lit(passes)) == k))
+        first = same.groupBy("key", "seg").agg(F.min(F.struct(*place)).alias("at"), F.max("n").alias("n"))
+        # At most one key for HOT segments or GROUP_BYTES of text; the planner looks at their number.
+        crowded = (first.groupBy("key").agg(F.count("*").alias("segs"), F.sum(F.col("n") + LENGTH - 1).alias("bytes"))
+                   .where((F.col("segs") > HOT) | ((F.col("segs") > 1) & (F.col("bytes") > GROUP_BYTES)))
+                   .select("key", F.lit(True).alias("hot")))
+        marks = first.join(stored(crowded, "crowded"), "key", "left").select("at.*", F.coalesce("hot", F.lit(False)).alias("hot"))
+        # Only a text's key is asked for later. A repeated row is no later copy of itself: rows of one
+        # place meet here.
+        told = same.select(*place, "n", "text", F.when(F.col("text").isNotNull(), F.col("key")).alias("key"))
+        parts.append(stored(told.join(marks, place, "left").where("hot is null or text is not null")
+                            .select("key", *place, "n", "hot", F.when(F.col("hot").isNotNull(), F.col("text")).alias("text"))
+                            .dropDuplicates(place), "judged"))
+    judged = reduce(DataFrame.unionByName, parts)
     spans = stored(found.where("kind = 1").select(*place, "n")
                    .unionByName(judged.where("hot is null").select(*place, "n"))
                    .select("doc", "hash", F.col("start").cast("long").alias("begin"),
                            (F.col("start") + F.col("n") + LENGTH - 1).cast("long").alias("end")), "later")
     release(found)
-    # A repeated row is no later copy of itself.
-    texts = judged.where("hot is not null").dropDuplicates(place)
+    texts = judged.where("hot is not null")
     return spans, texts.where("not hot"), texts.where("hot")
 
 

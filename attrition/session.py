@@ -60,15 +60,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+#: Deletes the shuffle files of a statement as it ends, instead of when the driver's memory is collected.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df, name: str = "table"):
     """Write df once as Parquet under the shared checkpoint folder and read it
     back: the lineage is cut, later jobs read files, and a lost executor
     recomputes nothing upstream. (``DataFrame.checkpoint()`` would run the
-    plan twice: once to count, once to write.)"""
+    plan twice: once to count, once to write.) The write's shuffles go with it."""
     import uuid
     spark = df.sparkSession
     path = os.path.join(checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     out = spark.read.parquet(path)
     out._scratch = path
     return out
