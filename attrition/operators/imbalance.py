@@ -12,6 +12,8 @@ the exact neighbour search. Random choices come from hashes of
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,24 +22,33 @@ from attrition.schema import KEY, SEED_SAMPLER
 from attrition.session import materialize
 
 
+def made(key, make: Callable):
+    """What ``make`` makes. Callers that resample the same rows more than once pass a function of the same
+    form that keeps it by its key, so that samplers share the search among the minority rows."""
+    return make()
+
+
 def label_counts(df: DataFrame, label: str = "Exited") -> dict:
     """Rows per label value: one aggregate, as many rows as labels (two)."""
     return {r[0]: r[1] for r in df.groupBy(label).agg(F.count(F.lit(1))).collect()}
 
 
-def class_weight_column(df: DataFrame, label: str = "Exited", mode: str = "balanced",
-                        counts: dict | None = None) -> Column:
-    c = counts if counts is not None else label_counts(df, label)
-    n, n0, n1 = float(sum(c.values())), float(c.get(0, 0)), float(c.get(1, 0))
+def class_weight_values(counts: dict, mode: str = "balanced") -> tuple[float, float]:
+    """Weights of the other rows and of the rows with label 1."""
+    n, n0, n1 = float(sum(counts.values())), float(counts.get(0, 0)), float(counts.get(1, 0))
     if mode == "balanced":
-        w1 = n / (2.0 * n1) if n1 else 0.0
-        w0 = n / (2.0 * n0) if n0 else 0.0
-        return F.when(F.col(label) == 1, F.lit(w1)).otherwise(F.lit(w0))
+        return n / (2.0 * n0) if n0 else 0.0, n / (2.0 * n1) if n1 else 0.0
     if mode == "positive":
-        return F.when(F.col(label) == 1, F.lit(n0 / n1 if n1 else 0.0)).otherwise(F.lit(1.0))
+        return 1.0, n0 / n1 if n1 else 0.0
     raise ValueError(f"unknown weight mode {mode!r}")
 
 
+def class_weight_column(df: DataFrame, label: str = "Exited", mode: str = "balanced",
+                        counts: dict | None = None) -> Column:
+    w0, w1 = class_weight_values(counts if counts is not None else label_counts(df, label), mode)
+    return F.when(F.col(label) == 1, F.lit(w1)).otherwise(F.lit(w0))
+
+
 def with_class_weight(df: DataFrame, label: str = "Exited", mode: str = "balanced",
                       out: str = "weight", counts: dict | None = None) -> DataFrame:
     return df.withColumn(out, class_weight_column(df, label, mode, counts))
@@ -81,16 +92,22 @@ def _originals(df: DataFrame, key: str, features: str, label: str) -> DataFrame:
                      F.lit(False).alias("synthetic"))
 
 
+def _own_neighbours(mino: DataFrame, k: int, key: str, features: str) -> DataFrame:
+    """The nearest minority rows of every minority row, stored."""
+    from attrition.operators.knn import knn
+    return materialize(knn(mino, mino, k=k, key=key, features=features, exclude_self=True)
+                       .select("query", "rank", "neighbour_vec"), "neighbours")
+
+
 def smote(df: DataFrame, label: str = "Exited", features: str = "features", key: str = KEY,
-          k: int = 5, seed: int = SEED_SAMPLER) -> DataFrame:
+          k: int = 5, seed: int = SEED_SAMPLER, once: Callable = made) -> DataFrame:
     """Add synthetic minority rows until both classes have the same count.
 
     Minority row j (in seeded hash order) makes ``floor(G / m) + [j < G mod m]``
     rows, G = majority - minority, m = minority count. Result: key, features, label, ``i``,
     ``synthetic``; a synthetic row has the key of the row it starts from and is told apart by
-    ``i`` = 1, 2, ... (0 for an original).
+    ``i`` = 1, 2, ... (0 for an original). ``once``: see ``made``.
     """
-    from attrition.operators.knn import knn
     counts = label_counts(df, label)
     if len(counts) < 2:
         return _originals(df, key, features, label)
@@ -102,8 +119,7 @@ def smote(df: DataFrame, label: str = "Exited", features: str = "features", key:
     if m < 2:
         raise ValueError("SMOTE needs two rows of the smaller class: one row has no neighbour")
     mino = df.where(F.col(label) == minority).select(key, features)
-    neigh = materialize(knn(mino, mino, k=k, key=key, features=features, exclude_self=True)
-                        .select("query", "rank", "neighbour_vec"), "neighbours")
+    neigh = once(("neighbours", minority, k), lambda: _own_neighbours(mino, k, key, features))
     # Position of each minority row in the seeded hash order (distributed rank).
     from attrition.operators.split import stratified_rank
     ranked = stratified_rank(mino.withColumn("_lbl", F.lit(1)), "_lbl", key, seed).drop("_lbl", "_n")
@@ -140,16 +156,14 @@ def adasyn_allocation(df: DataFrame, label: str = "Exited", features: str = "fea
 
 
 def adasyn(df: DataFrame, label: str = "Exited", features: str = "features", key: str = KEY,
-           k: int = 5, seed: int = SEED_SAMPLER) -> DataFrame:
+           k: int = 5, seed: int = SEED_SAMPLER, once: Callable = made) -> DataFrame:
     """ADASYN: allocation by neighbourhood difficulty, then SMOTE interpolation
-    towards minority neighbours."""
-    from attrition.operators.knn import knn
+    towards minority neighbours. ``once``: see ``made``."""
     alloc = adasyn_allocation(df, label, features, key, k, seed)
     counts = label_counts(df, label)
     minority = min(counts, key=lambda c: (counts[c], c))
     mino = df.where(F.col(label) == minority).select(key, features)
-    neigh = materialize(knn(mino, mino, k=k, key=key, features=features, exclude_self=True)
-                        .select("query", "rank", "neighbour_vec"), "neighbours")
+    neigh = once(("neighbours", minority, k), lambda: _own_neighbours(mino, k, key, features))
     kk = neigh.groupBy(F.col("query").alias(key)).agg(F.max("rank").alias("_k"))
     base = (mino.join(alloc.where(F.col("n_synthetic") > 0), key).join(kk, key)
             .withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("n_synthetic")))))

@@ -105,16 +105,19 @@ class AttritionPipeline(Estimator):
     def _fit(self, df: DataFrame) -> PipelineModel:
         return self.fit_prepared(*self.prepare(df))
 
-    def prepare(self, df: DataFrame) -> tuple[PipelineModel, DataFrame]:
-        """Fitted feature stages and the rows that the classifier sees, resampled if asked for."""
-        fm = self.features.fit(df)
+    def prepare(self, df: DataFrame, once: Callable = imbalance.made) -> tuple[PipelineModel, DataFrame]:
+        """Fitted feature stages and the rows that the classifier sees, resampled if asked for. ``once``:
+        keeps by its key what pipelines have in common that are fitted on the same rows."""
+        own = (self.features.signature(), self.label, self.key)
+        fm = once(("stages", *own), lambda: self.features.fit(df))
         x = fm.transform(df)
         if self.use_smote or self.use_adasyn:
             sampler = imbalance.smote if self.use_smote else imbalance.adasyn
             # The neighbour search reads the transformed rows several times:
             # cut the lineage once, and again after resampling.
-            x = materialize(x.select(self.key, "features", self.label), "train-x")
-            x = materialize(sampler(x, label=self.label, features="features", key=self.key)
+            x = once(("rows", *own), lambda: materialize(fm.transform(df).select(self.key, "features", self.label), "train-x"))
+            x = materialize(sampler(x, label=self.label, features="features", key=self.key,
+                                    once=lambda key, make: once((*own, *key), make))
                             .select("features", self.label), "resampled")
         return fm, x
 
